@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from trackside.schemas import POINT_KINDS, PUSHPORT_URI_STEM
 
-# Prefixes are arbitrary in the feed, so names are matched without them.
-XML_OPTIONS = {"ignoreNamespace": "true", "mode": "PERMISSIVE"}
+# Prefixes are arbitrary in the feed, so names are matched without them. Spaces inside values
+# count: the second character of an activity code may be one.
+XML_OPTIONS = {"ignoreNamespace": "true", "mode": "PERMISSIVE", "ignoreSurroundingSpaces": "false"}
 
 _POINTS = "|".join(POINT_KINDS)
 

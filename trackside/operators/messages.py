@@ -216,13 +216,13 @@ def point_columns(p: str) -> list[Column]:
     ]
 
 
-def _schedule_items(docs: DataFrame) -> DataFrame:
+def schedule_items(docs: DataFrame) -> DataFrame:
     return _items(docs, "schedule", SCHEDULE, points_in_order(F.col("xml")))
 
 
 def schedules(docs: DataFrame) -> DataFrame:
     """One row per schedule: header, cancel reason and the number of calling points."""
-    return _schedule_items(docs).select(
+    return schedule_items(docs).select(
         *ENVELOPE,
         "item_index",
         *schedule_columns("item"),
@@ -235,7 +235,7 @@ def schedules(docs: DataFrame) -> DataFrame:
 
 def calling_points(docs: DataFrame) -> DataFrame:
     """One row per calling point, all seven kinds in their order (``pos`` from 0)."""
-    points = _schedule_items(docs).select(
+    points = schedule_items(docs).select(
         *ENVELOPE, "item_index", "item", F.posexplode("item.pt").alias("pos", "p")
     )
     return points.select(

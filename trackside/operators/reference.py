@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trackside.operators.state import latest
 from trackside.plans.joins import lookup_join
+from trackside.session import landed
 
 # Kinds of point where a passenger train calls.
 CALLING_KINDS = ["OR", "IP", "DT"]
@@ -47,7 +48,7 @@ def with_instance_names(rows: DataFrame, instances: DataFrame, column: str = "sr
 
 
 def via_texts(points: DataFrame, via: DataFrame, locations: DataFrame) -> DataFrame:
-    """Via texts that apply per journey and station: ``rid``, ``tpl``, ``crs``, ``viatext``.
+    """Via texts that apply per journey and station: ``rid``, ``tpl``, ``crs`` and the rule.
 
     A rule applies at a station for a destination if the journey calls at ``loc1`` and, where
     the rule has one, at ``loc2`` after that. Some call at loc2 is later than some call at loc1
@@ -57,6 +58,7 @@ def via_texts(points: DataFrame, via: DataFrame, locations: DataFrame) -> DataFr
     if "kind" in points.columns:
         points = points.where(F.col("kind").isin(CALLING_KINDS))
     calls = points.groupBy("rid", "tpl").agg(F.min("pos").alias("first"), F.max("pos").alias("last"))
+    calls = landed(calls, "calls")
     ends = calls.groupBy("rid").agg(F.max_by("tpl", "last").alias("dest"))
     stations = lookup_join(calls.select("rid", "tpl"), locations.select("tpl", "crs"), ["tpl"])
     viewed = stations.where(F.col("crs").isNotNull()).join(ends, "rid")
@@ -66,7 +68,7 @@ def via_texts(points: DataFrame, via: DataFrame, locations: DataFrame) -> DataFr
     at_loc2 = calls.select("rid", F.col("tpl").alias("loc2"), F.col("last").alias("last_2"))
     checked = offered.join(at_loc1, ["rid", "loc1"]).join(at_loc2, ["rid", "loc2"], "left")
     applies = F.col("loc2").isNull() | (F.col("last_2") > F.col("first_1"))
-    return checked.where(applies).select("rid", "tpl", "crs", "viatext")
+    return checked.where(applies).select("rid", "tpl", "crs", "loc1", "loc2", "viatext")
 
 
 def correct_train_ids(sightings: DataFrame, corrections: DataFrame, order: list[str]) -> DataFrame:

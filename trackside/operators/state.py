@@ -63,12 +63,12 @@ def actual_times(events: DataFrame, keys: list[str], order: list[str]) -> DataFr
     return folded.select(*keys, F.col("_at.at").alias("at"), F.col("_et.et").alias("et"))
 
 
-def overlay(snapshot: DataFrame, updates: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Snapshot rows overlaid by updates: the last row per key by time; at the same time the update."""
+def overlay(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Snapshot rows overlaid by updates: the last row per key by time, and at the same time the
+    update. Both come from one table with the column ``response``, so it is read once."""
     time, *within = order
-    base = snapshot.withColumn("_rank", F.lit(0))
-    later = updates.withColumn("_rank", F.lit(1))
-    return latest(base.unionByName(later), keys, [time, "_rank", *within]).drop("_rank")
+    ranked = rows.withColumn("_rank", (F.col("response") == "update").cast("int"))
+    return latest(ranked, keys, [time, "_rank", *within]).drop("_rank")
 
 
 REQUEST_KEY = ["request_source", "request_id"]
@@ -86,8 +86,9 @@ def distinct_requests(rows: DataFrame, order: list[str]) -> DataFrame:
 def distinct_requests_stream(rows: DataFrame, time: str, delay: str) -> DataFrame:
     """The same on a stream: repeats within ``delay`` of each other are dropped."""
     keyed = F.col("request_source").isNotNull() & F.col("request_id").isNotNull()
-    once = rows.where(keyed).withWatermark(time, delay).dropDuplicatesWithinWatermark(REQUEST_KEY)
-    return once.unionByName(rows.where(~keyed))
+    # A watermark needs the zoned type.
+    timed = rows.where(keyed).withColumn("_time", F.col(time).cast("timestamp")).withWatermark("_time", delay)
+    return timed.dropDuplicatesWithinWatermark(REQUEST_KEY).drop("_time").unionByName(rows.where(~keyed))
 
 
 LOADING_KEY = ["rid", "fid", "tpl", "wta", "wtd", "wtp", "pta", "ptd"]

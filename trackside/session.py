@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -49,3 +49,13 @@ def work_root(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new folder path below :func:`work_root`."""
     return f"{work_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def landed(df: DataFrame, name: str) -> DataFrame:
+    """Write a result once and read it from there, where several branches need it.
+
+    Unlike a cache it outlives an executor, and unlike a plan it is not computed per branch.
+    """
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

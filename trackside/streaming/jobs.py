@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from trackside.operators.clean import clean
 from trackside.operators.decode import decode_frames, locations, rejects
 from trackside.operators.parse import parse_records
 from trackside.operators.publish import to_records
+from trackside.operators.state import latest
 from trackside.streaming import sinks
 
 
@@ -62,3 +63,17 @@ def start_separately(
             sinks.start_console(parsed, checkpoint=f"{checkpoint}/console", drain=run.get("drain", False))
         )
     return started
+
+
+def start_state(
+    events: DataFrame, keys: list[str], order: list[str], path: str, checkpoint: str, **run
+) -> StreamingQuery | None:
+    """Keep the last event per key of a stream. The engine holds the state; every batch writes
+    the keys it changed, and :func:`read_state` takes the last of each."""
+    changed = latest(events, keys, order)
+    return sinks.start_batches(changed, sinks.file_writer(path), checkpoint, output_mode="update", **run)
+
+
+def read_state(spark: SparkSession, path: str, keys: list[str], order: list[str]) -> DataFrame:
+    """The last event per key written by :func:`start_state`."""
+    return latest(spark.read.parquet(path).drop("batch_id"), keys, order)

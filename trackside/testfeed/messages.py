@@ -56,34 +56,41 @@ HAS_FORMATION = "(o_orderkey % 3 = 0)"
 FID = "concat('F', cast(o_orderkey as string))"
 
 
-def schedule_documents(orders: DataFrame) -> DataFrame:
+def schedule_element(name: str, prefix: str, point_extra: str = "''", extra: tuple[str, ...] = ()) -> str:
+    """SQL text of a schedule with its points; ``extra`` are more attribute texts."""
     i = "i"
     not_first, not_last = f"{i} > 0", f"{i} < {f.POINTS} - 1"
     stops = f"not {_passes(i)}"
     point = (
-        f"concat('<s:', {point_kind(i)}, "
+        f"concat('<{prefix}', {point_kind(i)}, "
         f"{attr('tpl', f.place(i))}, {attr('act', activity(i), has_activity(i))}, "
         f"{attr('wta', f.wta(i), f'{stops} and {not_first}')}, {attr('wtd', f.wtd(i), f'{stops} and {not_last}')}, "
         f"{attr('wtp', f.wta(i), _passes(i))}, "
         f"{attr('pta', f.pta(i), f'{_calls(i)} and {not_first}')}, {attr('ptd', f.ptd(i), f'{_calls(i)} and {not_last}')}, "
         f"{attr('can', q('true'), 'o_orderkey % 21 = 0')}, {attr('fid', FID, f'{HAS_FORMATION} and {i} = 0')}, "
-        f"{attr('rdelay', 'cast(o_orderkey % 7 as string)', f'{not_first} and o_orderkey % 13 = 0')}, '/>')"
+        f"{attr('rdelay', 'cast(o_orderkey % 7 as string)', f'{not_first} and o_orderkey % 13 = 0')}, {point_extra}, '/>')"
     )
-    cancelled = (
-        f"case when o_orderkey % 21 = 0 then "
-        f"{tag('s:cancelReason', attr('tiploc', f.place('0'), 'o_orderkey % 2 = 0'), inside='cast(500 + o_orderkey % 40 as string)')} else '' end"
+    reason = tag(
+        f"{prefix}cancelReason",
+        attr("tiploc", f.place("0"), "o_orderkey % 2 = 0"),
+        inside="cast(500 + o_orderkey % 40 as string)",
     )
-    schedule = tag(
-        "schedule",
+    cancelled = f"case when o_orderkey % 21 = 0 then {reason} else '' end"
+    return tag(
+        name,
         attr("rid", f.RID), attr("uid", f.UID), attr("trainId", TRAIN_ID), attr("ssd", f.SSD), attr("toc", TOC),
-        attr("rsid", f"concat('RS', lpad(cast(o_orderkey % 10000 as string), 4, '0'))", "o_orderkey % 4 = 0"),
+        attr("rsid", "concat('RS', lpad(cast(o_orderkey % 10000 as string), 4, '0'))", "o_orderkey % 4 = 0"),
         attr("status", q("B"), "o_orderkey % 16 = 0"),
         attr("trainCat", q("XX"), "o_orderkey % 9 = 0"),
         attr("isActive", q("false"), "o_orderkey % 14 = 0"),
         attr("deleted", q("true"), "o_orderkey % 37 = 0"),
+        *extra,
         inside=f"concat({repeated(f.POINTS, point)}, {cancelled})",
     )
-    xml = pport(schedule, uris=part_uri("s", "Schedules/v3"))
+
+
+def schedule_documents(orders: DataFrame) -> DataFrame:
+    xml = pport(schedule_element("schedule", "s:"), uris=part_uri("s", "Schedules/v3"))
     return orders.select(F.col("o_orderkey").alias("sequence_number"), F.expr(xml).alias("xml"))
 
 
@@ -132,25 +139,44 @@ REQUEST_SOURCE = "concat('CI', lpad(cast(o_custkey % 20 as string), 2, '0'))"
 REQUEST_ID = "concat('R', cast(floor(o_orderkey / 40) as bigint))"
 
 
+def mixed_version_documents(orders: DataFrame) -> DataFrame:
+    """Status documents of versions 11 to 16, all with attributes only later versions define."""
+    arr = tag("f:arr", attr("et", f.et("0")), attr("wet", f.pta("0")), attr("atClass", q("X")), attr("src", q("TD")))
+    train = tag(
+        "TS", attr("rid", f.RID), attr("uid", f.UID), attr("ssd", f.SSD),
+        inside=tag("f:Location", attr("tpl", f.place("0")), attr("wta", f.wta("0")), inside=arr),
+    )
+    xml = pport(
+        train,
+        version="cast(11 + o_orderkey % 6 as string)",
+        uris=part_uri("f", "Forecasts/v3"),
+        extra="' updateOrigin=\"CIS\"'",
+    )
+    return orders.select(F.col("o_orderkey").alias("sequence_number"), F.expr(xml).alias("xml"))
+
+
 # --- associations, from orders ------------------------------------------------------------------
 
 CATEGORY = "case o_orderkey % 4 when 0 then 'JJ' when 1 then 'VV' when 2 then 'LK' else 'NP' end"
 ASSOC_RID = f"concat({f.digits('o_orderdate')}, lpad(cast(o_custkey as string), 8, '0'))"
 
 
-def association_documents(orders: DataFrame) -> DataFrame:
-    item = tag(
-        "association",
+def association_element(name: str, prefix: str) -> str:
+    main = tag(f"{prefix}main", attr("rid", f.RID), attr("wta", f.wta("1")), attr("pta", f.pta("1"), "o_orderkey % 2 = 0"))
+    assoc = tag(f"{prefix}assoc", attr("rid", ASSOC_RID), attr("wtd", f.wtd("1")))
+    return tag(
+        name,
         attr("tiploc", f.place("1")), attr("category", CATEGORY),
         attr("isCancelled", q("true"), "o_orderkey % 6 = 0"), attr("isDeleted", q("1"), "o_orderkey % 10 = 0"),
-        inside="concat(" + tag("a:main", attr("rid", f.RID), attr("wta", f.wta("1")), attr("pta", f.pta("1"), "o_orderkey % 2 = 0"))
-        + ", " + tag("a:assoc", attr("rid", ASSOC_RID), attr("wtd", f.wtd("1"))) + ")",
-    )
-    return orders.select(
-        F.col("o_orderkey").alias("sequence_number"), F.expr(pport(item, uris=part_uri("a", "Schedules/v2"))).alias("xml")
+        inside=f"concat({main}, {assoc})",
     )
 
 
+def association_documents(orders: DataFrame) -> DataFrame:
+    xml = pport(association_element("association", "a:"), uris=part_uri("a", "Schedules/v2"))
+    return orders.select(F.col("o_orderkey").alias("sequence_number"), F.expr(xml).alias("xml"))
+
+
 # --- formations and loading, from orders --------------------------------------------------------
 
 COACHES = "(2 + o_orderkey % 4)"
