@@ -10,7 +10,7 @@ from trackside.operators.parse import decode_pairs, parse_records, parse_records
 from trackside.operators.publish import to_records
 from trackside.schemas import RECORD_FIELDS
 from trackside.session import work_dir
-from trackside.sources.tables import read_table, stream_table
+from trackside.sources.tables import read_table, spread, stream_table
 from trackside.streaming import jobs, sinks, stores
 from trackside.testfeed.records import RECORDS_SQL, break_some, topic_records
 
@@ -18,7 +18,7 @@ FIELDS = ", ".join(RECORD_FIELDS)
 
 
 def records(spark: SparkSession, sf: str) -> DataFrame:
-    return topic_records(read_table(spark, sf, "events"))
+    return topic_records(spread(read_table(spark, sf, "events")))
 
 
 def record_stream(spark: SparkSession, sf: str) -> DataFrame:

@@ -10,6 +10,7 @@ from trackside.operators.decode import decode_frames, locations, rejects
 from trackside.operators.parse import parse_records
 from trackside.operators.publish import to_records
 from trackside.operators.state import latest
+from trackside.sources.tables import spread
 from trackside.streaming import sinks
 
 
@@ -21,12 +22,17 @@ def start_intake(
     first_header: bool = False,
     **run,
 ) -> StreamingQuery | None:
-    """Push frames to topic records, and to rejects with a reason. Each frame is decoded once."""
+    """Push frames to topic records, and to rejects with a reason.
+
+    Each frame is decoded once. Decoding is the heavy step, so a batch with fewer splits than
+    cores is spread out for it.
+    """
     writers = [
         sinks.then(lambda decoded: to_records(locations(decoded, first_header)), publish),
         sinks.then(rejects, reject),
     ]
-    return sinks.start_batches(decode_frames(frames), sinks.fan_out(writers), checkpoint, **run)
+    write = sinks.then(lambda batch: decode_frames(spread(batch)), sinks.fan_out(writers))
+    return sinks.start_batches(frames, write, checkpoint, **run)
 
 
 def start_stores(
@@ -40,7 +46,8 @@ def start_stores(
 ) -> StreamingQuery | None:
     """One query that feeds the raw and the clean store, and more writers of parsed rows."""
     writers = [raw, sinks.then(lambda parsed: clean(parsed, today), cleaned), *(extra or [])]
-    return sinks.start_batches(parse_records(records), sinks.fan_out(writers), checkpoint, **run)
+    write = sinks.then(lambda batch: parse_records(spread(batch)), sinks.fan_out(writers))
+    return sinks.start_batches(records, write, checkpoint, **run)
 
 
 def start_separately(
