@@ -29,6 +29,7 @@ from trackside.schemas import (
     FORMATIONS,
     LOADING,
     MESSAGE_KINDS,
+    REASON,
     SCHEDULE,
     STATION_MESSAGE_FIELDS,
     TRACKING_ID,
@@ -262,8 +263,11 @@ def reasons(docs: DataFrame) -> DataFrame:
             to_flag(f"{r}._near").alias("near"),
         )
 
-    late = _items(docs.where(has_element(F.col("xml"), "LateReason")), "TS", TS_FULL)
-    cancelled = _items(docs.where(has_element(F.col("xml"), "cancelReason")), "schedule", SCHEDULE)
+    xml = F.col("xml")
+    late = _items(docs.where(has_element(xml, "LateReason")), "TS", f"struct<_rid:string,LateReason:{REASON}>")
+    cancelled = _items(
+        docs.where(has_element(xml, "cancelReason")), "schedule", f"struct<_rid:string,cancelReason:{REASON}>"
+    )
     return of(late, "LateReason", "late").unionByName(of(cancelled, "cancelReason", "cancel"))
 
 

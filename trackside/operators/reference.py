@@ -80,7 +80,7 @@ def correct_train_ids(sightings: DataFrame, corrections: DataFrame, order: list[
         ["area", "berth", "train_id"],
         order,
     ).drop(*order)
-    joined = sightings.join(current, ["area", "berth", "train_id"], "left")
+    joined = lookup_join(sightings, landed(current, "corrections"), ["area", "berth", "train_id"])
     return joined.select(
         *[c for c in sightings.columns],
         F.coalesce("correct_train_id", "train_id").alias("shown_train_id"),

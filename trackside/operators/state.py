@@ -83,12 +83,18 @@ def distinct_requests(rows: DataFrame, order: list[str]) -> DataFrame:
     return first(rows.where(keyed), REQUEST_KEY, order).unionByName(rows.where(~keyed))
 
 
-def distinct_requests_stream(rows: DataFrame, time: str, delay: str) -> DataFrame:
-    """The same on a stream: repeats within ``delay`` of each other are dropped."""
+def distinct_requests_stream(rows: DataFrame, time: str, delay: str, salts: int = 16) -> DataFrame:
+    """The same on a stream: repeats within ``delay`` of each other are dropped.
+
+    A request may be repeated very often, so its rows are first reduced in several places, by a
+    salt from the row's own number, and what is left of them in one.
+    """
     keyed = F.col("request_source").isNotNull() & F.col("request_id").isNotNull()
     # A watermark needs the zoned type.
     timed = rows.where(keyed).withColumn("_time", F.col(time).cast("timestamp")).withWatermark("_time", delay)
-    return timed.dropDuplicatesWithinWatermark(REQUEST_KEY).drop("_time").unionByName(rows.where(~keyed))
+    salted = timed.withColumn("_salt", F.pmod(F.xxhash64("sequence_number"), F.lit(salts)))
+    once = salted.dropDuplicatesWithinWatermark([*REQUEST_KEY, "_salt"]).dropDuplicatesWithinWatermark(REQUEST_KEY)
+    return once.drop("_time", "_salt").unionByName(rows.where(~keyed))
 
 
 LOADING_KEY = ["rid", "fid", "tpl", "wta", "wtd", "wtp", "pta", "ptd"]

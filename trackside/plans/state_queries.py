@@ -127,7 +127,7 @@ STATIONS = {"tpl": "concat('T', cast(o_custkey % 997 as string))", "crs": "conca
 
 def via_text(spark: SparkSession, sf: str) -> DataFrame:
     table = read_table(spark, sf, "orders")
-    via = table.where("o_orderkey % 5 = 0").selectExpr(*_columns(VIA)).distinct()
+    via = table.selectExpr(*_columns(VIA)).distinct()
     stations = table.selectExpr(*_columns(STATIONS)).distinct()
     return reference.via_texts(points(spark, sf), via, stations)
 
@@ -201,7 +201,7 @@ def request_dedup_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 def formation_loading(spark: SparkSession, sf: str) -> DataFrame:
     """Loading of every coach; coaches the last message leaves out are cleared."""
-    o = orders(spark, sf).where(m.HAS_FORMATION)
+    o = orders(spark, sf)
     formations = messages.formations(m.formation_documents(o))
     loadings = messages.loadings(m.loading_documents(o))
     now = state.coach_loading_state(formations, loadings)
@@ -322,7 +322,7 @@ ORACLE = {
         FROM f LEFT JOIN best ON best.o_orderkey = f.o_orderkey AND best.i = f.i""",
     "via_text": f"""WITH {_SCHEDULED}, c AS (SELECT rid, tpl, pos FROM s WHERE kind IN ('OR', 'IP', 'DT')),
         ends AS (SELECT rid, arg_max(tpl, pos) AS dest FROM c GROUP BY rid),
-        v AS (SELECT DISTINCT {_sql(VIA)} FROM orders WHERE o_orderkey % 5 = 0),
+        v AS (SELECT DISTINCT {_sql(VIA)} FROM orders),
         st AS (SELECT DISTINCT {_sql(STATIONS)} FROM orders)
         SELECT DISTINCT x.rid, x.tpl, st.crs, v.viatext, v.loc1, v.loc2 FROM c x JOIN st USING (tpl) JOIN ends USING (rid)
         JOIN v ON v."at" = st.crs AND v.dest = ends.dest
@@ -362,5 +362,5 @@ ORACLE = {
     "formation_loading": f"""SELECT {f.RID} AS rid, {m.FID} AS fid, {f.place('1')} AS tpl, {f.wtd('1')} AS wtd,
         substr('ABCDEFGH', CAST(i + 1 AS INT), 1) AS coach_number,
         CASE WHEN (o_orderkey + i + 2) % 3 > 0 THEN CAST((o_orderkey + i * 7 + 22) % 101 AS INTEGER) END AS loading
-        FROM (SELECT *, unnest(range({m.COACHES})) AS i FROM orders WHERE {m.HAS_FORMATION})""",
+        FROM (SELECT *, unnest(range({m.COACHES})) AS i FROM orders)""",
 }

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from trackside.operators.clean import clean
@@ -13,6 +16,8 @@ from trackside.operators.state import latest
 from trackside.sources.tables import spread
 from trackside.streaming import sinks
 
+log = logging.getLogger(__name__)
+
 
 def start_intake(
     frames: DataFrame,
@@ -30,11 +35,26 @@ def start_intake(
     writers = [
         sinks.then(lambda decoded: to_records(locations(decoded, first_header)), publish),
         sinks.then(rejects, reject),
+        log_intake,
     ]
     write = sinks.then(lambda batch: decode_frames(spread(batch)), sinks.fan_out(writers))
     return sinks.start_batches(frames, write, checkpoint, **run)
 
 
+def log_intake(decoded: DataFrame, batch_id: int) -> None:
+    """Log what a batch of frames held: how many, with how many distinct types, how many rejected."""
+    seen = decoded.agg(
+        F.count(F.lit(1)).alias("frames"),
+        F.approx_count_distinct("message_type").alias("types"),
+        F.count("reason").alias("rejected"),
+        F.max("sequence_number").alias("last"),
+    ).first()
+    log.info(
+        "batch %s: %s frames of %s types, %s rejected, last sequence %s",
+        batch_id, seen["frames"], seen["types"], seen["rejected"], seen["last"],
+    )
+
+
 def start_stores(
     records: DataFrame,
     raw: sinks.Writer,

@@ -16,6 +16,7 @@ from trackside.schemas import RAW_KEY
 RAW_PLACE = ["unique_id", "location_code"]
 RAW_ORDER = ["_sequence"]
 BUCKETS = 64
+FILES_PER_BUCKET = 8
 
 DATE_COLUMN = "arrival_date"
 
@@ -51,12 +52,17 @@ def _bucket(columns: list[Column], buckets: int) -> Column:
 
 
 def append_keyed(rows: DataFrame, batch_id: int, path: str, buckets: int = BUCKETS) -> None:
-    """Add a batch to the keyed store: reduced to one row per key, one file per bucket."""
+    """Add a batch to the keyed store: reduced to one row per key, then few files per bucket.
+
+    One place may hold much of a batch, so a bucket is spread by the rest of the key; the engine
+    joins partitions that turn out small.
+    """
     place = _bucket([F.col(name) for name in RAW_PLACE], buckets)
+    spread = _bucket([F.col(name) for name in RAW_KEY], FILES_PER_BUCKET)
     (
         upsert_view(whole_keys(rows))
         .withColumn("bucket", place)
-        .repartition(buckets, "bucket")
+        .repartition("bucket", spread)
         .sortWithinPartitions("bucket", *RAW_KEY)
         .write.mode("overwrite")
         .partitionBy("bucket")
