@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from trackside.functions.values import activity_codes, clock_seconds, near
+from trackside.functions.values import activity_codes, clock_seconds, near, to_long
 from trackside.operators import clean as c
 from trackside.operators.parse import decode_pairs, parse_records, parse_records_typed, schema_text, text_pairs
 from trackside.operators.publish import to_records
@@ -98,10 +98,16 @@ def test_null_text_is_exact_and_only_in_its_columns(spark):
 
 
 def test_bad_numbers_become_null(spark):
-    row = cleaned(spark, schedule_id="P20240101", sequence_number="1.5")[0]
+    row = cleaned(spark, schedule_id="P20240101", sequence_number="1e3")[0]
     assert (row.schedule_id, row.sequence_number) == (None, None)
 
 
+def test_numbers_lose_their_fraction(spark):
+    cases = {"1.5": 1, ".5": 0, "1.": 1, "+1.5": 1, "-1.9": -1, " 1.5 ": 1, "1.5.2": None, "1.5a": None, "": None, " 12 ": 12, "9223372036854775808": None}
+    df = spark.createDataFrame([(text,) for text in cases], "v string")
+    assert [r[0] for r in df.select(to_long("v")).collect()] == list(cases.values())
+
+
 def test_missing_service_date_never_means_today(spark):
     assert cleaned(spark, service_start_date=None) == []
 

@@ -14,7 +14,14 @@ def _col(value: Column | str) -> Column:
 
 
 def to_long(value: Column | str) -> Column:
-    return _col(value).try_cast("bigint")
+    """Whole number; a fraction is cut off (``1.5`` is 1), other text is NULL.
+
+    The strict cast takes no fraction, so texts it refuses get a second look.
+    """
+    text = _col(value)
+    fraction = r"^(\s*[+-]?)(\d*)\.\d*\s*$"
+    whole = F.concat(F.regexp_extract(text, fraction, 1), F.lit("0"), F.regexp_extract(text, fraction, 2))
+    return F.coalesce(text.try_cast("bigint"), F.when(text.rlike(fraction), whole).try_cast("bigint"))
 
 
 def to_short(value: Column | str) -> Column:

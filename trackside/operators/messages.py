@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackside.functions.values import to_date, to_flag, to_local_time, to_long, to_short
+from trackside.functions.values import to_date, to_flag, to_local_time, to_short
 from trackside.functions.xml import (
     feed_version,
     fragments,
@@ -169,16 +169,13 @@ TIME_FIELDS = ["et", "wet", "at", "at_removed", "at_class", "etmin", "et_unknown
 def forecast_events(rows: DataFrame) -> DataFrame:
     """Forecast rows in long form: one row per arrival, departure or passing that is present."""
     keep = [name for name in rows.columns if name not in ("arr", "dep", "passing")]
-    present = F.filter(
-        F.array(
-            *[
-                F.struct(F.lit(label).alias("event"), F.col(name).alias("t"))
-                for label, name in (("arr", "arr"), ("dep", "dep"), ("pass", "passing"))
-            ]
-        ),
-        lambda e: e["t"].isNotNull(),
+    events = F.array(
+        *[
+            F.struct(F.lit(label).alias("event"), F.col(name).alias("t"))
+            for label, name in (("arr", "arr"), ("dep", "dep"), ("pass", "passing"))
+        ]
     )
-    long = rows.select(*keep, F.explode(present).alias("e"))
+    long = rows.select(*keep, F.explode(events).alias("e")).where(F.col("e.t").isNotNull())
     return long.select(*keep, F.col("e.event").alias("event"), *[F.col(f"e.t.{f}").alias(f) for f in TIME_FIELDS])
 
 

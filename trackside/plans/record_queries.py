@@ -46,7 +46,10 @@ def cast_ids_dates(spark: SparkSession, sf: str) -> DataFrame:
     n = F.col("sequence_number").cast("bigint")
     spoiled = parse_records(records(spark, sf)).select(
         F.col("sequence_number").alias("row"),
-        F.when(n % 9 == 0, F.concat(F.lit("x"), "sequence_number")).otherwise(F.col("sequence_number")).alias("sequence_number"),
+        F.when(n % 9 == 0, F.concat(F.lit("x"), "sequence_number"))
+        .when(n % 9 == 1, F.concat("sequence_number", F.lit(".7")))
+        .otherwise(F.col("sequence_number"))
+        .alias("sequence_number"),
         F.when(n % 7 == 0, "P1234567890123").otherwise(F.col("schedule_id")).alias("schedule_id"),
         F.when(n % 11 == 0, "2024-13-45").otherwise(F.col("service_start_date")).alias("service_start_date"),
     )

@@ -55,14 +55,16 @@ def append_keyed(rows: DataFrame, batch_id: int, path: str, buckets: int = BUCKE
     """Add a batch to the keyed store: reduced to one row per key, then few files per bucket.
 
     One place may hold much of a batch, so a bucket is spread by the rest of the key; the engine
-    joins partitions that turn out small.
+    joins partitions that turn out small, so a small batch makes few files.
     """
     place = _bucket([F.col(name) for name in RAW_PLACE], buckets)
-    spread = _bucket([F.col(name) for name in RAW_KEY], FILES_PER_BUCKET)
+    part = _bucket([F.col(name) for name in RAW_KEY], FILES_PER_BUCKET)
     (
         upsert_view(whole_keys(rows))
         .withColumn("bucket", place)
-        .repartition("bucket", spread)
+        .withColumn("_part", part)
+        .hint("rebalance", F.col("bucket"), F.col("_part"))
+        .drop("_part")
         .sortWithinPartitions("bucket", *RAW_KEY)
         .write.mode("overwrite")
         .partitionBy("bucket")
@@ -93,26 +95,15 @@ def compact_keyed(spark: SparkSession, path: str, target: str, buckets: int = BU
     append_keyed(read_keyed(spark, path), 0, target, buckets)
 
 
-def append_by_date(
-    rows: DataFrame, batch_id: int, path: str, time: str = "actual_arrival", rows_per_file: int = 5_000_000
-) -> None:
-    """Add a batch to the dated store, partitioned by the day of its time column.
-
-    No shuffle: a batch covers few days, and each task writes at most one file per day and size
-    step, however many rows a day has.
-    """
-    (
-        rows.withColumn(DATE_COLUMN, F.to_date(time))
-        .write.mode("overwrite")
-        .option("maxRecordsPerFile", rows_per_file)
-        .partitionBy(DATE_COLUMN)
-        .parquet(f"{path}/batch_id={batch_id}")
-    )
+def append_by_date(rows: DataFrame, batch_id: int, path: str, time: str = "actual_arrival") -> None:
+    """Add a batch to the dated store, partitioned by the day of its time column."""
+    write_by_date(rows, f"{path}/batch_id={batch_id}", time)
 
 
 def write_by_date(rows: DataFrame, path: str, time: str = "actual_arrival") -> None:
-    """Write a large table to the dated store. It covers many days, so tasks are first rebalanced
-    by day; the engine then splits a day that is too large and joins small ones."""
+    """Write a table to the dated store. Rows are first rebalanced by day, so that a long stretch
+    of days does not make a file per day and task; the engine splits a day that is too large and
+    joins small ones."""
     (
         rows.withColumn(DATE_COLUMN, F.to_date(time))
         .hint("rebalance", F.col(DATE_COLUMN))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackside.functions.body import deflate_gzip, deflate_zlib
-from trackside.schemas import FORECASTS_URI, PUSHPORT_URI, PUSHPORT_URI_STEM
+from trackside.schemas import PUSHPORT_URI, PUSHPORT_URI_STEM
 from trackside.testfeed import fields as f
 
 PARTS_STEM = PUSHPORT_URI_STEM[: -len("v")]
