@@ -70,6 +70,35 @@ def test_failed_batch_runs_again_without_doubling(spark, topic, tmp_path):
     assert spark.read.parquet(rows).count() == read_table(spark, SF, "events").count()
 
 
+def test_a_new_checkpoint_does_not_overwrite_older_batches(spark, topic, tmp_path):
+    rows = str(tmp_path / "rows")
+    for part in "ab":
+        records = parse_records(stream_files(spark, topic)).where(f"cast(sequence_number as int) % 2 = {'ab'.index(part)}")
+        sinks.drain(sinks.start_batches(records, sinks.file_writer(rows), str(tmp_path / part), drain=True))
+    assert stores.read_batches(spark, rows).count() == 1000
+
+
+def test_messages_on_a_stream(spark, tmp_path):
+    """Message kinds, dates within a document included, are the same on a stream."""
+    from trackside.operators import journey, messages
+    from trackside.testfeed import messages as made
+
+    orders, documents = read_table(spark, SF, "orders"), read_table(spark, SF, "documents")
+    cases = {
+        "forecasts": (feed.status_documents(orders), messages.forecasts),
+        "points": (made.schedule_documents(orders), journey.anchored_points),
+        "alerts": (made.station_message_documents(documents), messages.station_messages),
+        "reasons": (made.schedule_documents(orders), messages.reasons),
+    }
+    for name, (docs, kind) in cases.items():
+        source, out = str(tmp_path / name), str(tmp_path / f"{name}-out")
+        docs.repartition(3).write.parquet(source)
+        stream = stream_files(spark, source, docs.schema, max_files=2)
+        sinks.drain(sinks.start_batches(kind(stream), sinks.file_writer(out), f"{out}-ck", drain=True))
+        batch = kind(docs)
+        assert as_set(stores.read_batches(spark, out).select(*batch.columns)) == as_set(batch), name
+
+
 def test_a_table_is_not_started(spark, topic, tmp_path):
     assert sinks.start_batches(spark.read.parquet(topic), sinks.file_writer(str(tmp_path)), "x") is None
 

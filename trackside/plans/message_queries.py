@@ -13,6 +13,7 @@ from trackside.session import work_dir
 from trackside.sources import timetable
 from trackside.sources.tables import read_table, spread, stream_table
 from trackside.streaming import jobs, sinks
+from trackside.streaming.stores import read_batches
 from trackside.testfeed import fields as f
 from trackside.testfeed import frames as feed
 from trackside.testfeed import messages as m
@@ -79,10 +80,10 @@ def stream_intake(spark: SparkSession, sf: str) -> DataFrame:
         drain=True,
     )
     sinks.drain(query)
-    published = decode_pairs(spark.read.parquet(f"{path}/records")).select(
+    published = decode_pairs(read_batches(spark, f"{path}/records")).select(
         F.lit("published").alias("outcome"), F.col("sequence_number").cast("bigint").alias("sequence_number")
     )
-    rejected = spark.read.parquet(f"{path}/rejects").select(
+    rejected = read_batches(spark, f"{path}/rejects").select(
         F.col("reason").alias("outcome"), F.col("sequence_number").cast("bigint").alias("sequence_number")
     )
     return published.unionByName(rejected).groupBy("outcome").agg(

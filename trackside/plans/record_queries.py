@@ -145,7 +145,7 @@ def stream_fanout(spark: SparkSession, sf: str) -> DataFrame:
     held = [
         ("raw", stores.read_keyed(spark, f"{path}/raw")),
         ("clean", stores.read_by_date(spark, f"{path}/clean")),
-        ("parsed", spark.read.parquet(f"{path}/parsed")),
+        ("parsed", stores.read_batches(spark, f"{path}/parsed")),
     ]
     counts = [df.agg(F.lit(name).alias("sink"), F.count(F.lit(1)).alias("rows")) for name, df in held]
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
@@ -178,7 +178,7 @@ def bounded_tail(spark: SparkSession, sf: str) -> DataFrame:
         decode_pairs(record_stream(spark, sf)), sinks.file_writer(f"{path}/rows"), f"{path}/checkpoint", drain=True
     )
     sinks.drain(query)
-    return spark.read.parquet(f"{path}/rows").select("key", *RECORD_FIELDS)
+    return stores.read_batches(spark, f"{path}/rows").select("key", *RECORD_FIELDS)
 
 
 QUERIES = {

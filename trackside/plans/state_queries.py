@@ -11,6 +11,7 @@ from trackside.plans.message_queries import orders, status_rows
 from trackside.session import landed, work_dir
 from trackside.sources.tables import read_table, spread, stream_table
 from trackside.streaming import jobs, sinks
+from trackside.streaming.stores import read_batches
 from trackside.testfeed import fields as f
 from trackside.testfeed import messages as m
 from trackside.testfeed.frames import POINTS_SQL
@@ -195,7 +196,7 @@ def request_dedup_stream(spark: SparkSession, sf: str) -> DataFrame:
     rows = messages.envelopes(m.mixed_documents(stream_table(spark, sf, "orders")))
     once = state.distinct_requests_stream(rows, "doc_ts", "60 days")
     sinks.drain(sinks.start_batches(once, sinks.file_writer(f"{path}/rows"), f"{path}/checkpoint", drain=True))
-    held = spark.read.parquet(f"{path}/rows")
+    held = read_batches(spark, f"{path}/rows")
     return held.groupBy("request_source", "request_id").agg(F.count(F.lit(1)).alias("rows"))
 
 

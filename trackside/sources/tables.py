@@ -15,8 +15,8 @@ def stream_table(spark: SparkSession, folder: str, name: str, max_files: int | N
     reader = spark.readStream.schema(table.schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    files = table.inputFiles()
-    if len(files) == 1 and files[0].endswith(f"/{name}.parquet"):
+    first = table.select("_metadata.file_path").first()
+    if first is not None and first.file_path.endswith(f"/{name}.parquet"):
         return reader.option("pathGlobFilter", f"{name}.parquet").parquet(folder)
     return reader.parquet(f"{folder}/{name}.parquet")
 

@@ -15,6 +15,7 @@ from trackside.operators.publish import to_records
 from trackside.operators.state import latest
 from trackside.sources.tables import spread
 from trackside.streaming import sinks
+from trackside.streaming.stores import read_batches
 
 log = logging.getLogger(__name__)
 
@@ -103,4 +104,4 @@ def start_state(
 
 def read_state(spark: SparkSession, path: str, keys: list[str], order: list[str]) -> DataFrame:
     """The last event per key written by :func:`start_state`."""
-    return latest(spark.read.parquet(path).drop("batch_id"), keys, order)
+    return latest(read_batches(spark, path), keys, order)

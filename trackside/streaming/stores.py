@@ -1,7 +1,8 @@
 """The two stores as files: a keyed one for raw records, a dated one for clean rows.
 
-Each micro-batch writes its own folder, ``batch_id=<id>``, and overwrites it when the batch is
-run again, so a replay never doubles rows.
+Each micro-batch writes its own folder, ``query=<id>/batch_id=<id>``, and overwrites it when the
+batch is run again, so a replay never doubles rows. A query keeps its id with its checkpoint; one
+started with a new checkpoint counts batches from 0 again and gets folders of its own.
 """
 
 from __future__ import annotations
@@ -20,6 +21,20 @@ FILES_PER_BUCKET = 8
 
 DATE_COLUMN = "arrival_date"
 
+# Columns that come from folder names and are not part of a row.
+FOLDER_COLUMNS = ["query", "batch_id", "bucket", DATE_COLUMN]
+
+
+def batch_path(rows: DataFrame, path: str, batch_id: int) -> str:
+    """Folder of a micro-batch; a table written outside a stream counts as query ``none``."""
+    query = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+    return f"{path}/query={query}/batch_id={batch_id}"
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of a store, without the columns of its folders."""
+    return spark.read.parquet(path).drop(*FOLDER_COLUMNS)
+
 
 def numbered(rows: DataFrame) -> DataFrame:
     """Add the sequence number as a number, by which later records replace earlier ones."""
@@ -68,13 +83,13 @@ def append_keyed(rows: DataFrame, batch_id: int, path: str, buckets: int = BUCKE
         .sortWithinPartitions("bucket", *RAW_KEY)
         .write.mode("overwrite")
         .partitionBy("bucket")
-        .parquet(f"{path}/batch_id={batch_id}")
+        .parquet(batch_path(rows, path, batch_id))
     )
 
 
 def read_keyed(spark: SparkSession, path: str) -> DataFrame:
     """The keyed store: last row per key over all batches."""
-    return upsert_view(spark.read.parquet(path).drop("bucket", "batch_id"))
+    return upsert_view(read_batches(spark, path))
 
 
 def read_key(
@@ -87,7 +102,7 @@ def read_key(
         & (F.col("unique_id") == unique_id)
         & (F.col("location_code") == location_code)
     )
-    return upsert_view(rows.drop("bucket", "batch_id")).orderBy("schedule_id")
+    return upsert_view(rows.drop(*FOLDER_COLUMNS)).orderBy("schedule_id")
 
 
 def compact_keyed(spark: SparkSession, path: str, target: str, buckets: int = BUCKETS) -> None:
@@ -97,7 +112,7 @@ def compact_keyed(spark: SparkSession, path: str, target: str, buckets: int = BU
 
 def append_by_date(rows: DataFrame, batch_id: int, path: str, time: str = "actual_arrival") -> None:
     """Add a batch to the dated store, partitioned by the day of its time column."""
-    write_by_date(rows, f"{path}/batch_id={batch_id}", time)
+    write_by_date(rows, batch_path(rows, path, batch_id), time)
 
 
 def write_by_date(rows: DataFrame, path: str, time: str = "actual_arrival") -> None:
@@ -115,8 +130,7 @@ def write_by_date(rows: DataFrame, path: str, time: str = "actual_arrival") -> N
 
 def read_by_date(spark: SparkSession, path: str) -> DataFrame:
     """The dated store, all batches."""
-    table = spark.read.parquet(path)
-    return table.drop(*[name for name in ("batch_id", DATE_COLUMN) if name in table.columns])
+    return read_batches(spark, path)
 
 
 def read_between(spark: SparkSession, path: str, start: str, end: str, time: str = "actual_arrival") -> DataFrame:
@@ -127,4 +141,4 @@ def read_between(spark: SparkSession, path: str, start: str, end: str, time: str
         & (F.col(time) >= first)
         & (F.col(time) < last)
     )
-    return table.drop(*[name for name in ("batch_id", DATE_COLUMN) if name in table.columns])
+    return table.drop(*FOLDER_COLUMNS)
