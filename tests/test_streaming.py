@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trackside.operators.clean import clean
+from trackside.operators import state
 from trackside.operators.parse import parse_records
 from trackside.session import landed, work_dir, work_root
 from trackside.sources.records import TOPIC_SCHEMA, read_topic, stream_files, stream_topic
@@ -224,6 +225,20 @@ def test_state_stream_over_several_batches(spark, tmp_path):
     assert got == set(want.values())
 
 
+def test_fold_over_several_batches(spark, tmp_path):
+    source = str(tmp_path / "in")
+    rows = spark.range(90).selectExpr(
+        "concat('k', id % 4) as k", "id as n", "if(id % 3 = 0, concat('at', id), null) as at", "if(id % 3 = 1, concat('et', id), null) as et",
+        "id % 7 = 0 as at_removed",
+    )
+    for part in range(3):
+        rows.where(f"n % 3 = {part}").coalesce(1).write.mode("append").parquet(source)
+    stream = stream_files(spark, source, rows.schema, max_files=1)
+    folded = state.actual_times(stream, ["k"], ["n"])
+    sinks.drain(jobs.start_fold(folded, str(tmp_path / "state"), str(tmp_path / "ck"), drain=True))
+    assert as_set(jobs.read_fold(spark, str(tmp_path / "state"), ["k"])) == as_set(state.actual_times(rows, ["k"], ["n"]))
+
+
 def test_work_folder(spark, monkeypatch):
     assert work_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert work_root(spark) == spark.conf.get("spark.checkpoint.dir")

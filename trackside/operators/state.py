@@ -35,16 +35,26 @@ def set_clear_state(events: DataFrame, keys: list[str], order: list[str] = ORDER
     return latest(events, keys, order).where(F.col("op") == "set").drop("op")
 
 
-def schedule_state(schedules: DataFrame, deactivations: DataFrame) -> DataFrame:
-    """Schedules in force: the last one per ``rid`` that was neither deactivated nor deleted since.
+# In a document schedules come before deactivations, hence the rank between them.
+SCHEDULE_ORDER = ["doc_ts", "sequence_number", "rank", "item_index"]
 
-    In a document schedules come before deactivations, hence the rank between them.
-    """
-    put = schedules.withColumn("op", F.lit("set")).withColumn("_rank", F.lit(0))
-    taken = deactivations.select("rid", *ORDER).withColumn("op", F.lit("remove")).withColumn("_rank", F.lit(1))
-    events = put.unionByName(taken, allowMissingColumns=True)
-    now = set_clear_state(events, ["rid"], ["doc_ts", "sequence_number", "_rank", "item_index"])
-    return now.where(~F.coalesce("deleted", F.lit(False))).drop("_rank")
+
+def schedule_events(schedules: DataFrame, deactivations: DataFrame) -> DataFrame:
+    """Schedules sent and taken back as one history, with ``op`` and ``rank``."""
+    put = schedules.withColumn("op", F.lit("set")).withColumn("rank", F.lit(0))
+    taken = deactivations.select("rid", *ORDER).withColumn("op", F.lit("remove")).withColumn("rank", F.lit(1))
+    return put.unionByName(taken, allowMissingColumns=True)
+
+
+def in_force(last_events: DataFrame) -> DataFrame:
+    """Of the last event per schedule those that put one, unless it was put as deleted."""
+    put = (F.col("op") == "set") & ~F.coalesce("deleted", F.lit(False))
+    return last_events.where(put).drop("op", "rank")
+
+
+def schedule_state(schedules: DataFrame, deactivations: DataFrame) -> DataFrame:
+    """Schedules in force: the last one per ``rid`` that was neither deactivated nor deleted since."""
+    return in_force(latest(schedule_events(schedules, deactivations), ["rid"], SCHEDULE_ORDER))
 
 
 def actual_times(events: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -166,6 +166,26 @@ def alarm_state_stream(spark: SparkSession, sf: str) -> DataFrame:
     return now.select("id", "kind", "area", "sequence_number")
 
 
+def schedule_state_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The schedule state kept on a stream."""
+    path = work_dir(spark, "schedules")
+    docs = m.schedule_event_documents(stream_table(spark, sf, "events"))
+    history = state.schedule_events(messages.schedules(docs), messages.deactivations(docs))
+    sinks.drain(jobs.start_state(history, ["rid"], state.SCHEDULE_ORDER, f"{path}/state", f"{path}/checkpoint", drain=True))
+    now = state.in_force(jobs.read_state(spark, f"{path}/state", ["rid"], state.SCHEDULE_ORDER))
+    return now.select("rid", "uid", "train_id", "doc_ts", "sequence_number")
+
+
+def at_retract_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Current actual times and estimates kept on a stream."""
+    path = work_dir(spark, "times")
+    docs = m.forecast_event_documents(stream_table(spark, sf, "events"))
+    history = messages.forecast_events(messages.forecasts(docs))
+    now = state.actual_times(history, FORECAST_KEY, ["doc_ts", "sequence_number"])
+    sinks.drain(jobs.start_fold(now, f"{path}/state", f"{path}/checkpoint", drain=True))
+    return jobs.read_fold(spark, f"{path}/state", FORECAST_KEY)
+
+
 FORECAST_KEY = ["rid", "tpl", "wta", "event"]
 
 
@@ -226,7 +246,9 @@ QUERIES = {
         alarm_state,
         train_order_state,
         alarm_state_stream,
+        schedule_state_stream,
         at_retract,
+        at_retract_stream,
         snapshot_overlay,
         request_dedup,
         request_dedup_stream,
@@ -294,6 +316,22 @@ _REQUESTS = f"""SELECT o_orderkey AS sequence_number, CAST({f.DOC_TS} AS TIMESTA
   CASE WHEN o_orderkey % 7 <> 0 AND o_orderkey % 4 > 0 THEN {m.REQUEST_ID} END AS request_id FROM orders"""
 _KEYED = "request_source IS NOT NULL AND request_id IS NOT NULL"
 
+_SCHEDULE_STATE = f"""SELECT rid, uid, train_id, doc_ts, event_id AS sequence_number FROM (
+        SELECT {m.EVENT_RID} AS rid, concat('C', lpad(CAST(user_id AS VARCHAR), 5, '0')) AS uid,
+          concat('1A', lpad(CAST(event_id % 100 AS VARCHAR), 2, '0')) AS train_id, date_trunc('second', ts) AS doc_ts, event_id, event_type,
+          CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+          row_number() OVER (PARTITION BY user_id ORDER BY date_trunc('second', ts) DESC, event_id DESC) AS n FROM events)
+        WHERE n = 1 AND event_type <> 'error' AND k % 17 <> 0"""
+
+_ACTUAL_TIMES = f"""WITH x AS ({_FORECASTS}),
+        a AS (SELECT rid, tpl, wta, event, CASE WHEN event_type = 'purchase' THEN "at" END AS "at" FROM x
+          WHERE event_type IN ('purchase', 'error')
+          QUALIFY row_number() OVER (PARTITION BY rid, tpl ORDER BY doc_ts DESC, seq DESC) = 1),
+        e AS (SELECT rid, tpl, et FROM x WHERE et IS NOT NULL
+          QUALIFY row_number() OVER (PARTITION BY rid, tpl ORDER BY doc_ts DESC, seq DESC) = 1)
+        SELECT k.rid, k.tpl, k.wta, k.event, a."at", e.et FROM (SELECT DISTINCT rid, tpl, wta, event FROM x) k
+        LEFT JOIN a ON a.rid = k.rid AND a.tpl = k.tpl LEFT JOIN e ON e.rid = k.rid AND e.tpl = k.tpl"""
+
 ORACLE = {
     "enrich_dims": f"""SELECT x.*, p.locname, p.crs, n.tocname, r.reasontext, i.name AS instance_name FROM ({_FACTS}) x
         LEFT JOIN (SELECT {_sql(LOCATIONS)} FROM part) p USING (tpl)
@@ -329,12 +367,9 @@ ORACLE = {
         JOIN v ON v."at" = st.crs AND v.dest = ends.dest
         WHERE EXISTS (SELECT 1 FROM c a WHERE a.rid = x.rid AND a.tpl = v.loc1 AND (v.loc2 IS NULL OR EXISTS (
           SELECT 1 FROM c b WHERE b.rid = x.rid AND b.tpl = v.loc2 AND b.pos > a.pos)))""",
-    "schedule_state": f"""SELECT rid, uid, train_id, doc_ts, event_id AS sequence_number FROM (
-        SELECT {m.EVENT_RID} AS rid, concat('C', lpad(CAST(user_id AS VARCHAR), 5, '0')) AS uid,
-          concat('1A', lpad(CAST(event_id % 100 AS VARCHAR), 2, '0')) AS train_id, date_trunc('second', ts) AS doc_ts, event_id, event_type,
-          CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
-          row_number() OVER (PARTITION BY user_id ORDER BY date_trunc('second', ts) DESC, event_id DESC) AS n FROM events)
-        WHERE n = 1 AND event_type <> 'error' AND k % 17 <> 0""",
+    "schedule_state": _SCHEDULE_STATE,
+    "schedule_state_stream": _SCHEDULE_STATE,
+    "at_retract_stream": _ACTUAL_TIMES,
     "alarm_state": _ALARM_STATE,
     "alarm_state_stream": _ALARM_STATE,
     "train_order_state": f"""WITH t AS (SELECT *, {m.ORDER_TIPLOC} AS tiploc, {m.ORDER_CRS} AS crs, {m.ORDER_PLATFORM} AS platform,
@@ -343,14 +378,7 @@ ORACLE = {
         SELECT tiploc, crs, platform, CAST(1 AS INTEGER) AS place, {f.RID} AS rid, CAST(NULL AS VARCHAR) AS train_id FROM l WHERE o_orderkey % 6 <> 0
         UNION ALL SELECT tiploc, crs, platform, 2, NULL, {m.TRAIN_ID} FROM l WHERE o_orderkey % 6 <> 0 AND o_orderkey % 4 > 0
         UNION ALL SELECT tiploc, crs, platform, 3, {f.RID_2}, NULL FROM l WHERE o_orderkey % 6 <> 0 AND o_orderkey % 4 > 1""",
-    "at_retract": f"""WITH x AS ({_FORECASTS}),
-        a AS (SELECT rid, tpl, wta, event, CASE WHEN event_type = 'purchase' THEN "at" END AS "at" FROM x
-          WHERE event_type IN ('purchase', 'error')
-          QUALIFY row_number() OVER (PARTITION BY rid, tpl ORDER BY doc_ts DESC, seq DESC) = 1),
-        e AS (SELECT rid, tpl, et FROM x WHERE et IS NOT NULL
-          QUALIFY row_number() OVER (PARTITION BY rid, tpl ORDER BY doc_ts DESC, seq DESC) = 1)
-        SELECT k.rid, k.tpl, k.wta, k.event, a."at", e.et FROM (SELECT DISTINCT rid, tpl, wta, event FROM x) k
-        LEFT JOIN a ON a.rid = k.rid AND a.tpl = k.tpl LEFT JOIN e ON e.rid = k.rid AND e.tpl = k.tpl""",
+    "at_retract": _ACTUAL_TIMES,
     "snapshot_overlay": f"""SELECT rid, tpl, wta, event, response, seq AS sequence_number, et, "at" FROM ({_FORECASTS})
         QUALIFY row_number() OVER (PARTITION BY rid, tpl ORDER BY doc_ts DESC, response = 'update' DESC, seq DESC) = 1""",
     "request_dedup": f"""WITH r AS ({_REQUESTS})

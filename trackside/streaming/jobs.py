@@ -96,12 +96,27 @@ def start_separately(
 def start_state(
     events: DataFrame, keys: list[str], order: list[str], path: str, checkpoint: str, **run
 ) -> StreamingQuery | None:
-    """Keep the last event per key of a stream. The engine holds the state; every batch writes
-    the keys it changed, and :func:`read_state` takes the last of each."""
-    changed = latest(events, keys, order)
-    return sinks.start_batches(changed, sinks.file_writer(path), checkpoint, output_mode="update", **run)
+    """Keep the last event per key of a stream, as files.
+
+    Each batch is reduced to its last event per key and added; :func:`read_state` takes the last
+    over all batches. Nothing grows in the executors, however many keys there are.
+    """
+    write = sinks.then(lambda batch: latest(batch, keys, order), sinks.file_writer(path))
+    return sinks.start_batches(events, write, checkpoint, **run)
 
 
 def read_state(spark: SparkSession, path: str, keys: list[str], order: list[str]) -> DataFrame:
     """The last event per key written by :func:`start_state`."""
     return latest(read_batches(spark, path), keys, order)
+
+
+def start_fold(folded: DataFrame, path: str, checkpoint: str, **run) -> StreamingQuery | None:
+    """Keep any aggregate of a stream: the engine holds its state, and each batch writes the keys
+    that changed. For folds that need more than the last event, over keys that stay few enough."""
+    return sinks.start_batches(folded, sinks.file_writer(path), checkpoint, output_mode="update", **run)
+
+
+def read_fold(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """The last value per key written by :func:`start_fold` from one checkpoint."""
+    written = spark.read.parquet(path).drop("query")
+    return latest(written, keys, ["batch_id"]).drop("batch_id")
