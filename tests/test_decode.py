@@ -136,6 +136,11 @@ def test_declared_encoding(spark):
     assert row.location_code == "É"
 
 
+def test_byte_order_mark(spark):
+    (row,) = decode.locations(decode.decode_frames(frames(spark, gzip.compress(b"\xef\xbb\xbf" + GOOD.encode())))).collect()
+    assert row.location_code == "ERROR"
+
+
 def test_documents_are_parsed_once(spark):
     plan = decode.locations(decode.decode_frames(frames(spark, GOOD)))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_xml") == 1

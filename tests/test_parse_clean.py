@@ -133,7 +133,15 @@ def test_record_round_trip(spark):
 
 def test_missing_key_is_json_null(spark):
     rows = parse_records(records(spark, '{"source": "TD"}'))
-    assert bytes(to_records(rows).collect()[0].key) == b"null"
+    sent = to_records(rows)
+    assert bytes(sent.collect()[0].key) == b"null"
+    assert decode_pairs(sent).collect()[0].key is None
+
+
+@pytest.mark.parametrize("key, text", [(b'"null"', "null"), (b'"C1"', "C1"), (b"7", "7"), (b"C1", None)])
+def test_keys_are_decoded_from_json(spark, key, text):
+    pair = spark.createDataFrame([(key, b"{}")], "key binary, value binary")
+    assert decode_pairs(pair).collect()[0].key == text
 
 
 def test_json_is_parsed_once(spark):

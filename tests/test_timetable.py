@@ -42,6 +42,28 @@ def test_journeys(spark, tmp_path):
     ]
 
 
+def test_prefixed_journeys(spark, tmp_path):
+    prefixed = TIMETABLE.replace("<Journey", "<t:Journey").replace("</Journey", "</t:Journey").replace("<IP", "<t:IP")
+    (tmp_path / "t.xml").write_text(prefixed)
+    points = t.journey_points(t.read_journeys(spark, str(tmp_path), end="</t:Journey>"))
+    assert [p.kind for p in points.orderBy("rid", "pos").collect()] == ["OR", "PP", "IP", "DT", "OPOR", "OPDT"]
+
+
+def test_many_splits_of_one_file(spark, tmp_path):
+    """A file larger than a split: journeys cut by split borders appear once."""
+    journey = '<Journey rid="{0}" uid="C{0}" ssd="2024-01-01"><OR tpl="A" wtd="10:00"/><DT tpl="B" wta="11:00"/></Journey>'
+    body = "".join(journey.format(n) for n in range(3000))
+    (tmp_path / "t.xml").write_text(f"<PportTimetable>{body}</PportTimetable>")
+    default = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        journeys = t.read_journeys(spark, str(tmp_path))
+        assert journeys.rdd.getNumPartitions() > 5
+        assert sorted(int(r.rid) for r in journeys.collect()) == list(range(3000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", default)
+
+
 def test_reference(spark, tmp_path):
     (tmp_path / "r.xml").write_text(REFERENCE)
     path = str(tmp_path)

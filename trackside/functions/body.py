@@ -29,7 +29,7 @@ def _make_inflate():
             if not stream.eof:
                 return None
             declared = encoding.match(text)
-            return text.decode(declared.group(1).decode() if declared else "utf-8").lstrip("﻿")
+            return text.decode(declared.group(1).decode() if declared else "utf-8").lstrip("\ufeff")
         except (zlib.error, UnicodeDecodeError, LookupError):
             return None
 

@@ -41,7 +41,7 @@ def parse_records_typed(records: DataFrame) -> DataFrame:
 def decode_pairs(records: DataFrame) -> DataFrame:
     """Key and value decoded from JSON, as a plain reader of the topic would see them."""
     pairs = text_pairs(records).select(
-        F.get_json_object("key", "$").alias("key"),
+        F.when(F.trim("key") != "null", F.get_json_object("key", "$")).alias("key"),
         F.explode(F.array(F.from_json("value", RECORD_SCHEMA))).alias("train"),
     )
     return pairs.select("key", *[F.col("train")[name].alias(name) for name in RECORD_FIELDS])

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Bodies grow ten times or more when decompressed, so batches to Python are kept small.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
     "spark.sql.streaming.forceDeleteTempCheckpointLocation": "true",
     # State of streams on local disk, not in executor memory.
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

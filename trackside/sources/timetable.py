@@ -24,18 +24,19 @@ def _rows(spark: SparkSession, path: str, tag: str, ddl: str) -> DataFrame:
     )
 
 
-def _journey_documents(spark: SparkSession, path: str) -> DataFrame:
+def _journey_documents(spark: SparkSession, path: str, end: str) -> DataFrame:
     """One text per journey, split at its end tag, so a large file is read by many tasks."""
-    pieces = spark.read.option("lineSep", "</Journey>").text(path)
-    return pieces.select(
-        F.explode(fragments(F.concat("value", F.lit("</Journey>")), "Journey")).alias("xml")
-    )
+    pieces = spark.read.option("lineSep", end).text(path)
+    return pieces.select(F.explode(fragments(F.concat("value", F.lit(end)), "Journey")).alias("xml"))
+
 
+def read_journeys(spark: SparkSession, path: str, end: str = "</Journey>") -> DataFrame:
+    """Journey headers of timetable files, with their calling points in order as an array.
 
-def read_journeys(spark: SparkSession, path: str) -> DataFrame:
-    """Journey headers of timetable files, with their calling points in order as an array."""
+    ``end`` is the end tag as the files write it, with its prefix if they use one.
+    """
     ddl = f"struct<{SCHEDULE_FIELDS},_corrupt_record:string>"
-    documents = _journey_documents(spark, path)
+    documents = _journey_documents(spark, path, end)
     parsed = documents.select(parse_once(points_in_order(F.col("xml")), ddl).alias("s"))
     return parsed.where(F.col("s._rid").isNotNull()).select(
         *schedule_columns("s"),
