@@ -188,3 +188,30 @@ def test_pattern_rules_match_whole_values(spark):
 def test_usable_schedules(spark):
     df = spark.createDataFrame([(1, None, None), (2, True, None), (3, False, True)], "id int, deleted boolean, qtrain boolean")
     assert [r.id for r in quality.usable_schedules(df).collect()] == [1]
+
+
+def test_rules_fit_their_tables(spark):
+    """Every rule names a column of its table and a known facet."""
+    from trackside.schemas import FACETS, RULES
+
+    d = docs(spark, "")
+    tables = {
+        "envelope": m.envelopes(d),
+        "forecast": m.forecasts(d),
+        "forecast_event": m.forecast_events(m.forecasts(d)),
+        "schedule": m.schedules(d),
+        "calling_point": m.calling_points(d),
+        "association": m.associations(d),
+        "coach": m.coaches(m.formations(d)),
+        "coach_loading": m.coach_loadings(m.loadings(d)),
+        "station_message": m.station_messages(d),
+        "train_alert": m.train_alerts(d),
+        "train_order": m.train_orders(m.train_order_events(d)),
+        "tracking_id": m.tracking_ids(d),
+        "alarm": m.alarms(d),
+    }
+    assert set(tables) == set(RULES)
+    for name, rules in RULES.items():
+        assert set(rules) <= set(tables[name].columns), name
+        assert set(rules.values()) <= set(FACETS), name
+        assert quality.invalid_rows(quality.broken_rules(tables[name], name)).count() == 0

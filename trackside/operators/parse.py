@@ -15,15 +15,18 @@ def text_pairs(records: DataFrame) -> DataFrame:
     return records.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
 
 
-def parse_records(records: DataFrame, schema: T.StructType = RECORD_SCHEMA) -> DataFrame:
+def parse_records(
+    records: DataFrame, schema: T.StructType = RECORD_SCHEMA, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """JSON values to the record columns, all text, in fixed order.
 
     Malformed JSON gives a row of NULLs. The parse is a one-row generator, so that a later
-    filter on a field is not pushed below it and the JSON parsed twice.
+    filter on a field is not pushed below it and the JSON parsed twice. ``keep`` names columns
+    of the topic that go along, such as the ``value`` for rejects.
     """
     value = F.col("value").cast("string")
-    parsed = records.select(F.explode(F.array(F.from_json(value, schema))).alias("train"))
-    return parsed.select(*[F.col("train")[field.name].alias(field.name) for field in schema.fields])
+    parsed = records.select(*keep, F.explode(F.array(F.from_json(value, schema))).alias("train"))
+    return parsed.select(*[F.col("train")[field.name].alias(field.name) for field in schema.fields], *keep)
 
 
 def parse_records_typed(records: DataFrame) -> DataFrame:

@@ -237,9 +237,6 @@ def failures(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("sequence_number", "code", "message", "request_source", "request_id")
 
 
-FACET_RULES = {"rid": "rid", "uid": "uid", "tpl": "tpl", "platform": "platform", "wta": "working_time", "length": "length", "late_reason": "reason_code"}
-
-
 def facet_rejects(spark: SparkSession, sf: str) -> DataFrame:
     """Forecast rows with some values spoiled: one row per broken rule."""
     n = F.col("sequence_number") + F.col("location_index")
@@ -255,15 +252,14 @@ def facet_rejects(spark: SparkSession, sf: str) -> DataFrame:
         F.when(n % 14 == 0, F.lit(120)).otherwise(F.col("length").cast("int")).alias("length"),
         "late_reason",
     )
-    broken = quality.invalid_rows(quality.broken_rules(spoiled, FACET_RULES))
+    broken = quality.invalid_rows(quality.broken_rules(spoiled, "forecast"))
     return broken.select("sequence_number", "train_index", "location_index", "rule")
 
 
 def facet_valid(spark: SparkSession, sf: str) -> DataFrame:
-    """Calling points of which every value keeps its rule, and the number that break one."""
+    """Calling points of which every value keeps its rule, by kind."""
     rows = messages.calling_points(m.schedule_documents(orders(spark, sf)))
-    rules = {"rid": "rid", "tpl": "tpl", "act": "activity", "wta": "working_time", "wtd": "working_time", "pta": "public_time", "fid": "formation_id"}
-    checked = quality.broken_rules(rows, rules)
+    checked = quality.broken_rules(rows, "calling_point")
     return quality.valid_rows(checked).groupBy("kind").agg(F.count(F.lit(1)).alias("valid"))
 
 

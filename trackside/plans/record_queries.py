@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -131,13 +133,14 @@ def stream_clean_available_now(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_fanout(spark: SparkSession, sf: str) -> DataFrame:
-    """One stream into three sinks; the rows each sink holds afterwards."""
+    """One stream, some of it malformed, into four sinks; the rows each sink holds afterwards."""
     path = work_dir(spark, "fanout")
     query = jobs.start_stores(
-        record_stream(spark, sf),
+        break_some(record_stream(spark, sf)),
         raw=sinks.keyed_writer(f"{path}/raw"),
         cleaned=sinks.dated_writer(f"{path}/clean"),
         extra=[sinks.file_writer(f"{path}/parsed")],
+        reject=sinks.file_writer(f"{path}/rejects"),
         checkpoint=f"{path}/checkpoint",
         drain=True,
     )
@@ -146,9 +149,10 @@ def stream_fanout(spark: SparkSession, sf: str) -> DataFrame:
         ("raw", stores.read_keyed(spark, f"{path}/raw")),
         ("clean", stores.read_by_date(spark, f"{path}/clean")),
         ("parsed", stores.read_batches(spark, f"{path}/parsed")),
+        ("rejects", stores.read_batches(spark, f"{path}/rejects")),
     ]
     counts = [df.agg(F.lit(name).alias("sink"), F.count(F.lit(1)).alias("rows")) for name, df in held]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    return functools.reduce(DataFrame.unionByName, counts)
 
 
 def stream_separate_sinks(spark: SparkSession, sf: str) -> DataFrame:
@@ -285,9 +289,11 @@ ORACLE = {
     "time_range_read": f"""SELECT * FROM ({_CLEAN})
         WHERE actual_arrival >= TIMESTAMP '2024-01-03 12:00:00' AND actual_arrival < TIMESTAMP '2024-01-05 06:30:00'""",
     "stream_clean_available_now": _CLEAN,
-    "stream_fanout": f"""SELECT 'raw' AS sink, count(*) AS "rows" FROM ({_R} {_LATEST})
-        UNION ALL SELECT 'clean', count(*) FROM ({_CLEAN})
-        UNION ALL SELECT 'parsed', count(*) FROM events""",
+    "stream_fanout": f"""SELECT 'raw' AS sink, count(*) AS "rows" FROM (
+          SELECT DISTINCT unique_id, location_code, schedule_id FROM ({RECORDS_SQL}) WHERE NOT {_BROKEN})
+        UNION ALL SELECT 'clean', count(*) FROM ({_CLEAN}) WHERE NOT {_BROKEN.replace('event_id', 'sequence_number')}
+        UNION ALL SELECT 'parsed', count(*) FROM events
+        UNION ALL SELECT 'rejects', count(*) FROM events WHERE {_BROKEN}""",
     "stream_separate_sinks": f"""SELECT CAST(l.sequence_number AS BIGINT) AS sequence_number, l.unique_id,
         l.location_code, l.schedule_id, c.actual_arrival FROM ({_R} {_LATEST}) l
         LEFT JOIN ({_CLEAN}) c ON CAST(l.sequence_number AS BIGINT) = c.sequence_number""",

@@ -221,6 +221,112 @@ FACETS = {
     "toilet_status": ("one_of", ("Unknown", "InService", "NotInService")),
 }
 
+# Which rule a column of a message table has to keep.
+RULES = {
+    "envelope": {"request_source": "source_instance", "request_id": "request_id"},
+    "forecast": {
+        "rid": "rid",
+        "uid": "uid",
+        "tpl": "tpl",
+        "wta": "working_time",
+        "wtd": "working_time",
+        "wtp": "working_time",
+        "pta": "public_time",
+        "ptd": "public_time",
+        "platform": "platform",
+        "platsrc": "platsrc",
+        "length": "length",
+        "late_reason": "reason_code",
+        "late_reason_tiploc": "tpl",
+    },
+    "forecast_event": {
+        "et": "public_time",
+        "wet": "public_time",
+        "at": "public_time",
+        "etmin": "public_time",
+        "src_inst": "source_instance",
+    },
+    "schedule": {
+        "rid": "rid",
+        "uid": "uid",
+        "train_id": "train_id",
+        "rsid": "rsid",
+        "toc": "toc",
+        "status": "status",
+        "train_cat": "train_cat",
+        "cancel_reason": "reason_code",
+        "cancel_reason_tiploc": "tpl",
+    },
+    "calling_point": {
+        "rid": "rid",
+        "tpl": "tpl",
+        "act": "activity",
+        "plan_act": "activity",
+        "fid": "formation_id",
+        "platform": "platform",
+        "wta": "working_time",
+        "wtd": "working_time",
+        "wtp": "working_time",
+        "pta": "public_time",
+        "ptd": "public_time",
+        "avg_loading": "loading",
+        "rdelay": "reason_code",
+        "fd": "tpl",
+    },
+    "association": {
+        "tiploc": "tpl",
+        "category": "association_category",
+        "main_rid": "rid",
+        "main_wta": "working_time",
+        "main_wtd": "working_time",
+        "main_wtp": "working_time",
+        "main_pta": "public_time",
+        "main_ptd": "public_time",
+        "assoc_rid": "rid",
+        "assoc_wta": "working_time",
+        "assoc_wtd": "working_time",
+        "assoc_wtp": "working_time",
+        "assoc_pta": "public_time",
+        "assoc_ptd": "public_time",
+    },
+    "coach": {
+        "rid": "rid",
+        "fid": "formation_id",
+        "src_inst": "source_instance",
+        "coach_number": "coach_number",
+        "toilet_status": "toilet_status",
+    },
+    "coach_loading": {
+        "rid": "rid",
+        "fid": "formation_id",
+        "tpl": "tpl",
+        "coach_number": "coach_number",
+        "loading": "loading",
+        "src_inst": "source_instance",
+    },
+    "station_message": {"crs": "crs", "category": "message_category", "severity": "message_severity"},
+    "train_alert": {"audience": "alert_audience", "alert_type": "alert_type", "rid": "rid", "uid": "uid"},
+    "train_order": {
+        "tiploc": "tpl",
+        "crs": "crs",
+        "platform": "platform",
+        "rid": "rid",
+        "train_id": "train_id",
+        "wta": "working_time",
+        "wtd": "working_time",
+        "wtp": "working_time",
+        "pta": "public_time",
+        "ptd": "public_time",
+    },
+    "tracking_id": {
+        "area": "area",
+        "berth": "berth",
+        "incorrect_train_id": "train_id",
+        "correct_train_id": "train_id",
+    },
+    "alarm": {"area": "area"},
+}
+
 # First feed version that carries a column.
 FIRST_VERSION = {
     "update_origin": 12,

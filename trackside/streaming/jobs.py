@@ -13,9 +13,10 @@ from trackside.operators.decode import decode_frames, locations, rejects
 from trackside.operators.parse import parse_records
 from trackside.operators.publish import to_records
 from trackside.operators.state import latest
+from trackside.schemas import RECORD_FIELDS
 from trackside.sources.tables import spread
 from trackside.streaming import sinks
-from trackside.streaming.stores import read_batches
+from trackside.streaming.stores import broken_keys, read_batches
 
 log = logging.getLogger(__name__)
 
@@ -62,12 +63,28 @@ def start_stores(
     cleaned: sinks.Writer,
     checkpoint: str,
     extra: list[sinks.Writer] | None = None,
+    reject: sinks.Writer | None = None,
     today: bool = False,
     **run,
 ) -> StreamingQuery | None:
-    """One query that feeds the raw and the clean store, and more writers of parsed rows."""
-    writers = [raw, sinks.then(lambda parsed: clean(parsed, today), cleaned), *(extra or [])]
-    write = sinks.then(lambda batch: parse_records(spread(batch)), sinks.fan_out(writers))
+    """One query that feeds the raw and the clean store, and more writers of parsed rows.
+
+    Records without a whole key, such as malformed JSON, cannot enter the raw store; ``reject``
+    gets them with their text as it came.
+    """
+
+    def rows(parsed: DataFrame) -> DataFrame:
+        return parsed.select(*RECORD_FIELDS)
+
+    writers = [
+        sinks.then(rows, raw),
+        sinks.then(lambda parsed: clean(parsed, today), cleaned),
+        *[sinks.then(rows, writer) for writer in extra or []],
+    ]
+    if reject:
+        writers.append(sinks.then(lambda parsed: broken_keys(parsed).select("value", "sequence_number"), reject))
+    kept = ("value",) if reject else ()
+    write = sinks.then(lambda batch: parse_records(spread(batch), keep=kept), sinks.fan_out(writers))
     return sinks.start_batches(records, write, checkpoint, **run)
 
 
