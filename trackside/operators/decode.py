@@ -51,13 +51,18 @@ def decode_frames(frames: DataFrame) -> DataFrame:
     batch call to decompress, one XML parse. Write or persist the result before reading both
     :func:`locations` and :func:`rejects` from it.
     """
-    opened = open_frames(frames)
-    parsed = opened.select(
-        "*",
-        declares(F.col("xml"), PUSHPORT_URI).alias("known_version"),
-        declares(F.col("xml"), FORECASTS_URI).alias("known_forecasts"),
-        parse_once(F.col("xml"), response_ddl("TS", TS_BRIEF)).alias("m"),
+    xml = F.col("xml")
+    opened = open_frames(frames).select(
+        "sequence_number",
+        "message_type",
+        "reason",
+        "body",
+        "xml",
+        declares(xml, PUSHPORT_URI).alias("known_version"),
+        declares(xml, FORECASTS_URI).alias("known_forecasts"),
     )
+    kept = [name for name in opened.columns if name != "xml"]
+    parsed = opened.select(*kept, parse_once(xml, response_ddl("TS", TS_BRIEF)).alias("m"))
     stations = _stations("m")
     reason = (
         F.when(F.col("reason").isNotNull(), F.col("reason"))
@@ -96,17 +101,23 @@ def locations(decoded: DataFrame, first_header: bool = False) -> DataFrame:
     good = decoded.where(F.col("reason").isNull())
     if first_header:
         listed = F.flatten(F.transform("stations", lambda ts: F.coalesce(ts["Location"], F.array())))
-        rows = good.select(
-            "sequence_number", F.col("stations")[0].alias("ts"), F.explode(listed).alias("l")
-        )
+        trains = good.select("sequence_number", F.col("stations")[0].alias("ts"), listed.alias("listed"))
     else:
-        trains = good.select("sequence_number", F.explode("stations").alias("ts"))
-        rows = trains.select("sequence_number", "ts", F.explode("ts.Location").alias("l"))
-    return rows.select(
+        trains = good.select("sequence_number", F.explode("stations").alias("ts")).select(
+            "*", F.col("ts.Location").alias("listed")
+        )
+    # The header goes on by itself, or every row would carry all locations of its train.
+    headed = trains.select(
         "sequence_number",
         F.col("ts._rid").alias("schedule_id"),
         F.col("ts._uid").alias("unique_id"),
         F.col("ts._ssd").alias("service_start_date"),
+        "listed",
+    )
+    header = ["sequence_number", "schedule_id", "unique_id", "service_start_date"]
+    rows = headed.select(*header, F.explode("listed").alias("l"))
+    return rows.select(
+        *header,
         F.col("l._tpl").alias("location_code"),
         F.col("l._wta").alias("scheduled_arrival"),
         F.col("l._wtd").alias("scheduled_departure"),

@@ -67,10 +67,13 @@ def _envelope(m: str = "m") -> list[Column]:
 def _parsed(docs: DataFrame, element: str, item: str, text: Column | None = None) -> DataFrame:
     """Documents that hold an element, parsed for it, with its entries as the array ``items``."""
     xml = F.col("xml")
-    parsed = docs.where(has_element(xml, element)).select(
+    versioned = docs.where(has_element(xml, element)).select(
         "sequence_number",
         feed_version(xml).alias("feed_version"),
-        parse_once(xml if text is None else text, response_ddl(element, item)).alias("m"),
+        (xml if text is None else text).alias("text"),
+    )
+    parsed = versioned.select(
+        "sequence_number", "feed_version", parse_once(F.col("text"), response_ddl(element, item)).alias("m")
     )
     return parsed.select(
         *_envelope(), F.coalesce(f"m.uR.{element}", f"m.sR.{element}").alias("items")
@@ -97,9 +100,8 @@ def envelopes(docs: DataFrame) -> DataFrame:
         f"uR:struct<{strings('_updateOrigin', '_requestSource', '_requestID')},{kinds}>,sR:struct<{kinds}>>"
     )
     xml = F.col("xml")
-    parsed = docs.select(
-        "sequence_number", feed_version(xml).alias("feed_version"), parse_once(xml, ddl).alias("m")
-    ).where(F.col("m.uR").isNotNull() | F.col("m.sR").isNotNull())
+    versioned = docs.select("sequence_number", feed_version(xml).alias("feed_version"), "xml")
+    parsed = versioned.select("sequence_number", "feed_version", parse_once(xml, ddl).alias("m")).where(F.col("m.uR").isNotNull() | F.col("m.sR").isNotNull())
     counts = [
         F.coalesce(F.size(F.coalesce(f"m.uR.{kind}", f"m.sR.{kind}")), F.lit(0)).alias(f"n_{kind}")
         for kind in MESSAGE_KINDS
@@ -133,13 +135,11 @@ def forecasts(docs: DataFrame) -> DataFrame:
     ``arr``, ``dep`` and ``passing`` are structs, NULL where the element is absent. Values are
     as sent; ``quality.fill_defaults`` adds what the contract leaves out.
     """
-    located = _items(docs, "TS", TS_FULL).select(
-        *ENVELOPE, "item_index", "item", F.posexplode("item.Location").alias("location_index", "l")
-    )
-    return located.select(
+    # The train's own columns are taken out before its locations are exploded; a row that still
+    # needed the train element would carry all its locations.
+    trains = _items(docs, "TS", TS_FULL).select(
         *ENVELOPE,
         F.col("item_index").alias("train_index"),
-        "location_index",
         F.col("item._rid").alias("rid"),
         F.col("item._uid").alias("uid"),
         to_date("item._ssd").alias("ssd"),
@@ -147,6 +147,17 @@ def forecasts(docs: DataFrame) -> DataFrame:
         to_short("item.LateReason._VALUE").alias("late_reason"),
         F.col("item.LateReason._tiploc").alias("late_reason_tiploc"),
         to_flag("item.LateReason._near").alias("late_reason_near"),
+        F.col("item.Location").alias("listed"),
+    )
+    train = [name for name in trains.columns if name not in (*ENVELOPE, "train_index", "listed")]
+    located = trains.select(
+        *ENVELOPE, "train_index", *train, F.posexplode("listed").alias("location_index", "l")
+    )
+    return located.select(
+        *ENVELOPE,
+        "train_index",
+        "location_index",
+        *train,
         F.col("l._tpl").alias("tpl"),
         *_circular("l"),
         _time_data("arr"),
@@ -233,17 +244,17 @@ def schedules(docs: DataFrame) -> DataFrame:
 
 def calling_points(docs: DataFrame) -> DataFrame:
     """One row per calling point, all seven kinds in their order (``pos`` from 0)."""
-    points = schedule_items(docs).select(
-        *ENVELOPE, "item_index", "item", F.posexplode("item.pt").alias("pos", "p")
-    )
-    return points.select(
+    headed = schedule_items(docs).select(
         *ENVELOPE,
         "item_index",
         F.col("item._rid").alias("rid"),
         to_date("item._ssd").alias("ssd"),
-        "pos",
-        *point_columns("p"),
+        F.col("item.pt").alias("listed"),
     )
+    points = headed.select(
+        *ENVELOPE, "item_index", "rid", "ssd", F.posexplode("listed").alias("pos", "p")
+    )
+    return points.select(*ENVELOPE, "item_index", "rid", "ssd", "pos", *point_columns("p"))
 
 
 def reasons(docs: DataFrame) -> DataFrame:
@@ -293,13 +304,16 @@ def associations(docs: DataFrame) -> DataFrame:
 
 def formations(docs: DataFrame) -> DataFrame:
     """One row per formation with its coaches as an array, in train order."""
-    listed = _items(docs, "scheduleFormations", FORMATIONS).select(
-        *ENVELOPE, "item_index", "item", F.posexplode("item.formation").alias("formation_index", "f")
+    headed = _items(docs, "scheduleFormations", FORMATIONS).select(
+        *ENVELOPE, "item_index", F.col("item._rid").alias("rid"), F.col("item.formation").alias("listed")
+    )
+    listed = headed.select(
+        *ENVELOPE, "item_index", "rid", F.posexplode("listed").alias("formation_index", "f")
     )
     return listed.select(
         *ENVELOPE,
         "item_index",
-        F.col("item._rid").alias("rid"),
+        "rid",
         "formation_index",
         F.col("f._fid").alias("fid"),
         F.col("f._src").alias("src"),
@@ -373,7 +387,7 @@ def station_messages(docs: DataFrame) -> DataFrame:
         parse_once(F.col("ow"), f"struct<{STATION_MESSAGE_FIELDS}>").alias("o"),
     )
     body = F.col("msg")
-    return parsed.select(
+    told = parsed.select(
         "sequence_number",
         "feed_version",
         "doc_ts",
@@ -384,16 +398,15 @@ def station_messages(docs: DataFrame) -> DataFrame:
         to_flag("o._suppress").alias("suppress"),
         plain_text(body).alias("body"),
         links(body).alias("links"),
-        F.explode_outer("o.Station").alias("s"),
-    ).withColumn("crs", F.col("s._crs")).drop("s")
+        F.col("o.Station._crs").alias("listed"),
+    )
+    keep = [name for name in told.columns if name != "listed"]
+    return told.select(*keep, F.explode_outer("listed").alias("crs"))
 
 
 def train_alerts(docs: DataFrame) -> DataFrame:
     """One row per alert, service and location; alerts without services keep one row."""
-    alerts = _items(docs, "trainAlert", TRAIN_ALERT)
-    services = alerts.select(*ENVELOPE, "item_index", "item", F.explode_outer("item.AlertServices.AlertService").alias("s"))
-    placed = services.select("*", F.explode_outer("s.Location").alias("location"))
-    return placed.select(
+    alerts = _items(docs, "trainAlert", TRAIN_ALERT).select(
         *ENVELOPE,
         "item_index",
         F.col("item.AlertID").alias("alert_id"),
@@ -406,11 +419,17 @@ def train_alerts(docs: DataFrame) -> DataFrame:
         to_flag("item.SendAlertByTwitter").alias("by_twitter"),
         F.col("item.CopiedFromAlertID").alias("copied_from_alert_id"),
         F.col("item.CopiedFromSource").alias("copied_from_source"),
+        F.col("item.AlertServices.AlertService").alias("listed"),
+    )
+    alert = [name for name in alerts.columns if name != "listed"]
+    services = alerts.select(*alert, F.explode_outer("listed").alias("s")).select(
+        *alert,
         F.col("s._RID").alias("rid"),
         F.col("s._UID").alias("uid"),
         to_date("s._SSD").alias("ssd"),
-        "location",
+        F.col("s.Location").alias("places"),
     )
+    return services.select(*alert, "rid", "uid", "ssd", F.explode_outer("places").alias("location"))
 
 
 def train_order_events(docs: DataFrame) -> DataFrame:

@@ -24,7 +24,8 @@ def stream_table(spark: SparkSession, folder: str, name: str, max_files: int | N
 def spread(df: DataFrame) -> DataFrame:
     """Spread a table with fewer splits than cores before work that is heavy per row.
 
-    A large table has splits enough and is passed through without a shuffle.
+    A large table has splits enough and is passed through without a shuffle. For scans: to count
+    the splits of a plan with shuffles would run them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
