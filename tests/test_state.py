@@ -102,6 +102,8 @@ def test_journey_days_in_any_blocks(spark):
     for block in (1, 3, 64, 1024):
         got = {(r.rid, r.pos): r.day for r in journey.journey_days(points, block).collect()}
         assert got == want, block
+    lost = points.limit(3).withColumn("rid", F.lit(None).cast("string"))
+    assert [r.day for r in journey.journey_days(lost).collect()] == [None] * 3
 
 
 def test_match_calls_by_brute_force(spark):

@@ -7,7 +7,7 @@ any other. The functions work on batch tables and, in update or complete mode, o
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Contract order of messages: document time, then sequence, then place in the document.
@@ -120,8 +120,11 @@ def coach_loading_state(formations: DataFrame, loadings: DataFrame, order: list[
     message = latest(loadings.select(*LOADING_KEY, *order, "loadings"), LOADING_KEY, order)
     train = latest(formations.select("rid", "fid", *order, "coaches"), ["rid", "fid"], order)
     both = message.drop(*order).join(train.drop(*order), ["rid", "fid"])
-    coaches = both.select(*LOADING_KEY, "loadings", F.explode("coaches").alias("c"))
-    value = F.filter("loadings", lambda x: x["coach_number"] == F.col("c.coach_number"))
-    return coaches.select(
-        *LOADING_KEY, F.col("c.coach_number").alias("coach_number"), F.get(value, F.lit(0))["loading"].alias("loading")
-    )
+
+    def reported(coach: Column) -> Column:
+        value = F.filter("loadings", lambda x: x["coach_number"] == coach["coach_number"])
+        return F.struct(
+            coach["coach_number"].alias("coach_number"), F.get(value, F.lit(0))["loading"].alias("loading")
+        )
+
+    return both.select(*LOADING_KEY, F.explode(F.transform("coaches", reported)).alias("c")).select(*LOADING_KEY, "c.*")
