@@ -62,13 +62,16 @@ def test_requests(spark):
 def test_cleared_loading(spark):
     key = ("1", "F", "A", None, "10:00", None, None, None)
     ddl = "rid string, fid string, tpl string, wta string, wtd string, wtp string, pta string, ptd string, doc_ts int, sequence_number int, item_index int, loadings array<struct<coach_number:string,loading:int>>"
-    loadings = spark.createDataFrame([(*key, 1, 1, 0, [("A", 10), ("B", 20)]), (*key, 2, 2, 0, [("B", 30)])], ddl)
+    unknown = ("2", *key[1:])
+    loadings = spark.createDataFrame(
+        [(*key, 1, 1, 0, [("A", 10), ("B", 20)]), (*key, 2, 2, 0, [("B", 30)]), (*unknown, 1, 1, 0, [("Z", 5)])], ddl
+    )
     formations = spark.createDataFrame(
         [("1", "F", 1, 1, 0, [("A",), ("B",), ("C",)])],
         "rid string, fid string, doc_ts int, sequence_number int, item_index int, coaches array<struct<coach_number:string>>",
     )
-    got = {r.coach_number: r.loading for r in state.coach_loading_state(formations, loadings).collect()}
-    assert got == {"A": None, "B": 30, "C": None}
+    got = {(r.rid, r.coach_number): r.loading for r in state.coach_loading_state(formations, loadings).collect()}
+    assert got == {("1", "A"): None, ("1", "B"): 30, ("1", "C"): None, ("2", "Z"): 5}
 
 
 def brute_days(clocks):

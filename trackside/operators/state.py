@@ -114,17 +114,17 @@ def coach_loading_state(formations: DataFrame, loadings: DataFrame, order: list[
     """Current loading of every coach at every place it was reported for.
 
     The last loading message of a place counts as a whole: a coach of the formation without a
-    value in it is cleared. Messages and formations are reduced before they meet, and the
-    coach values are looked up inside the row.
+    value in it is cleared. Where the formation is not known the message's own coaches are shown.
+    Messages and formations are reduced before they meet, and the coach values are looked up
+    inside the row.
     """
     message = latest(loadings.select(*LOADING_KEY, *order, "loadings"), LOADING_KEY, order)
     train = latest(formations.select("rid", "fid", *order, "coaches"), ["rid", "fid"], order)
-    both = message.drop(*order).join(train.drop(*order), ["rid", "fid"])
+    both = message.drop(*order).join(train.drop(*order), ["rid", "fid"], "left")
 
-    def reported(coach: Column) -> Column:
-        value = F.filter("loadings", lambda x: x["coach_number"] == coach["coach_number"])
-        return F.struct(
-            coach["coach_number"].alias("coach_number"), F.get(value, F.lit(0))["loading"].alias("loading")
-        )
+    def reported(coach_number: Column) -> Column:
+        value = F.filter("loadings", lambda x: x["coach_number"] == coach_number)
+        return F.struct(coach_number.alias("coach_number"), F.get(value, F.lit(0))["loading"].alias("loading"))
 
-    return both.select(*LOADING_KEY, F.explode(F.transform("coaches", reported)).alias("c")).select(*LOADING_KEY, "c.*")
+    numbers = F.coalesce("coaches.coach_number", "loadings.coach_number")
+    return both.select(*LOADING_KEY, F.explode(F.transform(numbers, reported)).alias("c")).select(*LOADING_KEY, "c.*")
