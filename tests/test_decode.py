@@ -118,6 +118,14 @@ def test_rejects(spark):
     assert reasons(spark, GOOD) == []
 
 
+def test_documents_of_any_kind(spark):
+    bodies = [GOOD, document('<deactivated rid="1"/>', pushport=V16.replace("v16", "v12")), "<Pport><uR><TS></uR></Pport>", "", "<a", GOOD[:-9]]
+    got = decode.read_documents(frames(spark, *bodies)).collect()
+    assert [(r.reason, r.feed_version, r.xml is None, r.payload is None) for r in got] == [
+        (None, 16, False, True), (None, 12, False, True), *[("bad_xml", None, True, False)] * 3, ("bad_xml", 16, True, False),
+    ]
+
+
 def test_reject_keeps_the_body(spark):
     body = gzip.compress(GOOD.encode())[:30]
     (row,) = decode.rejects(decode.decode_frames(frames(spark, body))).collect()

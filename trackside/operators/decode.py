@@ -38,6 +38,27 @@ def open_frames(frames: DataFrame) -> DataFrame:
     )
 
 
+def read_documents(frames: DataFrame) -> DataFrame:
+    """Frames to documents of any kind and version, the input of the message tables.
+
+    Columns: ``sequence_number``, ``message_type``, ``feed_version``, ``xml``, ``reason`` and
+    ``payload``. A document that is not well formed is rejected here, once for all kinds; take
+    the rows without a ``reason`` on, and :func:`rejects` of the rest.
+    """
+    opened = open_frames(frames)
+    rooted = opened.select("*", parse_once(F.col("xml"), "struct<_ts:string,_corrupt_record:string>").alias("root"))
+    broken = F.col("xml").isNotNull() & (F.col("root").isNull() | F.col("root._corrupt_record").isNotNull())
+    reason = F.coalesce("reason", F.when(broken, F.lit("bad_xml")))
+    return rooted.select(
+        "sequence_number",
+        "message_type",
+        "feed_version",
+        F.when(reason.isNull(), F.col("xml")).alias("xml"),
+        reason.alias("reason"),
+        F.when(reason.isNotNull(), F.col("body")).alias("payload"),
+    )
+
+
 def _stations(m: str) -> Column:
     """The train status entries of an update or a snapshot."""
     return F.coalesce(F.col(f"{m}.uR.TS"), F.col(f"{m}.sR.TS"))

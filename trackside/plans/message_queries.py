@@ -68,6 +68,21 @@ def frames_message_types(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def frames_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Frames to documents for the message tables: forecasts of the usable ones, of any version,
+    and the others by reason."""
+    path = work_dir(spark, "documents")
+    decode.read_documents(feed.status_frames(orders(spark, sf))).write.parquet(path)
+    documents = spark.read.parquet(path)
+    used = messages.forecasts(documents.where("reason is null")).select(
+        F.concat_ws(" ", F.lit("forecasts of version"), "feed_version").alias("outcome"), "sequence_number"
+    )
+    lost = decode.rejects(documents).select(F.col("reason").alias("outcome"), "sequence_number")
+    return used.unionByName(lost).groupBy("outcome").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.col("sequence_number").cast("bigint")).alias("sequence_sum")
+    )
+
+
 def stream_intake(spark: SparkSession, sf: str) -> DataFrame:
     """Frames as a stream, decoded once per batch into records and rejects."""
     path = work_dir(spark, "intake")
@@ -318,6 +333,7 @@ QUERIES = {
         frames_rejects,
         frames_publish,
         frames_message_types,
+        frames_documents,
         stream_intake,
         forecast_rows,
         forecast_long,
@@ -404,6 +420,12 @@ ORACLE = {
     "frames_message_types": f"""SELECT 'TS' AS message_type, reason, count(*) AS frames,
         count(CASE WHEN reason IS DISTINCT FROM 'missing_header' THEN 1 END) AS with_sequence
         FROM {_OUTCOME} GROUP BY reason""",
+    "frames_documents": f"""SELECT outcome, count(*) AS "rows", CAST(sum(seq) AS BIGINT) AS sequence_sum FROM (
+        SELECT CASE WHEN reason = 'other_version' THEN 'forecasts of version 15' ELSE 'forecasts of version 16' END AS outcome,
+          o_orderkey AS seq FROM ({feed.POINTS_SQL}) WHERE reason IS NULL OR reason = 'other_version'
+        UNION ALL SELECT reason, CASE WHEN reason <> 'missing_header' THEN o_orderkey END FROM {_OUTCOME}
+          WHERE reason IN ('missing_header', 'bad_body', 'bad_xml'))
+        GROUP BY outcome""",
     "stream_intake": f"""SELECT outcome, count(*) AS "rows", CAST(sum(seq) AS BIGINT) AS sequence_sum FROM (
         SELECT 'published' AS outcome, CAST(sequence_number AS BIGINT) AS seq FROM ({_locations(first=False)})
         UNION ALL SELECT reason, CASE WHEN reason <> 'missing_header' THEN o_orderkey END FROM {_OUTCOME} WHERE reason IS NOT NULL)
