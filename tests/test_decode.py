@@ -144,6 +144,23 @@ def test_declared_encoding(spark):
     assert row.location_code == "É"
 
 
+def test_what_follows_the_document(spark):
+    for junk in ("x", GOOD, "<a/>", "<!-- c --> x"):
+        assert reasons(spark, GOOD + junk) == ["bad_xml"], junk
+        assert [r.reason for r in decode.read_documents(frames(spark, GOOD + junk)).collect()] == ["bad_xml"]
+    for nothing in ("\n ", "<!-- c -->", " <?p q?>\n<!-- <a> -->"):
+        assert reasons(spark, GOOD + nothing) == [] and len(rows(spark, GOOD + nothing)) == 1, nothing
+
+
+def test_comments_and_cdata(spark):
+    def platform(text):
+        return rows(spark, GOOD.replace(">4<", f">{text}<"))[0].platforms
+
+    assert platform("4<!-- c -->5") == "45"
+    assert platform("<![CDATA[4]]>") == "4"
+    assert platform("&#52;") == "4"
+
+
 def test_byte_order_mark(spark):
     (row,) = decode.locations(decode.decode_frames(frames(spark, gzip.compress(b"\xef\xbb\xbf" + GOOD.encode())))).collect()
     assert row.location_code == "ERROR"

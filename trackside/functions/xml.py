@@ -36,6 +36,18 @@ def feed_version(text: Column) -> Column:
     return found.try_cast("int")
 
 
+def without_comments(text: Column) -> Column:
+    """Comments away; the parser would keep only the text after one. CDATA is left as it is."""
+    commented = F.contains(text, F.lit("<!--")) & ~F.contains(text, F.lit("<![CDATA["))
+    return F.when(commented, F.regexp_replace(text, r"(?s)<!--.*?-->", "")).otherwise(text)
+
+
+def has_more_than_root(text: Column) -> Column:
+    """Something other than comments and instructions follows the document element. The parser
+    stops at its end tag and would not notice."""
+    return text.rlike(r"(?s)</(?:\w+:)?Pport\s*>\s*(?:(?:<!--.*?-->|<\?.*?\?>)\s*)*+\S")
+
+
 def has_element(text: Column, name: str) -> Column:
     """Cheap look at the text before a parse: is there a start tag of this name?"""
     return text.rlike(rf"[<:]{name}[\s/>]")

@@ -6,7 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackside.functions.body import inflate
-from trackside.functions.xml import declares, feed_version, parse_once
+from trackside.functions.xml import (
+    declares,
+    feed_version,
+    has_more_than_root,
+    parse_once,
+    without_comments,
+)
 from trackside.schemas import FORECASTS_URI, PUSHPORT_URI, TS_BRIEF, response_ddl
 
 
@@ -31,13 +37,19 @@ def open_frames(frames: DataFrame) -> DataFrame:
     return opened.select(
         "sequence_number",
         "message_type",
-        F.when(reason.isNull(), F.col("xml")).alias("xml"),
+        F.when(reason.isNull(), without_comments(F.col("xml"))).alias("xml"),
         feed_version(F.col("xml")).alias("feed_version"),
         reason.alias("reason"),
         "body",
     )
 
 
+def _not_well_formed(root: str) -> Column:
+    """The text was not, or not wholly, parsed into the struct ``root``."""
+    unparsed = F.col(root).isNull() | F.col(f"{root}._corrupt_record").isNotNull()
+    return unparsed | F.col("junk")
+
+
 def read_documents(frames: DataFrame) -> DataFrame:
     """Frames to documents of any kind and version, the input of the message tables.
 
@@ -45,9 +57,10 @@ def read_documents(frames: DataFrame) -> DataFrame:
     ``payload``. A document that is not well formed is rejected here, once for all kinds; take
     the rows without a ``reason`` on, and :func:`rejects` of the rest.
     """
-    opened = open_frames(frames)
-    rooted = opened.select("*", parse_once(F.col("xml"), "struct<_ts:string,_corrupt_record:string>").alias("root"))
-    broken = F.col("xml").isNotNull() & (F.col("root").isNull() | F.col("root._corrupt_record").isNotNull())
+    xml = F.col("xml")
+    opened = open_frames(frames).withColumn("junk", has_more_than_root(xml))
+    rooted = opened.select("*", parse_once(xml, "struct<_ts:string,_corrupt_record:string>").alias("root"))
+    broken = xml.isNotNull() & _not_well_formed("root")
     reason = F.coalesce("reason", F.when(broken, F.lit("bad_xml")))
     return rooted.select(
         "sequence_number",
@@ -81,13 +94,14 @@ def decode_frames(frames: DataFrame) -> DataFrame:
         "xml",
         declares(xml, PUSHPORT_URI).alias("known_version"),
         declares(xml, FORECASTS_URI).alias("known_forecasts"),
+        has_more_than_root(xml).alias("junk"),
     )
     kept = [name for name in opened.columns if name != "xml"]
     parsed = opened.select(*kept, parse_once(xml, response_ddl("TS", TS_BRIEF)).alias("m"))
     stations = _stations("m")
     reason = (
         F.when(F.col("reason").isNotNull(), F.col("reason"))
-        .when(F.col("m._corrupt_record").isNotNull() | F.col("m").isNull(), "bad_xml")
+        .when(_not_well_formed("m"), "bad_xml")
         .when(~F.col("known_version"), "other_version")
         .when(F.coalesce(F.size(stations), F.lit(0)) < 1, "no_train_status")
     )
