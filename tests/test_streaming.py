@@ -194,6 +194,27 @@ def test_range_read_prunes_days(spark, tmp_path):
     assert "arrival_date" in plan.split("PartitionFilters: ")[1].split("]")[0]
 
 
+@pytest.mark.parametrize("separate", [False, True])
+def test_store_program(spark, topic, tmp_path, separate):
+    from trackside.streaming import main
+
+    folder = {name: str(tmp_path / name) for name in ("raw", "clean", "rejects", "checkpoint")}
+    argv = ["--files", topic, "--drain", "--console", *(["--separate"] if separate else [])]
+    main.main([*argv, *[part for name, path in folder.items() for part in (f"--{name}", path)]])
+    parsed = parse_records(spark.read.parquet(topic))
+    assert as_set(stores.read_keyed(spark, folder["raw"])) == as_set(stores.upsert_view(parsed))
+    assert stores.read_by_date(spark, folder["clean"]).count() == clean(parsed).count()
+
+
+def test_store_program_arguments():
+    from trackside.streaming import main
+
+    args = main.arguments(["--servers", "b:9092", "--raw", "r", "--jdbc", "jdbc:x", "--checkpoint", "c"])
+    assert (args.topic, args.table, args.starting, args.drain) == ("train_data", "train_schedule", "latest", False)
+    with pytest.raises(SystemExit):
+        main.arguments(["--raw", "r", "--clean", "c", "--checkpoint", "c"])
+
+
 def test_jdbc_writer_options(monkeypatch, spark):
     """Without a database: what the writer asks the connector to do."""
     asked = {}
