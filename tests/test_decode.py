@@ -152,6 +152,14 @@ def test_what_follows_the_document(spark):
         assert reasons(spark, GOOD + nothing) == [] and len(rows(spark, GOOD + nothing)) == 1, nothing
 
 
+def test_prefixed_root(spark):
+    prefixed = GOOD.replace("<Pport xmlns=", "<p:Pport xmlns:p=").replace("</Pport>", "</p:Pport>")
+    for name in ("uR", "TS"):
+        prefixed = prefixed.replace(f"<{name}", f"<p:{name}").replace(f"</{name}", f"</p:{name}")
+    assert len(rows(spark, prefixed)) == 1 and len(rows(spark, prefixed + " ")) == 1
+    assert reasons(spark, prefixed + "x") == ["bad_xml"]
+
+
 def test_comments_and_cdata(spark):
     def platform(text):
         return rows(spark, GOOD.replace(">4<", f">{text}<"))[0].platforms
