@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackside.operators.state import latest
-from trackside.plans.joins import lookup_join
+from trackside.plans.joins import lookup_join, sorted_join
 from trackside.session import landed
 
 # Kinds of point where a passenger train calls.
@@ -61,12 +61,13 @@ def via_texts(points: DataFrame, via: DataFrame, locations: DataFrame) -> DataFr
     calls = landed(calls, "calls")
     ends = calls.groupBy("rid").agg(F.max_by("tpl", "last").alias("dest"))
     stations = lookup_join(calls.select("rid", "tpl"), locations.select("tpl", "crs"), ["tpl"])
-    viewed = stations.where(F.col("crs").isNotNull()).join(ends, "rid")
+    viewed = sorted_join(stations.where(F.col("crs").isNotNull()), ends, ["rid"])
     rules = via.select(F.col("at").alias("crs"), "dest", "loc1", "loc2", "viatext")
     offered = lookup_join(viewed, rules, ["crs", "dest"], "inner")
     at_loc1 = calls.select("rid", F.col("tpl").alias("loc1"), F.col("first").alias("first_1"))
     at_loc2 = calls.select("rid", F.col("tpl").alias("loc2"), F.col("last").alias("last_2"))
-    checked = offered.join(at_loc1, ["rid", "loc1"]).join(at_loc2, ["rid", "loc2"], "left")
+    checked = sorted_join(offered, at_loc1, ["rid", "loc1"])
+    checked = sorted_join(checked, at_loc2, ["rid", "loc2"], "left")
     applies = F.col("loc2").isNull() | (F.col("last_2") > F.col("first_1"))
     return checked.where(applies).select("rid", "tpl", "crs", "loc1", "loc2", "viatext")
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trackside.plans.joins import sorted_join
+
 # Contract order of messages: document time, then sequence, then place in the document.
 ORDER = ["doc_ts", "sequence_number", "item_index"]
 
@@ -120,7 +122,7 @@ def coach_loading_state(formations: DataFrame, loadings: DataFrame, order: list[
     """
     message = latest(loadings.select(*LOADING_KEY, *order, "loadings"), LOADING_KEY, order)
     train = latest(formations.select("rid", "fid", *order, "coaches"), ["rid", "fid"], order)
-    both = message.drop(*order).join(train.drop(*order), ["rid", "fid"], "left")
+    both = sorted_join(message.drop(*order), train.drop(*order), ["rid", "fid"], "left")
 
     def reported(coach_number: Column) -> Column:
         value = F.filter("loadings", lambda x: x["coach_number"] == coach_number)
