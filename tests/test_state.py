@@ -171,6 +171,8 @@ def test_balanced_join_with_a_hot_key(spark):
         joined = balanced_join(rows, lookup, ["k"], how)
         got = [tuple(r) for r in joined.select("n", "k", "v").collect()]
         assert len(got) == len(want) and set(got) == want
+    mapped = rows.withColumn("m", F.create_map("k", "n"))
+    assert balanced_join(mapped, lookup, ["k"]).count() == len(plain)
     semi = balanced_join(rows, lookup, ["k"], "left_semi").select("n").collect()
     assert len(semi) == sum(r[2] is not None for r in plain)
 

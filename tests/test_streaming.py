@@ -184,6 +184,13 @@ def test_keyed_store(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(bucket" in plan
 
 
+def test_keyed_store_without_rows(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    stores.append_keyed(parse_records(spark.createDataFrame([(b"not json",)], "value binary")), 0, path)
+    assert stores.read_keyed(spark, path).collect() == []
+    assert stores.read_key(spark, path, "U1", "A").collect() == []
+
+
 def test_range_read_prunes_days(spark, tmp_path):
     rows = clean(parse_records(topic_records(read_table(spark, SF, "events"))))
     stores.write_by_date(rows, str(tmp_path / "dated"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from trackside.operators import clean as c
 from trackside.operators.parse import decode_pairs, parse_records, parse_records_typed
 from trackside.operators.publish import to_records
+from trackside.plans.joins import sorted_join
 from trackside.schemas import RECORD_FIELDS
 from trackside.session import work_dir
 from trackside.sources.tables import read_table, spread, stream_table
@@ -170,9 +171,8 @@ def stream_separate_sinks(spark: SparkSession, sf: str) -> DataFrame:
         sinks.drain(query)
     raw = stores.read_keyed(spark, f"{path}/service_performance")
     late = stores.read_by_date(spark, f"{path}/clean").select("sequence_number", "actual_arrival")
-    return raw.select(
-        F.col("sequence_number").cast("bigint").alias("sequence_number"), *stores.RAW_KEY
-    ).join(late, "sequence_number", "left")
+    held = raw.select(F.col("sequence_number").cast("bigint").alias("sequence_number"), *stores.RAW_KEY)
+    return sorted_join(held, late, ["sequence_number"], "left")
 
 
 def bounded_tail(spark: SparkSession, sf: str) -> DataFrame:

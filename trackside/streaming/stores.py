@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trackside.operators.state import latest
-from trackside.schemas import RAW_KEY
+from trackside.schemas import RAW_KEY, RECORD_SCHEMA
 
 # The raw store places a record by these, and sorts by the rest of the key.
 RAW_PLACE = ["unique_id", "location_code"]
@@ -87,9 +88,15 @@ def append_keyed(rows: DataFrame, batch_id: int, path: str, buckets: int = BUCKE
     )
 
 
+def _keyed_rows(spark: SparkSession, path: str) -> DataFrame:
+    # The schema is known, so a store without any row yet can be read too.
+    schema = T.StructType([*RECORD_SCHEMA.fields, T.StructField("bucket", T.IntegerType())])
+    return spark.read.schema(schema).parquet(path)
+
+
 def read_keyed(spark: SparkSession, path: str) -> DataFrame:
     """The keyed store: last row per key over all batches."""
-    return upsert_view(read_batches(spark, path))
+    return upsert_view(_keyed_rows(spark, path).drop(*FOLDER_COLUMNS))
 
 
 def read_key(
@@ -97,7 +104,7 @@ def read_key(
 ) -> DataFrame:
     """Rows of one place, in order of the schedule. Reads one bucket only."""
     place = _bucket([F.lit(unique_id), F.lit(location_code)], buckets)
-    rows = spark.read.parquet(path).where(
+    rows = _keyed_rows(spark, path).where(
         (F.col("bucket") == place)
         & (F.col("unique_id") == unique_id)
         & (F.col("location_code") == location_code)
