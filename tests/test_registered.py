@@ -12,6 +12,7 @@ import check  # noqa: E402
 import __spark_entry__ as registered  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
+OWN = sorted(name for group in registered._GROUPS for name in group.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -24,10 +25,10 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(registered.oracle_sql()) == set(registered.queries())
+    assert set(OWN) <= set(registered.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query(spark, con, name):
     ok, note = check.compare(spark, con, name, SF)
     assert ok, note
