@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trackside.llm import mixing, sharding
+from trackside.llm import exact_dedup, knn, mixing, packing, sharding
 from trackside.llm.common import table
 
 
+#: The vocabulary file; a parameter of the operator.
+VOCABULARY = "byte_bpe_50k.json"
+
+
+def op1_voronoi_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op2_fingerprint_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=8)
 
@@ -17,9 +29,46 @@ def op9_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
 
 
+def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+
+
 QUERIES = {
+    "op1_voronoi_top_k": op1_voronoi_top_k,
+    "op2_fingerprint_dedup": op2_fingerprint_dedup,
     "op7_jump_shards": op7_jump_shards,
     "op9_pareto_mix": op9_pareto_mix,
+    "op10_vector_packing": op10_vector_packing,
 }
 
-ORACLE: dict[str, str] = {}
+BLANKS_SQL = r"[\x20\x09-\x0D]"
+
+ORACLE = {
+    "op1_voronoi_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), pairs AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM pairs
+        )
+        SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 10
+    """,
+    "op2_fingerprint_dedup": rf"""
+        WITH t AS (
+            SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '{BLANKS_SQL}', '', 'g') AS bare
+            FROM documents
+        ), g AS (
+            SELECT doc_id, bare, first_value(doc_id) OVER (PARTITION BY bare ORDER BY points DESC, doc_id) AS keep_id,
+                   count(*) OVER (PARTITION BY bare) AS group_size
+            FROM t
+        )
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(bare) AS text_sha256 FROM g
+    """,
+}
