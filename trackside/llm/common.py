@@ -58,3 +58,14 @@ def utf8_cells(column: pa.Array) -> Iterator[memoryview]:
 
 def batch_of(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def sample_by(rows: DataFrame, group: str, key: str, most: int) -> DataFrame:
+    """About ``most`` rows of each group, those with the smallest hashes of ``key``, to fit a model.
+
+    One row per group (a label) is broadcast. Rows that repeat a key are in or out together.
+    """
+    hashed = F.xxhash64(key)
+    first = Window.partitionBy(group).orderBy("_h")
+    cuts = rows.select(group, hashed.alias("_h")).withColumn("_at", F.row_number().over(first)).filter(F.col("_at") <= most).groupBy(group).agg(F.max("_h").alias("_cut"))
+    return rows.join(F.broadcast(cuts), group).filter(hashed <= F.col("_cut")).drop("_cut")

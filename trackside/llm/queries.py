@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from trackside.llm import exact_dedup, knn, mixing, packing, sharding
+from trackside.llm import exact_dedup, knn, language, mixing, near_dedup, packing, sharding, substring, toxicity
 from trackside.llm.common import table
 
 
@@ -20,10 +21,40 @@ def op2_fingerprint_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_output_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.learn(docs))
+
+
+def op4_count_min_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op6_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=8)
 
 
+#: Documents whose expected severity reaches this are rejected: more likely than not a grade of 1 or more.
+REJECT = 0.5
+
+
+def labelled(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
+    """Texts with their label as a grade: 0 or 1."""
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("_id"), F.col("toxic").alias("grade"))
+    return docs.join(labels, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "grade")
+
+
+def op8_ordinal_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.severity(docs, toxicity.learn(labelled(spark, sf_dir, docs)))
+    return scored.withColumn("toxic", F.col("p_toxic") >= REJECT)
+
+
 def op9_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.pareto_mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
@@ -38,7 +69,11 @@ def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_voronoi_top_k": op1_voronoi_top_k,
     "op2_fingerprint_dedup": op2_fingerprint_dedup,
+    "op3_output_codes": op3_output_codes,
+    "op4_count_min_windows": op4_count_min_windows,
+    "op6_chosen_path": op6_chosen_path,
     "op7_jump_shards": op7_jump_shards,
+    "op8_ordinal_severity": op8_ordinal_severity,
     "op9_pareto_mix": op9_pareto_mix,
     "op10_vector_packing": op10_vector_packing,
 }
