@@ -197,7 +197,7 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, cells: int = 64, bl
     first = {cell: block for block, own in reversed(list(enumerate(plan.blocks))) for cell in own}
     block = F.element_at(F.create_map(*[F.lit(x) for c in first for x in (c, first[c])]), F.col("cell"))
     spread = F.element_at(F.create_map(*[F.lit(x) for c in first for x in (c, plan.splits[c])]), F.col("cell"))
-    queries = asking.select("vec_id", "vec", (block + F.pmod(F.xxhash64("vec_id"), spread)).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).cast("int").alias("part"))
+    queries = asking.select("vec_id", "vec", (block + F.pmod(F.xxhash64("vec_id"), spread)).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
     pairs = queries.groupBy("block", "part").cogroup(data.groupBy("block", "part")).applyInPandas(local, "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return pairs.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

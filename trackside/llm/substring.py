@@ -70,7 +70,8 @@ class Sketch:
     Estimates never lie below the true count (as far as 2), and neither do those of merged sketches.
     """
 
-    ROWS = 2
+    SEEDS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0x3C6EF372FE94F82A))
+    ROWS = len(SEEDS)
 
     def __init__(self, bits: int, seen: np.ndarray | None = None, again: np.ndarray | None = None):
         self.bits = bits
@@ -78,7 +79,7 @@ class Sketch:
         self.again = np.zeros((self.ROWS, 1 << bits - 3), np.uint8) if again is None else again
 
     def _cells(self, hashes: np.ndarray, row: int) -> np.ndarray:
-        return mixed(hashes + np.uint64(0x9E3779B97F4A7C15) * np.uint64(row + 1)) >> np.uint64(64 - self.bits)
+        return mixed(hashes + self.SEEDS[row]) >> np.uint64(64 - self.bits)
 
     @staticmethod
     def _has(bits: np.ndarray, cells: np.ndarray) -> np.ndarray:

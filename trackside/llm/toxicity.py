@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
+from math import log1p
 from typing import NamedTuple
 
 import numpy as np
@@ -37,41 +40,54 @@ def expected(score: np.ndarray, model: Severity) -> np.ndarray:
     return (1 / (1 + np.exp(-np.clip(score[:, None] - model.thresholds[None, :], -30, 30)))).sum(1)
 
 
-def fit(index: np.ndarray, value: np.ndarray, starts: np.ndarray, grade: np.ndarray, rounds: int = 150, rate: float = 0.15, decay: float = 1e-5, least: int = 3) -> Severity:
-    """Maximum likelihood for rows in compressed form (index and value of the features of row i from
-    starts[i] on), grades weighed alike. Features of fewer than ``least`` rows keep weight 0."""
+def telling(index: np.ndarray, row: np.ndarray, marked: np.ndarray, least: float) -> np.ndarray:
+    """Features whose presence tells marked rows from others: log-likelihood ratio of ``least`` or more."""
+    with_, n = np.bincount(index[marked[row]], minlength=FEATURES).astype(float), float(marked.sum())
+    without, m = np.bincount(index[~marked[row]], minlength=FEATURES).astype(float), float((~marked).sum())
+    share = (with_ + without) / (n + m)
+
+    def part(seen: np.ndarray, asked: np.ndarray) -> np.ndarray:
+        return np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-12) / np.maximum(asked, 1e-12)), 0)
+
+    ratio = part(with_, n * share) + part(n - with_, n * (1 - share)) + part(without, m * share) + part(m - without, m * (1 - share))
+    return 2 * ratio >= least
+
+
+def fit(index: np.ndarray, value: np.ndarray, starts: np.ndarray, grade: np.ndarray, clean: float = 2.0, rounds: int = 300, rate: float = 0.3, sparse: float = 5e-4, least: float = 12.0) -> Severity:
+    """Maximum likelihood with a price on weights, for rows in compressed form (index and value of the
+    features of row i from starts[i] on). Grade 0 weighs ``clean`` times as much as the rest.
+
+    Features that do not tell grade 0 from the rest get no weight, and neither do those that are not
+    worth the price ``sparse``: words seen by chance in a few rows must not add up in long texts.
+    """
     n, top = len(grade), int(grade.max(initial=0))
-    weights, gaps = np.zeros(FEATURES), np.zeros(max(top, 1))
-    if not top or (grade > 0).all():  # one grade only: nothing to tell apart
-        return Severity(weights, np.full(top, -30.0) if top else np.zeros(0))
+    weights = np.zeros(FEATURES)
+    if not top or (grade > 0).all():  # one side only: nothing to tell apart
+        return Severity(weights, np.full(top, -30.0 if top else 0.0))
     row = np.repeat(np.arange(n), np.diff(np.append(starts, len(index))))
-    use = np.bincount(index, minlength=FEATURES) >= least
-    share = 1 / np.bincount(grade, minlength=top + 1)[grade] / len(np.unique(grade))
-    gaps[1:] = np.log(1.0)  # thresholds are the first one and positive steps
-    first, moments = 0.0, [np.zeros(FEATURES + top), np.zeros(FEATURES + top)]
-    logistic = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-    for k in range(1, rounds + 1):
-        cuts = first + np.concatenate([[0.0], np.cumsum(np.exp(gaps[1:top]))])
-        score = np.bincount(row, value * weights[index], minlength=n)
-        reach = np.concatenate([np.ones((n, 1)), logistic(score[:, None] - cuts[None, :]), np.zeros((n, 1))], 1)
-        at = np.arange(n)
+    use = telling(index, row, grade > 0, least)
+    place, own = np.cumsum(use) - 1, use[index]
+    index, value, row, k = place[index[own]], value[own], row[own], int(use.sum())
+    share = np.where(grade > 0, 1 / (grade > 0).sum(), clean / (grade == 0).sum()) / (1 + clean)
+    # Unknowns: weights, the first threshold, logarithms of the steps to the next ones.
+    x, squares, at = np.zeros(k + top), np.full(k + top, 1e-8), np.arange(n)
+    for _ in range(rounds):
+        steps = np.exp(x[k + 1 :])
+        cuts = x[k] + np.concatenate([[0.0], np.cumsum(steps)])
+        score = np.bincount(row, value * x[index], minlength=n)
+        reach = np.concatenate([np.ones((n, 1)), 1 / (1 + np.exp(np.clip(cuts[None, :] - score[:, None], -30, 30))), np.zeros((n, 1))], 1)
         low, high = reach[at, grade], reach[at, grade + 1]
         chance = np.maximum(low - high, 1e-9)
-        # Slope of the log likelihood by the score and by the two cuts that bound the grade.
+        # Slopes of the log likelihood by the cut below the grade and by the one above it.
         down, up = low * (1 - low) / chance * share, high * (1 - high) / chance * share
-        by_weight = np.bincount(index, value * (down - up)[row], minlength=FEATURES) - decay * weights
-        by_cut = np.zeros(top + 2)
-        np.add.at(by_cut, grade, -down)
-        np.add.at(by_cut, grade + 1, up)
-        by_cut = by_cut[1 : top + 1]
-        steps = np.concatenate([[by_cut.sum()], [by_cut[j:].sum() * np.exp(gaps[j]) for j in range(1, top)]])
-        slope = np.concatenate([by_weight * use, steps])
-        moments[0] = 0.9 * moments[0] + 0.1 * slope
-        moments[1] = 0.99 * moments[1] + 0.01 * slope**2
-        move = rate * (moments[0] / (1 - 0.9**k)) / (np.sqrt(moments[1] / (1 - 0.99**k)) + 1e-6)
-        weights, first = weights + move[:FEATURES], first + move[FEATURES]
-        gaps[1:top] += move[FEATURES + 1 :]
-    return Severity(weights, first + np.concatenate([[0.0], np.cumsum(np.exp(gaps[1:top]))]))
+        by_cut = (np.bincount(grade + 1, up, minlength=top + 2) - np.bincount(grade, down, minlength=top + 2))[1 : top + 1]
+        slope = np.concatenate([np.bincount(index, value * (down - up)[row], minlength=k), [by_cut.sum()], [by_cut[j + 1 :].sum() * steps[j] for j in range(top - 1)]])
+        squares += slope**2
+        pace = rate / np.sqrt(squares)
+        x += pace * slope
+        x[:k] = np.sign(x[:k]) * np.maximum(np.abs(x[:k]) - pace[:k] * sparse, 0)
+    weights[use] = x[:k]
+    return Severity(weights, x[k] + np.concatenate([[0.0], np.cumsum(np.exp(x[k + 1 :]))]))
 
 
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,7 +97,7 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = WORD.findall((text or "").lower())
             ids, counts = np.unique(np.array([f for word in words for f in word_features(word)], np.int32), return_counts=True)
             out[0].append(ids.tobytes())
-            out[1].append((counts / np.sqrt(max(1, len(words)))).astype(np.float32).tobytes())
+            out[1].append(np.log1p(counts).astype(np.float32).tobytes())
         yield pa.RecordBatch.from_arrays([batch.column("grade"), pa.array(out[0], pa.binary()), pa.array(out[1], pa.binary())], names=["grade", "ids", "values"])
 
 
@@ -90,7 +106,7 @@ def _arrays(found: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(found["ids"]), np.int32), np.frombuffer(b"".join(found["values"]), np.float32).astype(float), np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(int) if len(found) else np.zeros(0, int)
 
 
-def learn(labelled: DataFrame, most: int = 1200, grades: int = 3) -> Severity:
+def learn(labelled: DataFrame, most: int = 2400, grades: int = 3) -> Severity:
     """Fit on whole texts of (doc_id, text, grade), about ``most`` rows of each grade given.
 
     Where the labels know only 0 and 1, the severity of the ones is not given: they are graded 1 to
@@ -110,20 +126,23 @@ def learn(labelled: DataFrame, most: int = 1200, grades: int = 3) -> Severity:
 
 
 class Scorer:
-    """Scores of texts; the parts of the score that words contribute are kept while a task runs."""
+    """Scores of texts. Few features have weight, so words are looked up by whether they have one;
+    what was found out about a word is kept while a task runs."""
 
     def __init__(self, model: Severity, most: int = 500_000):
-        self.model, self.most, self.words = model, most, {}
+        self.weights, self.most = model.weights, most
+        self.words: dict[str, tuple[int, ...]] = {}
 
     def __call__(self, texts: list[str | None]) -> np.ndarray:
-        weights, known, out = self.model.weights, self.words, np.zeros(len(texts))
+        known, weights, out = self.words, self.weights, np.zeros(len(texts))
         if len(known) > self.most:
             known.clear()
         for k, text in enumerate(texts):
             words = WORD.findall((text or "").lower())
             for word in set(words).difference(known):
-                known[word] = float(weights[word_features(word)].sum())
-            out[k] = sum(map(known.__getitem__, words)) / max(1, len(words)) ** 0.5
+                known[word] = tuple(f for f in word_features(word) if weights[f])
+            counts = Counter(chain.from_iterable(map(known.__getitem__, words)))
+            out[k] = sum(weights[f] * log1p(n) for f, n in counts.items())
         return out
 
 
