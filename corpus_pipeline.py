@@ -8,7 +8,11 @@ from trackside.llm import stages
 from trackside.session import work_dir
 
 STAGES = [
+    ("toxicity", stages.clean),
+    ("exact_dedup", stages.distinct),
+    ("near_dedup", stages.dissimilar),
     ("mix", stages.mix),
+    ("pack", stages.pack),
 ]
 
 #: SQL cannot say the classifier or the sampling; tests hold the stages against plain code.

@@ -148,12 +148,12 @@ def _verified(docs: DataFrame, rows: DataFrame, hasher: Hasher) -> DataFrame:
 
 
 def exact_duplicates(docs: DataFrame, hasher: Hasher | None = None) -> DataFrame:
-    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
+    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256, text_key.
 
     Texts are equal when identical without blanks; NULL counts as empty, and all empty texts are
     equal. Of equal texts the row with the most code points stays, then the smallest doc_id (NULL
     last); of rows that repeat with the same doc_id one is marked as kept. Equal fingerprints only
-    nominate: their texts are compared whole. Other columns are not read; an empty table gives no
+    nominate: their texts are compared whole. text_key is a hash of the text as it is. Other columns are not read; an empty table gives no
     rows.
     """
     hasher = hasher or Hasher()
@@ -164,5 +164,5 @@ def exact_duplicates(docs: DataFrame, hasher: Hasher | None = None) -> DataFrame
     best = F.min(F.struct((-F.col("n_points")).alias("least"), F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("uid").alias("uid")))
     groups = classed.groupBy(*KEY, "round").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
     return classed.join(groups, [*KEY, "round"]).select(
-        "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", (F.col("uid") == F.col("best.uid")).alias("kept"), "text_sha256"
+        "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", (F.col("uid") == F.col("best.uid")).alias("kept"), "text_sha256", F.col("raw").alias("text_key")
     )

@@ -273,13 +273,14 @@ class _Join:
 
 
 def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept, text_key.
 
     Texts are linked when their sets of word shingles share 75 % of their union. Texts with the same
     lower-cased words are one class, so copies are never paired. component_id is the smallest doc_id
     reachable; kept marks its row. NULL, empty and blank texts have no shingles and link with
     nothing. A row without doc_id gets the component of its text and stays only where that has no
-    doc_id; rows that repeat a doc_id each go by their own text. Other columns are not read; an empty
+    doc_id; rows that repeat a doc_id each go by their own text, and the one with the smallest
+    text_key (a hash of the text) stays. Other columns are not read; an empty
     table gives no rows.
 
     Chosen path: each tree sends a text to the node of its smallest shingle hash. Nodes are compared
@@ -299,11 +300,16 @@ def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFr
     while members is not None:
         members = state.whole(members, level)
         level += 1
-    rows = state.components_of(state.rows.select("doc_id", "cls", "n"))
+    rows = state.components_of(state.rows.select("doc_id", "raw", "cls", "n"))
     own = rows.withColumn("comp", F.when(F.col("n") > 0, F.col("comp")))
-    least = own.filter("comp is not null").groupBy(F.col("comp").alias("_comp")).agg(F.min("doc_id").alias("least"))
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "raw")).alias("best")
+    least = own.filter("comp is not null").groupBy(F.col("comp").alias("_comp")).agg(best)
     joined = own.join(least, F.col("comp") == F.col("_comp"), "left")
-    component = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id"))
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
-        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
+    alone = F.col("comp").isNull()
+    return joined.select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("component_id"),
+        (alone | (F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("raw") == F.col("best.raw")))).alias("kept"),
+        F.col("raw").alias("text_key"),
     )

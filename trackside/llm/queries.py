@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackside.llm import exact_dedup, knn, language, mixing, near_dedup, packing, sharding, substring, toxicity
+from trackside.llm import exact_dedup, knn, language, mixing, near_dedup, packing, pii, sharding, substring, toxicity
 from trackside.llm.common import table
 
 
@@ -31,6 +31,11 @@ def op4_count_min_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op5_random_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.learn(pii.labelled_lines(docs)))
+
+
 def op6_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -39,19 +44,13 @@ def op7_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=8)
 
 
-#: Documents whose expected severity reaches this are rejected: more likely than not a grade of 1 or more.
+#: Documents are rejected when a grade of 1 or more is more likely than not.
 REJECT = 0.5
 
 
-def labelled(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
-    """Texts with their label as a grade: 0 or 1."""
-    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("_id"), F.col("toxic").alias("grade"))
-    return docs.join(labels, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "grade")
-
-
 def op8_ordinal_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    scored = toxicity.severity(docs, toxicity.learn(labelled(spark, sf_dir, docs)))
+    scored = toxicity.severity(docs, toxicity.learn(toxicity.graded(docs, table(spark, sf_dir, "labels"))))
     return scored.withColumn("toxic", F.col("p_toxic") >= REJECT)
 
 
@@ -71,6 +70,7 @@ QUERIES = {
     "op2_fingerprint_dedup": op2_fingerprint_dedup,
     "op3_output_codes": op3_output_codes,
     "op4_count_min_windows": op4_count_min_windows,
+    "op5_random_field": op5_random_field,
     "op6_chosen_path": op6_chosen_path,
     "op7_jump_shards": op7_jump_shards,
     "op8_ordinal_severity": op8_ordinal_severity,

@@ -106,6 +106,12 @@ def _arrays(found: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(found["ids"]), np.int32), np.frombuffer(b"".join(found["values"]), np.float32).astype(float), np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(int) if len(found) else np.zeros(0, int)
 
 
+def graded(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, text, grade) of the labelled documents: grade 0 or 1."""
+    known = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").alias("grade"))
+    return docs.select("doc_id", "text").join(known, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "grade")
+
+
 def learn(labelled: DataFrame, most: int = 2400, grades: int = 3) -> Severity:
     """Fit on whole texts of (doc_id, text, grade), about ``most`` rows of each grade given.
 
@@ -161,3 +167,15 @@ def severity(docs: DataFrame, model: Severity) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(expected(score, model)), pa.array(first)], names=["doc_id", "severity", "p_toxic"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(rows, "doc_id long, severity double, p_toxic double")
+
+
+def keep_clean(docs: DataFrame, model: Severity, reject: float) -> DataFrame:
+    """The rows of ``docs`` whose chance of grade 1 or more lies below ``reject``, all columns as they are."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer, least = Scorer(model), np.log(reject / (1 - reject))
+        first = model.thresholds[0] if len(model.thresholds) else np.inf
+        for batch in batches:
+            yield batch.filter(pa.array(scorer(batch.column("text").to_pylist()) - first < least))
+
+    return docs.mapInArrow(rows, docs.schema)
