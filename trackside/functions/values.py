@@ -42,6 +42,27 @@ def to_local_time(value: Column | str) -> Column:
     return _col(value).try_cast("timestamp_ntz")
 
 
+class Typed:
+    """Makes typed columns and remembers for each whether its text could not be read."""
+
+    def __init__(self) -> None:
+        self._lost: list[Column] = []
+
+    def __call__(self, cast, value: Column | str, name: str) -> Column:
+        text = _col(value)
+        typed = cast(text)
+        self._lost.append(F.when(text.isNotNull() & typed.isNull(), F.lit(name)))
+        return typed.alias(name)
+
+    def malformed(self) -> Column:
+        """The names of the columns that are NULL because their text is malformed."""
+        return F.array_compact(F.array(*self._lost)).alias("malformed")
+
+
+def to_int(value: Column | str) -> Column:
+    return _col(value).try_cast("int")
+
+
 def blank_null_text(value: Column | str) -> Column:
     """NULL for exactly the text ``null``; any other text is kept, ``NULL`` included."""
     return F.nullif(_col(value), F.lit(NULL_TEXT))

@@ -13,6 +13,10 @@ XML_OPTIONS = {"ignoreNamespace": "true", "mode": "PERMISSIVE", "ignoreSurroundi
 
 _POINTS = "|".join(POINT_KINDS)
 
+# A name's prefix, and what may stand in a start tag before its end: quoted values hold any sign.
+_PREFIX = r"(?:[\w.-]+:)?"
+_INSIDE = r"""(?:[^>"'/]|/(?!>)|"[^"]*"|'[^']*')*+"""
+
 
 def parse_once(text: Column, ddl: str) -> Column:
     """``from_xml`` as a one-row generator.
@@ -51,7 +55,7 @@ def has_more_than_root(text: Column) -> Column:
     end = "</Pport>"
     before = F.substring_index(text, end, 1)
     plain = F.octet_length(before) == F.octet_length(text) - len(end)
-    more = r"(?s)</(?:\w+:)?Pport\s*>\s*(?:(?:<!--.*?-->|<\?.*?\?>)\s*)*+\S"
+    more = rf"(?s)</{_PREFIX}Pport\s*>\s*(?:(?:<!--.*?-->|<\?.*?\?>)\s*)*+\S"
     return F.when(plain, False).otherwise(text.rlike(more))
 
 
@@ -65,19 +69,25 @@ def points_in_order(text: Column) -> Column:
 
     The parser groups children by element name, which would lose the order between kinds.
     """
-    opened = F.regexp_replace(text, rf"<(?:\w+:)?({_POINTS})(?=[\s/>])", '<pt kind="$1"')
-    return F.regexp_replace(opened, rf"</(?:\w+:)?(?:{_POINTS})\s*>", "</pt>")
+    opened = F.regexp_replace(text, rf"<{_PREFIX}({_POINTS})(?=[\s/>])", '<pt kind="$1"')
+    return F.regexp_replace(opened, rf"</{_PREFIX}(?:{_POINTS})\s*>", "</pt>")
 
 
 def fragments(text: Column, name: str) -> Column:
-    """All elements of a name as texts in document order; the element must not nest."""
-    pattern = rf"(?s)<(?:\w+:)?{name}(?:\s[^>]*)?(?:/>|>.*?</(?:\w+:)?{name}\s*>)"
-    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    """All elements of a name as texts in document order; the element must not nest.
+
+    Where one is never closed, what is taken starts at the last start tag, so that a bad element
+    does not cost the one after it.
+    """
+    start = rf"<{_PREFIX}{name}(?=[\s/>])"
+    pattern = rf"(?s){start}{_INSIDE}(?:/>|>.*?</{_PREFIX}{name}\s*>)"
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return F.transform(found, lambda one: F.regexp_extract(one, rf"(?s)^.*({start}.*)$", 1))
 
 
 def inner(text: Column, name: str) -> Column:
     """Text between the tags of the first element of a name; empty if there is none."""
-    pattern = rf"(?s)<(?:\w+:)?{name}(?:\s[^>]*?)?(?<!/)>(.*?)</(?:\w+:)?{name}\s*>"
+    pattern = rf"(?s)<{_PREFIX}{name}(?=[\s/>]){_INSIDE}>(.*?)</{_PREFIX}{name}\s*>"
     return F.regexp_extract(text, pattern, 1)
 
 
@@ -97,7 +107,7 @@ def escape(text: Column) -> Column:
 
 def plain_text(fragment: Column) -> Column:
     """Text content of mixed markup."""
-    return unescape(F.regexp_replace(fragment, r"<[^>]*>", ""))
+    return unescape(F.regexp_replace(fragment, r"""<(?:[^>"']|"[^"]*"|'[^']*')*+>""", ""))
 
 
 def links(fragment: Column) -> Column:

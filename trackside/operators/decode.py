@@ -53,17 +53,22 @@ def _not_well_formed(root: str) -> Column:
 def read_documents(frames: DataFrame) -> DataFrame:
     """Frames to documents of any kind and version, the input of the message tables.
 
-    Columns: ``sequence_number``, ``message_type``, ``feed_version``, ``xml``, ``reason`` and
-    ``payload``. A document that is not well formed is rejected here, once for all kinds; take
-    the rows without a ``reason`` on, and :func:`rejects` of the rest.
+    Columns: ``sequence_number`` (a number, by which state is ordered), ``sequence_text`` (as sent),
+    ``message_type``, ``feed_version``, ``xml``, ``reason`` and ``payload``. A document that is not
+    well formed, or whose sequence is no number, is rejected here, once for all kinds; take the rows
+    without a ``reason`` on, and :func:`rejects` of the rest.
     """
-    xml = F.col("xml")
+    xml, sequence = F.col("xml"), F.col("sequence_number")
     opened = open_frames(frames).withColumn("junk", has_more_than_root(xml))
     rooted = opened.select("*", parse_once(xml, "struct<_ts:string,_corrupt_record:string>").alias("root"))
+    number = sequence.try_cast("bigint")
     broken = xml.isNotNull() & _not_well_formed("root")
-    reason = F.coalesce("reason", F.when(broken, F.lit("bad_xml")))
+    reason = F.coalesce(
+        "reason", F.when(sequence.isNotNull() & number.isNull(), F.lit("bad_sequence")), F.when(broken, F.lit("bad_xml"))
+    )
     return rooted.select(
-        "sequence_number",
+        number.alias("sequence_number"),
+        sequence.alias("sequence_text"),
         "message_type",
         "feed_version",
         F.when(reason.isNull(), F.col("xml")).alias("xml"),
@@ -124,33 +129,40 @@ def _location_type() -> str:
 
 def rejects(decoded: DataFrame) -> DataFrame:
     """Rejected frames with their reason and raw body."""
-    return decoded.where(F.col("reason").isNotNull()).select("reason", "payload", "sequence_number")
+    sequence = "sequence_text" if "sequence_text" in decoded.columns else "sequence_number"
+    return decoded.where(F.col("reason").isNotNull()).select("reason", "payload", F.col(sequence).alias("sequence_number"))
+
+
+# Where a location stands in its document.
+PLACE = ["train_index", "location_index"]
 
 
-def locations(decoded: DataFrame, first_header: bool = False) -> DataFrame:
+def locations(decoded: DataFrame, first_header: bool = False, place: bool = False) -> DataFrame:
     """One row per train location, the twelve record columns.
 
     Each location belongs to the train it is listed under. ``first_header=True`` gives every
-    location of a document to the document's first train.
+    location of a document to the document's first train. ``place=True`` adds where in the document
+    the location stands, by which later ones replace earlier ones.
     """
     good = decoded.where(F.col("reason").isNull())
     if first_header:
         listed = F.flatten(F.transform("stations", lambda ts: F.coalesce(ts["Location"], F.array())))
-        trains = good.select("sequence_number", F.col("stations")[0].alias("ts"), listed.alias("listed"))
+        trains = good.select("sequence_number", F.lit(0).alias("train_index"), F.col("stations")[0].alias("ts"), listed.alias("listed"))
     else:
-        trains = good.select("sequence_number", F.explode("stations").alias("ts")).select(
+        trains = good.select("sequence_number", F.posexplode("stations").alias("train_index", "ts")).select(
             "*", F.col("ts.Location").alias("listed")
         )
     # The header goes on by itself, or every row would carry all locations of its train.
     headed = trains.select(
         "sequence_number",
+        "train_index",
         F.col("ts._rid").alias("schedule_id"),
         F.col("ts._uid").alias("unique_id"),
         F.col("ts._ssd").alias("service_start_date"),
         "listed",
     )
     header = ["sequence_number", "schedule_id", "unique_id", "service_start_date"]
-    rows = headed.select(*header, F.explode("listed").alias("l"))
+    rows = headed.select(*header, "train_index", F.posexplode("listed").alias("location_index", "l"))
     return rows.select(
         *header,
         F.col("l._tpl").alias("location_code"),
@@ -161,6 +173,7 @@ def locations(decoded: DataFrame, first_header: bool = False) -> DataFrame:
         F.col("l.plat._VALUE").alias("platforms"),
         _first_present("_et").alias("estimated_time"),
         _first_present("_src").alias("source"),
+        *(PLACE if place else []),
     )
 
 

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from trackside.functions.values import to_date, to_flag, to_local_time, to_short
+from trackside.functions.values import Typed, to_date, to_flag, to_int, to_local_time, to_short
 from trackside.functions.xml import (
     feed_version,
     fragments,
@@ -64,8 +65,62 @@ def _envelope(m: str = "m") -> list[Column]:
     ]
 
 
+# The entry schema of each kind. Station messages are mixed markup and stay texts.
+ENTRIES = {
+    "schedule": SCHEDULE,
+    "deactivated": "struct<_rid:string>",
+    "association": ASSOCIATION,
+    "scheduleFormations": FORMATIONS,
+    "TS": TS_FULL,
+    "formationLoading": LOADING,
+    "trainAlert": TRAIN_ALERT,
+    "trainOrder": TRAIN_ORDER,
+    "trackingID": TRACKING_ID,
+    "alarm": ALARM,
+}
+
+
+def parse_documents(docs: DataFrame, kinds: list[str]) -> DataFrame:
+    """Documents parsed once for several kinds: the envelope, and a column per kind with its entries.
+
+    Every function here that makes a table takes such rows in place of documents, so all tables
+    come from one scan and one parse; write or persist the result before reading several of them.
+    """
+    xml = F.col("xml")
+    text = F.when(has_element(xml, "schedule"), points_in_order(xml)).otherwise(xml) if "schedule" in kinds else xml
+    listed = ",".join(f"{kind}:array<{ENTRIES[kind]}>" for kind in kinds if kind != "OW")
+    parts = f",{listed}" if listed else ""
+    ddl = (
+        f"struct<{strings('_ts', '_version')},uR:struct<{strings('_updateOrigin', '_requestSource', '_requestID')}{parts}>,"
+        f"sR:struct<_x:string{parts}>,FailureResp:{FAILURE},_corrupt_record:string>"
+    )
+    texts = docs.select(
+        "sequence_number",
+        feed_version(xml).alias("feed_version"),
+        *([F.when(has_element(xml, "OW"), fragments(xml, "OW")).alias("OW")] if "OW" in kinds else []),
+        text.alias("text"),
+    )
+    kept = [name for name in texts.columns if name != "text"]
+    parsed = texts.select(*kept, parse_once(F.col("text"), ddl).alias("m"))
+    return parsed.select(
+        *_envelope(),
+        *[F.coalesce(f"m.uR.{kind}", f"m.sR.{kind}").alias(kind) if kind != "OW" else F.col("OW") for kind in kinds],
+        F.col("m.FailureResp").alias("FailureResp"),
+    )
+
+
+def without_kind(parsed: DataFrame, kinds: list[str]) -> DataFrame:
+    """Documents of :func:`parse_documents` that hold none of the kinds and no failure either."""
+    none = F.col("FailureResp").isNull()
+    for kind in kinds:
+        none = none & (F.coalesce(F.size(kind), F.lit(0)) < 1)
+    return parsed.where(none)
+
+
 def _parsed(docs: DataFrame, element: str, item: str, text: Column | None = None) -> DataFrame:
     """Documents that hold an element, parsed for it, with its entries as the array ``items``."""
+    if element in docs.columns:
+        return docs.select(*ENVELOPE, F.col(element).alias("items"))
     xml = F.col("xml")
     versioned = docs.where(has_element(xml, element)).select(
         "sequence_number",
@@ -110,20 +165,21 @@ def envelopes(docs: DataFrame) -> DataFrame:
 
 
 def _time_data(event: str) -> Column:
-    t = f"l.{event}"
-    typed = F.struct(
+    t, typed = f"l.{event}", Typed()
+    told = F.struct(
         F.col(f"{t}._et").alias("et"),
         F.col(f"{t}._wet").alias("wet"),
         F.col(f"{t}._at").alias("at"),
-        to_flag(f"{t}._atRemoved").alias("at_removed"),
+        typed(to_flag, f"{t}._atRemoved", "at_removed"),
         F.col(f"{t}._atClass").alias("at_class"),
         F.col(f"{t}._etmin").alias("etmin"),
-        to_flag(f"{t}._etUnknown").alias("et_unknown"),
-        to_flag(f"{t}._delayed").alias("delayed"),
+        typed(to_flag, f"{t}._etUnknown", "et_unknown"),
+        typed(to_flag, f"{t}._delayed", "delayed"),
         F.col(f"{t}._src").alias("src"),
         F.col(f"{t}._srcInst").alias("src_inst"),
+        typed.malformed(),
     )
-    return F.when(F.col(t).isNotNull(), typed).alias("passing" if event == "pass" else event)
+    return F.when(F.col(t).isNotNull(), told).alias("passing" if event == "pass" else event)
 
 
 TRAIN_COLUMNS = ["rid", "uid", "ssd"]
@@ -137,21 +193,23 @@ def forecasts(docs: DataFrame) -> DataFrame:
     """
     # The train's own columns are taken out before its locations are exploded; a row that still
     # needed the train element would carry all its locations.
+    typed, placed = Typed(), Typed()
     trains = _items(docs, "TS", TS_FULL).select(
         *ENVELOPE,
         F.col("item_index").alias("train_index"),
         F.col("item._rid").alias("rid"),
         F.col("item._uid").alias("uid"),
-        to_date("item._ssd").alias("ssd"),
-        to_flag("item._isReverseFormation").alias("is_reverse_formation"),
-        to_short("item.LateReason._VALUE").alias("late_reason"),
+        typed(to_date, "item._ssd", "ssd"),
+        typed(to_flag, "item._isReverseFormation", "is_reverse_formation"),
+        typed(to_short, "item.LateReason._VALUE", "late_reason"),
         F.col("item.LateReason._tiploc").alias("late_reason_tiploc"),
-        to_flag("item.LateReason._near").alias("late_reason_near"),
+        typed(to_flag, "item.LateReason._near", "late_reason_near"),
+        typed.malformed(),
         F.col("item.Location").alias("listed"),
     )
-    train = [name for name in trains.columns if name not in (*ENVELOPE, "train_index", "listed")]
+    train = [name for name in trains.columns if name not in (*ENVELOPE, "train_index", "listed", "malformed")]
     located = trains.select(
-        *ENVELOPE, "train_index", *train, F.posexplode("listed").alias("location_index", "l")
+        *ENVELOPE, "train_index", *train, "malformed", F.posexplode("listed").alias("location_index", "l")
     )
     return located.select(
         *ENVELOPE,
@@ -164,13 +222,14 @@ def forecasts(docs: DataFrame) -> DataFrame:
         _time_data("dep"),
         _time_data("pass"),
         F.col("l.plat._VALUE").alias("platform"),
-        to_flag("l.plat._platsup").alias("platsup"),
-        to_flag("l.plat._cisPlatsup").alias("cis_platsup"),
+        placed(to_flag, "l.plat._platsup", "platsup"),
+        placed(to_flag, "l.plat._cisPlatsup", "cis_platsup"),
         F.col("l.plat._platsrc").alias("platsrc"),
-        to_flag("l.plat._conf").alias("conf"),
-        to_flag("l.suppr").alias("suppr"),
-        to_short("l.length").alias("length"),
-        to_flag("l.detachFront").alias("detach_front"),
+        placed(to_flag, "l.plat._conf", "conf"),
+        placed(to_flag, "l.suppr", "suppr"),
+        placed(to_short, "l.length", "length"),
+        placed(to_flag, "l.detachFront", "detach_front"),
+        F.concat("malformed", placed.malformed()).alias("malformed"),
     )
 
 
@@ -179,66 +238,98 @@ TIME_FIELDS = ["et", "wet", "at", "at_removed", "at_class", "etmin", "et_unknown
 
 def forecast_events(rows: DataFrame) -> DataFrame:
     """Forecast rows in long form: one row per arrival, departure or passing that is present."""
-    keep = [name for name in rows.columns if name not in ("arr", "dep", "passing")]
+    keep = [name for name in rows.columns if name not in ("arr", "dep", "passing", "malformed")]
     events = F.array(
         *[
             F.struct(F.lit(label).alias("event"), F.col(name).alias("t"))
             for label, name in (("arr", "arr"), ("dep", "dep"), ("pass", "passing"))
         ]
     )
-    long = rows.select(*keep, F.explode(events).alias("e")).where(F.col("e.t").isNotNull())
-    return long.select(*keep, F.col("e.event").alias("event"), *[F.col(f"e.t.{f}").alias(f) for f in TIME_FIELDS])
+    long = rows.select(*keep, "malformed", F.explode(events).alias("e")).where(F.col("e.t").isNotNull())
+    return long.select(
+        *keep,
+        F.col("e.event").alias("event"),
+        *[F.col(f"e.t.{f}").alias(f) for f in TIME_FIELDS],
+        F.concat("malformed", "e.t.malformed").alias("malformed"),
+    )
 
 
-def schedule_columns(s: str) -> list[Column]:
+def schedule_columns(s: str, typed: Typed) -> list[Column]:
     return [
         F.col(f"{s}._rid").alias("rid"),
         F.col(f"{s}._uid").alias("uid"),
         F.col(f"{s}._trainId").alias("train_id"),
         F.col(f"{s}._rsid").alias("rsid"),
-        to_date(f"{s}._ssd").alias("ssd"),
+        typed(to_date, f"{s}._ssd", "ssd"),
         F.col(f"{s}._toc").alias("toc"),
         F.col(f"{s}._status").alias("status"),
         F.col(f"{s}._trainCat").alias("train_cat"),
-        to_flag(f"{s}._isPassengerSvc").alias("is_passenger_svc"),
-        to_flag(f"{s}._isActive").alias("is_active"),
-        to_flag(f"{s}._deleted").alias("deleted"),
-        to_flag(f"{s}._isCharter").alias("is_charter"),
-        to_flag(f"{s}._qtrain").alias("qtrain"),
-        to_flag(f"{s}._can").alias("can"),
+        typed(to_flag, f"{s}._isPassengerSvc", "is_passenger_svc"),
+        typed(to_flag, f"{s}._isActive", "is_active"),
+        typed(to_flag, f"{s}._deleted", "deleted"),
+        typed(to_flag, f"{s}._isCharter", "is_charter"),
+        typed(to_flag, f"{s}._qtrain", "qtrain"),
+        typed(to_flag, f"{s}._can", "can"),
+        typed(to_short, f"{s}.cancelReason._VALUE", "cancel_reason"),
+        F.col(f"{s}.cancelReason._tiploc").alias("cancel_reason_tiploc"),
+        typed(to_flag, f"{s}.cancelReason._near", "cancel_reason_near"),
     ]
 
 
-def point_columns(p: str) -> list[Column]:
+def point_columns(p: str, typed: Typed) -> list[Column]:
     return [
         F.col(f"{p}._kind").alias("kind"),
         F.col(f"{p}._tpl").alias("tpl"),
         F.col(f"{p}._act").alias("act"),
         F.col(f"{p}._planAct").alias("plan_act"),
-        to_flag(f"{p}._can").alias("can"),
+        typed(to_flag, f"{p}._can", "can"),
         F.col(f"{p}._fid").alias("fid"),
         F.col(f"{p}._plat").alias("platform"),
         *_circular(p),
-        F.col(f"{p}._avgLoading").try_cast("int").alias("avg_loading"),
-        to_short(f"{p}._rdelay").alias("rdelay"),
+        typed(to_int, f"{p}._avgLoading", "avg_loading"),
+        typed(to_short, f"{p}._rdelay", "rdelay"),
         F.col(f"{p}._fd").alias("fd"),
     ]
 
 
 def schedule_items(docs: DataFrame) -> DataFrame:
-    return _items(docs, "schedule", SCHEDULE, points_in_order(F.col("xml")))
+    return _items(docs, "schedule", SCHEDULE, None if "schedule" in docs.columns else points_in_order(F.col("xml")))
 
 
 def schedules(docs: DataFrame) -> DataFrame:
     """One row per schedule: header, cancel reason and the number of calling points."""
+    typed = Typed()
     return schedule_items(docs).select(
         *ENVELOPE,
         "item_index",
-        *schedule_columns("item"),
-        to_short("item.cancelReason._VALUE").alias("cancel_reason"),
-        F.col("item.cancelReason._tiploc").alias("cancel_reason_tiploc"),
-        to_flag("item.cancelReason._near").alias("cancel_reason_near"),
+        *schedule_columns("item", typed),
         F.coalesce(F.size("item.pt"), F.lit(0)).alias("points"),
+        typed.malformed(),
+    )
+
+
+def schedule_history(docs: DataFrame) -> DataFrame:
+    """Schedules sent (``op`` is ``set``) and taken back (``remove``) as one history, from one parse."""
+    typed = Typed()
+    parsed = docs if "schedule" in docs.columns else parse_documents(docs, ["schedule", "deactivated"])
+    fields = T.DataType.fromDDL(SCHEDULE).fields
+    kind = f"array<struct<op:string,rank:int,item_index:int,item:{SCHEDULE}>>"
+
+    def entries(column: str, op: str, rank: int, item) -> Column:
+        made = F.transform(column, lambda x, i: F.struct(F.lit(op).alias("op"), F.lit(rank).alias("rank"), i.alias("item_index"), item(x).alias("item")))
+        return F.coalesce(made.cast(kind), F.array().cast(kind))
+
+    bare = lambda x: F.struct(*[(x["_rid"] if f.name == "_rid" else F.lit(None).cast(f.dataType)).alias(f.name) for f in fields])
+    both = F.concat(entries("schedule", "set", 0, lambda x: x), entries("deactivated", "remove", 1, bare))
+    rows = parsed.select(*ENVELOPE, F.explode(both).alias("e"))
+    return rows.select(
+        *ENVELOPE,
+        "e.item_index",
+        *schedule_columns("e.item", typed),
+        F.coalesce(F.size("e.item.pt"), F.lit(0)).alias("points"),
+        typed.malformed(),
+        "e.op",
+        "e.rank",
     )
 
 
@@ -254,29 +345,41 @@ def calling_points(docs: DataFrame) -> DataFrame:
     points = headed.select(
         *ENVELOPE, "item_index", "rid", "ssd", F.posexplode("listed").alias("pos", "p")
     )
-    return points.select(*ENVELOPE, "item_index", "rid", "ssd", "pos", *point_columns("p"))
+    typed = Typed()
+    return points.select(*ENVELOPE, "item_index", "rid", "ssd", "pos", *point_columns("p", typed), typed.malformed())
 
 
 def reasons(docs: DataFrame) -> DataFrame:
-    """Late running and cancel reasons; ``domain`` tells the two code lists apart."""
-
-    def of(items: DataFrame, element: str, domain: str) -> DataFrame:
-        r = f"item.{element}"
-        return items.where(F.col(r).isNotNull()).select(
-            *ENVELOPE,
-            F.col("item._rid").alias("rid"),
-            F.lit(domain).alias("domain"),
-            to_short(f"{r}._VALUE").alias("code"),
-            F.col(f"{r}._tiploc").alias("tiploc"),
-            to_flag(f"{r}._near").alias("near"),
+    """Late running and cancel reasons; ``domain`` tells the two code lists apart. One parse finds
+    both."""
+    xml, typed = F.col("xml"), Typed()
+    if "TS" not in docs.columns:
+        told = docs.where(has_element(xml, "LateReason") | has_element(xml, "cancelReason"))
+        inside = f"TS:array<struct<_rid:string,LateReason:{REASON}>>,schedule:array<struct<_rid:string,cancelReason:{REASON}>>"
+        ddl = (
+            f"struct<{strings('_ts')},uR:struct<{strings('_updateOrigin', '_requestSource', '_requestID')},{inside}>,"
+            f"sR:struct<{inside}>>"
         )
-
-    xml = F.col("xml")
-    late = _items(docs.where(has_element(xml, "LateReason")), "TS", f"struct<_rid:string,LateReason:{REASON}>")
-    cancelled = _items(
-        docs.where(has_element(xml, "cancelReason")), "schedule", f"struct<_rid:string,cancelReason:{REASON}>"
+        texts = told.select("sequence_number", feed_version(xml).alias("feed_version"), "xml")
+        parsed = texts.select("sequence_number", "feed_version", parse_once(xml, ddl).alias("m"))
+        docs = parsed.select(*_envelope(), *[F.coalesce(f"m.uR.{kind}", f"m.sR.{kind}").alias(kind) for kind in ("TS", "schedule")])
+    kind = f"array<struct<domain:string,rid:string,reason:{REASON}>>"
+
+    def listed(column: str, element: str, domain: str) -> Column:
+        given = F.filter(column, lambda x: x[element].isNotNull())
+        made = F.transform(given, lambda x: F.struct(F.lit(domain).alias("domain"), x["_rid"].alias("rid"), x[element].alias("reason")))
+        return F.coalesce(made.cast(kind), F.array().cast(kind))
+
+    both = F.concat(listed("TS", "LateReason", "late"), listed("schedule", "cancelReason", "cancel"))
+    return docs.select(*ENVELOPE, F.explode(both).alias("r")).select(
+        *ENVELOPE,
+        "r.rid",
+        "r.domain",
+        typed(to_short, "r.reason._VALUE", "code"),
+        F.col("r.reason._tiploc").alias("tiploc"),
+        typed(to_flag, "r.reason._near", "near"),
+        typed.malformed(),
     )
-    return of(late, "LateReason", "late").unionByName(of(cancelled, "cancelReason", "cancel"))
 
 
 def deactivations(docs: DataFrame) -> DataFrame:
@@ -285,7 +388,7 @@ def deactivations(docs: DataFrame) -> DataFrame:
     )
 
 
-def association_columns(a: str) -> list[Column]:
+def association_columns(a: str, typed: Typed) -> list[Column]:
     return [
         F.col(f"{a}._tiploc").alias("tiploc"),
         F.col(f"{a}._category").alias("category"),
@@ -293,13 +396,14 @@ def association_columns(a: str) -> list[Column]:
         *_circular(f"{a}.main", "main_"),
         F.col(f"{a}.assoc._rid").alias("assoc_rid"),
         *_circular(f"{a}.assoc", "assoc_"),
-        to_flag(f"{a}._isCancelled").alias("is_cancelled"),
-        to_flag(f"{a}._isDeleted").alias("is_deleted"),
+        typed(to_flag, f"{a}._isCancelled", "is_cancelled"),
+        typed(to_flag, f"{a}._isDeleted", "is_deleted"),
+        typed.malformed(),
     ]
 
 
 def associations(docs: DataFrame) -> DataFrame:
-    return _items(docs, "association", ASSOCIATION).select(*ENVELOPE, "item_index", *association_columns("item"))
+    return _items(docs, "association", ASSOCIATION).select(*ENVELOPE, "item_index", *association_columns("item", Typed()))
 
 
 def formations(docs: DataFrame) -> DataFrame:
@@ -338,6 +442,12 @@ def coaches(formation_rows: DataFrame) -> DataFrame:
     )
 
 
+def _unread(cast, text: Column, name: str) -> Column:
+    typed = Typed()
+    typed(cast, text, name)
+    return typed.malformed()
+
+
 def loadings(docs: DataFrame) -> DataFrame:
     """One row per loading message with its coach values as an array."""
     return _items(docs, "formationLoading", LOADING).select(
@@ -351,9 +461,10 @@ def loadings(docs: DataFrame) -> DataFrame:
             F.coalesce("item.loading", F.array().cast("array<struct<_VALUE:string,_coachNumber:string,_src:string,_srcInst:string>>")),
             lambda x: F.struct(
                 x["_coachNumber"].alias("coach_number"),
-                x["_VALUE"].try_cast("int").alias("loading"),
+                to_int(x["_VALUE"]).alias("loading"),
                 x["_src"].alias("src"),
                 x["_srcInst"].alias("src_inst"),
+                _unread(to_int, x["_VALUE"], "loading"),
             ),
         ).alias("loadings"),
     )
@@ -371,33 +482,26 @@ def station_messages(docs: DataFrame) -> DataFrame:
     The message body is mixed markup, so it is taken from the text of the element: tags away
     for ``body``, anchor targets for ``links``.
     """
-    xml = F.col("xml")
-    texts = docs.where(has_element(xml, "OW")).select(
-        "sequence_number",
-        feed_version(xml).alias("feed_version"),
-        to_local_time(F.regexp_extract(xml, r"(?s)<(?:\w+:)?Pport\s[^>]*?\sts=[\"']([^\"']*)", 1)).alias("doc_ts"),
-        F.posexplode(fragments(xml, "OW")).alias("item_index", "ow"),
-    )
+    if "OW" not in docs.columns:
+        docs = parse_documents(docs.where(has_element(F.col("xml"), "OW")), ["OW"])
+    texts = docs.select(*ENVELOPE, F.posexplode("OW").alias("item_index", "ow"))
     parsed = texts.select(
-        "sequence_number",
-        "feed_version",
-        "doc_ts",
+        *ENVELOPE,
         "item_index",
         inner(F.col("ow"), "Msg").alias("msg"),
         parse_once(F.col("ow"), f"struct<{STATION_MESSAGE_FIELDS}>").alias("o"),
     )
-    body = F.col("msg")
+    body, typed = F.col("msg"), Typed()
     told = parsed.select(
-        "sequence_number",
-        "feed_version",
-        "doc_ts",
+        *ENVELOPE,
         "item_index",
-        F.col("o._id").try_cast("int").alias("id"),
+        typed(to_int, "o._id", "id"),
         F.col("o._cat").alias("category"),
         F.col("o._sev").alias("severity"),
-        to_flag("o._suppress").alias("suppress"),
+        typed(to_flag, "o._suppress", "suppress"),
         plain_text(body).alias("body"),
         links(body).alias("links"),
+        typed.malformed(),
         F.col("o.Station._crs").alias("listed"),
     )
     keep = [name for name in told.columns if name != "listed"]
@@ -406,6 +510,7 @@ def station_messages(docs: DataFrame) -> DataFrame:
 
 def train_alerts(docs: DataFrame) -> DataFrame:
     """One row per alert, service and location; alerts without services keep one row."""
+    typed, dated = Typed(), Typed()
     alerts = _items(docs, "trainAlert", TRAIN_ALERT).select(
         *ENVELOPE,
         "item_index",
@@ -414,22 +519,24 @@ def train_alerts(docs: DataFrame) -> DataFrame:
         F.col("item.Audience").alias("audience"),
         F.col("item.AlertType").alias("alert_type"),
         F.col("item.Source").alias("source"),
-        to_flag("item.SendAlertBySMS").alias("by_sms"),
-        to_flag("item.SendAlertByEmail").alias("by_email"),
-        to_flag("item.SendAlertByTwitter").alias("by_twitter"),
+        typed(to_flag, "item.SendAlertBySMS", "by_sms"),
+        typed(to_flag, "item.SendAlertByEmail", "by_email"),
+        typed(to_flag, "item.SendAlertByTwitter", "by_twitter"),
         F.col("item.CopiedFromAlertID").alias("copied_from_alert_id"),
         F.col("item.CopiedFromSource").alias("copied_from_source"),
+        typed.malformed(),
         F.col("item.AlertServices.AlertService").alias("listed"),
     )
-    alert = [name for name in alerts.columns if name != "listed"]
-    services = alerts.select(*alert, F.explode_outer("listed").alias("s")).select(
+    alert = [name for name in alerts.columns if name not in ("listed", "malformed")]
+    services = alerts.select(*alert, "malformed", F.explode_outer("listed").alias("s")).select(
         *alert,
         F.col("s._RID").alias("rid"),
         F.col("s._UID").alias("uid"),
-        to_date("s._SSD").alias("ssd"),
+        dated(to_date, "s._SSD", "ssd"),
+        F.concat("malformed", dated.malformed()).alias("malformed"),
         F.col("s.Location").alias("places"),
     )
-    return services.select(*alert, "rid", "uid", "ssd", F.explode_outer("places").alias("location"))
+    return services.select(*alert, "rid", "uid", "ssd", "malformed", F.explode_outer("places").alias("location"))
 
 
 def train_order_events(docs: DataFrame) -> DataFrame:
@@ -497,17 +604,15 @@ def alarms(docs: DataFrame) -> DataFrame:
 
 def failures(docs: DataFrame) -> DataFrame:
     """Failure responses: a code, a message, and the request they answer."""
-    xml = F.col("xml")
-    parsed = docs.where(has_element(xml, "FailureResp")).select(
-        "sequence_number", parse_once(xml, f"struct<_ts:string,FailureResp:{FAILURE}>").alias("m")
-    )
-    return parsed.where(F.col("m.FailureResp").isNotNull()).select(
+    if "FailureResp" not in docs.columns:
+        docs = parse_documents(docs.where(has_element(F.col("xml"), "FailureResp")), [])
+    return docs.where(F.col("FailureResp").isNotNull()).select(
         "sequence_number",
-        to_local_time("m._ts").alias("doc_ts"),
-        F.col("m.FailureResp._code").alias("code"),
-        F.col("m.FailureResp._VALUE").alias("message"),
-        F.col("m.FailureResp._requestSource").alias("request_source"),
-        F.col("m.FailureResp._requestID").alias("request_id"),
+        "doc_ts",
+        F.col("FailureResp._code").alias("code"),
+        F.col("FailureResp._VALUE").alias("message"),
+        F.col("FailureResp._requestSource").alias("request_source"),
+        F.col("FailureResp._requestID").alias("request_id"),
     )
 
 

@@ -16,8 +16,17 @@ from trackside.plans.joins import sorted_join
 ORDER = ["doc_ts", "sequence_number", "item_index"]
 
 
+def _ordered(rows: DataFrame, order: list[str]) -> None:
+    """Refuse an order by text, where 9 comes after 10."""
+    kinds = dict(rows.dtypes)
+    texts = [name for name in order if kinds[name] == "string"]
+    if texts:
+        raise TypeError(f"cannot order by text: {', '.join(texts)}")
+
+
 def latest(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The last row per key by ``order``; ties are settled by the other columns' values."""
+    _ordered(rows, order)
     rest = [name for name in rows.columns if name not in keys and name not in order]
     last = rows.groupBy(*keys).agg(F.max(F.struct(*order, *rest)).alias("_last"))
     picked = {name: F.col(name) if name in keys else F.col(f"_last.{name}") for name in rows.columns}
@@ -26,6 +35,7 @@ def latest(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 def first(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The first row per key by ``order``."""
+    _ordered(rows, order)
     rest = [name for name in rows.columns if name not in keys and name not in order]
     head = rows.groupBy(*keys).agg(F.min(F.struct(*order, *rest)).alias("_first"))
     picked = {name: F.col(name) if name in keys else F.col(f"_first.{name}") for name in rows.columns}
@@ -49,8 +59,9 @@ def schedule_events(schedules: DataFrame, deactivations: DataFrame) -> DataFrame
 
 
 def in_force(last_events: DataFrame) -> DataFrame:
-    """Of the last event per schedule those that put one, unless it was put as deleted."""
-    put = (F.col("op") == "set") & ~F.coalesce("deleted", F.lit(False))
+    """Of the last event per schedule those that put one, unless it was put as deleted, or as
+    inactive until a later message says otherwise."""
+    put = (F.col("op") == "set") & ~F.coalesce("deleted", F.lit(False)) & F.coalesce("is_active", F.lit(True))
     return last_events.where(put).drop("op", "rank")
 
 
@@ -59,22 +70,38 @@ def schedule_state(schedules: DataFrame, deactivations: DataFrame) -> DataFrame:
     return in_force(latest(schedule_events(schedules, deactivations), ["rid"], SCHEDULE_ORDER))
 
 
-def actual_times(events: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Current actual time and estimate per key from forecast events.
+def fold_times(events: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Per key the last word on its actual time (``_at``) and on its estimate (``_et``), each with
+    its place in the order, so that folds of several batches can be folded again.
 
-    An actual time stands until a later event sets another or withdraws it (``at_removed``,
-    which is sent once); the estimate is the last one sent. One aggregate finds both.
+    An actual time stands until a later event sets another or withdraws it (``at_removed``, which
+    is sent once and never in a snapshot). A snapshot says all there is: what it leaves out is gone.
     """
+    _ordered(events, order)
     removed = F.coalesce("at_removed", F.lit(False))
+    whole = F.coalesce(F.col("response") == "snapshot", F.lit(False)) if "response" in events.columns else F.lit(False)
     at = F.when(
-        removed | F.col("at").isNotNull(),
+        removed | whole | F.col("at").isNotNull(),
         F.struct(*order, F.when(~removed, F.col("at")).alias("at")),
     )
-    et = F.when(F.col("et").isNotNull(), F.struct(*order, "et"))
-    folded = events.groupBy(*keys).agg(F.max(at).alias("_at"), F.max(et).alias("_et"))
+    et = F.when(whole | F.col("et").isNotNull(), F.struct(*order, "et"))
+    return events.groupBy(*keys).agg(F.max(at).alias("_at"), F.max(et).alias("_et"))
+
+
+def merge_times(folded: DataFrame, keys: list[str]) -> DataFrame:
+    """One fold out of several."""
+    return folded.groupBy(*keys).agg(F.max("_at").alias("_at"), F.max("_et").alias("_et"))
+
+
+def shown_times(folded: DataFrame, keys: list[str]) -> DataFrame:
     return folded.select(*keys, F.col("_at.at").alias("at"), F.col("_et.et").alias("et"))
 
 
+def actual_times(events: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Current actual time and estimate per key from forecast events, see :func:`fold_times`."""
+    return shown_times(fold_times(events, keys, order), keys)
+
+
 def overlay(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Snapshot rows overlaid by updates: the last row per key by time, and at the same time the
     update. Both come from one table with the column ``response``, so it is read once."""
@@ -89,26 +116,14 @@ REQUEST_KEY = ["request_source", "request_id"]
 def distinct_requests(rows: DataFrame, order: list[str]) -> DataFrame:
     """Drop repeats of an originated update; rows without both parts of the key all stay.
 
-    Rows without the key never meet in a shuffle, so their number does not matter.
+    Rows without the key never meet in a shuffle, so their number does not matter. On a stream each
+    batch is reduced by this and kept as files, and so are all batches when they are read: a first
+    row that comes late still replaces the repeats before it.
     """
     keyed = F.col("request_source").isNotNull() & F.col("request_id").isNotNull()
     return first(rows.where(keyed), REQUEST_KEY, order).unionByName(rows.where(~keyed))
 
 
-def distinct_requests_stream(rows: DataFrame, time: str, delay: str, salts: int = 16) -> DataFrame:
-    """The same on a stream: repeats within ``delay`` of each other are dropped.
-
-    A request may be repeated very often, so its rows are first reduced in several places, by a
-    salt from the row's own number, and what is left of them in one.
-    """
-    keyed = F.col("request_source").isNotNull() & F.col("request_id").isNotNull()
-    # A watermark needs the zoned type.
-    timed = rows.where(keyed).withColumn("_time", F.col(time).cast("timestamp")).withWatermark("_time", delay)
-    salted = timed.withColumn("_salt", F.pmod(F.xxhash64("sequence_number"), F.lit(salts)))
-    once = salted.dropDuplicatesWithinWatermark([*REQUEST_KEY, "_salt"]).dropDuplicatesWithinWatermark(REQUEST_KEY)
-    return once.drop("_time", "_salt").unionByName(rows.where(~keyed))
-
-
 LOADING_KEY = ["rid", "fid", "tpl", "wta", "wtd", "wtp", "pta", "ptd"]
 
 

@@ -13,7 +13,7 @@ from trackside.session import work_dir
 from trackside.sources import timetable
 from trackside.sources.tables import read_table, spread, stream_table
 from trackside.streaming import jobs, sinks
-from trackside.streaming.stores import read_batches
+from trackside.streaming.stores import read_batches, upsert_view, whole_keys
 from trackside.testfeed import fields as f
 from trackside.testfeed import frames as feed
 from trackside.testfeed import messages as m
@@ -77,12 +77,39 @@ def frames_documents(spark: SparkSession, sf: str) -> DataFrame:
     used = messages.forecasts(documents.where("reason is null")).select(
         F.concat_ws(" ", F.lit("forecasts of version"), "feed_version").alias("outcome"), "sequence_number"
     )
-    lost = decode.rejects(documents).select(F.col("reason").alias("outcome"), "sequence_number")
+    lost = _seq(decode.rejects(documents)).select(F.col("reason").alias("outcome"), "sequence_number")
     return used.unionByName(lost).groupBy("outcome").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(F.col("sequence_number").cast("bigint")).alias("sequence_sum")
+        F.count(F.lit(1)).alias("rows"), F.sum("sequence_number").alias("sequence_sum")
     )
 
 
+def frames_raw_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """The raw store's view of location rows; a train that calls at a place twice in one message
+    leaves its last call there."""
+    rows = decode.locations(decode.decode_frames(feed.status_frames(orders(spark, sf), broken=False)), place=True)
+    return upsert_view(whole_keys(rows))
+
+
+def stream_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """Frames of several kinds as a stream, each document parsed once; rows per table and rejects."""
+    path = work_dir(spark, "kinds")
+    frames = feed.frames_of(m.mixed_documents(stream_table(spark, sf, "orders")), "X")
+    tables = ["schedules", "deactivations", "alarms", "station_messages"]
+    query = jobs.start_messages(
+        frames,
+        tables={name: sinks.file_writer(f"{path}/{name}") for name in tables},
+        reject=sinks.file_writer(f"{path}/rejects"),
+        checkpoint=f"{path}/checkpoint",
+        drain=True,
+    )
+    sinks.drain(query)
+    counts = [read_batches(spark, f"{path}/{name}").agg(F.lit(name).alias("table"), F.count(F.lit(1)).alias("rows")) for name in [*tables, "rejects"]]
+    merged = counts[0]
+    for one in counts[1:]:
+        merged = merged.union(one)
+    return merged
+
+
 def stream_intake(spark: SparkSession, sf: str) -> DataFrame:
     """Frames as a stream, decoded once per batch into records and rejects."""
     path = work_dir(spark, "intake")
@@ -271,6 +298,21 @@ def facet_rejects(spark: SparkSession, sf: str) -> DataFrame:
     return broken.select("sequence_number", "train_index", "location_index", "rule")
 
 
+def malformed_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows per rule that values broke which could not be read, and per column that stays without
+    its default for that."""
+    docs = feed.spoiled_documents(orders(spark, sf))
+    rows = messages.forecasts(docs)
+    found = [
+        quality.invalid_rows(quality.broken_rules(rows, "forecast")).select("rule"),
+        quality.invalid_rows(quality.broken_rules(messages.forecast_events(rows), "forecast_event")).where("rule = 'delayed'").select("rule"),
+    ]
+    filled = quality.fill_defaults(rows, "forecast")
+    blank = [F.when(F.col(name).isNull(), F.lit(f"{name} blank")) for name in ("length", "suppr", "platsup", "is_reverse_formation")]
+    left = filled.select(F.explode(F.array_compact(F.array(*blank))).alias("rule"))
+    return found[0].union(found[1]).union(left).groupBy("rule").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def facet_valid(spark: SparkSession, sf: str) -> DataFrame:
     """Calling points of which every value keeps its rule, by kind."""
     rows = messages.calling_points(m.schedule_documents(orders(spark, sf)))
@@ -335,6 +377,9 @@ QUERIES = {
         frames_message_types,
         frames_documents,
         stream_intake,
+        frames_raw_upsert,
+        stream_messages,
+        malformed_values,
         forecast_rows,
         forecast_long,
         defaults_filled,
@@ -463,7 +508,24 @@ ORACLE = {
         TRUE AS is_passenger_svc, {_K} % 14 <> 0 AS is_active, {_K} % 37 = 0 AS deleted,
         CASE WHEN {_K} % 21 = 0 THEN CAST(500 + {_K} % 40 AS SMALLINT) END AS cancel_reason,
         CASE WHEN {_K} % 42 = 0 THEN {f.place('0')} END AS cancel_reason_tiploc, CAST({f.POINTS} AS INTEGER) AS points {_O}""",
-    "usable_schedules": f"SELECT {_K} AS sequence_number, {_RID} AS rid {_O} WHERE {_K} % 37 <> 0",
+    "usable_schedules": f"SELECT {_K} AS sequence_number, {_RID} AS rid {_O} WHERE {_K} % 37 <> 0 AND {_K} % 14 <> 0",
+    "frames_raw_upsert": f"""{_P} SELECT {', '.join(RECORD_FIELDS)} FROM (
+        {_locations(False, 'TRUE').replace(_P, '').replace('SELECT CAST', 'SELECT o_orderkey, i, CAST', 1)})
+        QUALIFY row_number() OVER (PARTITION BY unique_id, location_code, schedule_id ORDER BY o_orderkey DESC, i DESC) = 1""",
+    "stream_messages": f"""SELECT 'schedules' AS "table", CAST(sum({_K} % 3) AS BIGINT) AS "rows" {_O}
+        UNION ALL SELECT 'deactivations', CAST(sum({_K} % 2) AS BIGINT) {_O} UNION ALL SELECT 'alarms', CAST(sum({_K} % 5) AS BIGINT) {_O}
+        UNION ALL SELECT 'station_messages', CAST(0 AS BIGINT)
+        UNION ALL SELECT 'rejects', count(*) {_O} WHERE {_K} % 3 = 0 AND {_K} % 2 = 0 AND {_K} % 5 = 0""",
+    "malformed_values": f"""{_P}, b AS (SELECT *, ({_K} % 5 = 0) AS ssd_bad, (({_K} + i) % 7 = 0 AND {_K} % 6 = 1) AS length_bad,
+          (({_K} + i) % 8 = 0 AND {_K} % 6 = 1) AS suppr_bad, (platform IS NOT NULL AND ({_K} + i) % 3 = 0 AND {_K} % 4 = 1) AS platsup_bad,
+          ({_LATE} AND {_K} % 2 = 1) AS late_bad, ({_K} % 12 = 0 AND NOT second_train AND {_K} % 5 = 1) AS reverse_bad,
+          (shape <= 2 AND ({_K} + i) % 9 = 0 AND {_K} % 4 = 2) AS delayed_bad FROM p)
+        SELECT rule, count(*) AS "rows" FROM (SELECT unnest(list_filter([CASE WHEN ssd_bad THEN 'ssd' END,
+            CASE WHEN length_bad THEN 'length' END, CASE WHEN suppr_bad THEN 'suppr' END, CASE WHEN platsup_bad THEN 'platsup' END,
+            CASE WHEN late_bad THEN 'late_reason' END, CASE WHEN reverse_bad THEN 'is_reverse_formation' END,
+            CASE WHEN delayed_bad THEN 'delayed' END, CASE WHEN length_bad THEN 'length blank' END, CASE WHEN suppr_bad THEN 'suppr blank' END,
+            CASE WHEN platsup_bad THEN 'platsup blank' END, CASE WHEN reverse_bad THEN 'is_reverse_formation blank' END],
+            lambda r: r IS NOT NULL)) AS rule FROM b) GROUP BY rule""",
     "calling_points": f"""{_SP} SELECT sequence_number, rid, ssd, pos, kind, tpl, act, wta, wtd, wtp, pta, ptd, can, fid, rdelay FROM s""",
     "activity_codes": f"""{_SP} SELECT sequence_number, pos, substr(code, CAST(1 + 2 * c AS INTEGER), 2) AS activity FROM (
         SELECT sequence_number, pos, coalesce(act, '  ') AS code,

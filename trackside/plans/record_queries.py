@@ -110,7 +110,20 @@ def keyed_store(spark: SparkSession, sf: str) -> DataFrame:
 def keyed_lookup(spark: SparkSession, sf: str) -> DataFrame:
     path = work_dir(spark, "keyed")
     stores.append_keyed(parse_records(records(spark, sf)), 0, path)
-    return stores.read_key(spark, path, "C00008", "ERROR")
+    return stores.read_key(spark, path, "C00008", "E5RROR")
+
+
+def keyed_lookup_folded(spark: SparkSession, sf: str) -> DataFrame:
+    """The same after the store was folded, twice and into different numbers of buckets, and has a
+    batch that came later."""
+    path = work_dir(spark, "keyed")
+    rows = parse_records(records(spark, sf))
+    part = F.col("sequence_number").cast("bigint") % 3
+    for number, buckets in ((0, 7), (1, 5)):
+        stores.append_keyed(rows.where(part == number), number, path)
+        stores.compact_keyed(spark, path, buckets)
+    stores.append_keyed(rows.where(part == 2), 2, path)
+    return stores.read_key(spark, path, "C00008", "E5RROR")
 
 
 def time_partitioned_write(spark: SparkSession, sf: str) -> DataFrame:
@@ -201,6 +214,7 @@ QUERIES = {
         raw_rejects,
         keyed_store,
         keyed_lookup,
+        keyed_lookup_folded,
         time_partitioned_write,
         time_range_read,
         stream_clean_available_now,
@@ -245,6 +259,8 @@ _LATEST = (
     f"ORDER BY CAST(sequence_number AS BIGINT) DESC) AS n FROM r) WHERE n = 1"
 )
 
+_LOOKED_UP = f"{_R} SELECT * FROM ({_LATEST}) WHERE unique_id = 'C00008' AND location_code = 'E5RROR'"
+
 _BROKEN = "(event_id % 10 = 3 OR event_id % 15 = 4)"
 
 
@@ -284,7 +300,8 @@ ORACLE = {
     "raw_upsert": f"{_R} {_LATEST}",
     "raw_rejects": f"SELECT count(*) AS rejected, CAST(0 AS BIGINT) AS with_sequence FROM events WHERE {_BROKEN}",
     "keyed_store": f"{_R} {_LATEST}",
-    "keyed_lookup": f"{_R} SELECT * FROM ({_LATEST}) WHERE unique_id = 'C00008' AND location_code = 'ERROR'",
+    "keyed_lookup": _LOOKED_UP,
+    "keyed_lookup_folded": _LOOKED_UP,
     "time_partitioned_write": _CLEAN,
     "time_range_read": f"""SELECT * FROM ({_CLEAN})
         WHERE actual_arrival >= TIMESTAMP '2024-01-03 12:00:00' AND actual_arrival < TIMESTAMP '2024-01-05 06:30:00'""",

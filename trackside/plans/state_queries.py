@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackside.operators import journey, messages, reference, state
+from trackside.operators import decode, journey, messages, reference, state
 from trackside.plans.joins import balanced_join
 from trackside.plans.message_queries import orders, status_rows
 from trackside.session import landed, work_dir
 from trackside.sources.tables import read_table, spread, stream_table
 from trackside.streaming import jobs, sinks
-from trackside.streaming.stores import read_batches
 from trackside.testfeed import fields as f
+from trackside.testfeed import frames as feed
 from trackside.testfeed import messages as m
 from trackside.testfeed.frames import POINTS_SQL
 
@@ -141,11 +141,28 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def schedule_state(spark: SparkSession, sf: str) -> DataFrame:
-    docs = m.schedule_event_documents(events(spark, sf))
-    now = state.schedule_state(messages.schedules(docs), messages.deactivations(docs))
+    history = messages.schedule_history(m.schedule_event_documents(events(spark, sf)))
+    now = state.in_force(state.latest(history, ["rid"], state.SCHEDULE_ORDER))
     return now.select("rid", "uid", "train_id", "doc_ts", "sequence_number")
 
 
+def _from_frames(docs: DataFrame, kind: str) -> DataFrame:
+    """Documents of one moment through push frames; their sequence went along as text."""
+    documents = decode.read_documents(feed.frames_of(feed.at_once(docs), kind))
+    return documents.where("reason is null")
+
+
+def frames_schedule_state(spark: SparkSession, sf: str) -> DataFrame:
+    history = messages.schedule_history(_from_frames(m.schedule_event_documents(events(spark, sf)), "SC"))
+    now = state.in_force(state.latest(history, ["rid"], state.SCHEDULE_ORDER))
+    return now.select("rid", "uid", "train_id", "sequence_number")
+
+
+def frames_alarm_state(spark: SparkSession, sf: str) -> DataFrame:
+    now = state.set_clear_state(messages.alarms(_from_frames(m.alarm_documents(events(spark, sf)), "AL")), ["id"])
+    return now.select("id", "kind", "area", "sequence_number")
+
+
 def alarm_state(spark: SparkSession, sf: str) -> DataFrame:
     now = state.set_clear_state(messages.alarms(m.alarm_documents(events(spark, sf))), ["id"])
     return now.select("id", "kind", "area", "sequence_number")
@@ -169,8 +186,7 @@ def alarm_state_stream(spark: SparkSession, sf: str) -> DataFrame:
 def schedule_state_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The schedule state kept on a stream."""
     path = work_dir(spark, "schedules")
-    docs = m.schedule_event_documents(stream_table(spark, sf, "events"))
-    history = state.schedule_events(messages.schedules(docs), messages.deactivations(docs))
+    history = messages.schedule_history(m.schedule_event_documents(stream_table(spark, sf, "events")))
     sinks.drain(jobs.start_state(history, ["rid"], state.SCHEDULE_ORDER, f"{path}/state", f"{path}/checkpoint", drain=True))
     now = state.in_force(jobs.read_state(spark, f"{path}/state", ["rid"], state.SCHEDULE_ORDER))
     return now.select("rid", "uid", "train_id", "doc_ts", "sequence_number")
@@ -181,9 +197,9 @@ def at_retract_stream(spark: SparkSession, sf: str) -> DataFrame:
     path = work_dir(spark, "times")
     docs = m.forecast_event_documents(stream_table(spark, sf, "events"))
     history = messages.forecast_events(messages.forecasts(docs))
-    now = state.actual_times(history, FORECAST_KEY, ["doc_ts", "sequence_number"])
-    sinks.drain(jobs.start_fold(now, f"{path}/state", f"{path}/checkpoint", drain=True))
-    return jobs.read_fold(spark, f"{path}/state", FORECAST_KEY)
+    order = ["doc_ts", "sequence_number"]
+    sinks.drain(jobs.start_times(history, FORECAST_KEY, order, f"{path}/state", f"{path}/checkpoint", drain=True))
+    return jobs.read_times(spark, f"{path}/state", FORECAST_KEY)
 
 
 FORECAST_KEY = ["rid", "tpl", "wta", "event"]
@@ -211,13 +227,14 @@ def request_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def request_dedup_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The same on a stream. Which of several copies stays is open there, so keys are shown."""
+    """The same on a stream of four files, in which the first of several copies often comes last."""
     path = work_dir(spark, "requests")
-    rows = messages.envelopes(m.mixed_documents(stream_table(spark, sf, "orders")))
-    once = state.distinct_requests_stream(rows, "doc_ts", "60 days")
-    sinks.drain(sinks.start_batches(once, sinks.file_writer(f"{path}/rows"), f"{path}/checkpoint", drain=True))
-    held = read_batches(spark, f"{path}/rows")
-    return held.groupBy("request_source", "request_id").agg(F.count(F.lit(1)).alias("rows"))
+    docs = m.mixed_documents(read_table(spark, sf, "orders"))
+    docs.repartitionByRange(4, F.col("sequence_number").desc()).write.parquet(f"{path}/documents")
+    arriving = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/documents")
+    order = ["doc_ts", "sequence_number"]
+    sinks.drain(jobs.start_requests(messages.envelopes(arriving), order, f"{path}/rows", f"{path}/checkpoint", drain=True))
+    return jobs.read_requests(spark, f"{path}/rows", order).select("sequence_number", "request_source", "request_id")
 
 
 def formation_loading(spark: SparkSession, sf: str) -> DataFrame:
@@ -243,6 +260,8 @@ QUERIES = {
         instance_match,
         via_text,
         schedule_state,
+        frames_schedule_state,
+        frames_alarm_state,
         alarm_state,
         train_order_state,
         alarm_state_stream,
@@ -316,18 +335,29 @@ _REQUESTS = f"""SELECT o_orderkey AS sequence_number, CAST({f.DOC_TS} AS TIMESTA
   CASE WHEN o_orderkey % 7 <> 0 AND o_orderkey % 4 > 0 THEN {m.REQUEST_ID} END AS request_id FROM orders"""
 _KEYED = "request_source IS NOT NULL AND request_id IS NOT NULL"
 
+_REQUEST_DEDUP = f"""WITH r AS ({_REQUESTS})
+        SELECT sequence_number, request_source, request_id FROM r WHERE NOT ({_KEYED})
+        UNION ALL SELECT sequence_number, request_source, request_id FROM (SELECT * FROM r WHERE {_KEYED}
+          QUALIFY row_number() OVER (PARTITION BY request_source, request_id ORDER BY doc_ts, sequence_number) = 1)"""
+
 _SCHEDULE_STATE = f"""SELECT rid, uid, train_id, doc_ts, event_id AS sequence_number FROM (
         SELECT {m.EVENT_RID} AS rid, concat('C', lpad(CAST(user_id AS VARCHAR), 5, '0')) AS uid,
           concat('1A', lpad(CAST(event_id % 100 AS VARCHAR), 2, '0')) AS train_id, date_trunc('second', ts) AS doc_ts, event_id, event_type,
           CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
           row_number() OVER (PARTITION BY user_id ORDER BY date_trunc('second', ts) DESC, event_id DESC) AS n FROM events)
-        WHERE n = 1 AND event_type <> 'error' AND k % 17 <> 0"""
+        WHERE n = 1 AND event_type <> 'error' AND k % 17 <> 0 AND k % 13 <> 0"""
+
+
+def _in_sequence(sql: str) -> str:
+    """The same where all documents are of one moment."""
+    return sql.replace("ORDER BY date_trunc('second', ts) DESC, event_id DESC", "ORDER BY event_id DESC")
+
 
 _ACTUAL_TIMES = f"""WITH x AS ({_FORECASTS}),
         a AS (SELECT rid, tpl, wta, event, CASE WHEN event_type = 'purchase' THEN "at" END AS "at" FROM x
-          WHERE event_type IN ('purchase', 'error')
+          WHERE event_type IN ('purchase', 'error') OR response = 'snapshot'
           QUALIFY row_number() OVER (PARTITION BY rid, tpl ORDER BY doc_ts DESC, seq DESC) = 1),
-        e AS (SELECT rid, tpl, et FROM x WHERE et IS NOT NULL
+        e AS (SELECT rid, tpl, et FROM x WHERE et IS NOT NULL OR response = 'snapshot'
           QUALIFY row_number() OVER (PARTITION BY rid, tpl ORDER BY doc_ts DESC, seq DESC) = 1)
         SELECT k.rid, k.tpl, k.wta, k.event, a."at", e.et FROM (SELECT DISTINCT rid, tpl, wta, event FROM x) k
         LEFT JOIN a ON a.rid = k.rid AND a.tpl = k.tpl LEFT JOIN e ON e.rid = k.rid AND e.tpl = k.tpl"""
@@ -369,6 +399,8 @@ ORACLE = {
           SELECT 1 FROM c b WHERE b.rid = x.rid AND b.tpl = v.loc2 AND b.pos > a.pos)))""",
     "schedule_state": _SCHEDULE_STATE,
     "schedule_state_stream": _SCHEDULE_STATE,
+    "frames_schedule_state": f"SELECT rid, uid, train_id, sequence_number FROM ({_in_sequence(_SCHEDULE_STATE)})",
+    "frames_alarm_state": _in_sequence(_ALARM_STATE),
     "at_retract_stream": _ACTUAL_TIMES,
     "alarm_state": _ALARM_STATE,
     "alarm_state_stream": _ALARM_STATE,
@@ -381,13 +413,8 @@ ORACLE = {
     "at_retract": _ACTUAL_TIMES,
     "snapshot_overlay": f"""SELECT rid, tpl, wta, event, response, seq AS sequence_number, et, "at" FROM ({_FORECASTS})
         QUALIFY row_number() OVER (PARTITION BY rid, tpl ORDER BY doc_ts DESC, response = 'update' DESC, seq DESC) = 1""",
-    "request_dedup": f"""WITH r AS ({_REQUESTS})
-        SELECT sequence_number, request_source, request_id FROM r WHERE NOT ({_KEYED})
-        UNION ALL SELECT sequence_number, request_source, request_id FROM (SELECT * FROM r WHERE {_KEYED}
-          QUALIFY row_number() OVER (PARTITION BY request_source, request_id ORDER BY doc_ts, sequence_number) = 1)""",
-    "request_dedup_stream": f"""WITH r AS ({_REQUESTS})
-        SELECT request_source, request_id, CAST(1 AS BIGINT) AS "rows" FROM r WHERE {_KEYED} GROUP BY request_source, request_id
-        UNION ALL SELECT request_source, request_id, count(*) FROM r WHERE NOT ({_KEYED}) GROUP BY request_source, request_id""",
+    "request_dedup": _REQUEST_DEDUP,
+    "request_dedup_stream": _REQUEST_DEDUP,
     "formation_loading": f"""SELECT {f.RID} AS rid, {m.FID} AS fid, {f.place('1')} AS tpl, {f.wtd('1')} AS wtd,
         substr('ABCDEFGH', CAST(i + 1 AS INT), 1) AS coach_number,
         CASE WHEN (o_orderkey + i + 2) % 3 > 0 THEN CAST((o_orderkey + i * 7 + 22) % 101 AS INTEGER) END AS loading

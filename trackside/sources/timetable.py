@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trackside.functions.values import to_flag, to_short
+from trackside.functions.values import Typed
 from trackside.functions.xml import fragments, parse_once, points_in_order
 from trackside.operators.messages import association_columns, point_columns, schedule_columns
 from trackside.schemas import ASSOCIATION_FIELDS, SCHEDULE_FIELDS
@@ -38,24 +38,22 @@ def read_journeys(spark: SparkSession, path: str, end: str = "</Journey>") -> Da
     ddl = f"struct<{SCHEDULE_FIELDS},_corrupt_record:string>"
     documents = _journey_documents(spark, path, end)
     parsed = documents.select(parse_once(points_in_order(F.col("xml")), ddl).alias("s"))
+    typed = Typed()
     return parsed.where(F.col("s._rid").isNotNull()).select(
-        *schedule_columns("s"),
-        to_short("s.cancelReason._VALUE").alias("cancel_reason"),
-        F.col("s.cancelReason._tiploc").alias("cancel_reason_tiploc"),
-        to_flag("s.cancelReason._near").alias("cancel_reason_near"),
-        F.col("s.pt").alias("points"),
+        *schedule_columns("s", typed), F.col("s.pt").alias("points"), typed.malformed()
     )
 
 
 def journey_points(journeys: DataFrame) -> DataFrame:
     """One row per calling point of :func:`read_journeys`."""
     exploded = journeys.select("rid", "ssd", F.posexplode("points").alias("pos", "p"))
-    return exploded.select("rid", "ssd", "pos", *point_columns("p"))
+    typed = Typed()
+    return exploded.select("rid", "ssd", "pos", *point_columns("p", typed), typed.malformed())
 
 
 def read_timetable_associations(spark: SparkSession, path: str) -> DataFrame:
     rows = _rows(spark, path, "Association", ASSOCIATION_FIELDS)
-    return rows.select(F.struct("*").alias("a")).select(*association_columns("a"))
+    return rows.select(F.struct("*").alias("a")).select(*association_columns("a", Typed()))
 
 
 def read_locations(spark: SparkSession, path: str) -> DataFrame:

@@ -3,23 +3,28 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from trackside.operators import messages
 from trackside.operators.clean import clean
-from trackside.operators.decode import decode_frames, locations, rejects
+from trackside.operators.decode import decode_frames, locations, read_documents, rejects
 from trackside.operators.parse import parse_records
 from trackside.operators.publish import to_records
-from trackside.operators.state import latest
+from trackside.operators.state import distinct_requests, fold_times, latest, merge_times, shown_times
 from trackside.schemas import RECORD_FIELDS
 from trackside.sources.tables import spread
-from trackside.streaming import sinks
-from trackside.streaming.stores import broken_keys, read_batches
+from trackside.streaming import sinks, versions
+from trackside.streaming.stores import broken_keys, last_written
 
 log = logging.getLogger(__name__)
 
+Fold = Callable[[DataFrame], DataFrame]
+
 
 def start_intake(
     frames: DataFrame,
@@ -49,7 +54,7 @@ def log_intake(decoded: DataFrame, batch_id: int) -> None:
         F.count(F.lit(1)).alias("frames"),
         F.approx_count_distinct("message_type").alias("types"),
         F.count("reason").alias("rejected"),
-        F.max("sequence_number").alias("last"),
+        F.max(F.col("sequence_number").try_cast("bigint")).alias("last"),
     ).first()
     log.info(
         "batch %s: %s frames of %s types, %s rejected, last sequence %s",
@@ -57,6 +62,48 @@ def log_intake(decoded: DataFrame, batch_id: int) -> None:
     )
 
 
+# The tables that documents can be turned into: the kinds they are made of, and how.
+TABLES: dict[str, tuple[list[str], Fold]] = {
+    "forecasts": (["TS"], messages.forecasts),
+    "schedules": (["schedule"], messages.schedules),
+    "calling_points": (["schedule"], messages.calling_points),
+    "reasons": (["TS", "schedule"], messages.reasons),
+    "deactivations": (["deactivated"], messages.deactivations),
+    "schedule_history": (["schedule", "deactivated"], messages.schedule_history),
+    "associations": (["association"], messages.associations),
+    "formations": (["scheduleFormations"], messages.formations),
+    "loadings": (["formationLoading"], messages.loadings),
+    "station_messages": (["OW"], messages.station_messages),
+    "train_alerts": (["trainAlert"], messages.train_alerts),
+    "train_orders": (["trainOrder"], messages.train_order_events),
+    "tracking_ids": (["trackingID"], messages.tracking_ids),
+    "alarms": (["alarm"], messages.alarms),
+    "failures": ([], messages.failures),
+}
+
+
+def start_messages(frames: DataFrame, tables: dict[str, sinks.Writer], reject: sinks.Writer, checkpoint: str, **run) -> StreamingQuery | None:
+    """Push frames to the asked tables of ``TABLES``: each frame is opened and each document parsed
+    once for all of them. ``reject`` gets frames that cannot be read, and documents of which no
+    asked kind and no failure is part."""
+    kinds = list(dict.fromkeys(kind for name in tables for kind in TABLES[name][0]))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        documents = read_documents(spread(batch)).persist(StorageLevel.MEMORY_AND_DISK)
+        parsed = messages.parse_documents(documents.where("reason is null"), kinds).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for name, writer in tables.items():
+                writer(TABLES[name][1](parsed), batch_id)
+            # Few rows, found by their sequence; their body is not needed again.
+            other = messages.without_kind(parsed, kinds).select(F.lit("no_kind").alias("reason"), F.col("sequence_number").cast("string").alias("sequence_number"))
+            reject(rejects(documents).unionByName(other, allowMissingColumns=True), batch_id)
+        finally:
+            parsed.unpersist()
+            documents.unpersist()
+
+    return sinks.start_batches(frames, write, checkpoint, **run)
+
+
 def start_stores(
     records: DataFrame,
     raw: sinks.Writer,
@@ -77,13 +124,14 @@ def start_stores(
         return parsed.select(*RECORD_FIELDS)
 
     writers = [
-        sinks.then(rows, raw),
-        sinks.then(lambda parsed: clean(parsed, today), cleaned),
+        sinks.then(last_written, raw),
+        sinks.then(lambda parsed: clean(rows(parsed), today), cleaned),
         *[sinks.then(rows, writer) for writer in extra or []],
     ]
     if reject:
         writers.append(sinks.then(lambda parsed: broken_keys(parsed).select("value", "sequence_number"), reject))
-    kept = ("value",) if reject else ()
+    # The offset tells which of two records of one message was written last.
+    kept = tuple(name for name in ("value", "offset") if name in records.columns and (reject or name != "value"))
     write = sinks.then(lambda batch: parse_records(spread(batch), keep=kept), sinks.fan_out(writers))
     return sinks.start_batches(records, write, checkpoint, **run)
 
@@ -99,8 +147,9 @@ def start_separately(
 ) -> list[StreamingQuery]:
     """The same as independent queries, each reading the source and advancing by itself."""
     parsed = parse_records(records)
+    kept = tuple(name for name in ("offset",) if name in records.columns)
     started = [
-        sinks.start_batches(parsed, raw, f"{checkpoint}/raw", **run),
+        sinks.start_batches(parse_records(records, keep=kept), sinks.then(last_written, raw), f"{checkpoint}/raw", **run),
         sinks.start_batches(clean(parsed, today), cleaned, f"{checkpoint}/clean", **run),
     ]
     if console:
@@ -110,30 +159,55 @@ def start_separately(
     return started
 
 
-def start_state(
-    events: DataFrame, keys: list[str], order: list[str], path: str, checkpoint: str, **run
+def start_fold(
+    events: DataFrame, fold: Fold, merge: Fold, path: str, checkpoint: str, every: int = 100, **run
 ) -> StreamingQuery | None:
-    """Keep the last event per key of a stream, as files.
+    """Keep a fold of a stream as files.
 
-    Each batch is reduced to its last event per key and added; :func:`read_state` takes the last
-    over all batches. Nothing grows in the executors, however many keys there are.
+    Each batch is reduced by ``fold`` and added; ``merge`` makes one fold out of several, when the
+    state is read and when ``every`` batches have come together. Nothing grows in the executors,
+    however many keys there are.
     """
-    write = sinks.then(lambda batch: latest(batch, keys, order), sinks.file_writer(path))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        versions.append(fold(batch).hint("rebalance"), batch_id, path)
+        if len(versions.open_batches(batch.sparkSession, path)) >= every:
+            versions.compact(batch.sparkSession, path, lambda rows: merge(rows.drop(versions.GENERATION)))
+
     return sinks.start_batches(events, write, checkpoint, **run)
 
 
+def read_fold(spark: SparkSession, path: str, merge: Fold) -> DataFrame:
+    """The state written by :func:`start_fold`."""
+    return merge(versions.read(spark, path).drop(versions.GENERATION))
+
+
+def start_state(events: DataFrame, keys: list[str], order: list[str], path: str, checkpoint: str, **run) -> StreamingQuery | None:
+    """Keep the last event per key of a stream."""
+    last = lambda rows: latest(rows, keys, order)
+    return start_fold(events, last, last, path, checkpoint, **run)
+
+
 def read_state(spark: SparkSession, path: str, keys: list[str], order: list[str]) -> DataFrame:
     """The last event per key written by :func:`start_state`."""
-    return latest(read_batches(spark, path), keys, order)
+    return read_fold(spark, path, lambda rows: latest(rows, keys, order))
+
+
+def start_times(events: DataFrame, keys: list[str], order: list[str], path: str, checkpoint: str, **run) -> StreamingQuery | None:
+    """Keep actual times and estimates of a stream of forecast events."""
+    return start_fold(events, lambda rows: fold_times(rows, keys, order), lambda rows: merge_times(rows, keys), path, checkpoint, **run)
+
+
+def read_times(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """Actual times and estimates written by :func:`start_times`."""
+    return shown_times(read_fold(spark, path, lambda rows: merge_times(rows, keys)), keys)
 
 
-def start_fold(folded: DataFrame, path: str, checkpoint: str, **run) -> StreamingQuery | None:
-    """Keep any aggregate of a stream: the engine holds its state, and each batch writes the keys
-    that changed. For folds that need more than the last event, over keys that stay few enough."""
-    return sinks.start_batches(folded, sinks.file_writer(path), checkpoint, output_mode="update", **run)
+def start_requests(rows: DataFrame, order: list[str], path: str, checkpoint: str, **run) -> StreamingQuery | None:
+    """Keep originated updates once each, the first by ``order`` whenever it comes."""
+    once = lambda batch: distinct_requests(batch, order)
+    return start_fold(rows, once, once, path, checkpoint, **run)
 
 
-def read_fold(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """The last value per key written by :func:`start_fold` from one checkpoint."""
-    written = spark.read.parquet(path).drop("query")
-    return latest(written, keys, ["batch_id"]).drop("batch_id")
+def read_requests(spark: SparkSession, path: str, order: list[str]) -> DataFrame:
+    return read_fold(spark, path, lambda rows: distinct_requests(rows, order))

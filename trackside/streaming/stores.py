@@ -1,39 +1,41 @@
 """The two stores as files: a keyed one for raw records, a dated one for clean rows.
 
-Each micro-batch writes its own folder, ``query=<id>/batch_id=<id>``, and overwrites it when the
-batch is run again, so a replay never doubles rows. A query keeps its id with its checkpoint; one
-started with a new checkpoint counts batches from 0 again and gets folders of its own.
+Batches write folders of their own and overwrite them when they are run again, so a replay never
+doubles rows. A query keeps its id with its checkpoint; one started with a new checkpoint counts
+batches from 0 again and gets folders of its own.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from trackside.operators.state import latest
-from trackside.schemas import RAW_KEY, RECORD_SCHEMA
+from trackside.schemas import RAW_KEY, RECORD_FIELDS, RECORD_SCHEMA
+from trackside.streaming import versions
 
 # The raw store places a record by these, and sorts by the rest of the key.
 RAW_PLACE = ["unique_id", "location_code"]
-RAW_ORDER = ["_sequence"]
-BUCKETS = 64
-FILES_PER_BUCKET = 8
+
+# Within one message the place in it decides, then the order on the topic.
+WITHIN = ["train_index", "location_index", "offset"]
+
+# Rows a bucket of a folded version holds about; what a lookup reads.
+ROWS_PER_BUCKET = 1_000_000
 
 DATE_COLUMN = "arrival_date"
 
 # Columns that come from folder names and are not part of a row.
-FOLDER_COLUMNS = ["query", "batch_id", "bucket", DATE_COLUMN]
+FOLDER_COLUMNS = ["query", "batch_id", DATE_COLUMN]
 
 
 def batch_path(rows: DataFrame, path: str, batch_id: int) -> str:
-    """Folder of a micro-batch; a table written outside a stream counts as query ``none``."""
-    query = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
-    return f"{path}/query={query}/batch_id={batch_id}"
+    """Folder of a micro-batch."""
+    return f"{path}/query={versions.query_id(rows)}/batch_id={batch_id}"
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    """All rows of a store, without the columns of its folders."""
+    """All rows of plain batch folders, without the columns of the folders."""
     return spark.read.parquet(path).drop(*FOLDER_COLUMNS)
 
 
@@ -43,8 +45,10 @@ def numbered(rows: DataFrame) -> DataFrame:
 
 
 def upsert_view(rows: DataFrame, keys: list[str] = RAW_KEY) -> DataFrame:
-    """One row per key, the last written."""
-    return latest(numbered(rows), keys, RAW_ORDER).drop("_sequence")
+    """One row per key, the last written: by sequence number, then by batch, place in the message
+    and topic offset, as far as the rows carry them."""
+    order = [name for name in (versions.GENERATION, *WITHIN) if name in rows.columns]
+    return latest(numbered(rows), keys, ["_sequence", *order]).drop("_sequence", *order)
 
 
 def whole_keys(rows: DataFrame, keys: list[str] = RAW_KEY) -> DataFrame:
@@ -63,58 +67,57 @@ def _key_present(keys: list[str]) -> Column:
     return present
 
 
-def _bucket(columns: list[Column], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int")
+def last_written(rows: DataFrame) -> DataFrame:
+    """The record columns of what a batch leaves in a keyed store."""
+    return upsert_view(whole_keys(rows)).select(*RECORD_FIELDS)
 
 
-def append_keyed(rows: DataFrame, batch_id: int, path: str, buckets: int = BUCKETS) -> None:
-    """Add a batch to the keyed store: reduced to one row per key, then few files per bucket.
+def append_keyed(rows: DataFrame, batch_id: int, path: str, every: int | None = None) -> None:
+    """Add a batch to the keyed store, reduced to one row per key; a small batch is one file.
 
-    One place may hold much of a batch, so a bucket is spread by the rest of the key; the engine
-    joins partitions that turn out small, so a small batch makes few files.
+    ``every``: fold the store when so many batches are open.
     """
-    place = _bucket([F.col(name) for name in RAW_PLACE], buckets)
-    part = _bucket([F.col(name) for name in RAW_KEY], FILES_PER_BUCKET)
-    (
-        upsert_view(whole_keys(rows))
-        .withColumn("bucket", place)
-        .withColumn("_part", part)
-        .hint("rebalance", F.col("bucket"), F.col("_part"))
-        .drop("_part")
-        .sortWithinPartitions("bucket", *RAW_KEY)
-        .write.mode("overwrite")
-        .partitionBy("bucket")
-        .parquet(batch_path(rows, path, batch_id))
-    )
-
-
-def _keyed_rows(spark: SparkSession, path: str) -> DataFrame:
-    # The schema is known, so a store without any row yet can be read too.
-    schema = T.StructType([*RECORD_SCHEMA.fields, T.StructField("bucket", T.IntegerType())])
-    return spark.read.schema(schema).parquet(path)
+    reduced = last_written(rows).hint("rebalance").sortWithinPartitions(*RAW_KEY)
+    versions.append(reduced, batch_id, path)
+    if every and len(versions.open_batches(rows.sparkSession, path)) >= every:
+        compact_keyed(rows.sparkSession, path)
 
 
 def read_keyed(spark: SparkSession, path: str) -> DataFrame:
     """The keyed store: last row per key over all batches."""
-    return upsert_view(_keyed_rows(spark, path).drop(*FOLDER_COLUMNS))
-
-
-def read_key(
-    spark: SparkSession, path: str, unique_id: str, location_code: str, buckets: int = BUCKETS
-) -> DataFrame:
-    """Rows of one place, in order of the schedule. Reads one bucket only."""
-    place = _bucket([F.lit(unique_id), F.lit(location_code)], buckets)
-    rows = _keyed_rows(spark, path).where(
-        (F.col("bucket") == place)
-        & (F.col("unique_id") == unique_id)
-        & (F.col("location_code") == location_code)
-    )
-    return upsert_view(rows.drop(*FOLDER_COLUMNS)).orderBy("schedule_id")
+    rows = versions.read(spark, path, RECORD_SCHEMA)
+    return upsert_view(rows.select(*RECORD_FIELDS, versions.GENERATION))
+
+
+def _bucket(columns: list[Column], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int")
+
+
+def read_key(spark: SparkSession, path: str, unique_id: str, location_code: str) -> DataFrame:
+    """Rows of one place, in order of the schedule. Of the folded version one bucket is read (the
+    manifest says how many there are), of the open batches what their statistics leave."""
+    wanted = (F.col("unique_id") == unique_id) & (F.col("location_code") == location_code)
+    rows = versions.read(spark, path, RECORD_SCHEMA)
+    buckets = versions.manifest(spark, path).get("buckets")
+    if buckets:
+        # Rows of batches have no bucket.
+        place = _bucket([F.lit(unique_id), F.lit(location_code)], buckets)
+        rows = rows.where(F.col("bucket").isNull() | (F.col("bucket") == place))
+    return upsert_view(rows.where(wanted).select(*RECORD_FIELDS, versions.GENERATION)).orderBy("schedule_id")
+
+
+def compact_keyed(spark: SparkSession, path: str, buckets: int | None = None) -> None:
+    """Fold the store into one version, in buckets by place; their number follows from the rows
+    unless it is given, and is noted in the manifest."""
 
+    def write(rows: DataFrame, place: str) -> dict:
+        count = buckets or max(1, -(-versions.read(spark, path, RECORD_SCHEMA).count() // ROWS_PER_BUCKET))
+        bucket = _bucket([F.col(name) for name in RAW_PLACE], count)
+        laid_out = rows.withColumn("bucket", bucket).hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", *RAW_KEY)
+        laid_out.write.mode("overwrite").partitionBy("bucket").parquet(place)
+        return {"buckets": count}
 
-def compact_keyed(spark: SparkSession, path: str, target: str, buckets: int = BUCKETS) -> None:
-    """Write the current rows of the keyed store as one batch of a new store."""
-    append_keyed(read_keyed(spark, path), 0, target, buckets)
+    versions.compact(spark, path, lambda rows: upsert_view(rows.select(*RECORD_FIELDS, versions.GENERATION)), write, RECORD_SCHEMA)
 
 
 def append_by_date(rows: DataFrame, batch_id: int, path: str, time: str = "actual_arrival") -> None:

@@ -18,6 +18,8 @@ def hhmm(minute: str) -> str:
 K = "o_orderkey"
 POINTS = f"(3 + {K} % 6)"
 RID = f"concat({digits('o_orderdate')}, lpad(cast({K} as string), 8, '0'))"
+# A uid has six characters by contract, so beyond 100 000 orders two trains share one; nothing is
+# joined by it alone.
 UID = f"concat('C', lpad(cast({K} % 100000 as string), 5, '0'))"
 SSD = "cast(cast(o_orderdate as date) as string)"
 

@@ -9,7 +9,8 @@ from trackside.functions.body import deflate_gzip, deflate_zlib
 from trackside.schemas import PUSHPORT_URI, PUSHPORT_URI_STEM
 from trackside.testfeed import fields as f
 
-PARTS_STEM = PUSHPORT_URI_STEM[: -len("v")]
+# Fixed value: what the namespaces of a document's parts begin with.
+PARTS_STEM = "http://www.thalesgroup.com/rtti/PushPort/"
 
 
 def attr(name: str, value: str, present: str = "true") -> str:
@@ -135,6 +136,37 @@ def status_frames(orders: DataFrame, broken: bool = True) -> DataFrame:
     return packed.select(headers.alias("headers"), body.alias("body"))
 
 
+def frames_of(docs: DataFrame, kind: str) -> DataFrame:
+    """Push frames of documents (``sequence_number``, ``xml``), all of one message type."""
+    headers = F.create_map(F.lit("SequenceNumber"), F.col("sequence_number").cast("string"), F.lit("MessageType"), F.lit(kind))
+    return docs.select(headers.alias("headers"), deflate_gzip(F.col("xml")).alias("body"))
+
+
+def at_once(docs: DataFrame) -> DataFrame:
+    """Documents of one moment, which only their sequence tells apart."""
+    return docs.withColumn("xml", F.regexp_replace("xml", ' ts="[^"]*"', ' ts="2024-01-01T00:00:00"'))
+
+
+# What is spoiled in a status document: (every how many orders, which of them, pattern, replacement).
+SPOILED = {
+    "ssd": (5, 0, r'( ssd=")', "$1x"),
+    "length": (6, 1, r"(:length>)", "$1many"),
+    "suppr": (6, 1, r"(:suppr>)true", "$1maybe"),
+    "platsup": (4, 1, r'( platsup=")true', "$1sometimes"),
+    "late_reason": (2, 1, r"(:LateReason[^>]*>)[0-9]+", "$199999"),
+    "is_reverse_formation": (5, 1, r'( isReverseFormation=")true', "$1unknown"),
+    "delayed": (4, 2, r'( delayed=")true', "$1soon"),
+}
+
+
+def spoiled_documents(orders: DataFrame) -> DataFrame:
+    """Status documents some of whose numbers, flags and dates cannot be read or are out of range."""
+    text = F.col("xml")
+    for every, which, pattern, replacement in SPOILED.values():
+        text = F.when(F.col("sequence_number") % every == which, F.regexp_replace(text, pattern, replacement)).otherwise(text)
+    return status_documents(orders).withColumn("xml", text)
+
+
 # The checking engine's view: one row per document, and one per location (`i` is its place).
 POINTS_SQL = f"""
 SELECT o_orderkey, o_custkey, o_orderdate, CAST(i AS BIGINT) AS i, {f.FRAME_REASON} AS reason,

@@ -377,7 +377,7 @@ def schedule_event_documents(events: DataFrame) -> DataFrame:
         "schedule",
         attr("rid", EVENT_RID), attr("uid", "concat('C', lpad(cast(user_id as string), 5, '0'))"),
         attr("trainId", "concat('1A', lpad(cast(event_id % 100 as string), 2, '0'))"), attr("ssd", q("2024-01-01")),
-        attr("toc", q("O1")), attr("deleted", q("true"), f"{k} % 17 = 0"),
+        attr("toc", q("O1")), attr("deleted", q("true"), f"{k} % 17 = 0"), attr("isActive", q("false"), f"{k} % 13 = 0"),
         inside=q("<OR tpl=\"A\" wtd=\"10:00\"/><DT tpl=\"B\" wta=\"11:00\"/>"),
     )
     body = f"case when event_type = 'error' then {tag('deactivated', attr('rid', EVENT_RID))} else {put} end"
@@ -389,9 +389,10 @@ ALARM_ID = "concat('AL', cast(user_id as string))"
 
 def alarm_documents(events: DataFrame) -> DataFrame:
     """Clicks and errors clear the user's alarm, other events set one."""
+    area = "concat('A', cast(user_id % 10 as string))"
     kind = (
         "case event_type when 'signup' then '<l:tdFeedFail/>' when 'view' then '<l:tyrellFeedFail/>' "
-        "else concat('<l:tdAreaFail>', substr(concat('A', cast(user_id % 10 as string)), 1, 2), '</l:tdAreaFail>') end"
+        f"else concat('<l:tdAreaFail>', {area}, '</l:tdAreaFail>') end"
     )
     put = tag("l:set", attr("id", ALARM_ID), inside=kind)
     item = tag("alarm", inside=f"case when event_type in ('click', 'error') then {tag('l:clear', inside=ALARM_ID)} else {put} end")
