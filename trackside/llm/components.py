@@ -32,7 +32,8 @@ def components(links: DataFrame) -> DataFrame:
     now, state = landed(now, "links"), None
     while True:
         now = landed(_small_star(_large_star(now)), "links")
-        found = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if found == state:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        state = found
+        told = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if told == state:
+            found = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
+            return found.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+        state = told

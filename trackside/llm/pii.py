@@ -82,17 +82,25 @@ class Shapes(dict):
     """Word (bytes) to hashed shape and coarse marks: letters by case, digits, signs as they are."""
 
     def __init__(self, most: int = 400_000):
-        self.most = most
+        self.most, self.shapes = most, {}
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.most:
             self.clear()
+            self.shapes.clear()
         shape = word.translate(_CLASSES)
+        value = self.shapes.get(shape)
+        if value is None:
+            value = self.shapes[shape] = self._of(shape)
+        self[word] = value
+        return value
+
+    @staticmethod
+    def _of(shape: bytes) -> int:
         digits = shape.count(b"d")
         short = re.sub(rb"d{5,}", b"ddddd", re.sub(rb"([Xx])\1+", rb"\1", shape))
         size = 0 if not digits else 1 + int(np.searchsorted((2, 4, 7, 15), digits))
-        self[word] = value = zlib.crc32(short) % SHAPES | (size << 2 | (b"@" in word) << 1 | (b"+" in word)) << 12
-        return value
+        return zlib.crc32(short) % SHAPES | (size << 2 | (b"@" in shape) << 1 | (b"+" in shape)) << 12
 
 
 class Field(NamedTuple):
