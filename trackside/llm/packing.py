@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import re
 import sys
 import zlib
@@ -110,59 +111,82 @@ def pack_examples(examples: DataFrame, limits: Limits = Limits(), pool: int = 40
     return picked.mapInPandas(rows, "example_id long, sequence_id long, offset long, placed boolean")
 
 
-#: Between two words: one blank, with no other white space beside it.
-SEAM = re.compile(r"(?<=\S) (?=\S)")
-BESIDE = re.compile(r" \s|\s |^ | $")
+#: White space other than blank and line feed.
+OTHER_SPACE = re.compile(r"[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+LINE = "\n"
 
 
 class Tokens:
-    """Token ids of texts by the tokenizer of a vocabulary file, as little-endian 32-bit bytes.
+    """Token ids of texts as little-endian 32-bit bytes, for byte-level vocabularies of ranks.
 
-    Its pattern always parts a text before a single blank between words, so the ids of a text are
-    those of its words with their blank, joined. Words come again and again: their ids are kept, up
-    to ``most`` words, for all tasks of a worker.
+    The pattern always parts a text before a single blank between words and around a single line
+    feed between them, so the ids of a line are those of its first word and of the others with their
+    blank, joined. Words come again and again: their ids are kept, up to ``most`` words, for all
+    tasks of a worker. Texts with other white space, or more of it in a row, are encoded as they are.
+    Strings of special tokens in a text are ordinary text.
     """
 
-    def __init__(self, path: str, most: int = 400_000, longest: int = 60):
-        import tokenizers
+    def __init__(self, ranks: str, pattern: str, most: int = 800_000, longest: int = 60):
+        import tiktoken
 
         self.most, self.longest = most, longest
         # Where the imported library is, because this module is sent by value with every task.
-        kept = vars(sys.modules["tokenizers"]).setdefault("_kept_words", {})
-        if path not in kept:
-            kept[path] = (tokenizers.Tokenizer.from_file(path), {})
-        self.model, self.known = kept[path]
-        self.model.encode_special_tokens = True
+        kept = vars(sys.modules["tiktoken"]).setdefault("_kept_words", {})
+        if ranks not in kept:
+            with open(ranks, "rb") as lines:
+                known = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+            model = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=known, special_tokens={})
+            blank = np.zeros(max(known.values()) + 1, bool)
+            blank[[rank for token, rank in known.items() if token[:1] == b" "]] = True
+            kept[ranks] = model, blank, known[b"\n"], {}, {}
+        self.model, self.blank, self.feed, self.first, self.other = kept[ranks]
+
+    def _plain(self, text: str) -> bool:
+        """Words parted by single blanks or line feeds, and nothing else."""
+        odd = "  " in text or " \n" in text or "\n " in text or "\n\n" in text
+        return not (odd or text[:1] in ("", " ", LINE) or text[-1] in " \n" or OTHER_SPACE.search(text))
+
+    def _learn(self, words: set[str], known: dict[str, bytes], lead: str, starts) -> list[str]:
+        """Encode unknown words in one go and find them again by where ``starts`` says they begin.
+        Returns those too long to be kept."""
+        new = [word for word in words if word not in known]
+        if not new:
+            return []
+        ids = self.model.encode_to_numpy(lead + lead.join(new)).astype("<u4")
+        at = np.flatnonzero(starts(ids))
+        data = ids.tobytes()
+        skip = 4 * (lead == LINE)
+        for word, begin, end in zip(new, (4 * at).tolist(), (4 * np.append(at[1:], len(ids))).tolist()):
+            known[word] = data[begin + skip : end]
+        return [word for word in new if len(word) > self.longest]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > self.most:
-            self.known.clear()
-        parts = [self._parts(text) for text in texts]
-        words = set().union(*parts) if parts else set()
-        unknown = [word for word in words if word not in self.known]
-        known = self.known
-        found = {word: np.array(e.ids, "<u4").tobytes() for word, e in zip(unknown, self.model.encode_batch_fast(unknown, add_special_tokens=False))}
-        long = {word: ids for word, ids in found.items() if len(word) > self.longest}
-        known.update(found)
-        out = [b"".join(map(known.__getitem__, words)) for words in parts]
-        for word in long:
-            del known[word]
+        first, other = self.first, self.other
+        for known in (first, other):
+            if len(known) > self.most:
+                known.clear()
+        plain = [[line.split(" ") for line in text.split(LINE)] if self._plain(text) else None for text in texts]
+        heads = {line[0] for lines in plain if lines for line in lines}
+        rest = set().union(*[line[1:] for lines in plain if lines for line in lines])
+        long = self._learn(heads, first, LINE, lambda ids: ids == self.feed), self._learn(rest, other, " ", lambda ids: self.blank[ids])
+        feed, out = np.array([self.feed], "<u4").tobytes(), []
+        for text, lines in zip(texts, plain):
+            if lines:
+                out.append(feed.join([first[line[0]] + b"".join(map(other.__getitem__, line[1:])) for line in lines]))
+            else:
+                out.append(self.model.encode_to_numpy(text).astype("<u4").tobytes() if text else b"")
+        for known, words in zip((first, other), long):
+            for word in words:
+                del known[word]
         return out
 
-    @staticmethod
-    def _parts(text: str) -> list[str]:
-        if not text:
-            return []
-        first, *rest = SEAM.split(text) if BESIDE.search(text) else text.split(" ")
-        return [first, *[" " + word for word in rest]]
-
 
-def pack_documents(docs: DataFrame, vocabulary: str, limits: Limits = Limits(), pool: int = 2048) -> DataFrame:
+def pack_documents(docs: DataFrame, ranks: str, pattern: str, limits: Limits = Limits(), pool: int = 512) -> DataFrame:
     """Cut documents into pieces and place them in sequences of at most ``limits.tokens`` tokens.
 
     One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, segments
-    (of the sequence). A document's tokens are the ids of its text (NULL: none) and the id 0 at its
-    end; each lies in exactly one piece. Every token bears loss. Full lengths are cut off long
+    (of the sequence). ``ranks`` is the vocabulary file, ``pattern`` parts texts before its merges. A
+    document's tokens are the ids of its text (NULL: none) and the id 0 at its end; each lies in exactly one piece. Every token bears loss. Full lengths are cut off long
     documents first; what remains of each goes to a pool from which sequences are filled by the
     dot-product heuristic, and the last item of a sequence is cut to fill it. Only the sequences at
     a limit of segments and the last one of a task are shorter. Texts are tokenised and packed in the
@@ -174,7 +198,7 @@ def pack_documents(docs: DataFrame, vocabulary: str, limits: Limits = Limits(),
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tokens, bins, number = Tokens(vocabulary), Bins(limits), TaskContext.get().partitionId() << 40
+        tokens, bins, number = Tokens(ranks, pattern), Bins(limits), TaskContext.get().partitionId() << 40
         size = min(limits.tokens, limits.loss_tokens)
         out: list[tuple] = []
 

@@ -9,8 +9,14 @@ from trackside.llm import exact_dedup, knn, language, mixing, near_dedup, packin
 from trackside.llm.common import table
 
 
-#: The vocabulary file; a parameter of the operator.
-VOCABULARY = "byte_bpe_50k.json"
+#: The vocabulary file, a parameter of the operator: byte_bpe_50k.json as ranks, with the same ids.
+VOCABULARY = "byte_bpe_50k.tiktoken"
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack_documents(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
 def op1_voronoi_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,9 +66,7 @@ def op9_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import public_tokenizers
-
-    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+    return packed(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {

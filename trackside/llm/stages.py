@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackside.llm import exact_dedup, mixing, near_dedup, packing, queries, toxicity
+from trackside.llm import exact_dedup, mixing, near_dedup, queries, toxicity
 from trackside.llm.common import table
 
 
@@ -55,6 +55,4 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences for training."""
-    import public_tokenizers
-
-    return packing.pack_documents(docs, public_tokenizers.path(queries.VOCABULARY))
+    return queries.packed(docs)
