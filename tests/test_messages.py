@@ -2,6 +2,9 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
+from trackside.functions.xml import fragments
 from trackside.operators import messages as m
 from trackside.operators import quality
 
@@ -39,8 +42,9 @@ def test_forecast_attributes(spark):
     assert (a.late_reason, a.late_reason_tiploc, a.late_reason_near, a.is_reverse_formation) == (104, "AB", True, True)
     assert a.passing.asDict() == dict(
         et=None, wet="10:02", at="10:01", at_removed=False, at_class="Automatic", etmin="10:00", et_unknown=True,
-        delayed=False, src="TD", src_inst="AA01",
+        delayed=False, src="TD", src_inst="AA01", malformed=[],
     )
+    assert (a.malformed, b.malformed) == ([], ["length"])
     assert (a.wtp, a.length, a.detach_front, a.arr) == ("10:00:30", 8, True, None)
     assert (b.passing, b.length, b.tpl) == (None, None, "B")
     (event,) = m.forecast_events(m.forecasts(docs(spark, body))).collect()
@@ -185,8 +189,69 @@ def test_pattern_rules_match_whole_values(spark):
     assert [r[0] for r in df.select(quality.breaks("t", "train_id")).collect()] == [False, True, True, True]
 
 
+def test_malformed_values_are_reported_and_not_filled(spark):
+    body = """<TS rid="1" uid="C00001" ssd="2024-13-45" isReverseFormation="maybe"><x:LateReason near="x">99999</x:LateReason>
+      <x:Location tpl="A"><x:arr et="10:00" delayed="soon" atRemoved="2" etUnknown="?"/><x:plat platsup="x" cisPlatsup="y" conf="z">1</x:plat>
+      <x:suppr>maybe</x:suppr><x:length>abc</x:length><x:detachFront>?</x:detachFront></x:Location><x:Location tpl="B"/></TS>
+      <schedule rid="1" ssd="x" isActive="x" deleted="x" qtrain="x" can="x" isCharter="x" isPassengerSvc="x"><x:OR tpl="A" rdelay="x" can="x" avgLoading="x"/>
+      <x:cancelReason near="x">x</x:cancelReason></schedule><association isCancelled="x" isDeleted="x"><x:main rid="1"/></association>
+      <formationLoading fid="F"><x:loading coachNumber="A">x</x:loading><x:loading coachNumber="B">3</x:loading></formationLoading>
+      <OW id="x" suppress="x"><x:Msg/></OW><trainAlert><x:AlertServices><x:AlertService SSD="x"/></x:AlertServices><x:SendAlertBySMS>x</x:SendAlertBySMS></trainAlert>"""
+    d = docs(spark, body)
+    a, b = m.forecasts(d).orderBy("location_index").collect()
+    head = {"ssd", "is_reverse_formation", "late_reason", "late_reason_near"}
+    assert set(a.malformed) == head | {"platsup", "cis_platsup", "conf", "suppr", "length", "detach_front"} and set(b.malformed) == head
+    filled = {r.tpl: r for r in quality.fill_defaults(m.forecasts(d), "forecast").collect()}
+    assert (filled["A"].length, filled["A"].suppr, filled["B"].length, filled["B"].suppr) == (None, None, 0, False)
+    (event,) = m.forecast_events(m.forecasts(d)).collect()
+    assert {"delayed", "at_removed", "et_unknown", "length"} <= set(event.malformed)
+    assert {r.rule for r in quality.invalid_rows(quality.broken_rules(m.forecasts(d), "forecast")).collect()} == set(a.malformed)
+    (schedule,) = m.schedules(d).collect()
+    assert set(schedule.malformed) == {"ssd", "is_active", "deleted", "qtrain", "can", "is_charter", "is_passenger_svc", "cancel_reason", "cancel_reason_near"}
+    assert set(m.calling_points(d).first().malformed) == {"rdelay", "can", "avg_loading"}
+    assert {tuple(r.malformed) for r in m.reasons(d).collect()} == {("code", "near")}
+    assert set(m.associations(d).first().malformed) == {"is_cancelled", "is_deleted"}
+    assert [r.malformed for r in m.coach_loadings(m.loadings(d)).orderBy("coach_number").collect()] == [["loading"], []]
+    assert set(m.station_messages(d).first().malformed) == {"id", "suppress"}
+    assert set(m.train_alerts(d).first().malformed) == {"by_sms", "ssd"}
+
+
+def test_one_parse_gives_the_same_tables(spark):
+    """Tables from documents parsed once for all kinds, and from the documents themselves."""
+    from trackside.streaming.jobs import TABLES
+
+    d = docs(
+        spark,
+        '<TS rid="1"><x:LateReason>100</x:LateReason><x:Location tpl="A"><x:arr et="10:00"/></x:Location></TS><deactivated rid="1"/>',
+        '<schedule rid="3"><x:OR tpl="A"/><x:PP tpl="B"/><x:DT tpl="C"/><x:cancelReason>5</x:cancelReason></schedule><alarm><x:clear>5</x:clear></alarm>',
+        '<OW id="7" cat="Station" sev="2"><x:Station crs="AAA"/><x:Msg>a <x:p>b</x:p></x:Msg></OW><association tiploc="A"><x:main rid="1"/></association>',
+        '<trackingID><x:berth area="AB">1</x:berth></trackingID><trainOrder tiploc="T"><x:clear/></trainOrder><trainAlert><x:AlertID>1</x:AlertID></trainAlert>',
+        '<formationLoading fid="F"><x:loading coachNumber="A">4</x:loading></formationLoading><scheduleFormations rid="1"><x:formation fid="F"><x:coaches><x:coach coachNumber="A"/></x:coaches></x:formation></scheduleFormations>',
+        "",
+    )
+    kinds = [*m.ENTRIES, "OW"]
+    parsed = m.parse_documents(d, kinds).cache()
+    for name, (_, table) in TABLES.items():
+        assert sorted(map(str, table(parsed).collect())) == sorted(map(str, table(d).collect())), name
+    assert [r.sequence_number for r in m.without_kind(parsed, kinds).collect()] == [5]
+    assert [r.response for r in m.station_messages(d).collect()] == ["update"]
+
+
+def test_odd_but_legal_xml(spark):
+    """Prefixes with signs, a closing bracket inside a quoted value, self-closed and unclosed elements."""
+    body = """<schedule rid="1"><x-1.a:OR tpl="A>B" wtd="10:00"/><x-1.a:DT tpl="B"></x-1.a:DT></schedule>"""
+    d = docs(spark, body).withColumn("xml", F.replace("xml", F.lit("xmlns:x="), F.lit('xmlns:x-1.a="u" xmlns:x=')))
+    assert [(r.kind, r.tpl) for r in m.calling_points(d).orderBy("pos").collect()] == [("OR", "A>B"), ("DT", "B")]
+    text = spark.createDataFrame([('<p-q:J a=">"/><J b="1">x</J><J c="/">y</J><JK/><J d="never closed"><J>z</J>',)], "t string")
+    assert text.select(fragments(F.col("t"), "J")).first()[0] == ['<p-q:J a=">"/>', '<J b="1">x</J>', '<J c="/">y</J>', "<J>z</J>"]
+    long = spark.createDataFrame([("<J " + 'a="b" ' * 20000 + ">" + "x" * 500000 + "</J>",)], "t string")
+    assert long.select(F.size(fragments(F.col("t"), "J"))).first()[0] == 1
+
+
 def test_usable_schedules(spark):
-    df = spark.createDataFrame([(1, None, None), (2, True, None), (3, False, True)], "id int, deleted boolean, qtrain boolean")
+    df = spark.createDataFrame(
+        [(1, None, None, None), (2, True, None, True), (3, False, True, None), (4, None, None, False)], "id int, deleted boolean, qtrain boolean, is_active boolean"
+    )
     assert [r.id for r in quality.usable_schedules(df).collect()] == [1]
 
 

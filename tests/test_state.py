@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from trackside.operators import journey, reference, state
@@ -15,6 +16,26 @@ def test_latest_and_ties(spark):
     assert {tuple(r) for r in state.first(rows, ["k"], ["n"]).collect()} == {("a", 1, "x"), ("b", None, "n"), (None, 5, "o")}
 
 
+def test_order_by_text_is_refused(spark):
+    rows = spark.createDataFrame([("a", "9"), ("a", "10")], "k string, sequence_number string")
+    for fold in (state.latest, state.first):
+        with pytest.raises(TypeError, match="sequence_number"):
+            fold(rows, ["k"], ["sequence_number"])
+
+
+def test_alarm_cleared_in_message_ten(spark):
+    """Through frames, whose sequence is text: set in message 9, cleared in message 10."""
+    from trackside.operators import decode, messages
+    from trackside.testfeed import frames as feed
+
+    uri = "http://www.thalesgroup.com/rtti/PushPort/v16"
+    body = lambda inside: f'<Pport xmlns="{uri}" ts="2024-01-01T00:00:00" version="16.0"><uR><alarm>{inside}</alarm></uR></Pport>'
+    docs = spark.createDataFrame([("9", body('<set id="1"><tyrellFeedFail/></set>')), ("10", body("<clear>1</clear>")), ("x", body("<clear>2</clear>"))], "sequence_number string, xml string")
+    read = decode.read_documents(feed.frames_of(docs, "AL"))
+    assert [(r.reason, r.sequence_number) for r in decode.rejects(read).collect()] == [("bad_sequence", "x")]
+    assert state.set_clear_state(messages.alarms(read.where("reason is null")), ["id"]).collect() == []
+
+
 def test_hot_key_is_reduced_before_the_shuffle(spark):
     rows = spark.range(30000).select((F.col("id") % 3 == 0).cast("string").alias("k"), F.col("id").alias("n"), F.lit("v").alias("v"))
     plan = state.latest(rows, ["k"], ["n"])._jdf.queryExecution().executedPlan().toString()
@@ -26,12 +47,15 @@ def order(n):
     return dt.datetime(2024, 1, 1, 0, 0, n)
 
 
+SENT = [("1", order(1), 1, 0, False), ("1", order(5), 5, 0, False), ("2", order(1), 2, 0, False), ("3", order(1), 3, 0, False), ("3", order(2), 9, 0, True), ("4", order(3), 4, 0, False)]
+
+
 def test_schedule_state(spark):
-    puts = [("1", order(1), 1, 0, False), ("1", order(5), 5, 0, False), ("2", order(1), 2, 0, False), ("3", order(1), 3, 0, False), ("3", order(2), 9, 0, True), ("4", order(3), 4, 0, False)]
-    schedules = spark.createDataFrame(puts, "rid string, doc_ts timestamp_ntz, sequence_number long, item_index int, deleted boolean")
+    puts = [("5", order(1), 6, 0, False, False), *[(*put, None) for put in SENT]]
+    schedules = spark.createDataFrame(puts, "rid string, doc_ts timestamp_ntz, sequence_number long, item_index int, deleted boolean, is_active boolean")
     gone = spark.createDataFrame([("1", order(3), 3, 0), ("2", order(4), 4, 0), ("4", order(3), 4, 0)], "rid string, doc_ts timestamp_ntz, sequence_number long, item_index int")
     now = state.schedule_state(schedules, gone).collect()
-    # 1 came back after its deactivation, 2 is gone, 3 is deleted, 4 was put and deactivated in one document
+    # 1 came back after its deactivation, 2 is gone, 3 is deleted, 4 was put and deactivated in one document, 5 is inactive
     assert [(r.rid, r.sequence_number) for r in now] == [("1", 5)]
 
 
@@ -47,6 +71,13 @@ def test_actual_time_withdrawn(spark):
     assert got == {"a": (None, "10:09"), "b": ("11:00", "11:02"), "c": ("12:00", "12:01"), "d": (None, None)}
 
 
+def test_a_snapshot_says_all_there_is(spark):
+    events = [("a", 1, None, "10:05", "update"), ("a", 2, "10:07", None, "snapshot"), ("b", 1, None, "11:00", "snapshot"), ("b", 2, "11:02", None, "update"), ("c", 1, "9:00", "9:01", "update"), ("c", 2, None, None, "snapshot")]
+    df = spark.createDataFrame(events, "k string, n int, et string, at string, response string").withColumn("at_removed", F.lit(None).cast("boolean"))
+    got = {r.k: (r.at, r.et) for r in state.actual_times(df, ["k"], ["n"]).collect()}
+    assert got == {"a": (None, "10:07"), "b": ("11:00", "11:02"), "c": (None, None)}
+
+
 def test_overlay(spark):
     rows = [("a", 1, 1, "snapshot"), ("a", 1, 0, "update"), ("b", 2, 1, "snapshot"), ("b", 1, 9, "update")]
     df = spark.createDataFrame(rows, "k string, t int, n int, response string")
@@ -105,6 +136,8 @@ def test_journey_days_in_any_blocks(spark):
     for block in (1, 3, 64, 1024):
         got = {(r.rid, r.pos): r.day for r in journey.journey_days(points, block).collect()}
         assert got == want, block
+    mixed = points.withColumn("rid", F.when(F.col("pos") % 2 == 0, F.col("rid")))
+    assert mixed.where("rid is null").count() == journey.journey_days(mixed).where("rid is null and day is null").count()
     lost = points.limit(3).withColumn("rid", F.lit(None).cast("string"))
     assert [r.day for r in journey.journey_days(lost).collect()] == [None] * 3
 
@@ -177,6 +210,15 @@ def test_balanced_join_with_a_hot_key(spark):
     assert len(semi) == sum(r[2] is not None for r in plain)
 
 
+def test_lookup_join_with_repeated_and_missing_keys(spark):
+    """Both ways of the join give the same rows where keys repeat in the lookup or are missing."""
+    rows = spark.range(3000).select(F.col("id").alias("n"), F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, None).otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"))
+    lookup = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3), ("k1", 3), (None, 4)], "k string, v int")
+    for how in ("left", "inner", "left_semi"):
+        one, two = (lookup_join(rows, lookup, ["k"], how, max_rows=most) for most in (100, 1))
+        assert sorted(map(str, one.collect())) == sorted(map(str, two.collect())), how
+
+
 def test_lookup_is_broadcast_only_when_small(spark):
     rows = spark.range(100).withColumn("k", F.col("id") % 10)
     small = spark.range(10).select(F.col("id").alias("k"), F.lit("v").alias("v"))

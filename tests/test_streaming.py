@@ -11,7 +11,7 @@ from trackside.operators.parse import parse_records
 from trackside.session import landed, work_dir, work_root
 from trackside.sources.records import TOPIC_SCHEMA, read_topic, stream_files, stream_topic
 from trackside.sources.tables import read_table, spread, stream_table
-from trackside.streaming import jobs, sinks, stores
+from trackside.streaming import jobs, sinks, stores, versions
 from trackside.testfeed import frames as feed
 from trackside.testfeed.records import topic_records
 
@@ -171,17 +171,56 @@ def test_keyed_store(spark, tmp_path):
 
     path = str(tmp_path / "raw")
     first = rows(("U1", "2", "9", "old"), ("U1", "1", "1", "x"), ("U2", "1", "1", "y"), (None, "1", "1", "nokey"))
-    stores.append_keyed(first, 0, path, buckets=4)
-    stores.append_keyed(rows(("U1", "2", "10", "new")), 1, path, buckets=4)
-    stores.append_keyed(rows(("U1", "2", "10", "new")), 1, path, buckets=4)
-    got = stores.read_key(spark, path, "U1", "A", buckets=4)
-    assert [(r.schedule_id, r.source) for r in got.collect()] == [("1", "x"), ("2", "new")]
-    assert stores.read_keyed(spark, path).count() == 3
+    want = [("1", "x"), ("2", "new")]
+
+    def looked_up():
+        got = stores.read_key(spark, path, "U1", "A")
+        assert [(r.schedule_id, r.source) for r in got.collect()] == want
+        assert stores.read_keyed(spark, path).count() == 3
+        return got._jdf.queryExecution().executedPlan().toString()
+
+    stores.append_keyed(first, 0, path)
+    stores.append_keyed(rows(("U1", "2", "10", "new")), 1, path)
+    stores.append_keyed(rows(("U1", "2", "10", "new")), 1, path)
     assert stores.broken_keys(first).count() == 1
-    stores.compact_keyed(spark, path, str(tmp_path / "compact"), buckets=4)
-    assert as_set(stores.read_keyed(spark, str(tmp_path / "compact"))) == as_set(stores.read_keyed(spark, path))
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(bucket" in plan
+    looked_up()
+    for buckets in (4, 7, None):  # readers need not know the number
+        stores.compact_keyed(spark, path, buckets)
+        plan = looked_up()
+        assert "PartitionFilters: [(isnull(bucket" in plan
+    # the same sequence written again later replaces what was folded, an older one does not
+    stores.append_keyed(rows(("U1", "2", "10", "again"), ("U1", "1", "0", "older")), 2, path)
+    want = [("1", "x"), ("2", "again")]
+    looked_up()
+    # a batch that a version covers is run again: its rows are there already
+    stores.compact_keyed(spark, path)
+    stores.append_keyed(rows(("U1", "2", "10", "again"), ("U1", "1", "0", "older")), 2, path)
+    looked_up()
+
+
+def test_last_of_one_message_wins(spark):
+    """Two records of one message with one key: the one written last stays."""
+    made = [(json.dumps(dict(unique_id="U", location_code="A", schedule_id="1", sequence_number="5", scheduled_arrival=t)).encode(), n) for n, t in enumerate(("23:50", "00:40"))]
+    parsed = parse_records(spark.createDataFrame(made, "value binary, offset long"), keep=("offset",))
+    assert [r.scheduled_arrival for r in stores.last_written(parsed).collect()] == ["00:40"]
+
+
+def test_store_stays_small_over_many_batches(spark, tmp_path):
+    """Two hundred small batches: few files, and a lookup that lists the last version only."""
+    path = str(tmp_path / "raw")
+    names = [json.dumps(dict(unique_id=f"U{n % 7}", location_code="A", schedule_id="1", sequence_number=str(n), source=str(n))).encode() for n in range(200)]
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        for n, value in enumerate(names):
+            stores.append_keyed(parse_records(spark.createDataFrame([(value,)], "value binary")), n, path, every=50)
+            open_ones = versions.open_batches(spark, path)
+            assert len(open_ones) < 50
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    files = [f for f in (tmp_path / "raw").rglob("*.parquet")]
+    assert len(files) <= 110
+    assert {r.unique_id: r.source for r in stores.read_keyed(spark, path).collect()} == {f"U{n % 7}": str(n) for n in range(193, 200)}
+    assert len(stores.read_key(spark, path, "U3", "A").inputFiles()) <= 3
 
 
 def test_keyed_store_without_rows(spark, tmp_path):
@@ -262,9 +301,18 @@ def test_fold_over_several_batches(spark, tmp_path):
     for part in range(3):
         rows.where(f"n % 3 = {part}").coalesce(1).write.mode("append").parquet(source)
     stream = stream_files(spark, source, rows.schema, max_files=1)
-    folded = state.actual_times(stream, ["k"], ["n"])
-    sinks.drain(jobs.start_fold(folded, str(tmp_path / "state"), str(tmp_path / "ck"), drain=True))
-    assert as_set(jobs.read_fold(spark, str(tmp_path / "state"), ["k"])) == as_set(state.actual_times(rows, ["k"], ["n"]))
+    sinks.drain(jobs.start_times(stream, ["k"], ["n"], str(tmp_path / "state"), str(tmp_path / "ck"), every=2, drain=True))
+    assert as_set(jobs.read_times(spark, str(tmp_path / "state"), ["k"])) == as_set(state.actual_times(rows, ["k"], ["n"]))
+
+
+def test_requests_that_come_late(spark, tmp_path):
+    """A first request that comes after its repeat, and one far older than what came before, both stay."""
+    source = str(tmp_path / "in")
+    for part in ([("S", "1", 50, "repeat"), ("S", "2", 51, "other")], [("S", "1", 49, "first"), (None, "9", 1, "no key")], [("S", "3", 1, "old")]):
+        spark.createDataFrame(part, "request_source string, request_id string, n int, v string").coalesce(1).write.mode("append").parquet(source)
+    stream = stream_files(spark, source, spark.read.parquet(source).schema, max_files=1)
+    sinks.drain(jobs.start_requests(stream, ["n"], str(tmp_path / "state"), str(tmp_path / "ck"), drain=True))
+    assert sorted(r.v for r in jobs.read_requests(spark, str(tmp_path / "state"), ["n"]).collect()) == ["first", "no key", "old", "other"]
 
 
 def test_work_folder(spark, monkeypatch):

@@ -33,8 +33,9 @@ def to_date(value: Column | str) -> Column:
 
 
 def to_flag(value: Column | str) -> Column:
-    """xs:boolean: ``true``, ``false``, ``1`` or ``0``."""
-    return _col(value).try_cast("boolean")
+    """xs:boolean: ``true``, ``false``, ``1`` or ``0``; a cast would take ``y`` and others too."""
+    text = F.trim(_col(value))
+    return F.when(text.isin("true", "1"), True).when(text.isin("false", "0"), False)
 
 
 def to_local_time(value: Column | str) -> Column:
