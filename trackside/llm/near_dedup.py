@@ -25,7 +25,7 @@ class Settings(NamedTuple):
     share: int = 75
     recall: float = 1 - 1e-6
     sketch: int = 128
-    limit: int = 64
+    limit: int = 1024
     splits: int = 2
     depth: int = 12
     seed: int = 6
@@ -119,19 +119,35 @@ def _compared(blocks: DataFrame, settings: Settings, nearest: bool) -> DataFrame
     pairs of a block, in a minority block those with a text outside the main component.
     """
 
+    def alike(comp: np.ndarray, n: np.ndarray, sketch: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """Agreement of some rows with all, 0 where a pair cannot count; in parts of bounded size."""
+        step = max(1, 65536 // len(comp))
+        for at in range(0, len(comp), step):
+            own = slice(at, at + step)
+            fits = (comp[own, None] != comp[None, :]) & (100 * np.minimum(n[own, None], n[None, :]) >= settings.share * np.maximum(n[own, None], n[None, :]))
+            share = np.zeros(fits.shape, np.float32)
+            i, j = np.nonzero(fits)
+            if len(i) > fits.size // 4:
+                share[:] = (sketch[own, None, :] == sketch[None, :, :]).sum(2, dtype=np.uint16) / np.float32(settings.sketch)
+                share[~fits] = 0
+            else:
+                share[i, j] = (sketch[own][i] == sketch[j]).sum(1, dtype=np.uint16) / np.float32(settings.sketch)
+            yield at, share
+
     def pairs_of(cls: list, comp: np.ndarray, n: np.ndarray, sketch: np.ndarray, lead: np.ndarray) -> Iterator[tuple]:
-        alike = (sketch[:, None, :] == sketch[None, :, :]).mean(2)
-        fits = (comp[:, None] != comp[None, :]) & (100 * np.minimum(n[:, None], n[None, :]) >= settings.share * np.maximum(n[:, None], n[None, :]))
-        alike[~fits] = 0
-        if nearest:
-            best = alike.argmax(1)
-            for k in np.flatnonzero(lead)[:1]:
-                best = np.where(alike[:, k] >= (1 + settings.share / 100) / 2 - 0.05, k, best)
-            for i in np.flatnonzero(alike[np.arange(len(cls)), best] >= settings.cut):
-                yield cls[i], cls[best[i]], alike[i, best[i]]
-        else:
-            for i, j in zip(*np.nonzero(np.triu(alike >= settings.cut, 1))):
-                yield cls[i], cls[j], alike[i, j]
+        close = (1 + settings.share / 100) / 2 - 0.05
+        for at, share in alike(comp, n, sketch):
+            if nearest:
+                best = share.argmax(1)
+                for k in np.flatnonzero(lead)[:1]:
+                    best = np.where(share[:, k] >= close, k, best)
+                top = share[np.arange(len(share)), best]
+                for i in np.flatnonzero(top >= settings.cut):
+                    yield cls[at + i], cls[best[i]], float(top[i])
+            else:
+                for i, j in zip(*np.nonzero(share >= settings.cut)):
+                    if at + i < j:
+                        yield cls[at + i], cls[j], float(share[i, j])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _runs(batches, ["node", "block"]):
@@ -194,14 +210,12 @@ class _Join:
     def open_nodes(self, members: DataFrame) -> DataFrame:
         """Members of nodes with texts of several components: (node, cls, comp, n_node, leader, main, minor)."""
         known = self.components_of(members)
-        nodes = known.groupBy("node").agg(F.count(F.lit(1)).alias("n_node"), F.min("cls").alias("leader"), F.min("comp").alias("_least"), F.max("comp").alias("_most"))
-        nodes = nodes.filter("_least <> _most").drop("_least", "_most")
-        large = nodes.filter(F.col("n_node") > self.settings.limit).select(F.col("node").alias("_node"))
-        # The main component of a large node: that of most of its members.
-        sizes = known.join(large, F.col("node") == F.col("_node"), "left_semi").groupBy("node", "comp").agg(F.count(F.lit(1)).alias("size"))
-        main = sizes.groupBy(F.col("node").alias("_node")).agg(F.max(F.struct("size", "comp")).alias("main")).select("_node", "main.size", F.col("main.comp").alias("main"))
-        nodes = nodes.join(main, F.col("node") == F.col("_node"), "left").select(F.col("node").alias("_node"), "n_node", "leader", "main", (F.col("n_node") - F.col("size")).alias("n_minor"))
-        return known.join(nodes, F.col("node") == F.col("_node")).drop("_node")
+        sizes = known.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("size"), F.min("cls").alias("least"))
+        nodes = sizes.groupBy(F.col("node").alias("_node")).agg(
+            F.sum("size").alias("n_node"), F.min("least").alias("leader"), F.max(F.struct("size", "comp")).alias("main"), F.count(F.lit(1)).alias("comps")
+        )
+        mixed = nodes.filter("comps > 1").select("_node", "n_node", "leader", F.col("main.comp").alias("main"), (F.col("n_node") - F.col("main.size")).alias("n_minor"))
+        return known.join(mixed, F.col("node") == F.col("_node")).drop("_node")
 
     def with_sketches(self, members: DataFrame) -> DataFrame:
         own = self.classes.select(F.col("cls").alias("_cls"), "n", "sketch")

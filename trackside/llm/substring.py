@@ -38,30 +38,61 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+class Powers:
+    """Powers of an odd number modulo 2^64 and of its inverse, as far as they were asked for."""
+
+    def __init__(self, seed: int):
+        self.base = int(np.random.default_rng(seed).integers(1, 2**63, dtype=np.uint64)) * 2 + 1 & 2**64 - 1
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            n = max(n, 2 * len(self.up))
+            rows = [np.cumprod(np.array([1] + [x] * (n - 1), np.uint64)) for x in (self.base, pow(self.base, -1, 2**64))]
+            self.up, self.down = rows
+        return self.up, self.down
+
+
+_POWERS: dict[int, Powers] = {}
+
+
 def sequences(hashes: np.ndarray, length: int, seed: int) -> np.ndarray:
-    """A hash of every run of ``length`` words: a sum with random odd factors, spread."""
+    """A hash of every run of ``length`` words: a polynomial in an odd number of its words' hashes
+    modulo 2^64, from one running sum, spread over all bits."""
     n = len(hashes) - length + 1
     if n < 1:
         return np.zeros(0, np.uint64)
-    factors = np.random.default_rng(seed).integers(1, 2**63, length, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    total = np.zeros(n, np.uint64)
-    for j, factor in enumerate(factors):
-        total += hashes[j : j + n] * factor
-    return mixed(total)
+    if seed not in _POWERS:
+        _POWERS[seed] = Powers(seed)
+    up, down = _POWERS[seed].upto(len(hashes))
+    running = np.cumsum(hashes * up[: len(hashes)])
+    total = running[length - 1 :].copy()
+    total[1:] -= running[:-length]
+    return mixed(total * down[:n])
+
+
+def _sliding(x: np.ndarray, width: int, least) -> np.ndarray:
+    """The least (or largest) of every ``width`` neighbours, by doubling."""
+    size = 1
+    while 2 * size <= width:
+        x, size = least(x[:-size], x[size:]), 2 * size
+    return least(x[: len(x) - (width - size)], x[width - size :]) if size < width else x
 
 
 def anchors(hashes: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """For every window the place and hash of its anchor, the gram in it with the smallest hash.
+    """The anchor of every window, the smallest hash of a gram in it, and the hashes of the places
+    that are some window's anchor, each place once.
 
     Equal windows have equal anchors at the same place within them, so an anchor occurs at least as
     often as each of its windows. Neighbouring windows mostly share theirs.
     """
-    grams = sequences(hashes, gram, 5)
     if len(hashes) < window:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    view = np.lib.stride_tricks.sliding_window_view(grams, window - gram + 1)
-    at = view.argmin(1) + np.arange(len(view))
-    return at, grams[at]
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    grams, width = sequences(hashes, gram, 5), window - gram + 1
+    least = _sliding(grams, width, np.minimum)
+    # A place is an anchor if one of the windows over it has its hash; none has a larger one.
+    edge = np.zeros(width - 1, np.uint64)
+    return least, grams[_sliding(np.concatenate([edge, least, edge]), width, np.maximum) == grams]
 
 
 class Sketch:
@@ -147,8 +178,7 @@ def anchor_sketch(docs: DataFrame, windows: Windows, bits: int, slices: int = 64
         for batch in batches:
             some = some or batch.num_rows > 0
             for cell in utf8_cells(batch.column("text")):
-                at, anchor = anchors(known.of(bytes(cell).split()), windows.length, windows.gram)
-                held.append(anchor[np.diff(at, prepend=-1) > 0])
+                held.append(anchors(known.of(bytes(cell).split()), windows.length, windows.gram)[1])
                 if len(held) >= 500:
                     flush()
         flush()
@@ -219,11 +249,11 @@ def _candidates(docs: DataFrame, windows: Windows, sketch: Sketch, buckets: int,
         for batch in batches:
             for doc, raw, cell in zip(batch.column("doc_id").to_pylist(), batch.column("raw").to_pylist(), utf8_cells(batch.column("text"))):
                 hashes = known.of(bytes(cell).split())
-                at, anchor = anchors(hashes, windows.length, windows.gram)
-                if not len(at):
+                anchor = anchors(hashes, windows.length, windows.gram)[0]
+                if not len(anchor):
                     continue
-                first = np.flatnonzero(np.diff(at, prepend=-1) > 0)
-                open_ = np.flatnonzero(np.repeat(sketch.repeated(anchor[first]), np.diff(np.append(first, len(at)))))
+                first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
+                open_ = np.flatnonzero(np.repeat(sketch.repeated(anchor[first]), np.diff(np.append(first, len(anchor)))))
                 if not len(open_):
                     continue
                 a, b = (sequences(hashes, windows.length, seed)[open_].view(np.int64) for seed in (13, 31))
