@@ -6,6 +6,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from rows import ODD, documents, words
@@ -31,7 +32,7 @@ def jump(key, shards):
 
 @pytest.mark.parametrize("shards", [1, 2, 8, 40])
 def test_jump_hash_as_published(spark, shards):
-    keys = [0, 1, -1, 2**63 - 1, -(2**63), *random.Random(1).sample(range(-(2**62), 2**62), 50)]
+    keys = [0, 1, -1, 2**63 - 1, -(2**63), *[random.Random(1 + k).randrange(-(2**62), 2**62) for k in range(50)]]
     df = spark.createDataFrame([(k,) for k in keys], "k long")
     got = df.select("k", sharding.jump_chain(df.k, shards).alias("j"), sharding.jump_chain(df.k, shards + 1).alias("more")).collect()
     for row in got:
@@ -95,7 +96,7 @@ def test_mix_meets_targets(spark):
     for source in sizes:
         own = [r for r in got if r.source == source]
         assert own[0].target == pytest.approx(want[source]) and own[0].source_size == sizes[source]
-        assert abs(sum(r.taken for r in own) - want[source]) <= 15
+        assert abs(sum(r.taken for r in own) - want[source]) <= 150  # half of the longest
     again = mixing.pareto_mix(documents(spark, rows, 7), buckets=3).collect()
     assert sorted((r.doc_id, r.taken) for r in again) == sorted((r.doc_id, r.taken) for r in got)
 
@@ -104,10 +105,7 @@ def test_mix_odd_rows_and_weights(spark):
     got = mixing.pareto_mix(documents(spark, ODD)).collect()
     assert len(got) == len(ODD) and all(r.taken <= 2 * r.size for r in got)
     rows = [(k, "w " * 10, "en", "a") for k in range(400)]
-    weighed = documents(spark, rows).withColumn("own", (documents(spark, rows).doc_id % 2) * 0 + 1.0)
-    from pyspark.sql import functions as F
-
-    weighed = weighed.withColumn("own", F.when(F.col("doc_id") % 2 == 0, 3.0).otherwise(1.0))
+    weighed = documents(spark, rows).withColumn("own", F.when(F.col("doc_id") % 2 == 0, 3.0).otherwise(1.0))
     taken = collections.Counter()
     for r in mixing.pareto_mix(weighed, share=0.5, weight="own").collect():
         taken[r.doc_id % 2] += r.taken

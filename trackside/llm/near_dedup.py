@@ -116,7 +116,8 @@ def _compared(blocks: DataFrame, settings: Settings, nearest: bool) -> DataFrame
     """Pairs (a, b) of different components whose sketches agree enough, from sorted blocks.
 
     ``nearest``: only the best partner of each text, its node's leader if that is close; else all
-    pairs of a block, in a minority block those with a text outside the main component.
+    pairs, each in the smallest of the ``nodes`` that both texts are in, so that a pair that shares
+    many nodes is told once.
     """
 
     def alike(comp: np.ndarray, n: np.ndarray, sketch: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -134,7 +135,7 @@ def _compared(blocks: DataFrame, settings: Settings, nearest: bool) -> DataFrame
                 share[i, j] = (sketch[own][i] == sketch[j]).sum(1, dtype=np.uint16) / np.float32(settings.sketch)
             yield at, share
 
-    def pairs_of(cls: list, comp: np.ndarray, n: np.ndarray, sketch: np.ndarray, lead: np.ndarray) -> Iterator[tuple]:
+    def pairs_of(comp: np.ndarray, n: np.ndarray, sketch: np.ndarray, lead: np.ndarray) -> Iterator[tuple]:
         close = (1 + settings.share / 100) / 2 - 0.05
         for at, share in alike(comp, n, sketch):
             if nearest:
@@ -143,11 +144,11 @@ def _compared(blocks: DataFrame, settings: Settings, nearest: bool) -> DataFrame
                     best = np.where(share[:, k] >= close, k, best)
                 top = share[np.arange(len(share)), best]
                 for i in np.flatnonzero(top >= settings.cut):
-                    yield cls[at + i], cls[best[i]], float(top[i])
+                    yield at + i, best[i], float(top[i])
             else:
                 for i, j in zip(*np.nonzero(share >= settings.cut)):
                     if at + i < j:
-                        yield cls[at + i], cls[j], float(share[i, j])
+                        yield at + i, j, float(share[i, j])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _runs(batches, ["node", "block"]):
@@ -155,11 +156,15 @@ def _compared(blocks: DataFrame, settings: Settings, nearest: bool) -> DataFrame
             lead, cls, comp = table["lead"].to_numpy(), table["cls"].to_pylist(), table["comp"].to_pylist()
             sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(len(cls), -1)
             _, comp = np.unique(np.array(comp, "S16"), return_inverse=True)
+            places = None if nearest else [set(own) for own in table["nodes"].to_pylist()]
             starts = np.flatnonzero(np.concatenate([[True], (node[1:] != node[:-1]) | (block[1:] != block[:-1])]))
             found = []
             for at, end in zip(starts, np.append(starts[1:], len(cls))):
                 if end - at > 1:
-                    found += [(min(a, b), max(a, b), s) for a, b, s in pairs_of(cls[at:end], comp[at:end], n[at:end], sketch[at:end], lead[at:end])]
+                    for i, j, share in pairs_of(comp[at:end], n[at:end], sketch[at:end], lead[at:end]):
+                        if nearest or min(places[at + i] & places[at + j]) == node[at]:
+                            a, b = cls[at + i], cls[at + j]
+                            found.append((min(a, b), max(a, b), share))
             columns = list(zip(*found)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.binary()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.float64())], names=["a", "b", "alike"])
 
@@ -275,8 +280,11 @@ class _Join:
         blocks = F.ceil(F.col("n_node") / s.limit)
         minor = (F.col("n_node") > s.limit) & (F.col("comp") != F.col("main"))
         block = F.when(minor, F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(F.array(F.pmod(F.xxhash64("cls", "node"), blocks)))
-        small = open_.filter(fits).withColumn("lead", F.lit(False)).withColumn("block", F.explode(block))
-        self.settle(_compared(self.with_sketches(small).select("node", "block", "cls", "comp", "n", "lead", "sketch"), s, False))
+        small = open_.filter(fits)
+        # A text is in few nodes: as many as there are trees, times the splits of each level.
+        places = small.groupBy(F.col("cls").alias("_cls")).agg(F.collect_set("node").alias("nodes"))
+        small = small.join(places, F.col("cls") == F.col("_cls")).withColumn("lead", F.lit(False)).withColumn("block", F.explode(block))
+        self.settle(_compared(self.with_sketches(small.drop("_cls")).select("node", "block", "cls", "comp", "n", "lead", "sketch", "nodes"), s, False))
         large = open_.filter(~fits)
         if last or large.isEmpty():
             return None
