@@ -25,7 +25,7 @@ class Settings(NamedTuple):
     share: int = 75
     recall: float = 1 - 1e-6
     sketch: int = 128
-    limit: int = 1024
+    limit: int = 512
     splits: int = 2
     depth: int = 12
     seed: int = 6
@@ -151,22 +151,29 @@ def _compared(blocks: DataFrame, settings: Settings, nearest: bool) -> DataFrame
                         yield at + i, j, float(share[i, j])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def told(found: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*found)) or [(), (), ()]
+            return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.binary()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.float64())], names=["a", "b", "alike"])
+
         for table in _runs(batches, ["node", "block"]):
-            node, block, n = (table[c].to_numpy() for c in ("node", "block", "n"))
-            lead, cls, comp = table["lead"].to_numpy(), table["cls"].to_pylist(), table["comp"].to_pylist()
-            sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(len(cls), -1)
-            _, comp = np.unique(np.array(comp, "S16"), return_inverse=True)
-            places = None if nearest else [set(own) for own in table["nodes"].to_pylist()]
+            node, block = table["node"].to_numpy(), table["block"].to_numpy()
             starts = np.flatnonzero(np.concatenate([[True], (node[1:] != node[:-1]) | (block[1:] != block[:-1])]))
-            found = []
-            for at, end in zip(starts, np.append(starts[1:], len(cls))):
-                if end - at > 1:
-                    for i, j, share in pairs_of(comp[at:end], n[at:end], sketch[at:end], lead[at:end]):
-                        if nearest or min(places[at + i] & places[at + j]) == node[at]:
-                            a, b = cls[at + i], cls[at + j]
-                            found.append((min(a, b), max(a, b), share))
-            columns = list(zip(*found)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.binary()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.float64())], names=["a", "b", "alike"])
+            for at, end in zip(starts.tolist(), np.append(starts[1:], len(node)).tolist()):
+                if end - at < 2:
+                    continue
+                run, found = table.slice(at, end - at), []
+                n, lead, cls = run["n"].to_numpy(), run["lead"].to_numpy(), run["cls"].to_pylist()
+                sketch = np.frombuffer(b"".join(run["sketch"].to_pylist()), np.uint8).reshape(len(cls), -1)
+                _, comp = np.unique(np.array(run["comp"].to_pylist(), "S16"), return_inverse=True)
+                places = None if nearest else [set(own) for own in run["nodes"].to_pylist()]
+                for i, j, share in pairs_of(comp, n, sketch, lead):
+                    if nearest or min(places[i] & places[j]) == node[at]:
+                        found.append((min(cls[i], cls[j]), max(cls[i], cls[j]), share))
+                    if len(found) >= 20_000:
+                        yield told(found)
+                        found = []
+                if found:
+                    yield told(found)
 
     order = blocks.repartition("node", "block").sortWithinPartitions("node", "block")
     return order.mapInArrow(rows, "a binary, b binary, alike double")
