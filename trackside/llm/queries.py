@@ -110,4 +110,16 @@ ORACLE = {
         )
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(bare) AS text_sha256 FROM g
     """,
+    "op4_count_min_windows": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        win AS (
+            SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS s
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)
+        ), least AS (SELECT s, min(doc_id) AS m FROM win GROUP BY s),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM win JOIN least USING (s) WHERE m < doc_id),
+        g AS (SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, coalesce(len(ps), 0) AS n_removed,
+               sha256(array_to_string(list_filter(w, lambda x, i: NOT list_contains(coalesce(ps, []), i)), ' ')) AS kept_sha256
+        FROM d LEFT JOIN g USING (doc_id)
+    """,
 }
