@@ -177,6 +177,33 @@ def test_ids_of_the_documents():
     assert all(np.frombuffer(ids, "<u4").tolist() == e.ids for ids, e in zip(got, model.encode_batch(texts, add_special_tokens=False)))
 
 
+SPECIAL = {"<|endoftext|>": 50256}
+HOLDING = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "one two<|endoftext|>\nthree  four", "a  <|endoftext|>", "<|endoftext| >", "<|endoftext|>s <|endof<|endoftext|>text|>"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", "<|", "endoftext", "|>", " ", "  ", "\n", "a", "é", "'s", "1"]), max_size=8).map("".join), max_size=4))
+def test_special_strings_are_one_token(texts):
+    texts = texts + HOLDING
+    got = packing.Tokens(*RANKS, most=20, special=SPECIAL)(texts)
+    want = Tokenizer.from_file(VOCABULARY).encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == [e.ids for e in want]
+
+
+def test_query_takes_added_tokens(spark):
+    """What is registered has the ids of the tokenizer as it is loaded."""
+    from trackside.llm.queries import packed
+
+    rows = list(enumerate([*HOLDING, *HOLDING[:2], "plain words here"]))
+    model = Tokenizer.from_file(VOCABULARY)
+    got = packed(documents(spark, rows)).orderBy("doc_id", "start").collect()
+    for i, text in rows:
+        ids = np.array([*model.encode(text, add_special_tokens=False).ids, 0], "<u4")
+        own = [r for r in got if r.doc_id == i]
+        assert [r.ids_crc32 for r in own] == [zlib.crc32(ids[r.start : r.start + r.length].tobytes()) for r in own]
+        assert {r.doc_tokens for r in own} == {len(ids)} and sum(r.length for r in own) == len(ids)
+
+
 def test_pieces_of_nothing(spark):
     assert packing.pack_documents(documents(spark, []), *RANKS).collect() == []
 

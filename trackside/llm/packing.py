@@ -122,27 +122,31 @@ class Tokens:
     The pattern always parts a text before a single blank between words and around a single line
     feed between them, so the ids of a line are those of its first word and of the others with their
     blank, joined. Words come again and again: their ids are kept, up to ``most`` words, for all
-    tasks of a worker. Texts with other white space, or more of it in a row, are encoded as they are.
-    Strings of special tokens in a text are ordinary text.
+    tasks of a worker. Texts with other white space, or more of it in a row, are encoded as they are,
+    and so are those that hold a string of ``special``: it is one token there. Strings of special
+    tokens that are not in it are ordinary text.
     """
 
-    def __init__(self, ranks: str, pattern: str, most: int = 800_000, longest: int = 60):
+    def __init__(self, ranks: str, pattern: str, most: int = 800_000, longest: int = 60, special: dict[str, int] | None = None):
         import tiktoken
 
-        self.most, self.longest = most, longest
+        self.most, self.longest, self.special = most, longest, special or {}
+        own = ranks, *sorted(self.special.items())
         # Where the imported library is, because this module is sent by value with every task.
         kept = vars(sys.modules["tiktoken"]).setdefault("_kept_words", {})
-        if ranks not in kept:
+        if own not in kept:
             with open(ranks, "rb") as lines:
                 known = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-            model = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=known, special_tokens={})
+            model = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=known, special_tokens=self.special)
             blank = np.zeros(max(known.values()) + 1, bool)
             blank[[rank for token, rank in known.items() if token[:1] == b" "]] = True
-            kept[ranks] = model, blank, known[b"\n"], {}, {}
-        self.model, self.blank, self.feed, self.first, self.other = kept[ranks]
+            kept[own] = model, blank, known[b"\n"], {}, {}
+        self.model, self.blank, self.feed, self.first, self.other = kept[own]
 
     def _plain(self, text: str) -> bool:
         """Words parted by single blanks or line feeds, and nothing else."""
+        if any(token in text for token in self.special):
+            return False
         odd = "  " in text or " \n" in text or "\n " in text or "\n\n" in text
         return not (odd or text[:1] in ("", " ", LINE) or text[-1] in " \n" or OTHER_SPACE.search(text))
 
@@ -152,7 +156,7 @@ class Tokens:
         new = [word for word in words if word not in known]
         if not new:
             return []
-        ids = self.model.encode_to_numpy(lead + lead.join(new)).astype("<u4")
+        ids = self.model.encode_to_numpy(lead + lead.join(new), disallowed_special=()).astype("<u4")
         at = np.flatnonzero(starts(ids))
         data = ids.tobytes()
         skip = 4 * (lead == LINE)
@@ -174,18 +178,19 @@ class Tokens:
             if lines:
                 out.append(feed.join([first[line[0]] + b"".join(map(other.__getitem__, line[1:])) for line in lines]))
             else:
-                out.append(self.model.encode_to_numpy(text).astype("<u4").tobytes() if text else b"")
+                out.append(self.model.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes() if text else b"")
         for known, words in zip((first, other), long):
             for word in words:
                 del known[word]
         return out
 
 
-def pack_documents(docs: DataFrame, ranks: str, pattern: str, limits: Limits = Limits(), pool: int = 512) -> DataFrame:
+def pack_documents(docs: DataFrame, ranks: str, pattern: str, limits: Limits = Limits(), pool: int = 512, special: dict[str, int] | None = None) -> DataFrame:
     """Cut documents into pieces and place them in sequences of at most ``limits.tokens`` tokens.
 
     One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, segments
-    (of the sequence). ``ranks`` is the vocabulary file, ``pattern`` parts texts before its merges. A
+    (of the sequence). ``ranks`` is the vocabulary file, ``pattern`` parts texts before its merges,
+    ``special`` has the ids of strings that are one token wherever they stand (none: all is ordinary text). A
     document's tokens are the ids of its text (NULL: none) and the id 0 at its end; each lies in exactly one piece. Every token bears loss. Full lengths are cut off long
     documents first; what remains of each goes to a pool from which sequences are filled by the
     dot-product heuristic, and the last item of a sequence is cut to fill it. Only the sequences at
@@ -198,7 +203,7 @@ def pack_documents(docs: DataFrame, ranks: str, pattern: str, limits: Limits = L
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tokens, bins, number = Tokens(ranks, pattern), Bins(limits), TaskContext.get().partitionId() << 40
+        tokens, bins, number = Tokens(ranks, pattern, special=special), Bins(limits), TaskContext.get().partitionId() << 40
         size = min(limits.tokens, limits.loss_tokens)
         out: list[tuple] = []
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,12 +13,16 @@ from trackside.llm.common import table
 
 #: The vocabulary file, a parameter of the operator: byte_bpe_50k.json as ranks, with the same ids.
 VOCABULARY = "byte_bpe_50k.tiktoken"
+#: The rank file lacks the added tokens; they are read here.
+ADDED = "byte_bpe_50k.json"
 
 
 def packed(docs: DataFrame) -> DataFrame:
     import public_tokenizers
 
-    return packing.pack_documents(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+    with open(public_tokenizers.path(ADDED), encoding="utf-8") as file:
+        special = {token["content"]: token["id"] for token in json.load(file)["added_tokens"]}
+    return packing.pack_documents(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN, special=special)
 
 
 def op1_voronoi_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
