@@ -94,6 +94,35 @@ def test_windows_against_all(spark, length):
     assert collections.Counter(map(tuple, got.collect())) == without_repeats(rows, length)
 
 
+def test_hot_windows_do_not_meet_in_one_bucket(spark):
+    """A passage in every document and a word said again and again: few rows reach a bucket."""
+    from pyspark.sql import functions as F
+
+    from trackside.llm import substring
+
+    rng = random.Random(8)
+    passage = words(rng, 40)
+    rows = [(k, " ".join(words(rng, 20) + passage + words(rng, 20))) for k in range(600)] + [(1000, "la " * 5000), (1001, "la ti " * 3000)]
+    windows = Windows()
+    windows.bits_used = 16
+    docs = substring._documents(documents(spark, rows))
+    sent = substring._candidates(docs, windows, substring.anchor_sketch(docs, windows, 16), 16)
+    met = sent.groupBy("bucket").agg(F.sum(F.octet_length("doc_id") / 8).alias("n")).agg(F.max("n")).first()[0]
+    assert met <= 2000  # of 28 windows of the passage and up to 24 that touch it in each of 600 documents, and 11 000 of one or two words
+    assert collections.Counter(map(tuple, remove_repeats(documents(spark, rows)).collect())) == without_repeats(rows, 13)
+
+
+@pytest.mark.parametrize("length", [1, 2, 13])
+def test_windows_repeated_within_texts(spark, length):
+    rng = random.Random(20 + length)
+    rows = []
+    for k in range(40):
+        unit = rng.choices("a b c d e f".split(), k=rng.choice([1, 2, 3, 12, 13, 14, 20]))
+        rows.append((k // 2 * 2, " ".join((words(rng, rng.randint(0, 5)) + unit * rng.randint(1, 6)) * rng.randint(1, 2))))
+    got = remove_repeats(documents(spark, rows), Windows(length))
+    assert collections.Counter(map(tuple, got.collect())) == without_repeats(rows, length)
+
+
 def test_windows_empty(spark):
     assert remove_repeats(documents(spark, [])).collect() == []
 

@@ -105,7 +105,7 @@ class Sketch:
     ROWS = len(SEEDS)
 
     def __init__(self, bits: int, seen: np.ndarray | None = None, again: np.ndarray | None = None):
-        self.bits = bits
+        self.bits, self.frequent = bits, np.zeros(0, np.uint64)
         self.seen = np.zeros((self.ROWS, 1 << bits - 3), np.uint8) if seen is None else seen
         self.again = np.zeros((self.ROWS, 1 << bits - 3), np.uint8) if again is None else again
 
@@ -135,8 +135,38 @@ class Sketch:
         return found
 
 
+class Frequent:
+    """Anchors that come often, with how often: those with ``least`` places in a flush, the ``most``
+    commonest of them. Only the load of buckets depends on them, no result."""
+
+    def __init__(self, most: int = 4096, least: int = 3):
+        self.most, self.least = most, least
+        self.anchors, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def add(self, hashes: np.ndarray) -> None:
+        values, counts = np.unique(hashes, return_counts=True)
+        often = counts >= self.least
+        self.join(values[often], counts[often], 16 * self.most)
+
+    def join(self, anchors: np.ndarray, counts: np.ndarray, most: int) -> None:
+        values, place = np.unique(np.concatenate([self.anchors, anchors]), return_inverse=True)
+        total = np.bincount(place, np.concatenate([self.counts, counts]), len(values)).astype(np.int64)
+        top = np.sort(np.argsort(-total, kind="stable")[:most])
+        self.anchors, self.counts = values[top], total[top]
+
+    def written(self) -> tuple[bytes, bytes]:
+        self.join(self.anchors[:0], self.counts[:0], self.most)
+        return self.anchors.tobytes(), self.counts.tobytes()
+
+
 def _merge(parts: pd.DataFrame) -> tuple[bytes, bytes]:
-    """Bit maps of one slice from several sketches: counts are added, as far as 2."""
+    """Bit maps of one slice from several sketches: counts are added, as far as 2. Slice -1 has the
+    frequent anchors."""
+    if parts["slice"].iloc[0] < 0:
+        frequent = Frequent()
+        for one, two in zip(parts["seen"], parts["again"]):
+            frequent.join(np.frombuffer(one, np.uint64), np.frombuffer(two, np.int64), 16 * frequent.most)
+        return frequent.written()
     seen = again = None
     for one, two in zip(parts["seen"], parts["again"]):
         one, two = np.frombuffer(zlib.decompress(one), np.uint8), np.frombuffer(zlib.decompress(two), np.uint8)
@@ -161,18 +191,21 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 
 def anchor_sketch(docs: DataFrame, windows: Windows, bits: int, slices: int = 64, groups: int = 32) -> Sketch:
-    """One sketch of the anchors of all documents: every task sketches its own, slices are merged by
-    groups of tasks and then whole. Of fixed size, so it may pass through the driver."""
+    """One sketch of the anchors of all documents, with the ``frequent`` ones: every task sketches its
+    own, slices are merged by groups of tasks and then whole. Of fixed size, so it may pass through
+    the driver."""
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         sketch, known, held, task = Sketch(bits), WordHashes(), [], TaskContext.get().partitionId()
-        some = False
+        some, frequent = False, Frequent()
 
         def flush() -> None:
             if held:
-                sketch.add(np.concatenate(held))
+                hashes = np.concatenate(held)
+                sketch.add(hashes)
+                frequent.add(hashes)
                 held.clear()
 
         for batch in batches:
@@ -183,6 +216,8 @@ def anchor_sketch(docs: DataFrame, windows: Windows, bits: int, slices: int = 64
                     flush()
         flush()
         if some:
+            parts = [[cell] for cell in frequent.written()]
+            yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([task % groups], pa.int32()), *[pa.array(p, pa.binary()) for p in parts]], names=["slice", "part", "seen", "again"])
             size = sketch.seen.shape[1] // slices
             for k in range(slices):
                 cut = slice(k * size, (k + 1) * size)
@@ -196,32 +231,52 @@ def anchor_sketch(docs: DataFrame, windows: Windows, bits: int, slices: int = 64
     schema = "slice int, part int, seen binary, again binary"
     by_task = docs.select("text").mapInArrow(sketched, schema)
     whole = by_task.groupBy("slice", "part").applyInPandas(merged, schema).groupBy("slice").applyInPandas(merged, schema)
-    found = whole.select("slice", "again").toPandas().sort_values("slice")
+    sent = whole.select("slice", F.when(F.col("slice") < 0, F.col("seen")).alias("seen"), "again").toPandas().sort_values("slice")
+    common, found = sent[sent["slice"] < 0], sent[sent["slice"] >= 0]
     size = (1 << bits - 3) // slices
     again = np.zeros((Sketch.ROWS, 1 << bits - 3), np.uint8)
     for k, cell in zip(found["slice"], found["again"]):
         again[:, k * size : (k + 1) * size] = np.frombuffer(zlib.decompress(cell), np.uint8).reshape(Sketch.ROWS, size)
-    return Sketch(bits, again[:, :0], again)
+    out = Sketch(bits, again[:, :0], again)
+    out.frequent = np.frombuffer(b"".join(common["seen"]), np.uint64)
+    return out
 
 
-COLUMNS = ["doc_id", "raw", "at", "a", "b"]
+COLUMNS = ["doc_id", "raw", "at", "more", "a", "b"]
 
 
 def _blobs(bucket: int, sure: bool, columns: list[np.ndarray]) -> tuple:
     return (bucket, sure, *[c.tobytes() for c in columns])
 
 
+def _joined(keys: list[np.ndarray], at: np.ndarray, gap: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows that start a run of places with equal keys, and how far the run's last place is from its
+    first. Rows are sorted by keys and place; places up to ``gap`` apart are one run, because windows
+    of that length over them have all words in between."""
+    apart = np.concatenate([[True], at[1:] > at[:-1] + gap])[: len(at)]
+    for key in keys:
+        apart[1:] |= key[1:] != key[:-1]
+    first = np.flatnonzero(apart)
+    return first, at[np.append(first[1:], len(at)) - 1] - at[first] if len(first) else at
+
+
 def _candidates(docs: DataFrame, windows: Windows, sketch: Sketch, buckets: int, most: int = 400_000) -> DataFrame:
-    """Windows with a repeated anchor, as columns of numbers per bucket of anchors.
+    """Windows with a repeated anchor, as columns of numbers per bucket of anchors. Windows of a
+    frequent anchor, which also those have that only touch a common passage, are dealt by their own
+    hash.
 
     Each task first settles what it can: a window that it also has with a smaller doc_id is sure to
-    go, and only the occurrence with the smallest doc_id is sent on. A window that a third of all
-    documents share leaves a task once per ``most`` windows.
+    go. Such windows become runs of their text, which go to any bucket, by a hash of the text; only
+    the occurrence with the smallest doc_id goes to the window's bucket, repeats of it over the
+    same words as one. A window that a third of all documents share meets there once per ``most``
+    windows, or text longer than that; a window that a text repeats further apart than its length
+    once per place in that text.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(sketch.again)
+    shared = docs.sparkSession.sparkContext.broadcast((sketch.again, sketch.frequent))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, sketch = WordHashes(), Sketch(windows.bits_used, shared.value[:, :0], shared.value)
+        again, frequent = shared.value
+        known, sketch = WordHashes(), Sketch(windows.bits_used, again[:, :0], again)
         held: list[tuple[np.ndarray, ...]] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -236,10 +291,18 @@ def _candidates(docs: DataFrame, windows: Windows, sketch: Sketch, buckets: int,
             out = []
             for sure in (False, True):
                 mine = np.flatnonzero((doc > least) == sure)
-                mine = mine[np.lexsort((at[mine], raw[mine], doc[mine], bucket[mine]))]
-                firsts = np.flatnonzero(np.diff(bucket[mine], prepend=-1))
-                for own in np.split(mine, firsts[1:]) if len(mine) else []:
-                    out.append(_blobs(int(bucket[own[0]]), sure, [doc[own], raw[own], at[own], *([a[own], b[own]] if not sure else [a[:0], b[:0]])]))
+                if not len(mine):
+                    continue
+                mine = mine[np.lexsort((at[mine], raw[mine], doc[mine], *([] if sure else [b[mine], a[mine]])))]
+                first, more = _joined([c[mine] for c in ((doc, raw) if sure else (a, b, doc, raw))], at[mine], windows.length)
+                mine = mine[first]
+                to = (mixed((doc[mine] ^ raw[mine]).view(np.uint64)) % np.uint64(buckets)).astype(np.int64) if sure else bucket[mine]
+                order = np.lexsort((at[mine], raw[mine], doc[mine], to))
+                mine, more, to = mine[order], more[order].astype(np.int32), to[order]
+                edges = np.flatnonzero(np.diff(to, prepend=-1))
+                for begin, end in zip(edges.tolist(), np.append(edges[1:], len(mine)).tolist()):
+                    own = mine[begin:end]
+                    out.append(_blobs(int(to[begin]), sure, [doc[own], raw[own], at[own], more[begin:end], *([a[own], b[own]] if not sure else [a[:0], b[:0]])]))
             columns = list(zip(*out))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.bool_()), *[pa.array(c, pa.binary()) for c in columns[2:]]], names=["bucket", "sure", *COLUMNS]
@@ -257,31 +320,36 @@ def _candidates(docs: DataFrame, windows: Windows, sketch: Sketch, buckets: int,
                 if not len(open_):
                     continue
                 a, b = (sequences(hashes, windows.length, seed)[open_].view(np.int64) for seed in (13, 31))
-                n = len(open_)
-                held.append(((anchor[open_] % np.uint64(buckets)).astype(np.int64), np.full(n, doc, np.int64), np.full(n, raw, np.int64), open_.astype(np.int32), a, b))
+                n, dealt = len(open_), anchor[open_]
+                if len(frequent):
+                    hot = frequent[np.minimum(np.searchsorted(frequent, dealt), len(frequent) - 1)] == dealt
+                    dealt = np.where(hot, mixed(a.view(np.uint64)), dealt)
+                held.append(((dealt % np.uint64(buckets)).astype(np.int64), np.full(n, doc, np.int64), np.full(n, raw, np.int64), open_.astype(np.int32), a, b))
                 size += n
                 if size >= most:
                     size = 0
                     yield from flush()
         yield from flush()
 
-    return docs.filter("doc_id is not null").mapInArrow(rows, "bucket long, sure boolean, doc_id binary, raw binary, at binary, a binary, b binary")
+    return docs.filter("doc_id is not null").mapInArrow(rows, "bucket long, sure boolean, doc_id binary, raw binary, at binary, more binary, a binary, b binary")
 
 
 def _repeats(group: pd.DataFrame) -> pd.DataFrame:
     """Runs of windows (doc_id, raw, start, stop) of one bucket that also start in a smaller doc_id."""
     numbers = lambda frame, name, kind: np.frombuffer(b"".join(frame[name]), kind)
     sent, sure = group[~group["sure"]], group[group["sure"]]
-    doc, raw, at, a, b = (numbers(sent, n, k) for n, k in zip(COLUMNS, (np.int64, np.int64, np.int32, np.int64, np.int64)))
+    kinds = dict(zip(COLUMNS, (np.int64, np.int64, np.int32, np.int32, np.int64, np.int64)))
+    doc, raw, at, more, a, b = (numbers(sent, n, k) for n, k in kinds.items())
     order = np.lexsort((doc, b, a))
     new = np.flatnonzero(np.concatenate([[True], (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])])) if len(a) else np.zeros(0, int)
     later = order[doc[order] > np.repeat(doc[order][new], np.diff(np.append(new, len(a))))]
-    doc, raw, at = (np.concatenate([c[later], numbers(sure, n, k)]) for c, n, k in ((doc, "doc_id", np.int64), (raw, "raw", np.int64), (at, "at", np.int32)))
+    doc, raw, at, more = (np.concatenate([c[later], numbers(sure, n, kinds[n])]) for c, n in zip((doc, raw, at, more), COLUMNS))
     order = np.lexsort((at, raw, doc))
-    doc, raw, at = doc[order], raw[order], at[order]
-    first = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (raw[1:] != raw[:-1]) | (at[1:] > at[:-1] + 1)])) if len(doc) else np.zeros(0, int)
-    last = np.append(first[1:], len(doc)) - 1 if len(first) else first
-    return pd.DataFrame({"doc_id": doc[first], "raw": raw[first], "start": at[first], "stop": at[last] + 1})
+    doc, raw, at, stop = doc[order], raw[order], at[order], (at + more + 1)[order]
+    if not len(doc):
+        return pd.DataFrame({"doc_id": doc, "raw": raw, "start": at, "stop": stop})
+    first = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (raw[1:] != raw[:-1]) | (at[1:] > stop[:-1])]))
+    return pd.DataFrame({"doc_id": doc[first], "raw": raw[first], "start": at[first], "stop": np.maximum.reduceat(stop, first)})
 
 
 def _cut(length: int):
