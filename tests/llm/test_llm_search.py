@@ -35,6 +35,32 @@ def test_against_all_pairs(spark, sizes):
     assert sorted(map(tuple, got.collect())) == brute(rows, 4, 10)
 
 
+@pytest.mark.parametrize("sizes", [dict(cells=200), dict(cells=6, block_rows=3, part_rows=25)])
+def test_queries_that_repeat_more_than_k_times(spark, sizes):
+    """Rows of a query's own vec_id are no candidates: bounds may not rest on them."""
+    rng = np.random.default_rng(3)
+    rows = [(i, (10 * rng.normal(size=4)).tolist()) for i in range(1, 60) if i % 10]
+    rows += [(q, (10 * rng.normal(size=4)).tolist()) for q in (10, 20)] * 12
+    rows += [(7, rows[3][1])] * 9 + [(30, rows[3][1])]  # a candidate that repeats, with a query at its place
+    got = sorted(map(tuple, top_k(table(spark, rows), k=4, every=10, **sizes).collect()))
+    asked = {}
+    for row in brute(rows, 4, 10):
+        asked[row[:2]] = row  # they ask once
+    assert got == sorted(asked.values())
+
+
+def test_a_repeated_vec_id_is_dealt_to_all_parts(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    from pyspark.sql.group import GroupedData
+
+    seen, group = [], GroupedData.cogroup
+    monkeypatch.setattr(GroupedData, "cogroup", lambda self, other: seen.append(other._df) or group(self, other))
+    rows = [(7, [1.0, 2.0])] * 400 + [(i, [float(i), 1.0]) for i in range(100, 140)]
+    top_k(table(spark, rows), k=3, every=100, cells=1, part_rows=40)
+    counts = [r["count"] for r in seen[0].filter(F.col("vec_id") == 7).groupBy("part").count().collect()]
+    assert sum(counts) == 400 and max(counts) < 100
+
+
 def test_few_candidates_and_large_values(spark):
     rows = [(0, [3e9, -2.0]), (1, [1e9, 5.0]), (2, [-3e9, 1.0])]
     assert sorted(map(tuple, top_k(table(spark, rows), k=10).collect())) == [(0, 1, 1, 3 * 10**18 * 2**20 if 3 * 10**18 * 2**20 < 2**63 else 2**63 - 1), (0, 2, 2, -(2**63))]

@@ -92,13 +92,16 @@ def _plan(assigned: DataFrame, asking: DataFrame, pivots: np.ndarray, k: int, bl
     low[queries["cell"], queries["pivot"]], high[queries["cell"], queries["pivot"]] = queries["low"], queries["high"]
     longest, n = np.zeros(cells), np.zeros(cells, np.int64)
     longest[queries["cell"]], n[queries["cell"]] = queries["longest"], queries["n"]
-    # The k + 1 vectors nearest to each pivot: one of them may be the query itself.
+    # The k + 1 vec_ids nearest to each pivot, each by its nearest row: the rows of one of them may be the query's own.
     near = Window.partitionBy("cell").orderBy("dist", "vec_id")
-    nearest = assigned.select("cell", "dist", "vec_id").withColumn("at", F.row_number().over(near)).filter(F.col("at") <= k + 1).select("cell", "dist").toPandas()
+    own = assigned.groupBy("cell", "vec_id").agg(F.min("dist").alias("dist"))
+    nearest = own.withColumn("at", F.row_number().over(near)).filter(F.col("at") <= k + 1).select("cell", "dist", "vec_id").toPandas()
     theta = np.full(cells, -np.inf)
     for cell in np.flatnonzero(n):
         # Cauchy-Schwarz: a score differs from that of the pivot by norm times distance at most.
-        least = np.sort(low[cell, nearest["cell"]] - longest[cell] * nearest["dist"].to_numpy())
+        # A vec_id counts once, with its best row, whatever the number of cells it is in.
+        reached = pd.Series(low[cell, nearest["cell"]] - longest[cell] * nearest["dist"].to_numpy())
+        least = np.sort(reached.groupby(nearest["vec_id"].to_numpy()).max().to_numpy())
         if len(least) > k:
             theta[cell] = least[-k - 1]
     # Cells of similar pivots share a block of queries; large cells are dealt to several.
@@ -151,7 +154,7 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, cells: int = 64, bl
     64 bits stop at its ends. Other columns are not read; an empty table gives no rows.
 
     Voronoi join: vectors go to the nearest of ``cells`` pivots, which are a bounded sample. From
-    summaries of pairs of cells follows a score that k vectors reach for every query of a cell, and
+    summaries of pairs of cells follows a score that k vec_ids reach for every query of a cell, and
     from a vector's distance to its pivot the best it can do there; it is copied only to the blocks
     of queries where it can matter. Blocks hold ``block_rows`` queries and meet ``part_rows`` vectors
     at a time, so a hot cell is many blocks and many parts.
@@ -191,7 +194,8 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, cells: int = 64, bl
                 out.append(pd.DataFrame({"query_id": query, "vec_id": ids[best], "score": scores[best]}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
 
-    part = F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int").alias("part")
+    # Dealt by row, because a vec_id may repeat; queries meet every part. The rows are landed, so a task run again has the same numbers.
+    part = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts)).cast("int").alias("part")
     data = assigned.select("vec_id", "vec", "cell", "dist", part).mapInPandas(copies, "part int, vec_id long, vec binary, block int")
     # Blocks of each cell: one, or one of those that the cell's queries are dealt to.
     first = {cell: block for block, own in reversed(list(enumerate(plan.blocks))) for cell in own}
