@@ -157,6 +157,26 @@ def test_field_finds_what_the_patterns_miss(spark):
     assert all(got[k].n_added == 0 for k, _ in clean)
 
 
+def test_field_adds_planted_misses(spark):
+    """Emails and addresses that the patterns miss are added, where and as what they are."""
+    rng = random.Random(6)
+    lines = [" ".join([*words(rng, 4), f"{words(rng, 1)[0]}@{words(rng, 1)[0]}.org", *words(rng, 4), f"10.{k}.0.1"]) for k in range(200)] + [" ".join(words(rng, 9)) for _ in range(200)]
+    field = pii.learn(pii.labelled_lines(documents(spark, list(enumerate(lines)))))
+    planted = [("email", f"{words(rng, 1)[0]}é@{words(rng, 1)[0]}.es") for _ in range(40)] + [("email", f"{words(rng, 1)[0]}@ü{words(rng, 1)[0]}.de") for _ in range(40)]
+    planted += [("ip", mark.join(str(rng.randint(0, 255)) for _ in range(4))) for mark in ("[.]", "(.)", "[dot]") for _ in range(20)]
+    rows, want = [], {}
+    for k, (kind, found) in enumerate(planted):
+        before = " ".join(words(rng, 5)) + " ("
+        assert pii.base_spans(before + found) == []
+        rows.append((k, f"{before}{found}), " + " ".join(words(rng, 5))))
+        want[k] = f"{kind}:{len(before)}:{len(before) + len(found)}"
+    clean = [(500 + k, text) for k, text in enumerate(["300[.]1[.]1[.]1 there", "only é@home or @é.es", "a@é b", "x[.]y[.]z[.]w", "see 1.2.3 [4] and (5)"])]
+    got = {r.doc_id: r for r in pii.find(documents(spark, rows + clean), field).collect()}
+    assert sum(got[k].n_added == 1 and got[k].spans == want[k] for k in want) >= 0.9 * len(want)
+    assert all(got[k].spans in (want[k], "") for k in want)
+    assert all(got[k].n_added == 0 for k, _ in clean)
+
+
 def test_find_odd_rows(spark):
     docs = documents(spark, ODD)
     field = pii.learn(pii.labelled_lines(docs))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 import zlib
 from collections.abc import Iterator
@@ -23,6 +24,9 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+# What the field may add as one token: letters of all scripts around the @, and written-out dots.
+LOOSE_EMAIL = re.compile(r"[\w.%+!#$&'*/=?^`{|}~-]+@[\w-]+(?:\.[\w-]+)+")
+LOOSE_IP = re.compile(r"[0-9]{1,3}(?:(?:\.|\[\.\]|\(\.\)|\[dot\])[0-9]{1,3}){3}")
 DIGIT = re.compile(r"[0-9]")
 TOKEN = re.compile(WORD)
 
@@ -58,6 +62,15 @@ def valid(kind: str, found: str) -> bool:
     return 16 <= len(digits) <= 19 and luhn(digits) if kind == "card" else 8 <= len(digits) <= 15
 
 
+def fits(kind: str, found: str) -> bool:
+    """May the field add this text? Emails and addresses have checks looser than their patterns."""
+    if kind == "email":
+        return LOOSE_EMAIL.fullmatch(found) is not None
+    if kind == "ip":
+        return LOOSE_IP.fullmatch(found) is not None and all(int(part) <= 255 for part in re.findall("[0-9]+", found))
+    return (kind != "card" or CARD.fullmatch(found) is not None) and valid(kind, found)
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, end) of the patterns, by kind and start; end is exclusive, in code points."""
     found = [(0, a, b) for a, b in _emails(text)] if "@" in text else []
@@ -99,6 +112,12 @@ class Shapes(dict):
     def _of(shape: bytes) -> int:
         digits = shape.count(b"d")
         short = re.sub(rb"d{5,}", b"ddddd", re.sub(rb"([Xx])\1+", rb"\1", shape))
+        core = short.strip(b" .,;:!?()[]{}<>\"'-")
+        # Emails and numbers with written-out dots: one shape however long their parts, whatever stands around them.
+        if b"@" in core:
+            short = re.sub(rb"(?:x\.)+x", b"x.x", re.sub(rb"[Xxd_%+'-]+", b"x", core))
+        elif re.search(rb"d[\[(](?:\.|x+)[\])]d", core):
+            short = re.sub(rb"d+", b"d", core)
         size = 0 if not digits else 1 + int(np.searchsorted((2, 4, 7, 15), digits))
         return zlib.crc32(short) % SHAPES | (size << 2 | (b"@" in shape) << 1 | (b"+" in shape)) << 12
 
@@ -237,11 +256,30 @@ def labelled_lines(docs: DataFrame, most: int = 1500) -> DataFrame:
     return sample_by(marked, "has", "doc_id", most).select("text", "has").mapInPandas(rows, "text string, spans string")
 
 
+def written_lines() -> list[tuple[str, str]]:
+    """A small labelled table (text, spans) of forms that the patterns miss, and lines without a span."""
+    names = "josé m.müller françois.dupré søren_k zoë-1 иван 李雷 o'né anaïs22".split()
+    hosts = "ejemplo.es bücher.de mail.exämple.org пример.рф a-b.example.co.uk".split()
+    numbers = ["7", "42", "190"]
+    marks = ["[.]", "(.)", "[dot]"]
+    found = [("email", f"{name}@{host}") for name in names for host in hosts]
+    found += [("ip", mark.join(parts)) for mark in marks for parts in itertools.product(numbers, repeat=4)]
+    frames = ["{}", "write to {} today", "Contact: {}, or call", "the host ({}) is down", "from {} we heard that"]
+    out = []
+    for k, (kind, text) in enumerate(found):
+        frame = frames[k % len(frames)]
+        at = frame.index("{")
+        out.append((frame.format(text), f"{kind}:{at}:{at + len(text)}"))
+    plain = ["write to them today", "see [1] and (2) there", "he said @home and @work", "at 5 @ 3.50 each", "version 1.2.3 [beta]", "a[0] b[1](2) dot", "the host is down", "from there we heard that"]
+    return out + [(text, "") for text in plain]
+
+
 def learn(labelled: DataFrame, most_words: int = 40, most_lines: int = 3000) -> Field:
-    """Fit on a small table (text, spans): around each span, and lines without one."""
+    """Fit on a small table (text, spans): around each span, and lines without one. The written lines
+    come first."""
     table = labelled.select("text", "spans").orderBy(F.xxhash64("text", "spans")).limit(most_lines * 2).toPandas()
     with_, without, shapes = [], [], Shapes()
-    for text, spans in zip(table["text"], table["spans"]):
+    for text, spans in [*written_lines(), *zip(table["text"], table["spans"])]:
         tokens = list(TOKEN.finditer(text))
         states = np.zeros(len(tokens), int)
         for span in filter(None, spans.split(",")):
@@ -261,7 +299,8 @@ def find(docs: DataFrame, field: Field, lead: float = 2.0, most_words: int = 200
     matches that fail their check are dropped, with no second try inside them. Counts and hash are of
     these. The field then labels the words of every line; a run of words of one kind is added to
     ``spans`` if its lead over no label is ``lead`` per word at least, its text passes the kind's
-    check, and it touches no span of a pattern. Rows that repeat are searched each; other columns are
+    check, and it touches no span of a pattern. Words labelled email or ip are taken one by one, under
+    checks looser than the patterns (letters of all scripts, dots written as [.], (.) or [dot]). Rows that repeat are searched each; other columns are
     not read; an empty table gives no rows.
     """
     edges = " .,;:!?()[]{}<>\"'-"
@@ -269,18 +308,17 @@ def find(docs: DataFrame, field: Field, lead: float = 2.0, most_words: int = 200
     def added(text: str, states: np.ndarray, leads: np.ndarray, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
         tokens, out, k = list(TOKEN.finditer(text)), [], 0
         while k < len(states):
-            end = k + 1
-            while end < len(states) and states[end] == states[k]:
+            end, kind = k + 1, KINDS[int(states[k]) - 1]
+            # An email or an address is one word; numbers may be several.
+            while end < len(states) and states[end] == states[k] and kind in ("card", "phone"):
                 end += 1
             if states[k] and leads[k:end].mean() >= lead:
                 start, stop = tokens[k].start(), tokens[end - 1].end()
                 found = text[start:stop]
-                start, stop = start + len(found) - len(found.lstrip(edges.replace("(", ""))), stop - len(found) + len(found.rstrip(edges))
-                kind = int(states[k]) - 1
-                whole = {"ip": IP, "card": CARD}.get(KINDS[kind])
-                fits = (whole is None or whole.fullmatch(text, start, stop)) and KINDS[kind] != "email" and valid(KINDS[kind], text[start:stop])
-                if start < stop and fits and not any(a < stop and start < b for _, a, b in taken):
-                    out.append((kind, start, stop))
+                left = edges.replace("(", "") if kind in ("card", "phone") else edges
+                start, stop = start + len(found) - len(found.lstrip(left)), stop - len(found) + len(found.rstrip(edges))
+                if start < stop and fits(kind, text[start:stop]) and not any(a < stop and start < b for _, a, b in taken):
+                    out.append((KINDS.index(kind), start, stop))
             k = end
         return out
 
