@@ -198,6 +198,14 @@ def test_near_against_all_pairs(spark, settings):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got if r.doc_id in set(ids))
 
 
+def test_misses_of_trees_and_sketch_stay_within_the_recall():
+    from math import comb
+
+    s = Settings()
+    below = sum(comb(s.sketch, k) * 0.75**k * 0.25 ** (s.sketch - k) for k in range(s.sketch) if k / s.sketch < s.cut)
+    assert below + (1 - 0.75 * (1 - 0.25**s.splits) ** 2) ** s.trees <= 1 - s.recall
+
+
 def test_near_empty(spark):
     assert near_duplicates(documents(spark, [])).collect() == []
     got = near_duplicates(documents(spark, [(3, None), (4, "")])).collect()

@@ -30,16 +30,27 @@ class Settings(NamedTuple):
     depth: int = 12
     seed: int = 6
 
+    levels: int = 2
+
     @property
     def trees(self) -> int:
-        """A pair at the threshold misses a root's children with chance 1 - share/100."""
-        return math.ceil(math.log(1 - self.recall) / math.log(1 - self.share / 100))
+        """Half of the misses may be the trees'. A pair at the threshold misses a root with chance
+        1 - share/100, and all children of a node too large with that to the power of ``splits``;
+        ``levels`` of these are counted."""
+        miss = 1 - self.share / 100
+        found = (1 - miss) * (1 - miss**self.splits) ** min(self.levels, self.depth)
+        return math.ceil(math.log((1 - self.recall) / 2) / math.log(1 - found))
 
     @property
     def cut(self) -> float:
-        """Sketch agreement that a pair at the threshold falls below by 3.2 standard deviations only."""
-        j = self.share / 100
-        return j - 3.2 * math.sqrt(j * (1 - j) / self.sketch)
+        """Sketch agreement below which a pair at the threshold falls with half of the misses that the
+        recall allows: the sketch is the same in all trees, so they cannot mend it."""
+        j, below, agree = self.share / 100, 0.0, 0
+        while True:
+            below += math.comb(self.sketch, agree) * j**agree * (1 - j) ** (self.sketch - agree)
+            if below > (1 - self.recall) / 2:
+                return agree / self.sketch
+            agree += 1
 
 
 def shingles(cell: bytes, known: WordHashes, words: int) -> np.ndarray:
@@ -317,7 +328,7 @@ def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFr
     to compare branches on further minima that its hash picks, until its nodes are small. First every
     text tries its best partner only; afterwards a pair matters only if it joins two components, so a
     large group of near copies costs a few pairs per text, not all of them. Trees are as many as the
-    target recall at the threshold needs.
+    target recall at the threshold needs, and the sketch's cut is as low.
     """
     settings = settings or Settings()
     state = _Join(docs, settings)
