@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -69,3 +71,13 @@ def sample_by(rows: DataFrame, group: str, key: str, most: int) -> DataFrame:
     first = Window.partitionBy(group).orderBy("_h")
     cuts = rows.select(group, hashed.alias("_h")).withColumn("_at", F.row_number().over(first)).filter(F.col("_at") <= most).groupBy(group).agg(F.max("_h").alias("_cut"))
     return rows.join(F.broadcast(cuts), group).filter(hashed <= F.col("_cut")).drop("_cut")
+
+
+def kept_in_worker(key: tuple, make: Callable):
+    """What ``make`` gives, made once per Python worker. Functions here are sent to workers by value, so
+    the module that holds it is made there too."""
+    held = sys.modules.setdefault("_trackside_kept", types.ModuleType("_trackside_kept"))
+    kept = vars(held).setdefault("kept", {})
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import json
+import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackside.llm import exact_dedup, knn, language, mixing, near_dedup, packing, pii, sharding, substring, toxicity
+from trackside.llm import exact_dedup, knn, language, mixing, near_dedup, packing, periodic, pii, sharding, substring, token_counts, toxicity
 from trackside.llm.common import table
 
 
@@ -75,6 +76,40 @@ def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+#: Documents above this many tokens are over the limit.
+TOKEN_LIMIT = 2048
+
+
+def op12_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        counted = token_counts.prefix_counts(table(spark, sf_dir, "documents"), file.read())
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+def cycled(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of op 13: every tenth document, by a hash of its doc_id, has a tail that repeats."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+
+
+def op13_lcp_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find_runs(table(spark, sf_dir, "documents"), change=cycled)
+    # Greatest length first, then smallest start, then smallest period.
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("before"), (-r["period"]).alias("less"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n"))), "")
+    told = found.select("doc_id", "n_words", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+    length, period = F.col("best.length"), -F.col("best.less")
+    exponent = F.expr("1000 * best.length div -best.less").alias("exponent_milli")
+    return told.select("doc_id", "n_runs", (-F.col("best.before")).alias("start"), length.alias("length"), period.alias("period"), exponent, "runs_sha256", "collapsed_sha256")
+
+
 QUERIES = {
     "op1_voronoi_top_k": op1_voronoi_top_k,
     "op2_fingerprint_dedup": op2_fingerprint_dedup,
@@ -86,6 +121,8 @@ QUERIES = {
     "op8_ordinal_severity": op8_ordinal_severity,
     "op9_pareto_mix": op9_pareto_mix,
     "op10_vector_packing": op10_vector_packing,
+    "op12_prefix_counts": op12_prefix_counts,
+    "op13_lcp_runs": op13_lcp_runs,
 }
 
 BLANKS_SQL = r"[\x20\x09-\x0D]"
