@@ -23,7 +23,7 @@ from trackside.llm.common import kept_in_worker
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: The same over shapes: letters are a or themselves, numbers 0, white space a blank, the rest a dot.
 SHAPES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|0| +|[.']+")
-BLANK = dict.fromkeys(range(9, 14), " ")
+OTHER_BLANKS = "\t\n\x0b\x0c\r"
 END = "</w>"
 
 
@@ -308,7 +308,9 @@ class Counter:
         """By how much each code point changes the number of tokens, as 16-bit numbers."""
         if len(self.steps) >= self.most:
             self.steps.clear()
-        return b"".join(map(self.steps.__getitem__, text.translate(BLANK).split(" ")))[:-2]
+        for blank in OTHER_BLANKS:
+            text = text.replace(blank, " ")
+        return b"".join(map(self.steps.__getitem__, text.split(" ")))[:-2]
 
 
 class _Steps(dict):
