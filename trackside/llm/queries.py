@@ -8,7 +8,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackside.llm import exact_dedup, knn, language, mixing, near_dedup, packing, periodic, pii, sharding, substring, token_counts, toxicity
+from trackside.llm import alignment, exact_dedup, knn, language, mixing, near_dedup, packing, periodic, pii, sharding, substring, token_counts, toxicity
 from trackside.llm.common import table
 
 
@@ -76,6 +76,14 @@ def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op11_shared_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as a, open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as b:
+        vocabularies = alignment.Vocabularies(a.read(), b.read())
+    return alignment.align(table(spark, sf_dir, "documents"), vocabularies)
+
+
 #: Documents above this many tokens are over the limit.
 TOKEN_LIMIT = 2048
 
@@ -121,6 +129,7 @@ QUERIES = {
     "op8_ordinal_severity": op8_ordinal_severity,
     "op9_pareto_mix": op9_pareto_mix,
     "op10_vector_packing": op10_vector_packing,
+    "op11_shared_cuts": op11_shared_cuts,
     "op12_prefix_counts": op12_prefix_counts,
     "op13_lcp_runs": op13_lcp_runs,
 }
