@@ -9,7 +9,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackside.llm.common import utf8_cells
@@ -19,13 +19,16 @@ from trackside.session import landed
 
 
 class Settings(NamedTuple):
-    """Links need ``share`` of 100 of the union in common; nodes up to ``limit`` are compared whole."""
+    """Links need ``share`` of 100 of the union in common; nodes up to ``limit`` texts are compared whole, by one
+    task with up to ``shingles`` of them at once."""
 
     words: int = 5
     share: int = 75
     recall: float = 1 - 1e-6
     sketch: int = 128
-    limit: int = 512
+    block: int = 512
+    limit: int = 4096
+    shingles: int = 4_000_000
     splits: int = 2
     depth: int = 12
     seed: int = 6
@@ -123,73 +126,177 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tab
         yield rest
 
 
-def _compared(blocks: DataFrame, settings: Settings, nearest: bool) -> DataFrame:
-    """Pairs (a, b) of different components whose sketches agree enough, from sorted blocks.
+def _blocks(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Each block of rows with equal keys as one table, from sorted batches."""
+    for table in _runs(batches, keys):
+        columns = [table[key].to_numpy() for key in keys]
+        new = np.logical_or.reduce([np.concatenate([[True], c[1:] != c[:-1]]) for c in columns])
+        starts = np.flatnonzero(new)
+        for at, end in zip(starts.tolist(), np.append(starts[1:], len(new)).tolist()):
+            yield table.slice(at, end - at)
 
-    ``nearest``: only the best partner of each text, its node's leader if that is close; else all
-    pairs, each in the smallest of the ``nodes`` that both texts are in, so that a pair that shares
-    many nodes is told once.
-    """
 
-    def alike(comp: np.ndarray, n: np.ndarray, sketch: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """Agreement of some rows with all, 0 where a pair cannot count; in parts of bounded size."""
-        step = max(1, 65536 // len(comp))
-        for at in range(0, len(comp), step):
+def _numbered(cells: pa.ChunkedArray) -> np.ndarray:
+    return np.unique(np.array(cells.to_pylist(), "S16"), return_inverse=True)[1]
+
+
+class _Sketches:
+    """Sketches of one block's texts: which may be linked with which text of another component."""
+
+    #: Bytes looked at first, and how many of them must agree: at 0.75 fewer do once in 10^8.
+    FIRST, LEAST = 32, 8
+
+    def __init__(self, block: pa.Table, settings: Settings):
+        self.settings, self.comp, self.n = settings, _numbered(block["comp"]), block["n"].to_numpy()
+        self.bytes = np.frombuffer(b"".join(block["sketch"].to_pylist()), np.uint8).reshape(len(self.n), -1)
+        self.first = min(self.FIRST, settings.sketch // 4)
+
+    def alike(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """For some rows at a time, from the row ``at`` on: pairs (row - at, other row) that may count, and the
+        agreement of their sketches."""
+        step, share = max(1, (1 << 17) // len(self.n)), self.settings.share
+        for at in range(0, len(self.n), step):
             own = slice(at, at + step)
-            fits = (comp[own, None] != comp[None, :]) & (100 * np.minimum(n[own, None], n[None, :]) >= settings.share * np.maximum(n[own, None], n[None, :]))
-            share = np.zeros(fits.shape, np.float32)
-            i, j = np.nonzero(fits)
-            if len(i) > fits.size // 4:
-                share[:] = (sketch[own, None, :] == sketch[None, :, :]).sum(2, dtype=np.uint16) / np.float32(settings.sketch)
-                share[~fits] = 0
+            fits = (self.comp[own, None] != self.comp[None, :]) & (100 * np.minimum(self.n[own, None], self.n[None, :]) >= share * np.maximum(self.n[own, None], self.n[None, :]))
+            if fits.sum() * 4 > fits.size:
+                near = np.zeros(fits.shape, np.uint8)
+                for k in range(self.first):
+                    near += self.bytes[own, k, None] == self.bytes[None, :, k]
+                i, j = np.nonzero(fits & (near >= self.LEAST * self.first // self.FIRST))
             else:
-                share[i, j] = (sketch[own][i] == sketch[j]).sum(1, dtype=np.uint16) / np.float32(settings.sketch)
-            yield at, share
-
-    def pairs_of(comp: np.ndarray, n: np.ndarray, sketch: np.ndarray, lead: np.ndarray) -> Iterator[tuple]:
-        close = (1 + settings.share / 100) / 2 - 0.05
-        for at, share in alike(comp, n, sketch):
-            if nearest:
-                best = share.argmax(1)
-                for k in np.flatnonzero(lead)[:1]:
-                    best = np.where(share[:, k] >= close, k, best)
-                top = share[np.arange(len(share)), best]
-                for i in np.flatnonzero(top >= settings.cut):
-                    yield at + i, best[i], float(top[i])
-            else:
-                for i, j in zip(*np.nonzero(share >= settings.cut)):
-                    if at + i < j:
-                        yield at + i, j, float(share[i, j])
+                i, j = np.nonzero(fits)
+            if not len(i):
+                continue
+            agree = np.concatenate([(self.bytes[own][i[k : k + 20_000]] == self.bytes[j[k : k + 20_000]]).sum(1, dtype=np.uint16) for k in range(0, len(i), 20_000)])
+            likely = agree >= self.settings.cut * self.settings.sketch
+            yield at, i[likely], j[likely], agree[likely] / np.float32(self.settings.sketch)
+
+
+def _nearest(blocks: DataFrame, settings: Settings) -> DataFrame:
+    """(a, b, alike): of each text its best partner of another component in the block, its node's leader if
+    that is close. At most one row per text and block."""
+    close = (1 + settings.share / 100) / 2 - 0.05
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def told(found: list[tuple]) -> pa.RecordBatch:
-            columns = list(zip(*found)) or [(), (), ()]
-            return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.binary()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.float64())], names=["a", "b", "alike"])
-
-        for table in _runs(batches, ["node", "block"]):
-            node, block = table["node"].to_numpy(), table["block"].to_numpy()
-            starts = np.flatnonzero(np.concatenate([[True], (node[1:] != node[:-1]) | (block[1:] != block[:-1])]))
-            for at, end in zip(starts.tolist(), np.append(starts[1:], len(node)).tolist()):
-                if end - at < 2:
-                    continue
-                run, found = table.slice(at, end - at), []
-                n, lead, cls = run["n"].to_numpy(), run["lead"].to_numpy(), run["cls"].to_pylist()
-                sketch = np.frombuffer(b"".join(run["sketch"].to_pylist()), np.uint8).reshape(len(cls), -1)
-                _, comp = np.unique(np.array(run["comp"].to_pylist(), "S16"), return_inverse=True)
-                places = None if nearest else [set(own) for own in run["nodes"].to_pylist()]
-                for i, j, share in pairs_of(comp, n, sketch, lead):
-                    if nearest or min(places[i] & places[j]) == node[at]:
-                        found.append((min(cls[i], cls[j]), max(cls[i], cls[j]), share))
-                    if len(found) >= 20_000:
-                        yield told(found)
-                        found = []
-                if found:
-                    yield told(found)
+        for block in _blocks(batches, ["node", "block"]):
+            if block.num_rows < 2:
+                continue
+            cls, lead = block["cls"].to_pylist(), block["lead"].to_numpy()
+            found: list[tuple] = []
+            for at, i, j, agree in _Sketches(block, settings).alike():
+                weight = agree + 2 * (lead[j] & (agree >= close))
+                order = np.lexsort((-j, weight, i))
+                last = order[np.flatnonzero(np.append(i[order][1:] != i[order][:-1], True))] if len(order) else order
+                for x, y, share in zip((at + i[last]).tolist(), j[last].tolist(), agree[last].tolist()):
+                    found.append((min(cls[x], cls[y]), max(cls[x], cls[y]), share))
+            if found:
+                columns = list(zip(*found))
+                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.binary()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.float64())], names=["a", "b", "alike"])
 
     order = blocks.repartition("node", "block").sortWithinPartitions("node", "block")
     return order.mapInArrow(rows, "a binary, b binary, alike double")
 
 
+def _likely(blocks: DataFrame, settings: Settings) -> DataFrame:
+    """(node, block, cls, comp, n): the texts of each block that may be linked with one of another component
+    there. A pair that shares several of the ``nodes`` counts in the smallest, texts of equal ``side`` (but 0)
+    count in another block. At most one row per text and block, however many pairs."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(batches, ["node", "block"]):
+            if block.num_rows < 2:
+                continue
+            node, side = block["node"][0].as_py(), block["side"].to_pylist()
+            places = [set(own) for own in block["nodes"].to_pylist()]
+            told = [False] * block.num_rows
+            for at, i, j, _ in _Sketches(block, settings).alike():
+                for x, y in zip((at + i).tolist(), j.tolist()):
+                    if told[x] and told[y] or side[x] and side[x] == side[y]:
+                        continue
+                    if min(places[x] & places[y]) == node:
+                        told[x] = told[y] = True
+            if any(told):
+                kept = block.filter(pa.array(told)).select(["node", "block", "cls", "comp", "n"]).combine_chunks()
+                yield from kept.to_batches()
+
+    order = blocks.repartition("node", "block").sortWithinPartitions("node", "block")
+    return order.mapInArrow(rows, "node long, block long, cls binary, comp binary, n long")
+
+
+def _forest(sets: list[np.ndarray], comp: np.ndarray, half: np.ndarray, share: int, columns: int = 2048) -> list[tuple[int, int]]:
+    """Links (row, row) that join the components of some sets, no more than it takes: fewer than rows.
+
+    Common items are counted for many pairs at once, as a product of 0/1 matrices over the items that
+    several sets have. Rows of the most frequent component are compared with the others only, and where
+    ``half`` knows two halves, only across them.
+    """
+    m, sizes = len(sets), np.array([len(s) for s in sets], np.int64)
+    _, item = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(m), sizes)
+    several = np.bincount(item) > 1
+    place = np.cumsum(several) - 1
+    row, item = row[several[item]], place[item[several[item]]]
+    order = np.argsort(item, kind="stable")
+    row, item = row[order], item[order]
+    minor = np.flatnonzero(comp != np.bincount(comp).argmax())
+    mine = np.full(m, -1)
+    mine[minor] = np.arange(len(minor))
+    common = np.zeros((len(minor), m), np.float32)
+    edges = np.searchsorted(item, np.arange(0, int(several.sum()) + columns, columns))
+    for k, (begin, end) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
+        whole = np.zeros((m, columns), np.float32)
+        whole[row[begin:end], item[begin:end] - k * columns] = 1
+        common += whole[minor] @ whole.T
+    root = comp.astype(np.int64).copy()
+    links: list[tuple[int, int]] = []
+    for at in range(0, len(minor), 256):
+        own = minor[at : at + 256]
+        both = common[at : at + 256].astype(np.int64)
+        linked = (100 * both >= share * (sizes[own, None] + sizes[None, :] - both)) & (comp[own, None] != comp[None, :])
+        if half.any():
+            linked &= half[own, None] != half[None, :]
+        for i, j in zip(*np.nonzero(linked)):
+            x, y = int(own[i]), int(j)
+            if root[x] != root[y]:
+                links.append((x, y))
+                root[root == root[y]] = root[x]
+    return links
+
+
+def _joined(members: DataFrame, settings: Settings) -> DataFrame:
+    """(a, b): links between components, found on the whole sets of each (node, block, one, two), as few as
+    join them."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(batches, ["node", "block", "one", "two"]):
+            if block.num_rows < 2:
+                continue
+            cls = block["cls"].to_pylist()
+            sets = [np.frombuffer(cell, np.uint64) for cell in block["items"].to_pylist()]
+            part = block["part"].to_numpy()
+            half = part != block["one"][0].as_py() if block["one"][0].as_py() != block["two"][0].as_py() else np.zeros(len(cls), bool)
+            links = [(min(cls[x], cls[y]), max(cls[x], cls[y])) for x, y in _forest(sets, _numbered(block["comp"]), half, settings.share)]
+            if links:
+                columns = list(zip(*links))
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], names=["a", "b"])
+
+    keys = ["node", "block", "one", "two"]
+    return members.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(rows, "a binary, b binary")
+
+
+def _sets(texts: DataFrame, settings: Settings) -> DataFrame:
+    """(cls, items) from (cls, text): whole sets, sorted, as little-endian 64-bit numbers."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        for batch in batches:
+            for part in (batch.slice(at, 256) for at in range(0, batch.num_rows, 256)):
+                items = [shingles(bytes(cell), known, settings.words).tobytes() for cell in utf8_cells(part.column("text"))]
+                yield pa.RecordBatch.from_arrays([part.column("cls"), pa.array(items, pa.binary())], names=["cls", "items"])
+
+    return texts.mapInArrow(rows, "cls binary, items binary")
+
+
 def _confirmed(pairs: DataFrame, settings: Settings) -> DataFrame:
     """(a, b, linked) from (a, b, text_a, text_b): the shares of whole sets."""
 
@@ -222,7 +329,7 @@ class _Join:
         self.rows = landed(_sketched(docs, settings), "near-rows")
         one = self.rows.filter("n > 0").groupBy("cls").agg(F.min(F.struct("doc_id", "raw", "n", "roots", "sketch")).alias("one"))
         self.classes = landed(one.select("cls", "one.*"), "near-classes")
-        self.texts = self.comp = self.tested = None
+        self.texts = self.comp = None
 
     def components_of(self, members: DataFrame) -> DataFrame:
         if self.comp is None:
@@ -244,26 +351,27 @@ class _Join:
         own = self.classes.select(F.col("cls").alias("_cls"), "n", "sketch")
         return members.join(own, F.col("cls") == F.col("_cls")).drop("_cls")
 
-    def settle(self, pairs: DataFrame) -> None:
-        """Confirm pairs on whole sets and join the components of those that hold."""
-        spark = pairs.sparkSession
-        if self.tested is not None:
-            pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
-        pairs = landed(pairs.select("a", "b").distinct(), "near-pairs")
-        if pairs.isEmpty():
-            return
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    def fetch(self, wanted: DataFrame) -> None:
+        """Read the texts of classes that are not read yet."""
         if self.texts is not None:
-            wanted = wanted.join(self.texts, "cls", "left_anti")
+            wanted = wanted.join(self.texts.select("cls"), "cls", "left_anti")
         places = self.classes.join(wanted, "cls").select("cls", F.col("doc_id").alias("_id"), F.col("raw").alias("_raw"))
         more = self.docs.join(places, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("raw") == F.col("_raw"))).select("cls", "text").dropDuplicates(["cls"])
         more = landed(more, "near-texts")
         self.texts = more if self.texts is None else self.texts.unionByName(more)
+
+    def settle(self, pairs: DataFrame) -> None:
+        """Confirm pairs on whole sets and join the components of those that hold."""
+        pairs = landed(pairs.select("a", "b").distinct(), "near-pairs")
+        if pairs.isEmpty():
+            return
+        self.fetch(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct())
         left, right = (self.texts.select(F.col("cls").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
         known = landed(_confirmed(pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b"), self.settings), "near-tested")
-        tested = known.select("a", "b")
-        self.tested = tested if self.tested is None else self.tested.unionByName(tested)
-        links = known.filter("linked").select("a", "b")
+        self.link(known.filter("linked").select("a", "b"))
+
+    def link(self, links: DataFrame) -> None:
+        """Join the components that links connect."""
         if links.isEmpty():
             return
         # Between components known so far: later rounds have few links left.
@@ -279,30 +387,51 @@ class _Join:
 
     def nearest(self, members: DataFrame) -> None:
         """One candidate per text: its best partner among blocks of its nodes."""
-        blocks = F.ceil(F.col("n_node") / self.settings.limit)
+        blocks = F.ceil(F.col("n_node") / self.settings.block)
         own = F.array(F.pmod(F.xxhash64("cls", "node"), blocks))
         spread = self.open_nodes(members).withColumn("lead", F.col("cls") == F.col("leader"))
         # A leader of a large node meets every block of it.
         spread = spread.withColumn("block", F.explode(F.when(F.col("lead"), F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(own)))
-        found = landed(_compared(self.with_sketches(spread).select("node", "block", "cls", "comp", "n", "lead", "sketch"), self.settings, True), "near-best")
+        found = landed(_nearest(self.with_sketches(spread).select("node", "block", "cls", "comp", "n", "lead", "sketch"), self.settings), "near-best")
         ends = found.select("a", "b", "alike", F.explode(F.array("a", "b")).alias("cls"))
         best = ends.groupBy("cls").agg(F.max(F.struct("alike", "a", "b")).alias("best"))
         self.settle(best.select("best.a", "best.b"))
 
+    def compare(self, members: DataFrame) -> None:
+        """Link texts within blocks of nodes on whole sets. Blocks whose sets do not fit a task are cut into
+        parts, which meet two by two."""
+        likely = landed(_likely(members, self.settings), "near-likely")
+        if likely.isEmpty():
+            return
+        self.fetch(likely.select("cls").distinct())
+        items = _sets(self.texts.join(likely.select("cls").distinct(), "cls", "left_semi"), self.settings)
+        # A block has a bounded number of texts, so the window does.
+        along = Window.partitionBy("node", "block").orderBy("cls")
+        part = F.floor(F.sum("n").over(along.rowsBetween(Window.unboundedPreceding, 0)) / self.settings.shingles)
+        parts = likely.withColumn("part", part).withColumn("last", F.max("part").over(Window.partitionBy("node", "block")))
+        pairs = parts.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), "last")))
+        pairs = pairs.select("node", "block", "cls", "comp", "part", F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two"))
+        self.link(landed(_joined(pairs.join(items, "cls"), self.settings), "near-links"))
+
     def whole(self, members: DataFrame, level: int) -> DataFrame | None:
         """Compare open nodes whole; the members of the children of nodes too large and too mixed for it."""
         s = self.settings
         open_ = landed(self.open_nodes(members), "near-open")
         last = level >= s.depth
         fits = (F.col("n_node") <= s.limit) | (F.col("n_minor") <= s.limit) | F.lit(last)
+        # Blocks of a node: its few minor texts (not of the main component) meet all of them; where, at the last
+        # level, they are many, blocks meet two by two. side: texts of equal side meet in another block.
         blocks = F.ceil(F.col("n_node") / s.limit)
-        minor = (F.col("n_node") > s.limit) & (F.col("comp") != F.col("main"))
-        block = F.when(minor, F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(F.array(F.pmod(F.xxhash64("cls", "node"), blocks)))
-        small = open_.filter(fits)
+        minor, few = F.col("comp") != F.col("main"), F.col("n_minor") <= s.limit
+        each = F.when((blocks == 1) | (few & ~minor), F.array("own")).otherwise(F.sequence(F.lit(0).cast("long"), blocks - 1))
+        small = open_.filter(fits).withColumn("own", F.pmod(F.xxhash64("cls", "node"), blocks)).withColumn("other", F.explode(each))
+        crossed = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
+        small = small.withColumn("block", F.when((blocks == 1) | few, F.col("other")).otherwise(F.least("own", "other") * blocks + F.greatest("own", "other")))
+        small = small.withColumn("side", F.when(blocks == 1, 0).when(few, F.when(minor & (F.col("other") > 0), 1).otherwise(0)).otherwise(crossed))
         # A text is in few nodes: as many as there are trees, times the splits of each level.
-        places = small.groupBy(F.col("cls").alias("_cls")).agg(F.collect_set("node").alias("nodes"))
-        small = small.join(places, F.col("cls") == F.col("_cls")).withColumn("lead", F.lit(False)).withColumn("block", F.explode(block))
-        self.settle(_compared(self.with_sketches(small.drop("_cls")).select("node", "block", "cls", "comp", "n", "lead", "sketch", "nodes"), s, False))
+        places = open_.filter(fits).groupBy(F.col("cls").alias("_cls")).agg(F.collect_set("node").alias("nodes"))
+        small = small.join(places, F.col("cls") == F.col("_cls"))
+        self.compare(self.with_sketches(small.drop("_cls")).select("node", "block", "cls", "comp", "n", "side", "sketch", "nodes"))
         large = open_.filter(~fits)
         if last or large.isEmpty():
             return None
@@ -327,7 +456,9 @@ def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFr
     by sketches, and pairs that may reach the threshold are confirmed on whole sets. A node too large
     to compare branches on further minima that its hash picks, until its nodes are small. First every
     text tries its best partner only; afterwards a pair matters only if it joins two components, so a
-    large group of near copies costs a few pairs per text, not all of them. Trees are as many as the
+    large group of near copies costs a few pairs per text, not all of them. A node's task tells the
+    texts that may have a partner; these meet there again with their whole sets, are compared as one
+    matrix product, and the links that join components leave: rows grow with texts, not pairs. Trees are as many as the
     target recall at the threshold needs, and the sketch's cut is as low.
     """
     settings = settings or Settings()
