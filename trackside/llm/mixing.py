@@ -81,7 +81,7 @@ def pareto_mix(
     holds the words that the fractions ask for: its size in words is fixed. The document at the cut
     may be long, so later passes go on along the same order with the documents that still fit, and
     the last one takes the nearer side of its cut. Sums along the order are kept per bucket of it,
-    so no task sees a whole source. NULL and empty texts have size 0 and are never taken more than that; a NULL
+    so no task sees a whole source; documents that are never chosen lie evenly in the buckets. NULL and empty texts have size 0 and are never taken more than that; a NULL
     source is a source; rows that repeat are ranked apart; an empty table gives no rows.
     """
     own = F.col(weight).cast("double") if weight else F.lit(1.0)
@@ -110,7 +110,7 @@ def pareto_mix(
     )
     u = uniform(F.col("doc_id"), F.col("text_key"), F.lit(seed))
     odds = (u / (1 - u)) / (F.col("p") / (1 - F.col("p")))
-    ranked = each.withColumn("rank", F.when(F.col("p") > 0, odds / (1 + odds)).otherwise(F.lit(1.0)))
+    ranked = each.withColumn("rank", F.when(F.col("p") > 0, odds / (1 + odds)).otherwise(u))
     rows = ranked.withColumn("bucket", F.least(F.floor(F.col("rank") * buckets), F.lit(buckets - 1))).withColumn("chosen", F.lit(False))
     for k in range(passes):
         rows = _extended(landed(rows, "mix-ranks"), k == 0, k + 1 == passes)
