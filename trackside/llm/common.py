@@ -65,12 +65,13 @@ def batch_of(schema: pa.Schema, columns: list) -> pa.RecordBatch:
 def sample_by(rows: DataFrame, group: str, key: str, most: int) -> DataFrame:
     """About ``most`` rows of each group, those with the smallest hashes of ``key``, to fit a model.
 
-    One row per group (a label) is broadcast. Rows that repeat a key are in or out together.
+    The cut follows from the number of rows in a group, as hashes lie evenly. One row per group (a
+    label) is broadcast. Rows that repeat a key are in or out together.
     """
-    hashed = F.xxhash64(key)
-    first = Window.partitionBy(group).orderBy("_h")
-    cuts = rows.select(group, hashed.alias("_h")).withColumn("_at", F.row_number().over(first)).filter(F.col("_at") <= most).groupBy(group).agg(F.max("_h").alias("_cut"))
-    return rows.join(F.broadcast(cuts), group).filter(hashed <= F.col("_cut")).drop("_cut")
+    share = F.lit(float(most)) / F.col("_n")
+    counts = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    cuts = counts.select(group, F.when(share >= 1, F.lit(2**63 - 1)).otherwise((share * 2.0**64 - 2.0**63).cast("long")).alias("_cut"))
+    return rows.join(F.broadcast(cuts), group).filter(F.xxhash64(key) <= F.col("_cut")).drop("_cut")
 
 
 def kept_in_worker(key: tuple, make: Callable):

@@ -106,10 +106,16 @@ def _arrays(found: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(found["ids"]), np.int32), np.frombuffer(b"".join(found["values"]), np.float32).astype(float), np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(int) if len(found) else np.zeros(0, int)
 
 
-def graded(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, text, grade) of the labelled documents: grade 0 or 1."""
-    known = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").alias("grade"))
-    return docs.select("doc_id", "text").join(known, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "grade")
+def graded(docs: DataFrame, labels: DataFrame, most: int = 2400) -> DataFrame:
+    """(doc_id, text, grade) of about ``most`` labelled documents of each grade: grade 0 or 1.
+
+    Labels are sampled before they meet texts, so the chosen ids, at most about ``most`` for each of a few
+    grades, can go to all tasks and no text is shuffled. Labels without a document are lost from the
+    sample.
+    """
+    known = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").alias("grade")).filter("_id is not null and grade is not null").distinct()
+    chosen = sample_by(known, "grade", "_id", most)
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "grade")
 
 
 def learn(labelled: DataFrame, most: int = 2400, grades: int = 3) -> Severity:
