@@ -31,7 +31,8 @@ def op1_voronoi_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_fingerprint_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+    found = exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 def op3_output_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +51,10 @@ def op5_random_field(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    # A row that repeats a doc_id counts as kept too; the operator itself keeps one of them.
+    kept = F.when(F.col("doc_id").isNull(), F.col("kept")).otherwise(F.col("doc_id") == F.col("component_id"))
+    return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), "text_key")
 
 
 def op7_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
