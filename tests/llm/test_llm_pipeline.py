@@ -31,7 +31,7 @@ def test_query_against_sql(spark, con, name):
 
 def test_registered():
     assert set(queries.QUERIES) | {"pipeline"} <= set(registered.queries())
-    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES[:-1]])
