@@ -301,8 +301,7 @@ def facet_rejects(spark: SparkSession, sf: str) -> DataFrame:
 def malformed_values(spark: SparkSession, sf: str) -> DataFrame:
     """Rows per rule that values broke which could not be read, and per column that stays without
     its default for that."""
-    docs = feed.spoiled_documents(orders(spark, sf))
-    rows = messages.forecasts(docs)
+    rows = landed(messages.forecasts(feed.spoiled_documents(orders(spark, sf))), "spoiled")
     found = [
         quality.invalid_rows(quality.broken_rules(rows, "forecast")).select("rule"),
         quality.invalid_rows(quality.broken_rules(messages.forecast_events(rows), "forecast_event")).where("rule = 'delayed'").select("rule"),

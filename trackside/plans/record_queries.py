@@ -110,7 +110,7 @@ def keyed_store(spark: SparkSession, sf: str) -> DataFrame:
 def keyed_lookup(spark: SparkSession, sf: str) -> DataFrame:
     path = work_dir(spark, "keyed")
     stores.append_keyed(parse_records(records(spark, sf)), 0, path)
-    return stores.read_key(spark, path, "C00008", "E5RROR")
+    return stores.read_key(spark, path, "C00008", "ECB5E10")
 
 
 def keyed_lookup_folded(spark: SparkSession, sf: str) -> DataFrame:
@@ -123,7 +123,7 @@ def keyed_lookup_folded(spark: SparkSession, sf: str) -> DataFrame:
         stores.append_keyed(rows.where(part == number), number, path)
         stores.compact_keyed(spark, path, buckets)
     stores.append_keyed(rows.where(part == 2), 2, path)
-    return stores.read_key(spark, path, "C00008", "E5RROR")
+    return stores.read_key(spark, path, "C00008", "ECB5E10")
 
 
 def time_partitioned_write(spark: SparkSession, sf: str) -> DataFrame:
@@ -259,7 +259,7 @@ _LATEST = (
     f"ORDER BY CAST(sequence_number AS BIGINT) DESC) AS n FROM r) WHERE n = 1"
 )
 
-_LOOKED_UP = f"{_R} SELECT * FROM ({_LATEST}) WHERE unique_id = 'C00008' AND location_code = 'E5RROR'"
+_LOOKED_UP = f"{_R} SELECT * FROM ({_LATEST}) WHERE unique_id = 'C00008' AND location_code = 'ECB5E10'"
 
 _BROKEN = "(event_id % 10 = 3 OR event_id % 15 = 4)"
 

@@ -309,13 +309,19 @@ _JOURNEYS = f"""WITH {_DAYS} SELECT rid, ssd, pos, {', '.join(_anchored(n) for n
 
 _POINTS_OF = "SELECT *, CASE WHEN second_train THEN rid_2 ELSE rid END AS train FROM p"
 
-_MATCHES = " UNION ALL ".join(
-    f"""SELECT f.o_orderkey, f.i, s.pos, {rank} AS rank, '{name}' AS kind_of FROM f JOIN s ON s.rid = f.train AND s.tpl = f.tpl
-        AND s.{name} = f.{name}"""
-    for rank, name in enumerate(journey.INSTANCE_TIMES)
-    if name != "wtp"
+_OFFERED = "unnest([{}])".format(
+    ", ".join(f"{{'rank': {rank}, 'kind_of': '{name}', 'clock': {name}}}" for rank, name in enumerate(journey.INSTANCE_TIMES) if name != "wtp")
 )
 
+# One join of what the rows offer with what the points answer, both told apart by rank and clock.
+_MATCHES = f"""f AS MATERIALIZED ({_POINTS_OF}),
+  offered AS (SELECT o_orderkey, i, train AS rid, tpl, o.rank AS rank, o.kind_of AS kind_of, o.clock AS clock
+    FROM (SELECT o_orderkey, i, train, tpl, {_OFFERED} AS o FROM f) WHERE o.clock IS NOT NULL),
+  answers AS MATERIALIZED (SELECT rid, tpl, o.rank AS rank, o.clock AS clock, min(pos) AS pos
+    FROM (SELECT rid, tpl, pos, {_OFFERED} AS o FROM s) WHERE o.clock IS NOT NULL GROUP BY ALL),
+  best AS (SELECT o_orderkey, i, min({{'rank': rank, 'pos': pos, 'kind_of': kind_of}}) AS met
+    FROM offered JOIN answers USING (rid, tpl, rank, clock) GROUP BY ALL)"""
+
 _ALARMS = f"""SELECT event_id, ts, {m.ALARM_ID} AS id, event_type,
   CASE WHEN event_type = 'signup' THEN 'td_feed_fail' WHEN event_type = 'view' THEN 'tyrell_feed_fail' ELSE 'td_area_fail' END AS kind,
   CASE WHEN event_type NOT IN ('signup', 'view') THEN concat('A', CAST(user_id % 10 AS VARCHAR)) END AS area,
@@ -383,11 +389,10 @@ ORACLE = {
     "journey_anchor": _JOURNEYS,
     "calling_points_anchored": _JOURNEYS,
     "journey_anchor_in_blocks": f'WITH {_DAYS} SELECT rid, pos, "day" FROM b',
-    "instance_match": f"""WITH p AS ({POINTS_SQL}), f AS ({_POINTS_OF}), {_SCHEDULED},
-        x AS ({_MATCHES}), best AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY o_orderkey, i ORDER BY rank, pos) = 1)
+    "instance_match": f"""WITH p AS ({POINTS_SQL}), {_SCHEDULED}, {_MATCHES}
         SELECT f.o_orderkey AS sequence_number, CAST(CASE WHEN second_train THEN 1 ELSE 0 END AS INTEGER) AS train_index,
           CAST(CASE WHEN second_train THEN 0 ELSE f.i END AS INTEGER) AS location_index, f.train AS rid, f.tpl,
-          best.pos, best.kind_of AS matched_by
+          best.met.pos AS pos, best.met.kind_of AS matched_by
         FROM f LEFT JOIN best ON best.o_orderkey = f.o_orderkey AND best.i = f.i""",
     "via_text": f"""WITH {_SCHEDULED}, c AS (SELECT rid, tpl, pos FROM s WHERE kind IN ('OR', 'IP', 'DT')),
         ends AS (SELECT rid, arg_max(tpl, pos) AS dest FROM c GROUP BY rid),

@@ -9,12 +9,9 @@ from trackside.functions.values import NULL_TEXT
 
 TOPIC = "train_data"
 
-# A code of at most seven characters from the whole event type: its length and a sum over it, so
-# that types which begin alike stay apart. SQL text for both engines.
-LOCATION = (
-    "concat(upper(substr(event_type, 1, 1)), cast(length(event_type) as string), "
-    "upper(substr(event_type, cast(greatest(length(event_type) - 3, 1) as int), 4)))"
-)
+# A code of seven characters from the whole event type: its first letter and a hash of it. SQL text
+# for both engines.
+LOCATION = "upper(concat(substr(event_type, 1, 1), substr(md5(event_type), 1, 6)))"
 
 
 def _k() -> Column:
