@@ -356,7 +356,8 @@ class _Join:
         if self.texts is not None:
             wanted = wanted.join(self.texts.select("cls"), "cls", "left_anti")
         places = self.classes.join(wanted, "cls").select("cls", F.col("doc_id").alias("_id"), F.col("raw").alias("_raw"))
-        more = self.docs.join(places, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("raw") == F.col("_raw"))).select("cls", "text").dropDuplicates(["cls"])
+        # Both sides grow with the corpus: joined the same way at every size.
+        more = self.docs.join(places.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("raw") == F.col("_raw"))).select("cls", "text").dropDuplicates(["cls"])
         more = landed(more, "near-texts")
         self.texts = more if self.texts is None else self.texts.unionByName(more)
 
