@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from trackside.operators.clean import clean
 from trackside.operators import state
 from trackside.operators.parse import parse_records
+from trackside.schemas import RECORD_FIELDS
 from trackside.session import landed, work_dir, work_root
 from trackside.sources.records import TOPIC_SCHEMA, read_topic, stream_files, stream_topic
 from trackside.sources.tables import read_table, spread, stream_table
@@ -177,17 +178,15 @@ def test_keyed_store(spark, tmp_path):
         got = stores.read_key(spark, path, "U1", "A")
         assert [(r.schedule_id, r.source) for r in got.collect()] == want
         assert stores.read_keyed(spark, path).count() == 3
-        return got._jdf.queryExecution().executedPlan().toString()
+        return len(got.inputFiles())
 
     stores.append_keyed(first, 0, path)
     stores.append_keyed(rows(("U1", "2", "10", "new")), 1, path)
     stores.append_keyed(rows(("U1", "2", "10", "new")), 1, path)
     assert stores.broken_keys(first).count() == 1
     looked_up()
-    for buckets in (4, 7, None):  # readers need not know the number
-        stores.compact_keyed(spark, path, buckets)
-        plan = looked_up()
-        assert "PartitionFilters: [(isnull(bucket" in plan
+    stores.compact_keyed(spark, path, files=2)
+    assert looked_up() == 1
     # the same sequence written again later replaces what was folded, an older one does not
     stores.append_keyed(rows(("U1", "2", "10", "again"), ("U1", "1", "0", "older")), 2, path)
     want = [("1", "x"), ("2", "again")]
@@ -206,21 +205,112 @@ def test_last_of_one_message_wins(spark):
 
 
 def test_store_stays_small_over_many_batches(spark, tmp_path):
-    """Two hundred small batches: few files, and a lookup that lists the last version only."""
+    """Sixty small batches: few files, and a lookup opens at most two of each part."""
     path = str(tmp_path / "raw")
-    names = [json.dumps(dict(unique_id=f"U{n % 7}", location_code="A", schedule_id="1", sequence_number=str(n), source=str(n))).encode() for n in range(200)]
+    names = [json.dumps(dict(unique_id=f"U{n % 7}", location_code="A", schedule_id="1", sequence_number=str(n), source=str(n))).encode() for n in range(60)]
     spark.conf.set("spark.sql.shuffle.partitions", "1")
     try:
         for n, value in enumerate(names):
-            stores.append_keyed(parse_records(spark.createDataFrame([(value,)], "value binary")), n, path, every=50)
-            open_ones = versions.open_batches(spark, path)
-            assert len(open_ones) < 50
+            stores.append_keyed(parse_records(spark.createDataFrame([(value,)], "value binary")), n, path, every=8)
+            assert len(versions.open_batches(spark, path)) < 8
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
-    files = [f for f in (tmp_path / "raw").rglob("*.parquet")]
-    assert len(files) <= 110
-    assert {r.unique_id: r.source for r in stores.read_keyed(spark, path).collect()} == {f"U{n % 7}": str(n) for n in range(193, 200)}
-    assert len(stores.read_key(spark, path, "U3", "A").inputFiles()) <= 3
+    assert {r.unique_id: r.source for r in stores.read_keyed(spark, path).collect()} == {f"U{n % 7}": str(n) for n in range(53, 60)}
+    info = versions.manifest(spark, path)
+    opened = [f for f in stores.read_key(spark, path, "U3", "A").inputFiles() if "/parts/" in f]
+    assert len(info["parts"]) <= 2 * versions.FAN and len(opened) <= len(info["parts"])
+    assert len([f for f in (tmp_path / "raw").rglob("*.parquet")]) <= 2 * (8 + len(info["parts"]) + versions.FAN)
+
+
+def keyed_batches(spark, path, n_batches, keys, per_batch):
+    """Batch folders of a keyed store, all written by one job."""
+    n = F.col("id")
+    fields = {name: F.lit(None).cast("string") for name in RECORD_FIELDS} | {
+        "unique_id": F.format_string("U%05d", (n * 7919) % keys),
+        "location_code": F.lit("A"),
+        "schedule_id": F.lit("1"),
+        "sequence_number": n.cast("string"),
+    }
+    rows = spark.range(n_batches * per_batch).select(*[c.alias(name) for name, c in fields.items()], F.floor(n / per_batch).alias("batch_id"), F.lit("none").alias("query"))
+    rows.repartition(1).write.partitionBy("query", "batch_id").parquet(f"{path}/batches")
+
+
+def test_levels_write_a_row_a_few_times(spark, tmp_path):
+    """A thousand batches: what is written grows with levels, not with the state, and readers see all."""
+    path = str(tmp_path / "raw")
+    keyed_batches(spark, path, 1000, 10**6, 5)
+    want = as_set(stores.read_keyed(spark, path))
+    for _ in range(20):
+        stores.compact_keyed(spark, path, most=50)
+    assert versions.open_batches(spark, path) == []
+    info = versions.manifest(spark, path)
+    # twenty parts of level 0, five merges into level 1, one into level 2
+    assert sorted(part["level"] for part in info["parts"]) == [1, 2]
+    assert info["written"] <= 5000 * (1 + 2)
+    assert as_set(stores.read_keyed(spark, path)) == want and len(want) == 5000
+
+
+def test_lookup_opens_two_files_of_a_part_at_most(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    keyed_batches(spark, path, 6, 900, 2000)
+    want = {key: as_set(stores.read_key(spark, path, key, "A")) for key in ("U00000", "U00444", "U00899", "none")}
+    for _ in range(3):
+        stores.compact_keyed(spark, path, files=8, most=2)
+    info = versions.manifest(spark, path)
+    assert len(info["parts"]) == 3 and all(len(part["files"]) == 8 for part in info["parts"])
+    for key, rows in want.items():
+        got = stores.read_key(spark, path, key, "A")
+        assert as_set(got) == rows and len(rows) == (key != "none")
+        assert key == "none" or len(got.inputFiles()) <= 2 * len(info["parts"])
+
+
+def test_lookup_while_the_store_is_folded(spark, tmp_path, monkeypatch):
+    """A fold that ends between a reader's manifest and its listing takes nothing away from it."""
+    path = str(tmp_path / "raw")
+    keyed_batches(spark, path, 6, 50, 40)
+    stores.compact_keyed(spark, path, files=3, most=2)
+    want = {f"U{k:05}": as_set(stores.read_key(spark, path, f"U{k:05}", "A")) for k in (0, 7, 31)}
+    listed = versions.open_batches
+
+    def late(session, place, info=None):
+        if info is not None and not state["folding"]:
+            state["folding"] = True
+            stores.compact_keyed(session, place, files=7, most=2)
+            state["folding"] = False
+        return listed(session, place, info)
+
+    state = {"folding": False}
+    for key, rows in want.items():
+        monkeypatch.setattr(versions, "open_batches", late)
+        got = stores.read_key(spark, path, key, "A")
+        monkeypatch.setattr(versions, "open_batches", listed)
+        assert as_set(got) == rows and len(rows) == 1
+
+
+def test_dated_store_over_many_batches(spark, tmp_path):
+    """Two hundred batches over three days: few files, and a range read opens its days' files only."""
+    path = tmp_path / "dated"
+    n = F.col("id")
+    at = F.expr("timestampadd(minute, id * 4 + id % 3 * 600, timestamp_ntz'2024-01-01 00:00:00')")
+    rows = spark.range(200 * 5).select(n.alias("event"), at.alias("actual_arrival"), F.to_date(at).alias("arrival_date"), F.floor(n / 5).alias("batch_id"), F.lit("none").alias("query"))
+    rows.repartition(1).write.partitionBy("query", "batch_id", "arrival_date").parquet(str(path / "batches"))
+    told = rows.select("event", "actual_arrival")
+    want = as_set(told)
+    for _ in range(12):
+        stores.compact_by_date(spark, str(path), most=16)
+    assert len(versions.open_batches(spark, str(path))) == 8
+    assert as_set(stores.read_by_date(spark, str(path))) == want
+    info = versions.manifest(spark, str(path))
+    days = {part["group"] for part in info["parts"]}
+    assert len(days) <= 4 and len(info["parts"]) <= len(days) * 2 * versions.FAN and info["written"] <= 3 * 1000
+    assert len(list((path / "parts").rglob("*.parquet"))) <= 2 * len(days) * 2 * versions.FAN
+    for begin, end in (("2024-01-02 06:00:00", "2024-01-02 09:30:00"), ("2024-01-01 23:00:00", "2024-01-03 00:00:00"), ("2025-01-01 00:00:00", "2025-01-02 00:00:00")):
+        got = stores.read_between(spark, str(path), begin, end)
+        assert as_set(got) == as_set(told.where(f"actual_arrival >= timestamp_ntz'{begin}' and actual_arrival < timestamp_ntz'{end}'"))
+        if begin < "2025":
+            assert begin[:10] in {f.split("arrival_date=")[1][:10] for f in got.inputFiles()} <= {"2024-01-01", "2024-01-02"}
+    with pytest.raises(ValueError):
+        stores.read_between(spark, str(path), "soon", "2024-01-01")
 
 
 def test_keyed_store_without_rows(spark, tmp_path):
@@ -233,11 +323,13 @@ def test_keyed_store_without_rows(spark, tmp_path):
 def test_range_read_prunes_days(spark, tmp_path):
     rows = clean(parse_records(topic_records(read_table(spark, SF, "events"))))
     stores.write_by_date(rows, str(tmp_path / "dated"))
-    got = stores.read_between(spark, str(tmp_path / "dated"), "2024-01-03 12:00:00", "2024-01-04 06:00:00")
     want = rows.where("actual_arrival >= timestamp_ntz'2024-01-03 12:00:00' and actual_arrival < timestamp_ntz'2024-01-04 06:00:00'")
-    assert as_set(got.select(*rows.columns)) == as_set(want)
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "arrival_date" in plan.split("PartitionFilters: ")[1].split("]")[0]
+    for fold in (False, True):
+        if fold:
+            stores.compact_by_date(spark, str(tmp_path / "dated"))
+        got = stores.read_between(spark, str(tmp_path / "dated"), "2024-01-03 12:00:00", "2024-01-04 06:00:00")
+        assert as_set(got.select(*rows.columns)) == as_set(want)
+        assert {f.split("arrival_date=")[1][:10] for f in got.inputFiles()} == {"2024-01-03", "2024-01-04"}
 
 
 @pytest.mark.parametrize("separate", [False, True])

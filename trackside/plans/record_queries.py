@@ -114,15 +114,15 @@ def keyed_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def keyed_lookup_folded(spark: SparkSession, sf: str) -> DataFrame:
-    """The same after the store was folded, twice and into different numbers of buckets, and has a
-    batch that came later."""
+    """The same after the store was folded, part by part and into different numbers of files, up to the
+    second level, and has a batch that came later."""
     path = work_dir(spark, "keyed")
     rows = parse_records(records(spark, sf))
-    part = F.col("sequence_number").cast("bigint") % 3
-    for number, buckets in ((0, 7), (1, 5)):
+    part = F.col("sequence_number").cast("bigint") % 6
+    for number in range(5):
         stores.append_keyed(rows.where(part == number), number, path)
-        stores.compact_keyed(spark, path, buckets)
-    stores.append_keyed(rows.where(part == 2), 2, path)
+        stores.compact_keyed(spark, path, files=3 + number)
+    stores.append_keyed(rows.where(part == 5), 5, path)
     return stores.read_key(spark, path, "C00008", "ECB5E10")
 
 
@@ -133,8 +133,13 @@ def time_partitioned_write(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def time_range_read(spark: SparkSession, sf: str) -> DataFrame:
+    """A range of a store of six batches, five of which are folded into days, some up to the second level."""
     path = work_dir(spark, "dated")
-    stores.write_by_date(clean_data(spark, sf), path)
+    rows = clean_data(spark, sf)
+    for number in range(6):
+        stores.append_by_date(rows.where(F.col("sequence_number") % 6 == number), number, path)
+        if number < 5:
+            stores.compact_by_date(spark, path)
     return stores.read_between(spark, path, "2024-01-03 12:00:00", "2024-01-05 06:30:00")
 
 

@@ -19,7 +19,7 @@ from trackside.operators.state import distinct_requests, fold_times, latest, mer
 from trackside.schemas import RECORD_FIELDS
 from trackside.sources.tables import spread
 from trackside.streaming import sinks, versions
-from trackside.streaming.stores import broken_keys, last_written
+from trackside.streaming.stores import EVERY, broken_keys, last_written
 
 log = logging.getLogger(__name__)
 
@@ -160,19 +160,19 @@ def start_separately(
 
 
 def start_fold(
-    events: DataFrame, fold: Fold, merge: Fold, path: str, checkpoint: str, every: int = 100, **run
+    events: DataFrame, fold: Fold, merge: Fold, path: str, checkpoint: str, every: int = EVERY, **run
 ) -> StreamingQuery | None:
     """Keep a fold of a stream as files.
 
     Each batch is reduced by ``fold`` and added; ``merge`` makes one fold out of several, when the
-    state is read and when ``every`` batches have come together. Nothing grows in the executors,
-    however many keys there are.
+    state is read, when ``every`` batches have come together, and level by level (see ``versions``), so
+    that state is not written again as a whole. Nothing grows in the executors, however many keys there are.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         versions.append(fold(batch).hint("rebalance"), batch_id, path)
         if len(versions.open_batches(batch.sparkSession, path)) >= every:
-            versions.compact(batch.sparkSession, path, lambda rows: merge(rows.drop(versions.GENERATION)))
+            versions.compact(batch.sparkSession, path, lambda rows: merge(rows.drop(versions.GENERATION)), lambda rows, _: rows.hint("rebalance"))
 
     return sinks.start_batches(events, write, checkpoint, **run)
 

@@ -2,7 +2,8 @@
 
 Batches write folders of their own and overwrite them when they are run again, so a replay never
 doubles rows. A query keeps its id with its checkpoint; one started with a new checkpoint counts
-batches from 0 again and gets folders of its own.
+batches from 0 again and gets folders of its own. Both stores are merged in levels, see
+``versions``: the keyed one as a whole, sorted by place, the dated one day by day.
 """
 
 from __future__ import annotations
@@ -20,8 +21,11 @@ RAW_PLACE = ["unique_id", "location_code"]
 # Within one message the place in it decides, then the order on the topic.
 WITHIN = ["train_index", "location_index", "offset"]
 
-# Rows a bucket of a folded version holds about; what a lookup reads.
-ROWS_PER_BUCKET = 1_000_000
+# Rows a file of the keyed store holds about; what a lookup reads of a part.
+ROWS_PER_FILE = 1_000_000
+
+# Batches that are open before they are folded.
+EVERY = 16
 
 DATE_COLUMN = "arrival_date"
 
@@ -30,7 +34,7 @@ FOLDER_COLUMNS = ["query", "batch_id", DATE_COLUMN]
 
 
 def batch_path(rows: DataFrame, path: str, batch_id: int) -> str:
-    """Folder of a micro-batch."""
+    """Folder of a micro-batch of plain files."""
     return f"{path}/query={versions.query_id(rows)}/batch_id={batch_id}"
 
 
@@ -75,7 +79,7 @@ def last_written(rows: DataFrame) -> DataFrame:
 def append_keyed(rows: DataFrame, batch_id: int, path: str, every: int | None = None) -> None:
     """Add a batch to the keyed store, reduced to one row per key; a small batch is one file.
 
-    ``every``: fold the store when so many batches are open.
+    ``every``: fold batches into the store when so many are open.
     """
     reduced = last_written(rows).hint("rebalance").sortWithinPartitions(*RAW_KEY)
     versions.append(reduced, batch_id, path)
@@ -89,66 +93,86 @@ def read_keyed(spark: SparkSession, path: str) -> DataFrame:
     return upsert_view(rows.select(*RECORD_FIELDS, versions.GENERATION))
 
 
-def _bucket(columns: list[Column], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int")
-
-
 def read_key(spark: SparkSession, path: str, unique_id: str, location_code: str) -> DataFrame:
-    """Rows of one place, in order of the schedule. Of the folded version one bucket is read (the
-    manifest says how many there are), of the open batches what their statistics leave."""
+    """Rows of one place, in order of the schedule.
+
+    One manifest says which files may hold it: files of a part are ranges of places, so of each part
+    one is opened, or two where a range ends within the train. Their pages, and the few open batches,
+    are skipped by the Bloom filter on the train in each file where it is not in them.
+    """
     wanted = (F.col("unique_id") == unique_id) & (F.col("location_code") == location_code)
-    rows = versions.read(spark, path, RECORD_SCHEMA)
-    buckets = versions.manifest(spark, path).get("buckets")
-    if buckets:
-        # Rows of batches have no bucket.
-        place = _bucket([F.lit(unique_id), F.lit(location_code)], buckets)
-        rows = rows.where(F.col("bucket").isNull() | (F.col("bucket") == place))
+    rows = versions.read(spark, path, RECORD_SCHEMA, files=lambda file: file["least"] <= unique_id <= file["most"])
     return upsert_view(rows.where(wanted).select(*RECORD_FIELDS, versions.GENERATION)).orderBy("schedule_id")
 
 
-def compact_keyed(spark: SparkSession, path: str, buckets: int | None = None) -> None:
-    """Fold the store into one version, in buckets by place; their number follows from the rows
-    unless it is given, and is noted in the manifest."""
+def compact_keyed(spark: SparkSession, path: str, files: int | None = None, most: int | None = None) -> None:
+    """Fold the open batches (the first ``most``) into the store, in files that are ranges of places; how
+    many follows from the rows unless it is given."""
+
+    def fold(rows: DataFrame) -> DataFrame:
+        return upsert_view(rows.select(*RECORD_FIELDS, versions.GENERATION))
+
+    def lay_out(rows: DataFrame, at_most: int) -> DataFrame:
+        count = files or max(1, -(-at_most // ROWS_PER_FILE))
+        dealt = rows.repartitionByRange(count, *RAW_PLACE) if count > 1 else rows.coalesce(1)
+        return dealt.sortWithinPartitions(*RAW_KEY)
 
-    def write(rows: DataFrame, place: str) -> dict:
-        count = buckets or max(1, -(-versions.read(spark, path, RECORD_SCHEMA).count() // ROWS_PER_BUCKET))
-        bucket = _bucket([F.col(name) for name in RAW_PLACE], count)
-        laid_out = rows.withColumn("bucket", bucket).hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", *RAW_KEY)
-        laid_out.write.mode("overwrite").partitionBy("bucket").parquet(place)
-        return {"buckets": count}
+    versions.compact(spark, path, fold, lay_out, RECORD_SCHEMA, zone=RAW_PLACE[0], most=most, options=_bloom(RAW_PLACE[0]))
 
-    versions.compact(spark, path, lambda rows: upsert_view(rows.select(*RECORD_FIELDS, versions.GENERATION)), write, RECORD_SCHEMA)
 
+def _bloom(name: str) -> dict[str, str]:
+    return {f"parquet.bloom.filter.enabled#{name}": "true", f"parquet.bloom.filter.expected.ndv#{name}": str(ROWS_PER_FILE // 10)}
 
-def append_by_date(rows: DataFrame, batch_id: int, path: str, time: str = "actual_arrival") -> None:
-    """Add a batch to the dated store, partitioned by the day of its time column."""
-    write_by_date(rows, batch_path(rows, path, batch_id), time)
+
+def append_by_date(rows: DataFrame, batch_id: int, path: str, time: str = "actual_arrival", every: int | None = None) -> None:
+    """Add a batch to the dated store, partitioned by the day of its time column.
+
+    ``every``: fold batches into the store's days when so many are open.
+    """
+    _by_day(rows, time).write.mode("overwrite").partitionBy(DATE_COLUMN).parquet(versions.batch_path(rows, path, batch_id))
+    if every and len(versions.open_batches(rows.sparkSession, path)) >= every:
+        compact_by_date(rows.sparkSession, path, time)
 
 
 def write_by_date(rows: DataFrame, path: str, time: str = "actual_arrival") -> None:
-    """Write a table to the dated store. Rows are first rebalanced by day, so that a long stretch
-    of days does not make a file per day and task; the engine splits a day that is too large and
-    joins small ones."""
-    (
-        rows.withColumn(DATE_COLUMN, F.to_date(time))
-        .hint("rebalance", F.col(DATE_COLUMN))
-        .write.mode("overwrite")
-        .partitionBy(DATE_COLUMN)
-        .parquet(path)
-    )
+    """Write a table to the dated store, as one batch."""
+    append_by_date(rows, 0, path, time)
+
+
+def _by_day(rows: DataFrame, time: str) -> DataFrame:
+    """Rows are rebalanced by day, so that a long stretch of days does not make a file per day and
+    task; the engine splits a day that is too large and joins small ones."""
+    return rows.withColumn(DATE_COLUMN, F.to_date(time)).hint("rebalance", F.col(DATE_COLUMN))
+
+
+def compact_by_date(spark: SparkSession, path: str, time: str = "actual_arrival", most: int | None = None) -> None:
+    """Fold the open batches (the first ``most``) into their days. Only days with rows in them are
+    written; of each file the manifest notes its first and last time."""
+
+    def rows(found: DataFrame) -> DataFrame:
+        return found.drop(versions.GENERATION, DATE_COLUMN)
+
+    versions.compact(spark, path, rows, lambda found, _: _by_day(found, time).sortWithinPartitions(DATE_COLUMN, time), group=DATE_COLUMN, zone=time, most=most)
 
 
 def read_by_date(spark: SparkSession, path: str) -> DataFrame:
-    """The dated store, all batches."""
-    return read_batches(spark, path)
+    """The dated store, all days."""
+    return versions.read(spark, path).drop(versions.GENERATION, DATE_COLUMN)
 
 
 def read_between(spark: SparkSession, path: str, start: str, end: str, time: str = "actual_arrival") -> DataFrame:
-    """Rows with ``start <= time < end``; only the folders of those days are listed and read."""
-    first, last = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
-    table = spark.read.parquet(path).where(
-        F.col(DATE_COLUMN).between(F.to_date(first), F.to_date(last))
-        & (F.col(time) >= first)
-        & (F.col(time) < last)
+    """Rows with ``start <= time < end``; only files of those days whose times reach into the range
+    are listed and read, and the folders of those days in open batches."""
+    first, last = F.lit(start).try_cast("timestamp_ntz"), F.lit(end).try_cast("timestamp_ntz")
+    days = first, last - F.expr("interval 1 microsecond")
+    from_day, to_day, begin, stop = spark.range(1).select(*[F.to_date(x).cast("string") for x in days], *[x.cast("string") for x in (first, last)]).first()
+    if begin is None or stop is None:
+        raise ValueError(f"not times: {start}, {end}")
+    rows = versions.read(
+        spark,
+        path,
+        parts=lambda part: from_day <= part["group"] <= to_day,
+        files=lambda file: file["most"] >= begin and file["least"] < stop,
+        within=lambda day: from_day <= day <= to_day,
     )
-    return table.drop(*FOLDER_COLUMNS)
+    return rows.where((F.col(time) >= first) & (F.col(time) < last)).drop(versions.GENERATION, DATE_COLUMN)
