@@ -1,13 +1,16 @@
 """State, journeys and joins against plain Python on small tables, hot keys included."""
 
 import datetime as dt
+import glob
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from trackside.operators import journey, reference, state
-from trackside.plans.joins import balanced_join, fits, lookup_join
+from trackside.plans.joins import asof_join, balanced_join, fits, lookup_join
+from trackside.session import work_root
 
 
 def test_latest_and_ties(spark):
@@ -235,10 +238,56 @@ def test_names_and_corrections(spark):
     cancelled = spark.createDataFrame([(1, "cancelled one")], "code int, reasontext string")
     texts = {(r.domain, r.code): r.reasontext for r in reference.with_reason_texts(reasons, late, cancelled).collect()}
     assert texts == {("late", 1): "late one", ("cancel", 1): "cancelled one", ("late", 9): None}
-    seen = spark.createDataFrame([("AA", "0001", "1A01"), ("AA", "0002", "1A01")], "area string, berth string, train_id string")
+
+
+def asof_rows(spark, n, hot, slices):
+    rng = random.Random(n)
+    key = lambda: "hot" if rng.random() < hot else rng.choice([*"abcdef", None])
+    left = [(k, key(), rng.choice([None, *range(50)])) for k in range(n)]
+    right = [(key(), rng.choice([None, *range(50)]), k, rng.choice([None, f"v{k}"])) for k in range(n // 3)]
+    got = asof_join(
+        spark.createDataFrame(left, "id int, k string, at int").repartition(5),
+        spark.createDataFrame(right, "k string, since int, n int, v string").repartition(3),
+        ["k"], "at", "since", ["v"], ["n"], slices,
+    )
+    assert got.columns == ["id", "k", "at", "v"]
+    want = []
+    for i, k, at in left:
+        before = [(since, n, v) for other, since, n, v in right if k is not None and other == k and at is not None and since is not None and since <= at]
+        want.append((i, k, at, max(before, key=lambda r: r[:2])[2] if before else None))
+    return sorted(map(str, map(tuple, got.collect()))), sorted(map(str, want))
+
+
+@pytest.mark.parametrize("n, hot, slices", [(0, 0, 4), (1, 1, 3), (300, 0.0, 4), (600, 0.7, 16), (600, 1.0, 7)])
+def test_asof_against_a_plain_search(spark, n, hot, slices):
+    got, want = asof_rows(spark, n, hot, slices)
+    assert got == want
+
+
+def test_asof_cuts_a_hot_key(spark):
+    """A key with nearly all rows is cut into stretches of time, each one task's work."""
+    left = spark.range(20000).selectExpr("'x' as k", "id as at")
+    right = spark.range(0, 20000, 1000).selectExpr("'x' as k", "id as since", "id as v")
+    got = asof_join(left, right, ["k"], "at", "since", ["v"], slices=8)
+    assert got.where("v <> at - at % 1000 or v is null").count() == 0
+    cut = max(glob.glob(f"{work_root(spark)}/asof-*"), key=os.path.getmtime)
+    sizes = [r["count"] for r in spark.read.parquet(cut).groupBy("_slice").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 20020 / 8
+
+
+def test_corrections_hold_from_their_time_on(spark):
+    seen = spark.createDataFrame(
+        [("AA", "0001", "1A01", t) for t in (0, 5, 9, 12, 20)] + [("AA", "0002", "1A01", 30), ("AA", "0001", "9Z99", 30), (None, "0001", "1A01", 30)],
+        "area string, berth string, train_id string, at int",
+    )
     fixes = spark.createDataFrame(
-        [("AA", "0001", "1A01", "2B01", 1), ("AA", "0001", "1A01", "2B02", 2)],
-        "area string, berth string, incorrect_train_id string, correct_train_id string, n int",
+        [("AA", "0001", "1A01", "2B01", 5, 1), ("AA", "0001", "1A01", "2B02", 12, 2), ("AA", "0001", "1A01", "2B03", 12, 3)],
+        "area string, berth string, incorrect_train_id string, correct_train_id string, since int, n int",
     )
-    got = {r.berth: r.shown_train_id for r in reference.correct_train_ids(seen, fixes, ["n"]).collect()}
-    assert got == {"0001": "2B02", "0002": "1A01"}
+    got = reference.correct_train_ids(seen, fixes, ["n"], "at", "since").collect()
+    assert sorted((r.at, r.berth, r.shown_train_id) for r in got) == [
+        (0, "0001", "1A01"), (5, "0001", "2B01"), (9, "0001", "2B01"), (12, "0001", "2B03"), (20, "0001", "2B03"),
+        (30, "0001", "1A01"), (30, "0001", "9Z99"), (30, "0002", "1A01"),
+    ]
+    with pytest.raises(ValueError):
+        reference.correct_train_ids(spark.readStream.format("rate").load().selectExpr("'a' area", "'b' berth", "'c' train_id", "timestamp at"), fixes, ["n"], "at", "since")

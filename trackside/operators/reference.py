@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackside.operators.state import latest
-from trackside.plans.joins import lookup_join, sorted_join
+from trackside.plans.joins import asof_join, lookup_join, sorted_join
 from trackside.session import landed
 
 # Kinds of point where a passenger train calls.
@@ -72,17 +71,11 @@ def via_texts(points: DataFrame, via: DataFrame, locations: DataFrame) -> DataFr
     return checked.where(applies).select("rid", "tpl", "crs", "loc1", "loc2", "viatext")
 
 
-def correct_train_ids(sightings: DataFrame, corrections: DataFrame, order: list[str]) -> DataFrame:
-    """Replace a wrong ``train_id`` reported for a berth by the latest correction of it."""
-    current = latest(
-        corrections.select(
-            "area", "berth", F.col("incorrect_train_id").alias("train_id"), "correct_train_id", *order
-        ),
-        ["area", "berth", "train_id"],
-        order,
-    ).drop(*order)
-    joined = lookup_join(sightings, landed(current, "corrections"), ["area", "berth", "train_id"])
-    return joined.select(
-        *[c for c in sightings.columns],
-        F.coalesce("correct_train_id", "train_id").alias("shown_train_id"),
-    )
+def correct_train_ids(sightings: DataFrame, corrections: DataFrame, order: list[str], seen: str, since: str) -> DataFrame:
+    """Replace a wrong ``train_id`` reported for a berth by the last correction of it that is not after
+    the sighting: headcodes are used again every day, so a correction says nothing of sightings before
+    it. ``seen`` and ``since`` are the times of both; corrections of one time rank by ``order``."""
+    keys = ["area", "berth", "train_id"]
+    told = corrections.withColumnRenamed("incorrect_train_id", "train_id").select(*keys, "correct_train_id", since, *[name for name in order if name != since])
+    known = asof_join(sightings, told, keys, seen, since, ["correct_train_id"], [name for name in order if name != since])
+    return known.select(*sightings.columns, F.coalesce("correct_train_id", "train_id").alias("shown_train_id"))

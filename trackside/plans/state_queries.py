@@ -76,12 +76,23 @@ def area_semi(spark: SparkSession, sf: str) -> DataFrame:
     return reference.keep_areas(m.sightings(read_table(spark, sf, "events")), wanted)
 
 
-def tracking_fix(spark: SparkSession, sf: str) -> DataFrame:
-    """Sightings with the headcode a correction says they should have."""
+def _corrected(spark: SparkSession, sf: str, hot: str | None = None) -> DataFrame:
     corrections = messages.tracking_ids(m.tracking_documents(read_table(spark, sf, "customer")))
-    return reference.correct_train_ids(
-        m.sightings(read_table(spark, sf, "events")), corrections, ["sequence_number"]
-    )
+    seen = m.timed_sightings(read_table(spark, sf, "events"), hot)
+    return reference.correct_train_ids(seen, corrections, ["sequence_number"], "seen_at", "doc_ts")
+
+
+def tracking_fix(spark: SparkSession, sf: str) -> DataFrame:
+    """Sightings with the headcode that the last correction before them says they should have."""
+    return _corrected(spark, sf)
+
+
+def tracking_fix_hot(spark: SparkSession, sf: str) -> DataFrame:
+    """The same where a third of all sightings is of four berths."""
+    return _corrected(spark, sf, HOT)
+
+
+HOT = "event_id % 3 = 0"
 
 
 # --- journeys -----------------------------------------------------------------------------------
@@ -254,6 +265,7 @@ QUERIES = {
         tiploc_semi,
         area_semi,
         tracking_fix,
+        tracking_fix_hot,
         journey_anchor,
         journey_anchor_in_blocks,
         calling_points_anchored,
@@ -368,6 +380,14 @@ _ACTUAL_TIMES = f"""WITH x AS ({_FORECASTS}),
         SELECT k.rid, k.tpl, k.wta, k.event, a."at", e.et FROM (SELECT DISTINCT rid, tpl, wta, event FROM x) k
         LEFT JOIN a ON a.rid = k.rid AND a.tpl = k.tpl LEFT JOIN e ON e.rid = k.rid AND e.tpl = k.tpl"""
 
+def _corrected_sql(hot: str | None) -> str:
+    return f"""SELECT x.*, coalesce(c.right_id, x.train_id) AS shown_train_id
+        FROM (SELECT event_id, CAST({m.SEEN_AT} AS TIMESTAMP) AS seen_at, {_sql(m.seen_at(hot))} FROM events) x
+        ASOF LEFT JOIN (SELECT {m.AREA} AS area, {m.BERTH} AS berth, {m.WRONG_ID} AS train_id, CAST({m.CORRECTED_AT} AS TIMESTAMP) AS since,
+          arg_max({m.RIGHT_ID}, c_custkey) AS right_id FROM customer GROUP BY ALL) c
+        ON c.area = x.area AND c.berth = x.berth AND c.train_id = x.train_id AND x.seen_at >= c.since"""
+
+
 ORACLE = {
     "enrich_dims": f"""SELECT x.*, p.locname, p.crs, n.tocname, r.reasontext, i.name AS instance_name FROM ({_FACTS}) x
         LEFT JOIN (SELECT {_sql(LOCATIONS)} FROM part) p USING (tpl)
@@ -381,11 +401,8 @@ ORACLE = {
     "tiploc_semi": f"""SELECT l_orderkey, l_linenumber, tpl FROM ({_FACTS})
         WHERE tpl IN (SELECT {LOCATIONS['tpl']} FROM part WHERE p_size < 10)""",
     "area_semi": f"SELECT * FROM (SELECT event_id, {_sql(m.SIGHTING)} FROM events) WHERE area IN ('A3', 'A4')",
-    "tracking_fix": f"""SELECT x.*, coalesce(c.right_id, x.train_id) AS shown_train_id
-        FROM (SELECT event_id, {_sql(m.SIGHTING)} FROM events) x
-        LEFT JOIN (SELECT {m.AREA} AS area, {m.BERTH} AS berth, {m.WRONG_ID} AS train_id,
-          arg_max({m.RIGHT_ID}, c_custkey) AS right_id FROM customer GROUP BY ALL) c
-        ON c.area = x.area AND c.berth = x.berth AND c.train_id = x.train_id""",
+    "tracking_fix": _corrected_sql(None),
+    "tracking_fix_hot": _corrected_sql(HOT),
     "journey_anchor": _JOURNEYS,
     "calling_points_anchored": _JOURNEYS,
     "journey_anchor_in_blocks": f'WITH {_DAYS} SELECT rid, pos, "day" FROM b',

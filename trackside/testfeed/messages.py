@@ -293,6 +293,8 @@ AREA = "concat('A', cast(c_nationkey % 5 as string))"
 BERTH = "lpad(cast(c_nationkey * 10 + c_custkey % 4 as string), 4, '0')"
 WRONG_ID = "concat('1A', lpad(cast(c_custkey % 10 as string), 2, '0'))"
 RIGHT_ID = "concat('2B', lpad(cast(c_custkey % 100 as string), 2, '0'))"
+# Corrections come throughout the month of the sightings.
+CORRECTED_AT = f"concat('2024-01-', lpad(cast(1 + c_custkey % 28 as string), 2, '0'), 'T', {f.hhmm('(c_custkey * 37) % 1440')}, ':00')"
 
 
 def tracking_documents(customer: DataFrame) -> DataFrame:
@@ -310,7 +312,7 @@ def tracking_documents(customer: DataFrame) -> DataFrame:
     )
     return customer.select(
         F.col("c_custkey").alias("sequence_number"),
-        F.expr(pport(item, ts="'2024-02-01T09:00:00'", uris=part_uri("d", "TDData/v1"))).alias("xml"),
+        F.expr(pport(item, ts=CORRECTED_AT, uris=part_uri("d", "TDData/v1"))).alias("xml"),
     )
 
 
@@ -319,6 +321,20 @@ def sightings(events: DataFrame) -> DataFrame:
     return events.selectExpr("event_id", *[f"{sql} as {name}" for name, sql in SIGHTING.items()])
 
 
+def timed_sightings(events: DataFrame, hot: str | None = None) -> DataFrame:
+    """Sightings with their time; those where ``hot`` holds are of one area and four berths."""
+    return events.selectExpr("event_id", f"cast({SEEN_AT} as timestamp_ntz) as seen_at", *[f"{sql} as {name}" for name, sql in seen_at(hot).items()])
+
+
+def seen_at(hot: str | None) -> dict[str, str]:
+    """The columns of sightings, for both engines."""
+    if hot is None:
+        return SIGHTING
+    return {name: f"case when {hot} then {HOT_SIGHTING[name]} else {sql} end" if name in HOT_SIGHTING else sql for name, sql in SIGHTING.items()}
+
+
+SEEN_AT = "date_trunc('second', ts)"
+HOT_SIGHTING = {"area": "'A1'", "berth": "lpad(cast(10 + event_id % 4 as string), 4, '0')"}
 SIGHTING = {
     "area": "concat('A', cast(user_id % 5 as string))",
     "berth": "lpad(cast((user_id % 25) * 10 + event_id % 4 as string), 4, '0')",
