@@ -12,7 +12,7 @@ from trackside.schemas import RECORD_FIELDS
 from trackside.session import landed, work_dir, work_root
 from trackside.sources.records import TOPIC_SCHEMA, read_topic, stream_files, stream_topic
 from trackside.sources.tables import read_table, spread, stream_table
-from trackside.streaming import jobs, sinks, stores, versions
+from trackside.streaming import jobs, matching, sinks, stores, versions
 from trackside.testfeed import frames as feed
 from trackside.testfeed.records import topic_records
 
@@ -436,3 +436,56 @@ def test_topic_readers_ask_for_the_connector(spark):
 
 def test_observed_counts(spark):
     assert sinks.counted(spark.range(3), "seen").count() == 3
+
+
+def calls_of(spark, rows):
+    """Calling points (rid, day, tpl, pos, wtd) as messages name them; the sequence is the last number of a row."""
+    times = [f"cast(null as string) {name}" for name in ("wta", "wtp", "pta", "ptd")]
+    made = spark.createDataFrame(rows, "rid string, ssd string, tpl string, pos int, wtd string, sequence_number long")
+    return made.selectExpr("*", *times, "cast(null as timestamp_ntz) doc_ts")
+
+
+def forecasts_of(spark, rows):
+    times = [f"cast(null as string) {name}" for name in ("wta", "wtp", "pta", "ptd")]
+    made = spark.createDataFrame(rows, "sequence_number long, rid string, ssd string, tpl string, wtd string")
+    return made.selectExpr("*", *times, "cast(null as timestamp_ntz) doc_ts", "0 train_index", "0 location_index")
+
+
+NO_CALLS, NO_FORECASTS = [("-", "2024-01-01", "T", 0, "00:00", 0)][:0], [(0, "-", None, "T", "00:00")][:0]
+
+
+def test_rows_wait_for_their_schedule(spark, tmp_path):
+    path = str(tmp_path)
+    batches = [
+        ([(1, "a", "2024-01-01", "X", "10:00"), (2, "b", "2024-01-01", "X", "11:00"), (3, None, None, "X", "10:00"), (4, "z", "2024-01-01", "X", "1:00")], NO_CALLS),
+        ([(5, "a", "2024-01-01", "Y", "10:30")], [("a", "2024-01-01", "X", 0, "10:00", 100), ("a", "2024-01-01", "Y", 1, "10:30", 100)]),
+        ([(6, "a", "2024-01-01", "X", "10:59")], [("b", "2024-01-01", "X", 7, "11:00", 101)]),
+        (NO_FORECASTS, [("b", "2024-01-01", "X", 8, "11:00", 102)]),
+    ]
+    seen = []
+    for n, (rows, points) in enumerate(batches):
+        for _ in range(2):  # each batch is run again
+            matching.match_batch(forecasts_of(spark, rows), calls_of(spark, points), n, path)
+        seen.append({r.sequence_number: r.pos for r in matching.read_matches(spark, path).collect()})
+    assert seen[0] == {1: None, 2: None, 3: None, 4: None}
+    assert seen[1] == {1: 0, 2: None, 3: None, 4: None, 5: 1}
+    assert seen[2] == {1: 0, 2: 7, 3: None, 4: None, 5: 1, 6: None}
+    # a later schedule settles anew what still stands among the waiting rows
+    assert seen[3] == {**seen[2], 2: 8}
+    before = as_set(matching.read_matches(spark, path))
+    matching.merge(spark, path)
+    assert as_set(matching.read_matches(spark, path)) == before
+    assert [r.sequence_number for r in versions.read(spark, f"{path}/waiting").collect()] == [4]
+
+
+def test_what_waits_is_bounded_by_the_service_day(spark, tmp_path):
+    path = str(tmp_path)
+    for n in range(8):
+        day = f"2024-01-{n + 1:02}"
+        rows = [(10 * n + k, f"{day}-{k}", day, "X", "10:00") for k in range(3)]
+        points = [(f"{day}-0", day, "X", n, "10:00", 1000 + n)]
+        matching.match_batch(forecasts_of(spark, rows), calls_of(spark, points), n, path, every=1, keep_days=2)
+    days = {part["group"] for name in ("waiting", "schedules") for part in versions.manifest(spark, f"{path}/{name}")["parts"]}
+    assert days == {"2024-01-06", "2024-01-07", "2024-01-08"}
+    got = {r.sequence_number: (r.pos, r.matched_by) for r in matching.read_matches(spark, path).collect()}
+    assert got == {10 * n + k: (n, "wtd") if k == 0 else (None, None) for n in range(8) for k in range(3)}

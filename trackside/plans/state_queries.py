@@ -10,7 +10,7 @@ from trackside.plans.joins import balanced_join
 from trackside.plans.message_queries import orders, status_rows
 from trackside.session import landed, work_dir
 from trackside.sources.tables import read_table, spread, stream_table
-from trackside.streaming import jobs, sinks
+from trackside.streaming import jobs, matching, sinks
 from trackside.testfeed import fields as f
 from trackside.testfeed import frames as feed
 from trackside.testfeed import messages as m
@@ -127,6 +127,21 @@ def instance_match(spark: SparkSession, sf: str) -> DataFrame:
     return journey.match_calls(status_rows(spark, sf), points(spark, sf), ids)
 
 
+def instance_match_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The same on a stream in four stretches: half of the status documents, a third of the schedules, the
+    other status documents, the other schedules."""
+    path, files = work_dir(spark, "matching"), 4
+    table = orders(spark, sf)
+    half, third = F.col("sequence_number") % 2 == 0, F.col("sequence_number") % 3 == 0
+    status, schedules = feed.status_documents(table), m.schedule_documents(table)
+    for part in (status.where(half), schedules.where(third), status.where(~half), schedules.where(~third)):
+        part.select("sequence_number", "xml").repartition(files).write.mode("append").parquet(f"{path}/documents")
+    docs = spark.readStream.schema("sequence_number long, xml string").option("maxFilesPerTrigger", files).parquet(f"{path}/documents")
+    # The feed's days go on for years, so none is over.
+    sinks.drain(jobs.start_matching(docs, f"{path}/calls", f"{path}/checkpoint", keep_days=None, drain=True))
+    return matching.read_matches(spark, f"{path}/calls")
+
+
 VIA = {
     "at": "concat('C', cast(o_custkey % 997 as string))",
     "dest": f.place(f"({f.POINTS} - 1)"),
@@ -270,6 +285,7 @@ QUERIES = {
         journey_anchor_in_blocks,
         calling_points_anchored,
         instance_match,
+        instance_match_stream,
         via_text,
         schedule_state,
         frames_schedule_state,
@@ -380,6 +396,13 @@ _ACTUAL_TIMES = f"""WITH x AS ({_FORECASTS}),
         SELECT k.rid, k.tpl, k.wta, k.event, a."at", e.et FROM (SELECT DISTINCT rid, tpl, wta, event FROM x) k
         LEFT JOIN a ON a.rid = k.rid AND a.tpl = k.tpl LEFT JOIN e ON e.rid = k.rid AND e.tpl = k.tpl"""
 
+_CALLS = f"""WITH p AS ({POINTS_SQL}), {_SCHEDULED}, {_MATCHES}
+        SELECT f.o_orderkey AS sequence_number, CAST(CASE WHEN second_train THEN 1 ELSE 0 END AS INTEGER) AS train_index,
+          CAST(CASE WHEN second_train THEN 0 ELSE f.i END AS INTEGER) AS location_index, f.train AS rid, f.tpl,
+          best.met.pos AS pos, best.met.kind_of AS matched_by
+        FROM f LEFT JOIN best ON best.o_orderkey = f.o_orderkey AND best.i = f.i"""
+
+
 def _corrected_sql(hot: str | None) -> str:
     return f"""SELECT x.*, coalesce(c.right_id, x.train_id) AS shown_train_id
         FROM (SELECT event_id, CAST({m.SEEN_AT} AS TIMESTAMP) AS seen_at, {_sql(m.seen_at(hot))} FROM events) x
@@ -406,11 +429,8 @@ ORACLE = {
     "journey_anchor": _JOURNEYS,
     "calling_points_anchored": _JOURNEYS,
     "journey_anchor_in_blocks": f'WITH {_DAYS} SELECT rid, pos, "day" FROM b',
-    "instance_match": f"""WITH p AS ({POINTS_SQL}), {_SCHEDULED}, {_MATCHES}
-        SELECT f.o_orderkey AS sequence_number, CAST(CASE WHEN second_train THEN 1 ELSE 0 END AS INTEGER) AS train_index,
-          CAST(CASE WHEN second_train THEN 0 ELSE f.i END AS INTEGER) AS location_index, f.train AS rid, f.tpl,
-          best.met.pos AS pos, best.met.kind_of AS matched_by
-        FROM f LEFT JOIN best ON best.o_orderkey = f.o_orderkey AND best.i = f.i""",
+    "instance_match": _CALLS,
+    "instance_match_stream": _CALLS,
     "via_text": f"""WITH {_SCHEDULED}, c AS (SELECT rid, tpl, pos FROM s WHERE kind IN ('OR', 'IP', 'DT')),
         ends AS (SELECT rid, arg_max(tpl, pos) AS dest FROM c GROUP BY rid),
         v AS (SELECT DISTINCT {_sql(VIA)} FROM orders),

@@ -18,7 +18,7 @@ from trackside.operators.publish import to_records
 from trackside.operators.state import distinct_requests, fold_times, latest, merge_times, shown_times
 from trackside.schemas import RECORD_FIELDS
 from trackside.sources.tables import spread
-from trackside.streaming import sinks, versions
+from trackside.streaming import matching, sinks, versions
 from trackside.streaming.stores import EVERY, broken_keys, last_written
 
 log = logging.getLogger(__name__)
@@ -104,6 +104,20 @@ def start_messages(frames: DataFrame, tables: dict[str, sinks.Writer], reject: s
     return sinks.start_batches(frames, write, checkpoint, **run)
 
 
+def start_matching(docs: DataFrame, path: str, checkpoint: str, every: int = EVERY, keep_days: int | None = 3, **run) -> StreamingQuery | None:
+    """Keep which call each forecast row of a stream of documents means (``matching.read_matches``), whichever
+    of a row and its schedule comes first. Documents are parsed once for both."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        parsed = messages.parse_documents(spread(batch), ["TS", "schedule"]).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            matching.match_batch(messages.forecasts(parsed), messages.calling_points(parsed), batch_id, path, every=every, keep_days=keep_days)
+        finally:
+            parsed.unpersist()
+
+    return sinks.start_batches(docs, write, checkpoint, **run)
+
+
 def start_stores(
     records: DataFrame,
     raw: sinks.Writer,

@@ -139,12 +139,14 @@ def read(
     parts: Callable[[dict], bool] = lambda part: True,
     files: Callable[[dict], bool] = lambda file: True,
     within: Callable[[str], bool] | None = None,
+    but: tuple[str, int] | None = None,
 ) -> DataFrame:
     """Rows of one version and of the batches after it, with their ``GENERATION``; the rows of a key are
     still to be folded. ``parts`` and ``files`` choose by what the manifest says of them, ``within`` by
-    the value in the name of a folder in an open batch. A store without rows needs its ``schema`` to be read."""
+    the value in the name of a folder in an open batch; ``but`` is a batch that is left out, because it is
+    being written. A store without rows needs its ``schema`` to be read."""
     info = info or manifest(spark, path)
-    taken = open_batches(spark, path, info)
+    taken = [batch for batch in open_batches(spark, path, info) if batch != but]
     both = [_parts(spark, path, schema, [part for part in info["parts"] if parts(part)], files), _batches(spark, path, schema, taken, within)]
     found = [rows for rows in both if rows is not None]
     if found:
@@ -228,6 +230,22 @@ def compact(
     _tidy(folder, info, parts)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything was ever written."""
+    return bool(Folder(spark, path).names())
+
+
+def drop(spark: SparkSession, path: str, gone: Callable[[dict], bool]) -> None:
+    """Take whole parts out of the store, in a version of their own."""
+    info = manifest(spark, path)
+    parts = [part for part in info["parts"] if not gone(part)]
+    if len(parts) == len(info["parts"]):
+        return
+    folder, number = Folder(spark, path), info["version"] + 1
+    folder.write(f"manifest/{number}.json", json.dumps({**info, "version": number, "parts": parts}))
+    _tidy(folder, info, parts)
+
+
 def _tidy(folder: Folder, before: dict, parts: list[dict]) -> None:
     """Delete what neither this version nor the one before it needs."""
     for query, batch in before["covers"].items():
