@@ -58,8 +58,22 @@ def work_dir(spark: SparkSession, name: str) -> str:
 def landed(df: DataFrame, name: str) -> DataFrame:
     """Write a result once and read it from there, where several branches need it.
 
-    Unlike a cache it outlives an executor, and unlike a plan it is not computed per branch.
+    Unlike a cache it outlives an executor, and unlike a plan it is not computed per branch. Whoever
+    needs it no longer says so with :func:`forget`.
     """
     path = work_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    rows = df.sparkSession.read.parquet(path)
+    rows._landed = [path]
+    return rows
+
+
+def forget(*frames: DataFrame | None) -> None:
+    """Delete the tables that :func:`landed` wrote for some frames. Nothing may read them any more: what was
+    made of them is written by now."""
+    for frame in frames:
+        for path in getattr(frame, "_landed", []):
+            at = frame.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(frame.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
+        if frame is not None:
+            frame._landed = []
