@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackside.session import landed
+from trackside.session import forget, landed
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -31,9 +31,12 @@ def components(links: DataFrame) -> DataFrame:
     now = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
     now, state = landed(now, "links"), None
     while True:
-        now = landed(_small_star(_large_star(now)), "links")
+        before, now = now, landed(_small_star(_large_star(now)), "links")
+        forget(before)
         told = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if told == state:
             found = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
-            return found.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+            found = found.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+            found._landed = now._landed  # for whoever has written the result
+            return found
         state = told

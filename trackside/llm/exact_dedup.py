@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackside.llm.common import BLANKS, utf8_cells
-from trackside.session import landed
+from trackside.session import forget, landed
 
 #: Two moduli below 2^31, so that products fit in 63 bits, and a base for each.
 PRIMES = (2147483647, 2147483629)
@@ -142,9 +142,11 @@ def _verified(docs: DataFrame, rows: DataFrame, hasher: Hasher) -> DataFrame:
         differ = landed(differ.withColumn("round", F.lit(k)), "dedup-differing")
         split = differ if split is None else split.unionByName(differ)
         if differ.isEmpty():
+            forget(left)
             return split
         again = differ.select(F.col("doc_id").alias("_id"), F.col("raw").alias("_raw"))
-        left = landed(left.join(again, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("raw") == F.col("_raw")), "left_semi"), "dedup-chunks")
+        before, left = left, landed(left.join(again, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("raw") == F.col("_raw")), "left_semi"), "dedup-chunks")
+        forget(before)
 
 
 def exact_duplicates(docs: DataFrame, hasher: Hasher | None = None) -> DataFrame:

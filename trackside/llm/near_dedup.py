@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from trackside.llm.common import utf8_cells
 from trackside.llm.components import components
 from trackside.llm.substring import WordHashes, mixed, sequences
-from trackside.session import landed
+from trackside.session import forget, landed
 
 
 class Settings(NamedTuple):
@@ -330,6 +330,7 @@ class _Join:
         one = self.rows.filter("n > 0").groupBy("cls").agg(F.min(F.struct("doc_id", "raw", "n", "roots", "sketch")).alias("one"))
         self.classes = landed(one.select("cls", "one.*"), "near-classes")
         self.texts = self.comp = None
+        self.read: list[DataFrame] = []
 
     def components_of(self, members: DataFrame) -> DataFrame:
         if self.comp is None:
@@ -359,6 +360,7 @@ class _Join:
         # Both sides grow with the corpus: joined the same way at every size.
         more = self.docs.join(places.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("raw") == F.col("_raw"))).select("cls", "text").dropDuplicates(["cls"])
         more = landed(more, "near-texts")
+        self.read.append(more)
         self.texts = more if self.texts is None else self.texts.unionByName(more)
 
     def settle(self, pairs: DataFrame) -> None:
@@ -370,6 +372,7 @@ class _Join:
         left, right = (self.texts.select(F.col("cls").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
         known = landed(_confirmed(pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b"), self.settings), "near-tested")
         self.link(known.filter("linked").select("a", "b"))
+        forget(pairs, known)
 
     def link(self, links: DataFrame) -> None:
         """Join the components that links connect."""
@@ -382,9 +385,10 @@ class _Join:
         every = links.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
         every = every if self.comp is None else every.unionByName(self.comp.select("cls")).distinct()
         moved = joined.select(F.col("node").alias("_node"), "component")
-        self.comp = landed(
+        before, self.comp = self.comp, landed(
             self.components_of(every).join(moved, F.col("comp") == F.col("_node"), "left").select("cls", F.coalesce("component", "comp").alias("comp")), "near-components"
         )
+        forget(before, joined)
 
     def nearest(self, members: DataFrame) -> None:
         """One candidate per text: its best partner among blocks of its nodes."""
@@ -397,6 +401,7 @@ class _Join:
         ends = found.select("a", "b", "alike", F.explode(F.array("a", "b")).alias("cls"))
         best = ends.groupBy("cls").agg(F.max(F.struct("alike", "a", "b")).alias("best"))
         self.settle(best.select("best.a", "best.b"))
+        forget(found)
 
     def compare(self, members: DataFrame) -> None:
         """Link texts within blocks of nodes on whole sets. Blocks whose sets do not fit a task are cut into
@@ -412,7 +417,9 @@ class _Join:
         parts = likely.withColumn("part", part).withColumn("last", F.max("part").over(Window.partitionBy("node", "block")))
         pairs = parts.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), "last")))
         pairs = pairs.select("node", "block", "cls", "comp", "part", F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two"))
-        self.link(landed(_joined(pairs.join(items, "cls"), self.settings), "near-links"))
+        links = landed(_joined(pairs.join(items, "cls"), self.settings), "near-links")
+        self.link(links)
+        forget(likely, links)
 
     def whole(self, members: DataFrame, level: int) -> DataFrame | None:
         """Compare open nodes whole; the members of the children of nodes too large and too mixed for it."""
@@ -435,11 +442,14 @@ class _Join:
         self.compare(self.with_sketches(small.drop("_cls")).select("node", "block", "cls", "comp", "n", "side", "sketch", "nodes"))
         large = open_.filter(~fits)
         if last or large.isEmpty():
+            forget(open_, members)
             return None
         # A node picks its coordinates by its own hash; texts that agree there meet in a child.
         pick = lambda k: F.pmod(F.xxhash64("node", F.lit(k)), F.lit(s.sketch)).cast("int")
         child = F.array(*[F.xxhash64("node", pick(k), F.substring("sketch", pick(k) + 1, F.lit(1))) for k in range(s.splits)])
-        return landed(self.with_sketches(large.select("node", "cls")).select(F.explode(child).alias("node"), "cls"), "near-children")
+        children = landed(self.with_sketches(large.select("node", "cls")).select(F.explode(child).alias("node"), "cls"), "near-children")
+        forget(open_, members)
+        return children
 
 
 def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
@@ -472,6 +482,7 @@ def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFr
     while members is not None:
         members = state.whole(members, level)
         level += 1
+    forget(state.classes, *state.read)
     rows = state.components_of(state.rows.select("doc_id", "raw", "cls", "n"))
     own = rows.withColumn("comp", F.when(F.col("n") > 0, F.col("comp")))
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "raw")).alias("best")
