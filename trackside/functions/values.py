@@ -57,7 +57,14 @@ class Typed:
 
     def malformed(self) -> Column:
         """The names of the columns that are NULL because their text is malformed."""
-        return F.array_compact(F.array(*self._lost)).alias("malformed")
+        return present(self._lost).alias("malformed")
+
+
+def present(names: list[Column]) -> Column:
+    """The texts that are not NULL, as an array. Most often there are none, which is told first, because
+    the search for them is not compiled."""
+    none = F.array().cast("array<string>")
+    return F.when(F.coalesce(*names).isNull(), none).otherwise(F.array_compact(F.array(*names)))
 
 
 def to_int(value: Column | str) -> Column:

@@ -25,9 +25,16 @@ def _rows(spark: SparkSession, path: str, tag: str, ddl: str) -> DataFrame:
 
 
 def _journey_documents(spark: SparkSession, path: str, end: str) -> DataFrame:
-    """One text per journey, split at its end tag, so a large file is read by many tasks."""
+    """One text per journey, split at its end tag, so a large file is read by many tasks.
+
+    Most pieces name a journey once, in its start tag, and are cut there; others are searched.
+    """
     pieces = spark.read.option("lineSep", end).text(path)
-    return pieces.select(F.explode(fragments(F.concat("value", F.lit(end)), "Journey")).alias("xml"))
+    before, rest = F.substring_index("value", "Journey", 1), F.substring_index("value", "Journey", -1)
+    once = F.octet_length("value") - F.octet_length(F.replace(F.col("value"), F.lit("Journey"), F.lit(""))) == len("Journey")
+    opened = F.right(before, F.lit(1)).isin("<", ":") & F.left(rest, F.lit(1)).isin(" ", "\n", "\t", "\r", ">") & ~F.endswith(F.substring_index(rest, ">", 1), F.lit("/"))
+    cut = F.array(F.concat(F.lit("<Journey"), rest, F.lit("</Journey>")))
+    return pieces.select(F.explode(F.when(once & opened, cut).otherwise(fragments(F.concat("value", F.lit(end)), "Journey"))).alias("xml"))
 
 
 def read_journeys(spark: SparkSession, path: str, end: str = "</Journey>") -> DataFrame:
