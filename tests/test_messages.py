@@ -2,8 +2,10 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
+from trackside.functions import xml
 from trackside.functions.xml import fragments
 from trackside.operators import messages as m
 from trackside.operators import quality
@@ -280,3 +282,21 @@ def test_rules_fit_their_tables(spark):
         assert set(rules) <= set(tables[name].columns), name
         assert set(rules.values()) <= set(FACETS), name
         assert quality.invalid_rows(quality.broken_rules(tables[name], name)).count() == 0
+
+
+GOLDEN_BODIES = [
+    ("caf&#233; &#xE9;t&#x00e9; &#128646;", "café été \U0001f686", []),
+    ("a &amp;lt; b &amp;#233; &lt;p&gt;", "a &lt; b &#233; <p>", []),
+    ("&eacute; &#0; &#xD800; &#x110000; &;", "&eacute; &#0; &#xD800; &#x110000; &;", []),
+    ("<![CDATA[1 < 2 & <a href=\"no\">x</a> &amp;]]> <b>so</b>", "1 < 2 & <a href=\"no\">x</a> &amp; so", []),
+    ("see <a href='one?a=1&amp;b=2'>one</a>, <ns:a title=\"a>b\" href=\"two\">two</ns:a>", "see one, two", ["one?a=1&b=2", "two"]),
+    ("no <!-- <a href=\"hidden\"> --> link, href=\"text\", <abbr href=\"x\">y</abbr>", "no  link, href=\"text\", y", []),
+    ("1 & 2 < 3", "1 & 2 < 3", []),
+    ("", "", []),
+]
+
+
+@pytest.mark.parametrize("body, text, targets", GOLDEN_BODIES)
+def test_bodies_of_station_messages(spark, body, text, targets):
+    row = spark.createDataFrame([(body,)], "b string").select(xml.plain_text(F.col("b")).alias("t"), xml.links(F.col("b")).alias("l")).first()
+    assert (row.t, row.l) == (text, targets)

@@ -6,14 +6,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from trackside.operators.clean import clean
-from trackside.operators import state
+from trackside.operators import decode, journey, messages, state
 from trackside.operators.parse import parse_records
 from trackside.schemas import RECORD_FIELDS
 from trackside.session import landed, work_dir, work_root
+from trackside.sources.frames import read_frames
 from trackside.sources.records import TOPIC_SCHEMA, read_topic, stream_files, stream_topic
 from trackside.sources.tables import read_table, spread, stream_table
-from trackside.streaming import jobs, matching, sinks, stores, versions
+from trackside.streaming import jobs, main, matching, sinks, stores, versions
 from trackside.testfeed import frames as feed
+from trackside.testfeed import messages as m
 from trackside.testfeed.records import topic_records
 
 SF = "/root/testdata/sf0.001"
@@ -165,6 +167,35 @@ def test_intake_stream(spark, tmp_path):
     assert as_set(kept.select("reason", "sequence_number")) == as_set(decode.rejects(decoded).select("reason", "sequence_number"))
 
 
+def test_intake_counts_without_a_job_of_its_own(spark, tmp_path, caplog):
+    """What the log says of a batch is counted while it is written."""
+    frames = feed.status_frames(read_table(spark, SF, "orders"))
+    frames.repartition(3).write.parquet(str(tmp_path / "frames"))
+    with caplog.at_level("INFO", logger="trackside.streaming.jobs"):
+        main.main(["intake", "--frames", str(tmp_path / "frames"), "--out", str(tmp_path / "records"), "--rejects", str(tmp_path / "rejects"), "--checkpoint", str(tmp_path / "ck"), "--drain"])
+    decoded = decode.decode_frames(read_frames(spark, str(tmp_path / "frames")))
+    want = {r.reason: r["count"] for r in decoded.groupBy("reason").count().collect()}
+    told = [r.getMessage() for r in caplog.records if r.name == "trackside.streaming.jobs"]
+    assert len(told) == 1 and f"batch 0: {sum(want.values())} frames" in told[0]
+    assert all(f"{reason} {n}" in told[0] for reason, n in want.items() if reason)
+
+
+def test_messages_and_calls_programs(spark, tmp_path):
+    table = read_table(spark, SF, "orders").limit(60)
+    both = feed.status_documents(table).select("sequence_number", "xml").unionByName(m.schedule_documents(table).select("sequence_number", "xml"))
+    feed.frames_of(both, "X").repartition(2).write.parquet(str(tmp_path / "frames"))
+    shared = ["--frames", str(tmp_path / "frames"), "--drain"]
+    main.main(["messages", *shared, "--out", str(tmp_path / "out"), "--rejects", str(tmp_path / "rejects"), "--checkpoint", str(tmp_path / "ck1"), "--tables", "schedules", "forecasts"])
+    assert stores.read_batches(spark, str(tmp_path / "out/schedules")).count() == 60
+    rows = messages.forecasts(feed.status_documents(table))
+    assert stores.read_batches(spark, str(tmp_path / "out/forecasts")).count() == rows.count()
+    main.main(["calls", *shared, "--out", str(tmp_path / "calls"), "--checkpoint", str(tmp_path / "ck2")])
+    want = journey.match_calls(rows, messages.calling_points(m.schedule_documents(table)), matching.IDS)
+    assert as_set(matching.read_matches(spark, str(tmp_path / "calls"))) == as_set(want)
+    with pytest.raises(SystemExit):
+        main.main(["messages", *shared])
+
+
 def test_keyed_store(spark, tmp_path):
     def rows(*values):
         made = [json.dumps(dict(unique_id=u, location_code="A", schedule_id=s, sequence_number=n, source=v)) for u, s, n, v in values]

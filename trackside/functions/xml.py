@@ -91,11 +91,31 @@ def inner(text: Column, name: str) -> Column:
     return F.regexp_extract(text, pattern, 1)
 
 
+# The predefined entities.
+ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "amp": "&"}
+
+_REFERENCE = r"&(?:#[0-9]+|#x[0-9A-Fa-f]+|" + "|".join(ENTITIES) + ");"
+_TAG = r"""<(?:[^>"']|"[^"]*"|'[^']*')*+>"""
+_CDATA, _COMMENT = r"<!\[CDATA\[.*?\]\]>", r"<!--.*?-->|<\?.*?\?>"
+
+
+def _referred(token: Column) -> Column:
+    """The character that a reference stands for; other tokens, and numbers that are none, as they are."""
+    known = F.when(F.lit(False), "")
+    for name, char in ENTITIES.items():
+        known = known.when(token == f"&{name};", char)
+    digits = F.regexp_extract(token, r"^&#x?([0-9A-Fa-f]+);$", 1)
+    code = F.when(F.startswith(token, F.lit("&#x")), F.conv(digits, 16, 10)).otherwise(digits).try_cast("bigint")
+    is_char = code.isin(9, 10, 13) | code.between(0x20, 0xD7FF) | code.between(0xE000, 0xFFFD) | code.between(0x10000, 0x10FFFF)
+    number = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    return F.when(F.startswith(token, F.lit("&#")) & is_char, number).otherwise(F.coalesce(known, token))
+
+
 def unescape(text: Column) -> Column:
-    """Resolve the five predefined entities, ``&amp;`` last."""
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    """Resolve character references and the predefined entities, each once: what one gives is no part of
+    another. Other entities stay."""
+    tokens = F.regexp_extract_all(text, F.lit(rf"{_REFERENCE}|[^&]+|&"), F.lit(0))
+    return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(tokens, _referred), "")).otherwise(text)
 
 
 def escape(text: Column) -> Column:
@@ -106,11 +126,27 @@ def escape(text: Column) -> Column:
 
 
 def plain_text(fragment: Column) -> Column:
-    """Text content of mixed markup."""
-    return unescape(F.regexp_replace(fragment, r"""<(?:[^>"']|"[^"]*"|'[^']*')*+>""", ""))
+    """Text content of mixed markup: tags, comments and instructions away, references resolved, CDATA as it
+    stands."""
+    pattern = rf"(?s){_CDATA}|{_COMMENT}|{_TAG}|{_REFERENCE}|[^<&]+|[<&]"
+
+    def content(token: Column) -> Column:
+        marked = F.length(token) > 1
+        return (
+            F.when(F.startswith(token, F.lit("<![CDATA[")), token.substr(F.lit(10), F.length(token) - 12))
+            .when(F.startswith(token, F.lit("<")) & marked, "")
+            .otherwise(_referred(token))
+        )
+
+    tokens = F.regexp_extract_all(fragment, F.lit(pattern), F.lit(0))
+    whole = F.array_join(F.transform(tokens, content), "")
+    return F.when(F.contains(fragment, F.lit("<!")), whole).otherwise(unescape(F.regexp_replace(fragment, _TAG, "")))
 
 
 def links(fragment: Column) -> Column:
-    """Targets of the anchors in mixed markup, in order."""
-    found = F.regexp_extract_all(fragment, F.lit(r'\shref\s*=\s*"([^"]*)"'), F.lit(1))
-    return F.transform(found, unescape)
+    """Targets of the anchors in mixed markup, in order; text, comments and CDATA hold none."""
+    marked = F.regexp_replace(fragment, rf"(?s){_CDATA}|{_COMMENT}", "")
+    anchors = F.regexp_extract_all(marked, F.lit(rf"""<{_PREFIX}a\s(?:[^>"']|"[^"]*"|'[^']*')*+>"""), F.lit(0))
+    given = r"""\shref\s*=\s*("[^"]*"|'[^']*')"""
+    found = F.transform(F.filter(anchors, lambda one: one.rlike(given)), lambda one: F.regexp_extract(one, given, 1))
+    return F.transform(found, lambda one: unescape(one.substr(F.lit(2), F.length(one) - 2)))

@@ -15,6 +15,9 @@ from trackside.functions.xml import (
 )
 from trackside.schemas import FORECASTS_URI, PUSHPORT_URI, TS_BRIEF, response_ddl
 
+# Why a frame is rejected, in the order in which it is looked for.
+REASONS = ["missing_header", "bad_body", "bad_sequence", "bad_xml", "other_version", "no_train_status"]
+
 
 def open_frames(frames: DataFrame) -> DataFrame:
     """Frames (``headers`` map, ``body`` binary) to documents.

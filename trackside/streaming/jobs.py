@@ -6,13 +6,13 @@ import logging
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from trackside.operators import messages
 from trackside.operators.clean import clean
-from trackside.operators.decode import decode_frames, locations, read_documents, rejects
+from trackside.operators.decode import REASONS, decode_frames, locations, read_documents, rejects
 from trackside.operators.parse import parse_records
 from trackside.operators.publish import to_records
 from trackside.operators.state import distinct_requests, fold_times, latest, merge_times, shown_times
@@ -39,26 +39,41 @@ def start_intake(
     Each frame is decoded once. Decoding is the heavy step, so a batch with fewer splits than
     cores is spread out for it.
     """
-    writers = [
-        sinks.then(lambda decoded: to_records(locations(decoded, first_header)), publish),
-        sinks.then(rejects, reject),
-        log_intake,
-    ]
-    write = sinks.then(lambda batch: decode_frames(spread(batch)), sinks.fan_out(writers))
+    writers = sinks.fan_out(
+        [
+            sinks.then(lambda decoded: to_records(locations(decoded, first_header)), publish),
+            sinks.then(rejects, reject),
+        ]
+    )
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        seen = Observation(f"intake-{batch_id}")
+        writers(observed_intake(decode_frames(spread(batch)), seen), batch_id)
+        log_intake(seen.get, batch_id)
+
     return sinks.start_batches(frames, write, checkpoint, **run)
 
 
-def log_intake(decoded: DataFrame, batch_id: int) -> None:
-    """Log what a batch of frames held: how many, with how many distinct types, how many rejected."""
-    seen = decoded.agg(
+def observed_intake(decoded: DataFrame, seen: Observation) -> DataFrame:
+    """Count what a batch of frames holds while it is decoded, without a job of its own: frames, their
+    distinct types, the last sequence, and the rejected by reason."""
+    by_reason = [F.count(F.when(F.col("reason") == reason, 1)).alias(f"rejected_{reason}") for reason in REASONS]
+    return decoded.observe(
+        seen,
         F.count(F.lit(1)).alias("frames"),
         F.approx_count_distinct("message_type").alias("types"),
         F.count("reason").alias("rejected"),
         F.max(F.col("sequence_number").try_cast("bigint")).alias("last"),
-    ).first()
+        *by_reason,
+    )
+
+
+def log_intake(seen: dict, batch_id: int) -> None:
+    """Log what :func:`observed_intake` counted."""
+    reasons = ", ".join(f"{reason} {seen[f'rejected_{reason}']}" for reason in REASONS if seen.get(f"rejected_{reason}"))
     log.info(
-        "batch %s: %s frames of %s types, %s rejected, last sequence %s",
-        batch_id, seen["frames"], seen["types"], seen["rejected"], seen["last"],
+        "batch %s: %s frames of %s types, %s rejected (%s), last sequence %s",
+        batch_id, seen["frames"], seen["types"], seen["rejected"], reasons or "none", seen["last"],
     )
 
 

@@ -1,21 +1,66 @@
-"""The store job as a program: ``python -m trackside.streaming.main --help``."""
+"""The jobs as a program: ``python -m trackside.streaming.main [stores|intake|messages|calls] --help``."""
 
 from __future__ import annotations
 
 import argparse
 import os
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
+from trackside.operators.decode import read_documents
 from trackside.operators.parse import parse_records, schema_text
 from trackside.session import build_session
+from trackside.sources.frames import stream_frames
 from trackside.sources.records import TOPIC, stream_files, stream_topic
 from trackside.streaming import jobs, sinks
 
+JOBS = ("stores", "intake", "messages", "calls")
+
+
+def frame_arguments(job: str, argv: Sequence[str]) -> argparse.Namespace:
+    """Arguments of the jobs that read push frames."""
+    about = {
+        "intake": "Push frames to topic records.",
+        "messages": "Push frames to tables of their messages.",
+        "calls": "Push frames to the call that each forecast means.",
+    }
+    parser = argparse.ArgumentParser(prog=job, description=about[job])
+    parser.add_argument("--frames", required=True, help="folder where frames are landed as parquet")
+    parser.add_argument("--checkpoint", required=True, help="folder for checkpoints")
+    parser.add_argument("--max-files", type=int, help="most files per batch")
+    parser.add_argument("--drain", action="store_true", help="take what is there and stop")
+    if job == "intake":
+        out = parser.add_mutually_exclusive_group(required=True)
+        out.add_argument("--servers", help="brokers of the topic")
+        out.add_argument("--out", help="folder for records")
+        parser.add_argument("--topic", default=TOPIC)
+        parser.add_argument("--first-header", action="store_true", help="all locations of a document to its first train")
+    else:
+        parser.add_argument("--out", required=True, help="folder for the results")
+    if job == "messages":
+        parser.add_argument("--tables", nargs="+", choices=list(jobs.TABLES), default=list(jobs.TABLES), help="which tables")
+    if job != "calls":
+        parser.add_argument("--rejects", required=True, help="folder for frames that cannot be read")
+    return parser.parse_args(argv)
+
+
+def start_frames(spark: SparkSession, job: str, args: argparse.Namespace) -> StreamingQuery | None:
+    frames = stream_frames(spark, args.frames, args.max_files)
+    if job == "intake":
+        out = sinks.file_writer(args.out) if args.out else sinks.format_writer("kafka", topic=args.topic, **{"kafka.bootstrap.servers": args.servers})
+        return jobs.start_intake(frames, out, sinks.file_writer(args.rejects), args.checkpoint, args.first_header, drain=args.drain)
+    if job == "messages":
+        tables = {name: sinks.file_writer(f"{args.out}/{name}") for name in args.tables}
+        return jobs.start_messages(frames, tables, sinks.file_writer(args.rejects), args.checkpoint, drain=args.drain)
+    docs = read_documents(frames).where("reason is null").select("sequence_number", "xml")
+    return jobs.start_matching(docs, args.out, args.checkpoint, drain=args.drain)
+
 
 def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
-    parser = argparse.ArgumentParser(description="Topic records to the raw store, the clean store and the console.")
+    parser = argparse.ArgumentParser(prog="stores", description="Topic records to the raw store, the clean store and the console.")
     source = parser.add_mutually_exclusive_group(required=True)
     source.add_argument("--servers", help="brokers of the topic")
     source.add_argument("--files", help="folder where records are landed as parquet")
@@ -53,6 +98,17 @@ def clean_writer(args: argparse.Namespace) -> sinks.Writer:
 
 
 def main(argv: Sequence[str] | None = None) -> None:
+    argv = list(sys.argv[1:] if argv is None else argv)
+    job = argv.pop(0) if argv and argv[0] in JOBS else "stores"
+    if job != "stores":
+        args = frame_arguments(job, argv)
+        spark = build_session(f"trackside-{job}")
+        query = start_frames(spark, job, args)
+        if args.drain:
+            sinks.drain(query)
+        else:
+            sinks.await_any(spark)
+        return
     args = arguments(argv)
     spark = build_session("trackside-stores")
     records = source(spark, args)
