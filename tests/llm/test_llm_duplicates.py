@@ -8,6 +8,7 @@ from rows import ODD, documents, words
 
 from trackside.llm.components import components
 from trackside.llm.exact_dedup import Hasher, combined, exact_duplicates
+from trackside.llm import near_dedup
 from trackside.llm.near_dedup import Settings, near_duplicates
 from trackside.llm.substring import Sketch, Windows, remove_repeats
 
@@ -216,3 +217,43 @@ def test_components_of_a_chain_and_a_star(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, 200 + k) for k in range(300)] + [(7, 7), (300, 100)]
     got = components(spark.createDataFrame(links, "a long, b long")).collect()
     assert {r.node: r.component for r in got} == {**{k: 0 for k in range(41)}, 100: 100, **{200 + k: 100 for k in range(300)}}
+
+
+def landed_rows(spark, monkeypatch, rows):
+    """The result, and how many rows each intermediate table had."""
+    counts = collections.Counter()
+    real = near_dedup.landed
+
+    def counting(df, name):
+        out = real(df, name)
+        counts[name] += out.count()
+        return out
+
+    with monkeypatch.context() as patch:
+        patch.setattr(near_dedup, "landed", counting)
+        got = near_duplicates(documents(spark, rows)).collect()
+    return got, counts
+
+
+def test_half_alike_texts_make_rows_by_text_not_by_pair(spark, monkeypatch):
+    """A group of texts that share somewhat more than half, without a link: twice as many make about twice
+    the rows in every table."""
+    rng = random.Random(12)
+    base = words(rng, 80)
+
+    def group(n):
+        out = []
+        for k in range(n):
+            own = list(base)
+            for at in rng.sample(range(80), 3):
+                own[at] = f"{k}x{at}"
+            out.append((k, " ".join(own)))
+        return out
+
+    rows = group(240)
+    few, some = landed_rows(spark, monkeypatch, rows[:120])
+    many, more = landed_rows(spark, monkeypatch, rows)
+    for got, part in ((few, rows[:120]), (many, rows)):
+        assert collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == near(part)
+    assert some["near-likely"] > 0
+    assert all(more[name] <= 2.6 * some[name] + 40 for name in more), (some, more)
