@@ -1,5 +1,6 @@
 """State, journeys and joins against plain Python on small tables, hot keys included."""
 
+import collections
 import datetime as dt
 import glob
 import os
@@ -9,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trackside.operators import journey, reference, state
-from trackside.plans.joins import asof_join, balanced_join, fits, lookup_join
+from trackside.plans.joins import asof_join, balanced_join, fits, hot_hashes, lookup_join
 from trackside.session import work_root
 
 
@@ -46,6 +47,21 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     assert "Window" not in plan
 
 
+def test_equal_rows_of_a_hot_key_stay_where_they_are(spark):
+    """Ten thousand equal rows, of which no key or hash could tell one from another, are not shuffled."""
+    rows = spark.range(10000, numPartitions=6).select(F.lit("hot").alias("k"), F.lit(1).alias("n"))
+    rows = rows.unionByName(spark.range(300).select(F.concat(F.lit("k"), "id").alias("k"), F.lit(2).alias("n")))
+    rows = rows.unionByName(spark.range(500).select(F.lit(None).cast("string").alias("k"), F.lit(3).alias("n")))
+    lookup = spark.createDataFrame([("hot", 7), ("k5", 8), (None, 9)], "k string, v int")
+    assert len(hot_hashes(rows, ["k"])) == 2  # one of them that of no key
+    got = collections.Counter(tuple(r) for r in balanced_join(rows, lookup, ["k"]).collect())
+    want = {("hot", 1, 7): 10000, ("k5", 2, 8): 1, (None, 3, None): 500}
+    assert {k: got[k] for k in want} == want and sum(got.values()) == 10800
+    plan = balanced_join(rows, lookup, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 1 and plan.count("SortMergeJoin") == 1
+    assert hot_hashes(rows.limit(0), ["k"]) == [] and balanced_join(rows.limit(0), lookup, ["k"]).count() == 0
+
+
 def order(n):
     return dt.datetime(2024, 1, 1, 0, 0, n)
 

@@ -59,7 +59,7 @@ def enrich_dims(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def enrich_balanced(spark: SparkSession, sf: str) -> DataFrame:
-    """Location names by the join for lookups too large to broadcast; hot locations are salted."""
+    """Location names by the join for lookups too large to broadcast; rows of hot locations are not shuffled."""
     third = F.when(F.col("l_linenumber") <= 2, F.lit("P7")).otherwise(F.col("tpl"))
     rows = facts(spark, sf).withColumn("tpl", third).select("l_orderkey", "l_linenumber", "l_extendedprice", "tpl")
     named = balanced_join(rows, dimension(spark, sf, "part", LOCATIONS), ["tpl"])
