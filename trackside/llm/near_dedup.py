@@ -370,7 +370,7 @@ class _Join:
             return
         self.fetch(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct())
         left, right = (self.texts.select(F.col("cls").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
-        known = landed(_confirmed(pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b"), self.settings), "near-tested")
+        known = landed(_confirmed(left.join(pairs.hint("merge"), "a").join(right.hint("merge"), "b").select("a", "b", "text_a", "text_b"), self.settings), "near-tested")
         self.link(known.filter("linked").select("a", "b"))
         forget(pairs, known)
 
@@ -410,14 +410,14 @@ class _Join:
         if likely.isEmpty():
             return
         self.fetch(likely.select("cls").distinct())
-        items = _sets(self.texts.join(likely.select("cls").distinct(), "cls", "left_semi"), self.settings)
+        items = _sets(self.texts.join(likely.select("cls").distinct().hint("merge"), "cls", "left_semi"), self.settings)
         # A block has a bounded number of texts, so the window does.
         along = Window.partitionBy("node", "block").orderBy("cls")
         part = F.floor(F.sum("n").over(along.rowsBetween(Window.unboundedPreceding, 0)) / self.settings.shingles)
         parts = likely.withColumn("part", part).withColumn("last", F.max("part").over(Window.partitionBy("node", "block")))
         pairs = parts.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), "last")))
         pairs = pairs.select("node", "block", "cls", "comp", "part", F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two"))
-        links = landed(_joined(pairs.join(items, "cls"), self.settings), "near-links")
+        links = landed(_joined(pairs.join(items.hint("merge"), "cls"), self.settings), "near-links")
         self.link(links)
         forget(likely, links)
 
