@@ -11,6 +11,7 @@ import re
 import zlib
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,9 +40,17 @@ def _make_inflate():
     return inflate_batch
 
 
-def _make_deflate(compress):
-    def deflate_batch(text: pd.Series) -> pd.Series:
-        return text.map(lambda t: None if t is None else compress(t.encode("utf-8"), 6))
+def _make_deflate():
+    # Fast compression; whoever reads a body need not care how well it was packed.
+    level = 1
+
+    def body_of(text: str | None, as_gzip: bool | None) -> bytes | None:
+        if text is None:
+            return None
+        return (gzip if as_gzip else zlib).compress(text.encode("utf-8"), level)
+
+    def deflate_batch(text: pd.Series, as_gzip: pd.Series) -> pd.Series:
+        return pd.Series([body_of(t, g) for t, g in zip(text, as_gzip)], dtype=object)
 
     return deflate_batch
 
@@ -49,5 +58,14 @@ def _make_deflate(compress):
 # Text of a gzip or zlib body; NULL if it is broken or truncated.
 inflate = F.pandas_udf(_make_inflate(), T.StringType())
 
-deflate_gzip = F.pandas_udf(_make_deflate(gzip.compress), T.BinaryType())
-deflate_zlib = F.pandas_udf(_make_deflate(zlib.compress), T.BinaryType())
+# A text as a gzip body where the second argument is true, else as a zlib body. One function for both:
+# of two in the branches of a ``when``, each would compress every row.
+deflate = F.pandas_udf(_make_deflate(), T.BinaryType())
+
+
+def deflate_gzip(text: Column) -> Column:
+    return deflate(text, F.lit(True))
+
+
+def deflate_zlib(text: Column) -> Column:
+    return deflate(text, F.lit(False))
