@@ -154,6 +154,31 @@ def test_counts_of_all_prefixes(words_bpe):
         assert got == [count(text[:k]) for k in range(1, len(text) + 1)], ascii(text)
 
 
+def test_plain_words_are_counted_by_themselves(words_bpe, monkeypatch):
+    """Letters and signs after them give what the tokenizer's own steps give, without those steps."""
+    counter, count = token_counts.Counter(words_bpe), library(words_bpe)
+    pieces = ["Word", "word,", "STRASSE...", "Stra\u00dfe", "\u00c9t\u00e9!", "na\u00efvement\u00e0?!", "a_", "\u00aa\u00ba\u00b5", "ch\u00df###", "\u00ff", "zqxjkvz" * 9]
+    want = [counter.prefixes(piece) for piece in pieces]
+    assert want == [[count(piece[: k + 1]) for k in range(len(piece))] for piece in pieces]
+    monkeypatch.setattr(counter, "prefixes", None)
+    assert [np.frombuffer(counter.piece_steps(piece), np.int16).cumsum().tolist()[:-1] for piece in pieces] == want
+
+
+def test_only_ends_of_tokens_are_looked_up(words_bpe):
+    merges = token_counts.Counter(words_bpe).merges
+
+    class Asked(dict):
+        def get(self, key):
+            asked.append(key)
+            return super().get(key)
+
+    asked, letters = [], "zqxjkvz" * 9
+    merges.kinds = Asked(merges.kinds)
+    merges.prefixes(letters)
+    # The last letters, and one more that ends no token.
+    assert 0 < len(asked) < 4 * len(letters)
+
+
 def test_counts_of_the_documents(spark, words_bpe):
     count = library(words_bpe)
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]

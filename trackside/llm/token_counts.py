@@ -51,6 +51,10 @@ class Merges:
         for token in made:
             bare = token.removesuffix(END)
             self.kinds[bare] = self.kinds.get(bare, 0) | (1 if bare == token else 2)
+        # 0: only the end of a token, so that a longer one may be worth a look.
+        for bare in [*self.kinds]:
+            for at in range(1, len(bare)):
+                self.kinds.setdefault(bare[at:], 0)
         self.most, self.shared, self.begun = most, shared, {}
         self.pairs: tuple[dict, dict] = {}, {}
         self.alone: dict[str, bool] = {}
@@ -106,14 +110,15 @@ class Merges:
         """Continue ``last`` and ``count``: the last token and the number of tokens of each prefix of ``letters``
         as a word that goes on; and ``whole``: the tokens of each prefix as a whole word, whose last one
         has the word's end. Both up to ``upto`` letters."""
-        kinds, longest, (inside, ends) = self.kinds, self.longest, self.pairs
+        kind_of, (inside, ends) = self.kinds.get, self.pairs
         for i in range(len(last), upto + 1):
             open_ = 3
-            for begin in range(i - longest if i > longest else 0, i):
+            for begin in range(i - 1, -1, -1):
                 token = letters[begin:i]
-                if token not in kinds:
-                    continue
-                kind = kinds[token] & open_
+                kind = kind_of(token)
+                if kind is None:
+                    break
+                kind &= open_
                 if not kind:
                     continue
                 key = last[begin], token
@@ -195,7 +200,15 @@ class Counter:
                 return value
 
         self.lower, self.shape = Lower(), Shape()
-        self.most, self.runs, self.steps = most, {}, _Steps(self.prefixes)
+        self.most, self.runs, self.steps = most, {}, _Steps(self)
+        self.run_steps: dict[str, bytes] = {}
+        # Letters and signs of one code point each, whatever stands beside them: a word of such letters and
+        # such signs after it are two words of the pattern.
+        plain = [c for c in map(chr, range(33, 256)) if c != "'" and self.nfc(c) == c and len(self.lower[ord(c)]) == 1]
+        kinds = {c: self.shape[ord(self.lower[ord(c)])] for c in plain}
+        letters = "".join(re.escape(c) for c in plain if kinds[c].isalpha())
+        signs = "".join(re.escape(c) for c in plain if c.isascii() and kinds[c] == ".")
+        self.simple = re.compile(f"([{letters}]+)([{signs}]*)")
 
     def _letters(self, run: str) -> str:
         return "".join(map(self.letters.__getitem__, run.encode()))
@@ -210,6 +223,29 @@ class Counter:
             known = self.runs[run] = counts[1:] if run.isascii() else [counts[end] for end in accumulate(len(c.encode()) for c in run)]
         return known
 
+    def _run_steps(self, run: str) -> bytes:
+        """By how much each code point of one word of the pattern changes the number of tokens."""
+        known = self.run_steps.get(run)
+        if known is None:
+            if len(self.run_steps) >= self.most // 3:
+                self.run_steps.clear()
+            # ASCII that can be printed stands for itself.
+            counts = self.merges.prefixes(run if run.isascii() and run.isprintable() else self._letters(run))
+            if not run.isascii():
+                counts = [0, *(counts[end] for end in accumulate(len(c.encode()) for c in run))]
+            known = self.run_steps[run] = array("h", map(sub, counts[1:], counts)).tobytes()
+        return known
+
+    def piece_steps(self, piece: str) -> bytes:
+        """The same for a string without blanks, and for one blank after it."""
+        simple = self.simple.fullmatch(piece)
+        if simple and not (self.special and self.special.search(piece)):
+            word, signs = simple.groups()
+            steps = self._run_steps(word.lower() if word.isascii() else word.translate(self.lower))
+            return steps + self._run_steps(signs) + b"\0\0" if signs else steps + b"\0\0"
+        counts = self.prefixes(piece)
+        return array("h", [*map(sub, counts, [0, *counts]), 0]).tobytes()
+
     def _words(self, normal: str) -> tuple[list[int], list[int]]:
         """Counts of the prefixes of an NFC string without added tokens, and where its words start."""
         low = normal.translate(self.lower)
@@ -316,12 +352,11 @@ class Counter:
 class _Steps(dict):
     """What the code points of a piece and one blank after it add to the count."""
 
-    def __init__(self, prefixes):
-        self.prefixes = prefixes
+    def __init__(self, counter: Counter):
+        self.counter = counter
 
     def __missing__(self, piece: str) -> bytes:
-        counts = self.prefixes(piece)
-        self[piece] = value = array("h", [*map(sub, counts, [0, *counts]), 0]).tobytes()
+        self[piece] = value = self.counter.piece_steps(piece)
         return value
 
 
