@@ -2,7 +2,9 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 
+import numpy as np
 import pytest
 from rows import ODD, documents, words
 
@@ -257,3 +259,54 @@ def test_half_alike_texts_make_rows_by_text_not_by_pair(spark, monkeypatch):
         assert collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == near(part)
     assert some["near-likely"] > 0
     assert all(more[name] <= 2.6 * some[name] + 40 for name in more), (some, more)
+
+
+# --- memory of the tasks
+
+
+def unlike_sets(m, n):
+    """Sets of hashes of which some share three quarters."""
+    rng = np.random.default_rng(5)
+    base = np.unique(rng.integers(0, 2**64 - 1, n, dtype=np.uint64))
+    return [np.unique(np.concatenate([base[rng.random(len(base)) < rng.choice([0.5, 0.9])], rng.integers(0, 2**64 - 1, n // 20, dtype=np.uint64)])) for _ in range(m)]
+
+
+@pytest.mark.parametrize("at_once", [40, 1 << 18])
+def test_forest_joins_all_linked(monkeypatch, at_once):
+    monkeypatch.setattr(near_dedup, "RANGE", at_once)
+    sets = unlike_sets(60, 80)
+    links = near_dedup._forest(sets, np.arange(60), np.zeros(60, bool), 75, columns=16)
+    sides = [set(s.tolist()) for s in sets]
+    expected, got = list(range(60)), list(range(60))
+
+    def join(root, x, y):
+        one, other = root[x], root[y]
+        root[:] = [one if r == other else r for r in root]
+
+    for x in range(60):
+        for y in range(x):
+            if 100 * len(sides[x] & sides[y]) >= 75 * len(sides[x] | sides[y]):
+                join(expected, x, y)
+    for x, y in links:
+        assert 100 * len(sides[x] & sides[y]) >= 75 * len(sides[x] | sides[y])
+        join(got, x, y)
+    parts = lambda root: {frozenset(k for k in range(60) if root[k] == r) for r in root}
+    assert parts(got) == parts(expected) and 1 < len(parts(got)) < 60
+
+
+def test_forest_holds_little_beside_its_counts():
+    m = 1500
+    sets = unlike_sets(m, 100)
+    tracemalloc.start()
+    near_dedup._forest(sets, np.arange(m), np.zeros(m, bool), 75)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 4 * 4 * m * m
+
+
+def test_small_batches_while_duplicates_are_found(spark, monkeypatch):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, seen, sketched = spark.conf.get(name), [], near_dedup._sketched
+    monkeypatch.setattr(near_dedup, "_sketched", lambda *a: seen.append(spark.conf.get(name)) or sketched(*a))
+    near_duplicates(documents(spark, ODD)).collect()
+    assert seen == ["2m"] and spark.conf.get(name) == before

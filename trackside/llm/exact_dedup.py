@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackside.llm.common import BLANKS, utf8_cells
-from trackside.session import forget, landed
+from trackside.session import forget, landed, small_batches
 
 #: Two moduli below 2^31, so that products fit in 63 bits, and a base for each.
 PRIMES = (2147483647, 2147483629)
@@ -159,8 +159,10 @@ def exact_duplicates(docs: DataFrame, hasher: Hasher | None = None) -> DataFrame
     rows.
     """
     hasher = hasher or Hasher()
-    rows = landed(fingerprints(docs, hasher), "dedup-fingerprints")
-    split = _verified(docs, rows, hasher).groupBy("doc_id", "raw").agg(F.max("round").alias("round"))
+    with small_batches(docs.sparkSession):
+        rows = landed(fingerprints(docs, hasher), "dedup-fingerprints")
+        split = _verified(docs, rows, hasher)
+    split = split.groupBy("doc_id", "raw").agg(F.max("round").alias("round"))
     split = split.select(F.col("doc_id").alias("_id"), F.col("raw").alias("_raw"), "round")
     classed = rows.join(split, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("raw") == F.col("_raw")), "left").withColumn("round", F.coalesce("round", F.lit(0)))
     best = F.min(F.struct((-F.col("n_points")).alias("least"), F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("uid").alias("uid")))

@@ -15,7 +15,11 @@ from pyspark.sql import functions as F
 from trackside.llm.common import utf8_cells
 from trackside.llm.components import components
 from trackside.llm.substring import WordHashes, mixed, sequences
-from trackside.session import forget, landed
+from trackside.session import forget, landed, small_batches
+
+
+#: Items of a block's sets that are matched at once.
+RANGE = 1 << 18
 
 
 class Settings(NamedTuple):
@@ -223,30 +227,42 @@ def _likely(blocks: DataFrame, settings: Settings) -> DataFrame:
     return order.mapInArrow(rows, "node long, block long, cls binary, comp binary, n long")
 
 
-def _forest(sets: list[np.ndarray], comp: np.ndarray, half: np.ndarray, share: int, columns: int = 2048) -> list[tuple[int, int]]:
+def _common(sets: list[np.ndarray], rows: np.ndarray, columns: int) -> np.ndarray:
+    """Items that each of ``rows`` has in common with each set: products of 0/1 matrices over the items that
+    several sets have, a range of hashes at a time, so that beside the counts little is held at once."""
+    m = len(sets)
+    common = np.zeros((len(rows), m), np.float32)
+    # Items are hashes: ranges of equal width hold about as many each.
+    cuts = max(1, sum(len(s) for s in sets) // RANGE)
+    inner = np.array([(k << 64) // cuts for k in range(1, cuts)], np.uint64)
+    places = np.array([[0, *np.searchsorted(s, inner).tolist(), len(s)] for s in sets], np.int64)
+    for k in range(cuts):
+        part = [s[a:b] for s, a, b in zip(sets, places[:, k].tolist(), places[:, k + 1].tolist())]
+        _, item = np.unique(np.concatenate(part), return_inverse=True)
+        row = np.repeat(np.arange(m), places[:, k + 1] - places[:, k])
+        several = np.bincount(item) > 1
+        place = np.cumsum(several) - 1
+        row, item = row[several[item]], place[item[several[item]]]
+        order = np.argsort(item, kind="stable")
+        row, item = row[order], item[order]
+        edges = np.searchsorted(item, np.arange(0, int(several.sum()) + columns, columns))
+        for no, (begin, end) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
+            whole = np.zeros((m, columns), np.float32)
+            whole[row[begin:end], item[begin:end] - no * columns] = 1
+            for at in range(0, len(rows), 256):
+                common[at : at + 256] += whole[rows[at : at + 256]] @ whole.T
+    return common
+
+
+def _forest(sets: list[np.ndarray], comp: np.ndarray, half: np.ndarray, share: int, columns: int = 1024) -> list[tuple[int, int]]:
     """Links (row, row) that join the components of some sets, no more than it takes: fewer than rows.
 
-    Common items are counted for many pairs at once, as a product of 0/1 matrices over the items that
-    several sets have. Rows of the most frequent component are compared with the others only, and where
-    ``half`` knows two halves, only across them.
+    Common items are counted for many pairs at once. Rows of the most frequent component are compared with
+    the others only, and where ``half`` knows two halves, only across them.
     """
-    m, sizes = len(sets), np.array([len(s) for s in sets], np.int64)
-    _, item = np.unique(np.concatenate(sets), return_inverse=True)
-    row = np.repeat(np.arange(m), sizes)
-    several = np.bincount(item) > 1
-    place = np.cumsum(several) - 1
-    row, item = row[several[item]], place[item[several[item]]]
-    order = np.argsort(item, kind="stable")
-    row, item = row[order], item[order]
+    sizes = np.array([len(s) for s in sets], np.int64)
     minor = np.flatnonzero(comp != np.bincount(comp).argmax())
-    mine = np.full(m, -1)
-    mine[minor] = np.arange(len(minor))
-    common = np.zeros((len(minor), m), np.float32)
-    edges = np.searchsorted(item, np.arange(0, int(several.sum()) + columns, columns))
-    for k, (begin, end) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
-        whole = np.zeros((m, columns), np.float32)
-        whole[row[begin:end], item[begin:end] - k * columns] = 1
-        common += whole[minor] @ whole.T
+    common = _common(sets, minor, columns)
     root = comp.astype(np.int64).copy()
     links: list[tuple[int, int]] = []
     for at in range(0, len(minor), 256):
@@ -473,16 +489,17 @@ def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFr
     target recall at the threshold needs, and the sketch's cut is as low.
     """
     settings = settings or Settings()
-    state = _Join(docs, settings)
-    roots = state.classes.select(F.explode("roots").alias("node"), "cls")
-    several = roots.groupBy("node").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(F.col("node").alias("_node"))
-    members = landed(roots.join(several, F.col("node") == F.col("_node"), "left_semi"), "near-roots")
-    state.nearest(members)
-    level = 1
-    while members is not None:
-        members = state.whole(members, level)
-        level += 1
-    forget(state.classes, *state.read)
+    with small_batches(docs.sparkSession):
+        state = _Join(docs, settings)
+        roots = state.classes.select(F.explode("roots").alias("node"), "cls")
+        several = roots.groupBy("node").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(F.col("node").alias("_node"))
+        members = landed(roots.join(several, F.col("node") == F.col("_node"), "left_semi"), "near-roots")
+        state.nearest(members)
+        level = 1
+        while members is not None:
+            members = state.whole(members, level)
+            level += 1
+        forget(state.classes, *state.read)
     rows = state.components_of(state.rows.select("doc_id", "raw", "cls", "n"))
     own = rows.withColumn("comp", F.when(F.col("n") > 0, F.col("comp")))
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "raw")).alias("best")
