@@ -104,3 +104,10 @@ def test_a_timetable_has_more_files_the_more_orders(spark):
     files.write_timetable(dealt(table, rows_per_task=20), path)
     assert len(glob.glob(f"{path}/*.txt")) == 40
     assert m.schedule_documents(table).count() == 400
+
+
+def test_values_are_spoiled_once(spark):
+    _, table = _orders(spark, 20)
+    docs = feed.spoiled_documents(table)
+    assert docs.columns == ["sequence_number", "xml", "feed_version"]
+    assert _plan(messages.forecasts(docs)).count("regexp_replace(xml") == len(feed.SPOILED)
