@@ -120,6 +120,21 @@ def test_alignment_of_nothing(spark, vocabularies):
     assert [tuple(r) for r in alignment.align(documents(spark, [(1, None)]), vocabularies).collect()] == [(1, 0, 0, 0, 0, 0, 0, "")]
 
 
+def test_alignment_in_small_batches_and_without_a_join_where_all_counts_are_known(spark, vocabularies, monkeypatch):
+    batches, real = {}, alignment.landed
+
+    def noting(df, name):
+        batches[name] = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+        return real(df, name)
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    monkeypatch.setattr(alignment, "landed", noting)
+    found = alignment.align(documents(spark, [(1, "one two three"), (2, "two three four")]), vocabularies)
+    assert [batches[name] for name in ("aligned", "link-counts", "link-sums")] == ["2m"] * 3
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("near", [1, 8])
 def test_shared_cuts_wherever_they_lie(near):
     rng = np.random.default_rng(4)

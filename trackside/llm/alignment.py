@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from trackside.llm.common import kept_in_worker
 from trackside.llm.token_counts import byte_letters
-from trackside.session import landed
+from trackside.session import landed, small_batches
 
 
 class Vocabularies(NamedTuple):
@@ -242,7 +242,7 @@ def _sent(docs: DataFrame, vocabularies: Vocabularies) -> Broadcast:
     return docs.sparkSession.sparkContext.broadcast(tuple(vocabularies))
 
 
-def token_groups(docs: DataFrame, vocabularies: Vocabularies, together: int = 400_000, most: int = 500_000) -> DataFrame:
+def token_groups(docs: DataFrame, vocabularies: Vocabularies, together: int = 400_000, most: int = 250_000) -> DataFrame:
     """One row per row of ``docs``: doc_id, groups (``a1,a2|b1;a3|b2,b3``: the ids of A and B between two
     neighbouring shared cuts, in order; '' for a text without tokens)."""
     sent = _sent(docs, vocabularies)
@@ -255,7 +255,7 @@ def token_groups(docs: DataFrame, vocabularies: Vocabularies, together: int = 40
     return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(rows, "doc_id long, groups string")
 
 
-def linked(docs: DataFrame, vocabularies: Vocabularies, together: int = 400_000, most: int = 500_000) -> DataFrame:
+def linked(docs: DataFrame, vocabularies: Vocabularies, together: int = 400_000, most: int = 250_000) -> DataFrame:
     """One row per row of ``docs``, written to the shared folder: row (a number of its own), doc_id, n_a, n_b,
     n_groups, n_links, groups_sha256, pairs and times (the distinct linked id pairs, ``a * n_b + b``, and
     how many links have each: little-endian 64-bit and 32-bit numbers, compressed)."""
@@ -288,7 +288,8 @@ def linked(docs: DataFrame, vocabularies: Vocabularies, together: int = 400_000,
             number += n
             yield pa.RecordBatch.from_arrays(columns, names=[field.split()[0] for field in schema.split(", ")])
 
-    return landed(docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(rows, schema), "aligned")
+    with small_batches(docs.sparkSession):
+        return landed(docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(rows, schema), "aligned")
 
 
 def _numbers(cell: bytes, kind: str) -> np.ndarray:
@@ -324,7 +325,8 @@ def link_counts(links: DataFrame, n_b: int, flush: int = 2_000_000) -> DataFrame
             held[:] = [merged()]
             yield told()
 
-    counts = landed(links.select("pairs", "times").mapInArrow(rows, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "link-counts")
+    with small_batches(links.sparkSession):
+        counts = landed(links.select("pairs", "times").mapInArrow(rows, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "link-counts")
     # One row per B id: bounded by the vocabulary.
     most = counts.groupBy(F.pmod("pair", F.lit(n_b)).alias("_b")).agg(F.max("n").alias("_most"))
     return counts.join(F.broadcast(most), F.pmod("pair", F.lit(n_b)) == F.col("_b")).select("pair", "n", (F.col("n") == F.col("_most")).alias("best"))
@@ -356,6 +358,8 @@ def align(docs: DataFrame, vocabularies: Vocabularies, common: int = 500_000, li
     top = counts.filter(F.col("n") >= least).toPandas().sort_values("pair")
     known = spark.sparkContext.broadcast((top["pair"].to_numpy(np.int64), top["n"].to_numpy(np.int64), top["best"].to_numpy(bool)))
 
+    told = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
+
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, n, best = known.value
         for batch in batches:
@@ -364,24 +368,23 @@ def align(docs: DataFrame, vocabularies: Vocabularies, common: int = 500_000, li
                 own, often = _numbers(own, "<i8"), _numbers(often, "<u4").astype(np.int64)
                 at = np.minimum(np.searchsorted(pair, own), max(0, len(pair) - 1))
                 here = pair[at] == own if len(pair) else np.zeros(len(own), bool)
-                at, told = at[here], often[here]
-                out.append((int(told[best[at]].sum()), int((told * n[at]).sum()), own[~here], often[~here]))
+                at, often_here = at[here], often[here]
+                out.append((int(often_here[best[at]].sum()), int((often_here * n[at]).sum()), own[~here], often[~here]))
             columns = list(zip(*out)) or [(), (), (), ()]
             kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("row"), *[pa.array(c, kind) for c, kind in zip(columns, kinds)]], names=["row", "n_best", "count_sum", "rare", "often"])
-
-    told = ["doc_id", "n_a", "n_b", "n_groups", "n_links"]
-    first = links.select("row", "pairs", "times").mapInArrow(sums, "row long, n_best long, count_sum long, rare array<long>, often array<long>")
-    if not len(by_size) or len(fits) == len(by_size):
-        parts = first.select("row", "n_best", "count_sum")
-    else:
-        first = landed(first, "link-sums")
-        rare = first.filter(F.size("rare") > 0).select("row", F.explode(F.arrays_zip("rare", "often")).alias("one")).select("row", F.col("one.rare").alias("pair"), F.col("one.often").alias("often"))
+            kept = [batch.column(name) for name in ("row", *told)]
+            yield pa.RecordBatch.from_arrays([*kept, *[pa.array(c, kind) for c, kind in zip(columns, kinds)]], names=["row", *told, "n_best", "count_sum", "rare", "often"])
+
+    schema = "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, n_best long, count_sum long, rare array<long>, often array<long>"
+    with small_batches(spark):
+        whole = landed(links.select("row", *told, "pairs", "times").mapInArrow(sums, schema), "link-sums")
+    if len(by_size) and len(fits) < len(by_size):
+        rare = whole.filter(F.size("rare") > 0).select("row", F.explode(F.arrays_zip("rare", "often")).alias("one")).select("row", F.col("one.rare").alias("pair"), F.col("one.often").alias("often"))
         joined = rare.join(counts.filter(F.col("n") < least), "pair")
-        late = joined.select("row", F.when(F.col("best"), F.col("often")).otherwise(0).alias("n_best"), (F.col("often") * F.col("n")).alias("count_sum"))
-        parts = first.select("row", "n_best", "count_sum").unionByName(late).groupBy("row").agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum"))
-    whole = links.select("row", *told, "groups_sha256").join(parts, "row")
-    return whole.select(*told, "n_best", "count_sum", "groups_sha256")
+        late = joined.groupBy("row").agg(F.sum(F.when(F.col("best"), F.col("often")).otherwise(0)).alias("_best"), F.sum(F.col("often") * F.col("n")).alias("_sum"))
+        added = [(F.col(name) + F.coalesce(more, F.lit(0))).alias(name) for name, more in (("n_best", "_best"), ("count_sum", "_sum"))]
+        whole = whole.drop("rare", "often").join(late, "row", "left").select(*told, *added)
+    return whole.select(*told[:-1], "n_best", "count_sum", "groups_sha256")
 
 
 def _pieces(model: bytes) -> int:
