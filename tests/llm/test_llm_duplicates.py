@@ -310,3 +310,23 @@ def test_small_batches_while_duplicates_are_found(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "_sketched", lambda *a: seen.append(spark.conf.get(name)) or sketched(*a))
     near_duplicates(documents(spark, ODD)).collect()
     assert seen == ["2m"] and spark.conf.get(name) == before
+
+
+def test_few_links_are_joined_without_rounds_and_slices_agree(spark, monkeypatch):
+    from trackside.llm import components as module
+
+    made, real = [], module.landed
+
+    def counting(df, name):
+        made.append(name)
+        return real(df, name)
+
+    monkeypatch.setattr(module, "landed", counting)
+    links = [(k, k + 1) for k in range(60)] + [(500, 600 + k) for k in range(200)] + [(7, 3), (8, 8), (700, 500)]
+    frame = spark.createDataFrame(links, "a long, b long")
+    wanted = {**{k: 0 for k in range(61)}, 500: 500, **{600 + k: 500 for k in range(200)}}
+    assert {r.node: r.component for r in components(frame).collect()} == wanted
+    assert len(made) == 2
+    monkeypatch.setattr(module, "SLICE", 40)
+    rows = components(frame).collect()
+    assert {r.node: r.component for r in rows} == wanted and len(rows) == len(wanted)

@@ -413,11 +413,10 @@ class _Join:
         spread = self.open_nodes(members).withColumn("lead", F.col("cls") == F.col("leader"))
         # A leader of a large node meets every block of it.
         spread = spread.withColumn("block", F.explode(F.when(F.col("lead"), F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(own)))
-        found = landed(_nearest(self.with_sketches(spread).select("node", "block", "cls", "comp", "n", "lead", "sketch"), self.settings), "near-best")
+        found = _nearest(self.with_sketches(spread).select("node", "block", "cls", "comp", "n", "lead", "sketch"), self.settings)
         ends = found.select("a", "b", "alike", F.explode(F.array("a", "b")).alias("cls"))
         best = ends.groupBy("cls").agg(F.max(F.struct("alike", "a", "b")).alias("best"))
         self.settle(best.select("best.a", "best.b"))
-        forget(found)
 
     def compare(self, members: DataFrame) -> None:
         """Link texts within blocks of nodes on whole sets. Blocks whose sets do not fit a task are cut into
@@ -426,7 +425,8 @@ class _Join:
         if likely.isEmpty():
             return
         self.fetch(likely.select("cls").distinct())
-        items = _sets(self.texts.join(likely.select("cls").distinct().hint("merge"), "cls", "left_semi"), self.settings)
+        # Classes are distinct on both sides. A semi-join would be made once for each table of texts.
+        items = _sets(self.texts.join(likely.select("cls").distinct().hint("merge"), "cls").select("cls", "text"), self.settings)
         # A block has a bounded number of texts, so the window does.
         along = Window.partitionBy("node", "block").orderBy("cls")
         part = F.floor(F.sum("n").over(along.rowsBetween(Window.unboundedPreceding, 0)) / self.settings.shingles)
