@@ -8,6 +8,7 @@ from trackside.operators import decode, journey, messages, quality
 from trackside.plans import message_queries, state_queries
 from trackside.session import work_dir
 from trackside.sources.tables import ROWS_PER_TASK, dealt, dealt_stream, slices
+from trackside.testfeed import fields as f
 from trackside.testfeed import frames as feed
 from trackside.testfeed import messages as m
 
@@ -111,3 +112,24 @@ def test_values_are_spoiled_once(spark):
     docs = feed.spoiled_documents(table)
     assert docs.columns == ["sequence_number", "xml", "feed_version"]
     assert _plan(messages.forecasts(docs)).count("regexp_replace(xml") == len(feed.SPOILED)
+
+
+def test_spoiling_begins_with_plain_text(spark):
+    # A pattern that begins with a group is tried at every character.
+    assert not [name for name, (_, _, pattern, _) in feed.SPOILED.items() if pattern.startswith("(")]
+    docs = spark.createDataFrame([(k, None) for k in range(60)], "o_orderkey long, o_custkey long").withColumn("o_orderdate", F.lit("2024-01-01"))
+    docs = docs.withColumn("o_custkey", F.col("o_orderkey"))
+    texts = {row["sequence_number"]: row["xml"] for row in feed.spoiled_documents(docs).collect()}
+    assert all(' ssd="x2024-01-01"' in texts[k] for k in range(0, 60, 5)) and ' ssd="2024-01-01"' in texts[1]
+    assert ">99999</" in texts[9] and ">118</" in texts[18] and ' platsup="sometimes"' in texts[1]
+
+
+def test_clock_times_are_looked_up(spark):
+    body = f"concat({f.wta('i')}, {f.wtd('i')}, {f.et('i')})"
+    assert "get(clocks" in feed.looked_up(body) and f.hhmm(f.minute("i")) in feed.looked_up(body)
+    rows = spark.createDataFrame([(k,) for k in [None, *range(-40, 1_500)]], "o_orderkey long")
+    plain = F.expr(f"array_join(transform(sequence(0, 3), i -> {body}), '')")
+    both = rows.select(F.expr(feed.repeated("4", body)).alias("quick"), plain.alias("plain"))
+    assert both.where("not (quick <=> plain)").count() == 0
+    # Other bodies stay as they are.
+    assert feed.looked_up(f.hhmm("7")) == f.hhmm("7")
