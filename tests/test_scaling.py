@@ -133,3 +133,29 @@ def test_clock_times_are_looked_up(spark):
     assert both.where("not (quick <=> plain)").count() == 0
     # Other bodies stay as they are.
     assert feed.looked_up(f.hhmm("7")) == f.hhmm("7")
+
+
+def test_calls_are_looked_through_once(spark):
+    calls = "array<struct<tpl:string,rank:int,clock:string,pos:int>>"
+    times = ", ".join(f"{name} string" for name in journey.INSTANCE_TIMES)
+    met = [("A", 4, "10:00", 1), ("A", 1, "09:00", 2), ("B", 0, "08:00", 3), ("A", 0, "08:00", 5)]
+    rows = spark.createDataFrame(
+        [
+            (1, "A", met, "08:00", "09:00", None, None, "10:00"),  # the most usual time first
+            (2, "A", met, "07:00", "09:00", None, None, "10:00"),  # then the next that meets one
+            (3, "A", met, None, None, None, None, "10:00"),
+            (4, "B", met, None, "09:00", None, None, None),
+            (5, None, met, "08:00", None, None, None, None),
+            (6, "A", None, "08:00", None, None, None, None),
+            (7, "A", [], "08:00", None, None, None, None),
+            (8, "A", [("A", 0, None, 1)], None, None, None, None, None),
+        ],
+        f"id int, tpl string, calls {calls}, {times}",
+    )
+    at_place = rows.select("id", journey.best_call("calls", at_place=True).alias("best"))
+    found = {row["id"]: row["best"] and tuple(row["best"]) for row in at_place.collect()}
+    assert found == {1: (5, "wtd"), 2: (2, "wta"), 3: (1, "pta"), 4: None, 5: None, 6: None, 7: None, 8: None}
+    anywhere = rows.where("id = 5").select(journey.best_call("calls", at_place=False).alias("best")).first()["best"]
+    assert tuple(anywhere) == (3, "wtd")
+    # The times see the calls at the place by the name they have within the expression.
+    assert _plan(at_place).lower().count("filter(calls") == 1
